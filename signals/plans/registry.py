@@ -34,4 +34,5 @@ def load_all() -> None:
     from signals.plans import (  # noqa: F401
         q_detect,
         q_parse,
+        q_tail,
     )
