@@ -278,11 +278,12 @@ def parse_header(df: DataFrame, input_col: str = "raw_data") -> DataFrame:
 # The four field types of the schema editor.
 FIELD_TYPES = ("string", "integer", "datetime", "ip_address")
 
-IPV4_PATTERN = r"^((25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])$"
-INTEGER_PATTERN = r"^[+-]?[0-9]{1,18}$"
+# Value shapes for the typed field kinds (whole value, ``\z`` = end of input).
+IPV4_PATTERN = r"^((25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\z"
+INTEGER_PATTERN = r"^[+-]?[0-9]{1,18}\z"
 DATETIME_PATTERN = (
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
-    r"([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,9})?)?(Z|[+-][0-9]{2}:?[0-9]{2})?)?$"
+    r"([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,9})?)?(Z|[+-][0-9]{2}:?[0-9]{2})?)?\z"
 )
 
 

@@ -34,5 +34,6 @@ def load_all() -> None:
     from signals.plans import (  # noqa: F401
         q_detect,
         q_parse,
+        q_schema,
         q_tail,
     )
