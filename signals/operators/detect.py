@@ -166,7 +166,7 @@ def entity_features(
     else:
         aggs.append(F.count_distinct(F.col(type_col)).alias("n_types"))
     # Distinct hours as a 24-bit mask: exact, mergeable, and no second distinct aggregate.
-    aggs.append(F.bit_count(F.bit_or(F.shiftleft(F.lit(1), hour))).cast("bigint").alias("n_hours"))
+    aggs.append(F.bit_count(F.bit_or(F.pow(F.lit(2), hour).cast("int"))).cast("bigint").alias("n_hours"))
     aggs += [F.min(hour).alias("first_hour"), F.max(hour).alias("last_hour")]
     res = df.groupBy(*keys, w.alias("window")).agg(*aggs)
     return _finish(res, ntz)

@@ -34,3 +34,217 @@ F2_SQL = (
 @register("f2_threshold", F2_SQL)
 def f2_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brute_force(spark, sf_dir, 3)
+
+
+# ------------------------------------------------------------------ F1 rules
+
+from signals.operators.detect import Rule, detect_rules, detect_syn_flood, entity_features  # noqa: E402
+from signals.operators.anomaly import explain  # noqa: E402
+from signals.operators.risk import risk_scores, top_risks  # noqa: E402
+from signals.operators.response import assign_responses, policy_table  # noqa: E402
+from signals.operators.grep import grep, route  # noqa: E402
+from signals.operators.parse import kv_parse, normalize, parse_header  # noqa: E402
+from signals.plans.fixtures import DENY_EXTRA_SQL, deny_logs, raw_logs, table  # noqa: E402
+
+RULES = (
+    Rule("BruteForce_Login", "log_type = 'error'", "Major"),
+    Rule("HighValue", "value > 400", "Critical"),
+    Rule("PriorityZeroPurchase", "priority = 0 AND log_type = 'purchase'", "Minor"),
+)
+
+
+def typed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parsed log lines with the typed columns the rules refer to."""
+    p = parsed_logs(spark, sf_dir)
+    m = F.col("parsed")
+    return p.select(
+        "event_id", "tenant_id", "log_type",
+        m.getItem("user").alias("user"),
+        m.getItem("value").try_cast("double").alias("value"),
+        m.getItem("priority").try_cast("int").alias("priority"),
+        F.col("event_time").cast("timestamp_ntz").alias("event_time"),
+    )
+
+
+def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return detect_rules(typed_events(spark, sf_dir), RULES)
+
+
+DET_SQL = (
+    f"det AS (SELECT event_id, {TENANT_SQL} AS tenant_id, 'user' || CAST(user_id AS VARCHAR) AS \"user\", "
+    "date_trunc('second', ts) AS event_time, 'BruteForce_Login' AS rule, 'Major' AS severity FROM events WHERE event_type = 'error' "
+    f"UNION ALL SELECT event_id, {TENANT_SQL}, 'user' || CAST(user_id AS VARCHAR), date_trunc('second', ts), 'HighValue', 'Critical' "
+    "FROM events WHERE CAST(value AS DECIMAL(10,2)) > 400 "
+    f"UNION ALL SELECT event_id, {TENANT_SQL}, 'user' || CAST(user_id AS VARCHAR), date_trunc('second', ts), 'PriorityZeroPurchase', 'Minor' "
+    "FROM events WHERE event_id % 4 = 0 AND event_type = 'purchase')"
+)
+
+
+@register("f1_rules", f"WITH {DET_SQL} SELECT event_id, \"user\", rule, severity FROM det")
+def f1_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return detections(spark, sf_dir).select("event_id", "user", "rule", "severity")
+
+
+# ------------------------------------------------------------------ F3 SYN flood
+
+
+def deny_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = normalize(parse_header(deny_logs(spark, sf_dir)), {"type": "kv"}, input_col="body")
+    m = F.col("parsed")
+    return p.select(
+        F.col("event_time").cast("timestamp_ntz").alias("event_time"),
+        m.getItem("dstip").alias("dstip"), m.getItem("srcip").alias("srcip"),
+        m.getItem("tcpflag").alias("tcpflag"), m.getItem("packets").try_cast("bigint").alias("packets"),
+    )
+
+
+@register(
+    "f3_syn_flood",
+    "SELECT '10.9.1.' || CAST(1 + user_id % 20 AS VARCHAR) AS dstip, date_trunc('day', ts) AS window_start, "
+    "date_trunc('day', ts) + INTERVAL 1 DAY AS window_end, CAST(SUM(1 + event_id % 50) AS BIGINT) AS syn_packets, "
+    "COUNT(DISTINCT user_id % 254) AS n_sources FROM events WHERE event_type = 'error' GROUP BY ALL "
+    "HAVING SUM(1 + event_id % 50) >= 100",
+)
+def f3_syn_flood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return detect_syn_flood(deny_fields(spark, sf_dir), "event_time", threshold=100, window="1 day")
+
+
+# ------------------------------------------------------------------ F4 features, F7 explanation
+
+TYPES = ("click", "error", "purchase", "signup", "view")
+FEATURES = ("n_events", *[f"n_{t}" for t in TYPES], "sum_value", "n_hours")
+
+
+def features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = typed_events(spark, sf_dir).withColumnRenamed("log_type", "event_type")
+    return entity_features(ev, ["tenant_id", "user"], "event_time", "1 day", types=TYPES, value_col="value")
+
+
+FEAT_SQL = (
+    f"feat AS (SELECT {TENANT_SQL} AS tenant_id, 'user' || CAST(user_id AS VARCHAR) AS \"user\", "
+    "date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end, COUNT(*) AS n_events, "
+    + ", ".join(f"COUNT(*) FILTER (WHERE event_type = '{t}') AS n_{t}" for t in TYPES)
+    + ", SUM(CAST(CAST(value AS DECIMAL(10,2)) AS DOUBLE)) AS sum_value, COUNT(DISTINCT event_type) AS n_types, "
+    "COUNT(DISTINCT hour(ts)) AS n_hours, MIN(hour(ts)) AS first_hour, MAX(hour(ts)) AS last_hour FROM events GROUP BY ALL)"
+)
+
+
+@register(
+    "f4_entity_features",
+    f"WITH {FEAT_SQL} SELECT * EXCLUDE (sum_value, first_hour, last_hour), round(sum_value, 2) AS sum_value, "
+    "CAST(first_hour AS INTEGER) AS first_hour, CAST(last_hour AS INTEGER) AS last_hour FROM feat",
+)
+def f4_entity_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return features(spark, sf_dir).withColumn("sum_value", F.round("sum_value", 2))
+
+
+@register(
+    "f7_explain",
+    f"WITH {FEAT_SQL}, long AS (UNPIVOT (SELECT tenant_id, \"user\", window_start, "
+    + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in FEATURES)
+    + f" FROM feat) ON {', '.join(FEATURES)} INTO NAME feature VALUE value), "
+    "st AS (SELECT feature, avg(value) AS mu, stddev_pop(value) AS sd FROM long GROUP BY feature), "
+    "z AS (SELECT l.*, CASE WHEN sd > 0 THEN (value - mu) / sd ELSE 0.0 END AS z FROM long l JOIN st USING (feature)), "
+    "r AS (SELECT *, row_number() OVER (PARTITION BY tenant_id, \"user\", window_start ORDER BY round(abs(z), 6) DESC, feature) AS rank FROM z) "
+    "SELECT tenant_id, \"user\", window_start, rank, feature, round(value, 4) AS value, round(z, 4) AS z FROM r WHERE rank <= 3",
+)
+def f7_explain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = explain(features(spark, sf_dir), ["tenant_id", "user", "window_start"], FEATURES, n=3)
+    return e.withColumn("value", F.round("value", 4)).withColumn("z", F.round("z", 4))
+
+
+# ------------------------------------------------------------------ F8/F9 risk
+
+WEIGHTS_SQL = "wt AS (SELECT * FROM (VALUES ('Minor', 5.0), ('Major', 15.0), ('Critical', 40.0)) t(severity, weight))"
+SCORES_SQL = (
+    "sc AS (SELECT tenant_id, \"user\" AS entity, CAST(least(100.0, SUM(weight)) AS DOUBLE) AS score, COUNT(*) AS n_detections "
+    "FROM det JOIN wt USING (severity) GROUP BY ALL), "
+    "rk AS (SELECT *, dense_rank() OVER (PARTITION BY tenant_id ORDER BY score DESC) AS rank FROM sc)"
+)
+
+
+def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = detections(spark, sf_dir).withColumnRenamed("user", "entity")
+    return risk_scores(d)
+
+
+@register("f8_risk_scores", f"WITH {DET_SQL}, {WEIGHTS_SQL}, {SCORES_SQL} SELECT * FROM rk")
+def f8_risk_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scores(spark, sf_dir)
+
+
+@register(
+    "f9_top_risks",
+    f"WITH {DET_SQL}, {WEIGHTS_SQL}, {SCORES_SQL} SELECT * FROM rk WHERE tenant_id = 'acme' ORDER BY score DESC, entity LIMIT 10",
+)
+def f9_top_risks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_risks(scores(spark, sf_dir), "acme", 10)
+
+
+# ------------------------------------------------------------------ F10 response
+
+POLICY = {"BruteForce_Login": ["Isolate_Host", "Slack_Alert_Bot"], "HighValue": "Block_IP"}
+POLICY_SQL = (
+    "pol AS (SELECT * FROM (VALUES ('BruteForce_Login', 'Isolate_Host'), ('BruteForce_Login', 'Slack_Alert_Bot'), "
+    "('HighValue', 'Block_IP')) t(rule, action))"
+)
+
+
+def responses(spark: SparkSession, sf_dir: str):
+    d = detections(spark, sf_dir).withColumnRenamed("user", "entity")
+    return assign_responses(d, policy_table(spark, POLICY))
+
+
+@register(
+    "f10_assign_responses",
+    f"WITH {DET_SQL}, {POLICY_SQL} SELECT tenant_id, \"user\" AS entity, action, COUNT(*) AS n_detections, "
+    "MIN(event_id) AS first_event_id, date_trunc('day', event_time) AS window_start FROM det JOIN pol USING (rule) GROUP BY ALL",
+)
+def f10_assign_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return responses(spark, sf_dir)[0]
+
+
+@register(
+    "f10_unmatched",
+    f"WITH {DET_SQL}, {POLICY_SQL} SELECT event_id, rule FROM det WHERE rule NOT IN (SELECT rule FROM pol)",
+)
+def f10_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return responses(spark, sf_dir)[1].select("event_id", "rule")
+
+
+# ------------------------------------------------------------------ F11/F12 grep over whole documents and lines
+
+EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
+ROUTES = {"pii": EMAIL, "license": "License", "token": "token"}
+
+
+@register(
+    "f11_grep_documents",
+    f"SELECT doc_id, lang, n_chars FROM documents WHERE regexp_matches(text, '{EMAIL}') OR contains(text, 'License')",
+)
+def f11_grep_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return grep(docs, [EMAIL, "License"], col="text").select("doc_id", "lang", "n_chars")
+
+
+@register(
+    "f11_grep_logs_none",
+    "SELECT event_id FROM events WHERE NOT (event_type IN ('error', 'view') OR (user_id % 254) + 1 BETWEEN 100 AND 149)",
+)
+def f11_grep_logs_none(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines matching none of: an error/view header, a source address 10.1.1.100-149."""
+    rl = raw_logs(spark, sf_dir)
+    return grep(rl, [r"\[(error|view)\]", r"srcip=10\.1\.1\.1[0-4][0-9] "], mode="none").select("event_id")
+
+
+@register(
+    "f12_route_documents",
+    f"SELECT doc_id, 'pii' AS route FROM documents WHERE regexp_matches(text, '{EMAIL}') "
+    "UNION ALL SELECT doc_id, 'license' FROM documents WHERE contains(text, 'License') "
+    "UNION ALL SELECT doc_id, 'token' FROM documents WHERE contains(text, 'token') "
+    f"UNION ALL SELECT doc_id, 'default' FROM documents WHERE NOT (regexp_matches(text, '{EMAIL}') "
+    "OR contains(text, 'License') OR contains(text, 'token'))",
+)
+def f12_route_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return route(docs, ROUTES, col="text").select("doc_id", "route")
