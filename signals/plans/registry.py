@@ -35,5 +35,7 @@ def load_all() -> None:
         q_detect,
         q_parse,
         q_schema,
+        q_sources,
+        q_tenancy,
         q_tail,
     )
