@@ -12,8 +12,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a single-partition scan over the cores.
+
+    A parquet file with one row group is one task, and the per-line parsing
+    downstream is CPU-bound. Such an input (at most one row group, so its
+    size is bounded) is round-robined and cached: the cached relation is a
+    leaf, so later filters on parsed values are not pushed back below the
+    round-robin into the single scan task. Inputs with several splits are
+    returned unchanged (no shuffle, and their filters reach the scan).
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if target > 1 and df.rdd.getNumPartitions() == 1:
+        return df.repartition(target).cache()
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def _s(c: Column) -> Column:
