@@ -260,7 +260,9 @@ def parse_header(df: DataFrame, input_col: str = "raw_data") -> DataFrame:
     def g(i: int) -> Column:
         return F.when(ok, F.regexp_extract(raw, HEADER_PATTERN, i))
 
-    body = F.when(ok, F.regexp_extract(raw, HEADER_PATTERN, 6))
+    # The body group is optional: '' from regexp_extract means "absent" unless the line ends in the separating blank.
+    b = F.regexp_extract(raw, HEADER_PATTERN, 6)
+    body = F.when(ok & ((b != F.lit("")) | raw.endswith(" ")), b)
     return df.withColumns(
         {
             "pri": g(1).try_cast("int"),
