@@ -71,15 +71,19 @@ def kv_parse(
             strip_chars(F.substr(p, F.instr(p, separator) + F.lit(n)), whitespace).alias("v"),
         ),
     )
-    s = F.array_sort(entries)
-    kept = F.zip_with(
-        s,
-        F.slice(s, 2, F.size(s)),
-        lambda cur, nxt: F.when(
-            nxt.isNull() | (nxt["k"] != cur["k"]),
-            F.struct(cur["k"].alias("key"), cur["v"].alias("value")),
+    # The sorted array is bound once through a one-element array's lambda, so it is
+    # computed once per row although the dedupe step reads it three times.
+    kept = F.transform(
+        F.array(F.array_sort(entries)),
+        lambda s: F.zip_with(
+            s,
+            F.slice(s, 2, F.size(s)),
+            lambda cur, nxt: F.when(
+                nxt.isNull() | (nxt["k"] != cur["k"]),
+                F.struct(cur["k"].alias("key"), cur["v"].alias("value")),
+            ),
         ),
-    )
+    )[0]
     if drop_empty_keys:
         kept = F.filter(kept, lambda e: e.isNotNull() & (e["key"] != F.lit("")))
     else:

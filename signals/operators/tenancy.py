@@ -113,15 +113,17 @@ def eps_violations(
 
     Count per tenant and ``per`` window; the allowance is ``max_eps`` x the
     window's seconds. Output: tenant_id, window_start, n_events, allowed,
-    overage. Batch or stream (a stream gets a watermark; late rows past it
-    are dropped and counted by Spark in the query progress).
+    overage. The limits are a broadcast dimension joined before the
+    aggregation (map side), which also keeps the plan valid on a stream; a
+    stream gets a watermark (late rows past it are dropped and counted in
+    the query progress, see ``signals.streaming.listener.late_rows``).
     """
     ntz = df.schema[ts_col].dataType.typeName() == "timestamp_ntz"
-    d, ts = event_time_for(df, ts_col, watermark)
-    c = d.groupBy("tenant_id", F.window(ts, per).alias("w")).agg(F.count(F.lit(1)).alias("n_events"))
     lim = F.broadcast(limits.select(F.col("tenant_id").alias("__lt"), "max_eps"))
-    j = c.join(lim, F.col("tenant_id") == F.col("__lt"))
+    j = df.join(lim, F.col("tenant_id") == F.col("__lt"))
+    d, ts = event_time_for(j, ts_col, watermark)
+    c = d.groupBy("tenant_id", "max_eps", F.window(ts, per).alias("w")).agg(F.count(F.lit(1)).alias("n_events"))
     allowed = F.col("max_eps") * _seconds(F.col("w.start"), F.col("w.end"))
     start = F.col("w.start").cast("timestamp_ntz") if ntz else F.col("w.start")
-    out = j.select("tenant_id", start.alias("window_start"), "n_events", allowed.alias("allowed"))
+    out = c.select("tenant_id", start.alias("window_start"), "n_events", allowed.alias("allowed"))
     return out.filter(F.col("n_events") > F.col("allowed")).withColumn("overage", F.col("n_events") - F.col("allowed"))

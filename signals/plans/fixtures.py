@@ -53,7 +53,12 @@ def _line(ev: DataFrame) -> Column:
 
 def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events -> (event_id, ts, user_id, event_type, value, tenant_id, source_id, raw_data)."""
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    return logs_from_events(table(spark, sf_dir, "events"))
+
+
+def logs_from_events(events: DataFrame) -> DataFrame:
+    """The raw_logs projection for any events DataFrame, batch or streaming."""
+    ev = events.select("event_id", "ts", "user_id", "event_type", "value")
     return ev.select(
         "event_id", "ts", "user_id", "event_type", "value",
         F.when(F.col("user_id") % 3 != 0, F.lit("acme")).otherwise(F.lit("bravo")).alias("tenant_id"),

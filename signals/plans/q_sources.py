@@ -138,3 +138,19 @@ def a10_offset_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_type") != "error", (F.col("event_id") * 7919) % 100000).alias("offset"),
     )
     return offset_ledger(rl)
+
+
+@register(
+    "a2_tail_read",
+    with_views(
+        "SELECT raw_data, SUM(strlen(raw_data) + 1) OVER (PARTITION BY event_id // 1000 ORDER BY event_id "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS \"offset\" FROM raw_logs",
+        RAW_LOGS_SQL,
+    ),
+)
+def a2_tail_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tail data source read from byte 0 over the landed log files (byte ranges as partitions)."""
+    from signals.sources.tail_source import read_log_tail
+
+    path = log_files(spark, sf_dir)
+    return read_log_tail(spark, path, partition_bytes=1 << 16, recursive=True).select("raw_data", "offset")
