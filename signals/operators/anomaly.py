@@ -35,3 +35,191 @@ def explain(
         .filter(F.col("rank") <= n)
         .select(*key, "rank", "feature", "value", "z")
     )
+
+
+# ---------------------------------------------------------------- F5 isolation forest (Liu, Ting, Zhou 2008)
+
+EULER_GAMMA = 0.5772156649015329
+NODE_SCHEMA = "tree_id int, node_id int, feature int, split double, left int, right int, size long, depth int, n_sample long"
+
+
+def c_factor(n: float) -> float:
+    """Average path length of an unsuccessful BST search over n points: 2H(n-1) - 2(n-1)/n."""
+    import math
+
+    if n <= 1:
+        return 0.0
+    if n == 2:
+        return 1.0
+    return 2.0 * (math.log(n - 1) + EULER_GAMMA) - 2.0 * (n - 1) / n
+
+
+def _tree_builder(feature_cols: list[str], seed: int):
+    import math
+
+    import numpy as np
+    import pandas as pd
+
+    def build(pdf: pd.DataFrame) -> pd.DataFrame:
+        tid = int(pdf["tree_id"].iloc[0])
+        x = pdf[feature_cols].to_numpy(dtype="float64")
+        x = np.nan_to_num(x, nan=0.0)
+        n = len(x)
+        rng = np.random.default_rng([seed, tid])
+        limit = max(1, math.ceil(math.log2(max(n, 2))))
+        rows = []
+        stack = [(np.arange(n), 0, 0)]
+        next_id = 1
+        while stack:
+            idx, node, depth = stack.pop()
+            sub = x[idx]
+            if depth >= limit or len(idx) <= 1:
+                rows.append((tid, node, -1, 0.0, -1, -1, len(idx), depth, n))
+                continue
+            lo, hi = sub.min(axis=0), sub.max(axis=0)
+            cand = np.flatnonzero(hi > lo)
+            if cand.size == 0:
+                rows.append((tid, node, -1, 0.0, -1, -1, len(idx), depth, n))
+                continue
+            f = int(rng.choice(cand))
+            split = float(rng.uniform(lo[f], hi[f]))
+            go_left = sub[:, f] < split
+            left, right = next_id, next_id + 1
+            next_id += 2
+            rows.append((tid, node, f, split, left, right, len(idx), depth, n))
+            stack.append((idx[go_left], left, depth + 1))
+            stack.append((idx[~go_left], right, depth + 1))
+        return pd.DataFrame(rows, columns=["tree_id", "node_id", "feature", "split", "left", "right", "size", "depth", "n_sample"])
+
+    return build
+
+
+def isolation_forest_fit(
+    features: DataFrame,
+    feature_cols: Sequence[str],
+    id_cols: Sequence[str],
+    trees: int = 100,
+    sample: int = 256,
+    seed: int = 42,
+) -> DataFrame:
+    """Fit an isolation forest; returns the trees as node rows.
+
+    Tree membership is a deterministic hash of the row id: rows fall into
+    ``ceil(N / sample)`` buckets and tree ``t`` is built on bucket
+    ``t mod buckets`` (so every tree sees about ``sample`` rows, and small
+    inputs are shared by several trees). Each tree is grown in one
+    ``applyInPandas`` group of ~``sample`` rows, with its own random stream.
+    The result has at most trees x (2 x sample) rows.
+    """
+    feature_cols, id_cols = list(feature_cols), list(id_cols)
+    n = features.count()
+    buckets = max(1, -(-n // sample))
+    h = F.pmod(F.xxhash64(*[F.col(c) for c in id_cols], F.lit(seed)), F.lit(buckets))
+    if buckets >= trees:
+        member = features.withColumn("__b", h).filter(F.col("__b") < trees).withColumn("tree_id", F.col("__b").cast("int"))
+    else:
+        member = features.withColumn("__b", h).withColumn(
+            "tree_id", F.explode(F.sequence(F.col("__b").cast("int"), F.lit(trees - 1), F.lit(buckets)))
+        )
+    x = member.select("tree_id", *[F.col(c).cast("double").alias(c) for c in feature_cols])
+    return x.groupBy("tree_id").applyInPandas(_tree_builder(feature_cols, seed), NODE_SCHEMA)
+
+
+def _forest_arrays(model: DataFrame):
+    import numpy as np
+
+    pdf = model.toPandas()  # bounded: trees x nodes per tree
+    trees = []
+    for tid, g in pdf.groupby("tree_id"):
+        g = g.sort_values("node_id")
+        size = int(g["node_id"].max()) + 1
+        arr = {k: np.zeros(size, dtype=t) for k, t in [("feature", "int64"), ("split", "float64"), ("left", "int64"), ("right", "int64"), ("size", "float64"), ("depth", "float64")]}
+        for col in arr:
+            arr[col][g["node_id"].to_numpy()] = g[col].to_numpy()
+        trees.append((arr, float(g["n_sample"].iloc[0])))
+    return trees
+
+
+def isolation_forest_score(
+    features: DataFrame,
+    model: DataFrame,
+    feature_cols: Sequence[str],
+    score_col: str = "anomaly_score",
+) -> DataFrame:
+    """Score rows with a fitted forest: ``2^(-E[h(x)] / c(psi))``; near 1 = anomalous.
+
+    The forest (bounded size) is broadcast once; ``mapInPandas`` walks all
+    rows of an Arrow batch through each tree level by level with numpy.
+    """
+    import numpy as np
+    import pandas as pd
+
+    feature_cols = list(feature_cols)
+    spark = features.sparkSession
+    bc = spark.sparkContext.broadcast(_forest_arrays(model))
+    from pyspark.sql import types as T
+
+    out_schema = T.StructType(list(features.schema.fields) + [T.StructField(score_col, T.DoubleType())])
+
+    def score(batches):
+        forest = bc.value
+        psi = np.mean([n for _, n in forest]) if forest else 1.0
+        cpsi = c_factor(psi) or 1.0
+        for pdf in batches:
+            x = np.nan_to_num(pdf[feature_cols].to_numpy(dtype="float64"), nan=0.0)
+            total = np.zeros(len(pdf))
+            rows = np.arange(len(pdf))
+            for arr, _ in forest:
+                node = np.zeros(len(pdf), dtype="int64")
+                while True:
+                    f = arr["feature"][node]
+                    inner = f >= 0
+                    if not inner.any():
+                        break
+                    xi = x[rows[inner], f[inner]]
+                    go_left = xi < arr["split"][node[inner]]
+                    node[inner] = np.where(go_left, arr["left"][node[inner]], arr["right"][node[inner]])
+                total += arr["depth"][node] + np.array([c_factor(s) for s in arr["size"][node]])
+            h = total / max(len(forest), 1)
+            yield pdf.assign(**{score_col: np.power(2.0, -h / cpsi)})
+
+    return features.mapInPandas(score, out_schema)
+
+
+# ---------------------------------------------------------------- F6 reconstruction error (linear auto-encoder = PCA)
+
+
+def reconstruction_score(
+    features: DataFrame,
+    feature_cols: Sequence[str],
+    k: int = 3,
+    score_col: str = "recon_error",
+) -> DataFrame:
+    """Squared distance between standardised features and their rank-``k`` PCA reconstruction.
+
+    A linear auto-encoder with k hidden units learns the principal subspace
+    (Baldi & Hornik 1989), so its reconstruction error is this one. The
+    scaler and PCA are fitted with MLlib (distributed aggregates); the
+    d x k component matrix is small and the error is a native column
+    expression over the vector elements, no Python per row.
+    """
+    from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    cols = list(feature_cols)
+    va = VectorAssembler(inputCols=cols, outputCol="__raw", handleInvalid="keep")
+    vec = va.transform(features.na.fill(0.0, subset=cols))
+    scaler = StandardScaler(inputCol="__raw", outputCol="__z", withMean=True, withStd=True).fit(vec)
+    z = scaler.transform(vec)
+    pca = PCA(k=min(k, len(cols)), inputCol="__z", outputCol="__p").fit(z)
+    pc = pca.pc.toArray()  # d x k
+    t = pca.transform(z).withColumn("__za", vector_to_array("__z")).withColumn("__pa", vector_to_array("__p"))
+    err = None
+    for j in range(len(cols)):
+        recon = None
+        for i in range(pc.shape[1]):
+            term = F.col("__pa")[i] * F.lit(float(pc[j, i]))
+            recon = term if recon is None else recon + term
+        d = F.col("__za")[j] - recon
+        err = d * d if err is None else err + d * d
+    return t.withColumn(score_col, err).drop("__raw", "__z", "__p", "__za", "__pa")

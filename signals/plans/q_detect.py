@@ -248,3 +248,26 @@ def f11_grep_logs_none(spark: SparkSession, sf_dir: str) -> DataFrame:
 def f12_route_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return route(docs, ROUTES, col="text").select("doc_id", "route")
+
+
+# ------------------------------------------------------------------ F5/F6 models (rows-only: not SQL-expressible)
+
+from signals.operators.anomaly import isolation_forest_fit, isolation_forest_score, reconstruction_score  # noqa: E402
+
+MODEL_FEATURES = ("n_events", *[f"n_{t}" for t in TYPES], "sum_value", "n_hours")
+
+
+@register("f5_isolation_forest")
+def f5_isolation_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IsolationForest_Anomaly over the user-day behaviour features."""
+    feats = features(spark, sf_dir)
+    model = isolation_forest_fit(feats, MODEL_FEATURES, ["tenant_id", "user", "window_start"], trees=100, sample=256, seed=7)
+    scored = isolation_forest_score(feats, model, MODEL_FEATURES)
+    return scored.select("tenant_id", "user", "window_start", F.round("anomaly_score", 6).alias("anomaly_score"))
+
+
+@register("f6_reconstruction_score")
+def f6_reconstruction_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AutoEncoder_Behavior: rank-3 PCA reconstruction error of the standardised features."""
+    scored = reconstruction_score(features(spark, sf_dir), MODEL_FEATURES, k=3)
+    return scored.select("tenant_id", "user", "window_start", F.round("recon_error", 6).alias("recon_error"))
