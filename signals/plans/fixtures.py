@@ -12,6 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Set to False to see the plans a large input gets (tools/plan_report.py does).
+SPREAD_SMALL_SCANS = True
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Spread a single-partition scan over the cores.
 
@@ -23,7 +27,7 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     returned unchanged (no shuffle, and their filters reach the scan).
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if target > 1 and df.rdd.getNumPartitions() == 1:
+    if SPREAD_SMALL_SCANS and target > 1 and df.rdd.getNumPartitions() == 1:
         return df.repartition(target).cache()
     return df
 

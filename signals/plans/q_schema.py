@@ -114,8 +114,21 @@ def d3_append_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Materialise a small catalog-sized result once (checkpoint in the shared folder).
+
+    Inference reads every log line; the catalog steps that follow reuse its
+    small output several times, so it is stored once, as the catalog table
+    would be, instead of being recomputed per reference.
+    """
+    from signals.session import shared_dir
+
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    q = schema_quality(inferred(spark, sf_dir))
+    q = stored(schema_quality(inferred(spark, sf_dir)))
     return history_rows(q, "/tenants", F.to_timestamp(F.lit(RUN_1)), "r1").unionByName(
         history_rows(q, "/tenants", F.to_timestamp(F.lit(RUN_2)), "r2")
     )
@@ -150,7 +163,7 @@ def d5_list_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def revised_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """v1 from inference; acme/error: drop position 1 and add a default field; bravo/click: all text."""
-    cat = catalog_from_inference(inferred(spark, sf_dir))
+    cat = stored(catalog_from_inference(inferred(spark, sf_dir)))
     cat = revise_schema(cat, "acme", "error", remove=[1], add=1)
     text = [(n, "string", "Manual") for n in ("action", "bytes", "event_time", "priority", "sender_ip", "srcip", "user", "value")]
     return revise_schema(cat, "bravo", "click", replace=text)

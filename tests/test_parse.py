@@ -142,6 +142,8 @@ def test_parse_header(spark):
         "<14>1 2024-01-01T00:00:07 [event] [10.0.0.1] user=u",
         "<14>1 2024-01-01T00:00:07 [event] [10.0.0.1]",
         "garbage",
+        "<14>1 2024-01-01T00:00:07 [alert type] [10.0.0.1] ",
+        "<1234>1 2024-01-01T00:00:07 [event] [10.0.0.1] x",
     ]
     df = spark.createDataFrame([(s,) for s in lines], "raw_data string")
     rows = parse_header(df).withColumn("t", F.col("event_time").cast("string")).collect()
@@ -151,6 +153,8 @@ def test_parse_header(spark):
     assert rows[1]["t"] == "2024-01-01 00:00:07" and rows[1]["sender_ip"] == "10.0.0.1"
     assert rows[2]["body"] is None and rows[2]["log_type"] == "event"
     assert rows[3]["pri"] is None and rows[3]["event_time"] is None
+    assert rows[4]["log_type"] == "alert type" and rows[4]["body"] == ""
+    assert rows[5]["log_type"] is None  # PRI has at most 3 digits
 
 
 def test_apply_schema_types_and_errors(spark):
