@@ -1,9 +1,10 @@
 """Grep filter and grep routing over raw lines or whole documents.
 
 All patterns are evaluated in one projection. Patterns without regex
-metacharacters use ``contains`` (a byte search, no regex engine); for mode
-``any`` the regex patterns are folded into one alternation, so each line is
-scanned by a single regex.
+metacharacters use ``contains`` (a byte search, no regex engine). A regex
+with a required literal (e.g. '@' in an e-mail pattern) is guarded by a
+``contains`` of it, so texts without it skip the regex; for mode ``any``
+the remaining regexes are folded into one alternation.
 """
 
 from __future__ import annotations
@@ -26,10 +27,41 @@ def is_literal(pattern: str) -> bool:
     return not _META.search(pattern)
 
 
+def required_literal(pattern: str) -> str | None:
+    """The longest literal run every match of ``pattern`` must contain, if any.
+
+    Only top-level literals count (not inside repeats, alternations or
+    optional groups); case-insensitive patterns have none.
+    """
+    try:
+        from re import _parser as sre_parse
+    except ImportError:  # pragma: no cover
+        import sre_parse  # type: ignore
+    try:
+        tree = sre_parse.parse(pattern)
+    except re.error:
+        return None
+    if tree.state.flags & re.IGNORECASE:
+        return None
+    best, run = "", []
+    for op, av in list(tree) + [(None, None)]:
+        if str(op) == "LITERAL":
+            run.append(chr(av))
+            continue
+        cur = "".join(run)
+        if len(cur) > len(best):
+            best = cur
+        run = []
+    return best or None
+
+
 def _match(c: Column, pattern: str, fixed: bool) -> Column:
     if fixed or is_literal(pattern):
         return c.contains(pattern)
-    return c.rlike(to_java_regex(pattern))
+    lit = required_literal(pattern)
+    m = c.rlike(to_java_regex(pattern))
+    # A byte search first: most texts lack the literal and never reach the regex engine.
+    return (c.contains(lit) & m) if lit else m
 
 
 def grep_match(c: Column | str, patterns: Sequence[str], mode: str = "any", fixed: bool = False) -> Column:
@@ -43,8 +75,12 @@ def grep_match(c: Column | str, patterns: Sequence[str], mode: str = "any", fixe
         lits = [p for p in patterns if fixed or is_literal(p)]
         regs = [p for p in patterns if not (fixed or is_literal(p))]
         parts = [col.contains(p) for p in lits]
-        if regs:
-            parts.append(col.rlike("|".join(f"(?:{to_java_regex(p)})" for p in regs)))
+        guarded = [p for p in regs if required_literal(p)]
+        free = [p for p in regs if not required_literal(p)]
+        parts += [_match(col, p, False) for p in guarded]
+        if free:
+            # patterns without a required literal share one alternation: one regex scan per text
+            parts.append(col.rlike("|".join(f"(?:{to_java_regex(p)})" for p in free)))
         hit = reduce(lambda a, b: a | b, parts)
         hit = F.coalesce(hit, F.lit(False))
         return ~hit if mode == "none" else hit
