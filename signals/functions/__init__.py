@@ -7,8 +7,10 @@ from signals.functions.text import (  # noqa: F401
     contains_literal,
     decode_replace,
     iso_local,
+    json_or_error,
     java_quote,
     literal_split,
+    preview_json,
     py_strip,
     safe_module_name,
     split_first,

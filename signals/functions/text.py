@@ -87,3 +87,36 @@ def iso_local(ts: Column) -> Column:
 def thousands(n: Column) -> Column:
     """Count with a thousands separator, as the history view shows it."""
     return F.format_number(n, 0)
+
+
+def _json_string(c: Column) -> Column:
+    """A JSON string literal for ``c`` (quoted and escaped), via to_json of a one-element array."""
+    j = F.to_json(F.array(c.cast("string")))
+    return F.substr(j, F.lit(2), F.length(j) - 2)
+
+
+def preview_json(m: Column) -> Column:
+    """A MAP<STRING,STRING> as JS ``JSON.stringify(r, null, 2)`` text.
+
+    Two-space indentation, ``"key": "value"`` lines; ``{}`` for an empty map
+    and null for a null map. Entries are in the map's order.
+    """
+    lines = F.transform(F.map_entries(m), lambda e: F.concat(F.lit("  "), _json_string(e["key"]), F.lit(": "), _json_string(e["value"])))
+    body = F.concat(F.lit("{\n"), F.array_join(lines, ",\n"), F.lit("\n}"))
+    return F.when(m.isNull(), F.lit(None).cast("string")).when(F.size(m) == 0, F.lit("{}")).otherwise(body)
+
+
+def json_or_error(c: Column, schema: str, error_prefix: str = "parse error") -> Column:
+    """``json.loads`` with a fallback (S15): a struct of the parsed fields plus ``_error``.
+
+    ``_error`` is null when the text parsed and the message otherwise; fields
+    of unparseable text are null.
+    """
+    full = f"{schema}, _corrupt string"
+    parsed = F.from_json(c, full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    bad = c.isNotNull() & (parsed.isNull() | parsed["_corrupt"].isNotNull())
+    names = [f.strip().split(" ")[0] for f in schema.split(",")]
+    return F.struct(
+        *[F.when(~bad, parsed[n]).alias(n) for n in names],
+        F.when(bad, F.lit(f"{error_prefix}: malformed JSON")).alias("_error"),
+    )

@@ -127,3 +127,11 @@ def route(
 def write_routes(routed: DataFrame, path: str, route_col: str = "route", fmt: str = "parquet", mode: str = "append") -> None:
     """Sink partitioned by route, so each route's readers prune to their folder."""
     routed.write.mode(mode).partitionBy(route_col).format(fmt).save(path)
+
+
+def stream_routes(routed: DataFrame, path: str, checkpoint: str, route_col: str = "route", fmt: str = "parquet"):
+    """Start a streaming sink partitioned by route (F12 on a stream); returns the query."""
+    return (
+        routed.writeStream.format(fmt).partitionBy(route_col)
+        .option("path", path).option("checkpointLocation", checkpoint).outputMode("append").start()
+    )

@@ -82,6 +82,11 @@ def read_logs(spark: SparkSession, path: str, with_offsets: bool = True) -> Data
     )
 
 
+def with_byte_offset(spark: SparkSession, path: str) -> DataFrame:
+    """Batch form of A3 over whole files: ``read_logs`` with ``line_no`` and ``offset``."""
+    return read_logs(spark, path, with_offsets=True)
+
+
 def stream_logs(spark: SparkSession, directory: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming read of rotated log files in ``directory`` (new files only; see ``tail_source`` for growing files)."""
     r = spark.readStream.format("text")

@@ -70,3 +70,7 @@ def stream_ring(
     )
     proc = _RingProcessor(capacity, key, value_schema, list(order))
     return df.groupBy(*key).transformWithStateInPandas(proc, out_schema, "Update", "None")
+
+
+# The survey's name for the stream form of B4.
+stream_tail = stream_ring
