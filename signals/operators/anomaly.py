@@ -136,6 +136,8 @@ def _forest_arrays(model: DataFrame):
         arr = {k: np.zeros(size, dtype=t) for k, t in [("feature", "int64"), ("split", "float64"), ("left", "int64"), ("right", "int64"), ("size", "float64"), ("depth", "float64")]}
         for col in arr:
             arr[col][g["node_id"].to_numpy()] = g[col].to_numpy()
+        # path length credited at a leaf: its depth plus c(size) for the points not separated further
+        arr["leaf"] = arr["depth"] + np.array([c_factor(s) for s in arr["size"]])
         trees.append((arr, float(g["n_sample"].iloc[0])))
     return trees
 
@@ -179,7 +181,7 @@ def isolation_forest_score(
                     xi = x[rows[inner], f[inner]]
                     go_left = xi < arr["split"][node[inner]]
                     node[inner] = np.where(go_left, arr["left"][node[inner]], arr["right"][node[inner]])
-                total += arr["depth"][node] + np.array([c_factor(s) for s in arr["size"][node]])
+                total += arr["leaf"][node]
             h = total / max(len(forest), 1)
             yield pdf.assign(**{score_col: np.power(2.0, -h / cpsi)})
 

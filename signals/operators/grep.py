@@ -125,8 +125,12 @@ def route(
 
 
 def write_routes(routed: DataFrame, path: str, route_col: str = "route", fmt: str = "parquet", mode: str = "append") -> None:
-    """Sink partitioned by route, so each route's readers prune to their folder."""
-    routed.write.mode(mode).partitionBy(route_col).format(fmt).save(path)
+    """Sink partitioned by route, so each route's readers prune to their folder.
+
+    The REBALANCE hint lets adaptive execution split a busy route over
+    several writers and merge quiet ones (few right-sized files per folder).
+    """
+    routed.hint("rebalance", route_col).write.mode(mode).partitionBy(route_col).format(fmt).save(path)
 
 
 def stream_routes(routed: DataFrame, path: str, checkpoint: str, route_col: str = "route", fmt: str = "parquet"):

@@ -43,7 +43,7 @@ def arrival_sequence(
     keys: Sequence[str],
     order: Sequence[Column | str],
     out: str = "seq",
-    bucket: str | float = "hour",
+    bucket: str | float = "minute",
 ) -> DataFrame:
     """Add ``out`` = 1-based position of each row within its key, by ``order``.
 

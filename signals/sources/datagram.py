@@ -23,7 +23,7 @@ def datagram_envelope(
     ip_col: str = "remote_ip",
     port_col: str = "remote_port",
     key: Sequence[str] = ("tenant_id", "source_id"),
-    bucket: str = "hour",
+    bucket: str = "minute",
 ) -> DataFrame:
     """Landed payloads -> (raw_data, offset=0, received_at, seq, remote_addr) (A4).
 

@@ -39,15 +39,22 @@ def write_zone(
     extra_partitions: Sequence[str] = (),
     fmt: str = "parquet",
     mode: str = "append",
+    rebalance: bool = True,
 ) -> None:
-    """Write rows to a zone, partitioned by ``tenant_id`` (then ``dt`` from ``date_col``)."""
+    """Write rows to a zone, partitioned by ``tenant_id`` (then ``dt`` from ``date_col``).
+
+    With ``rebalance`` the rows are shuffled by the partition columns under
+    Spark's REBALANCE hint: adaptive execution splits a hot tenant-day over
+    several tasks and merges small ones, so each folder gets a few
+    right-sized files instead of one file per writing task.
+    """
     parts = ["tenant_id"]
     if date_col:
         df = df.withColumn("dt", F.to_date(F.col(date_col)))
         parts.append("dt")
     parts += list(extra_partitions)
-    # No shuffle by the partition columns: a hot tenant-day would land in one task.
-    # Each task sorts its rows by the partition columns and writes one file per folder it holds.
+    if rebalance:
+        df = df.hint("rebalance", *parts)
     df.write.mode(mode).partitionBy(*parts).format(fmt).save(zone_root(root, zone))
 
 
