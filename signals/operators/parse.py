@@ -100,6 +100,15 @@ def to_java_regex(pattern: str) -> str:
     return re.sub(r"\(\?P=(\w+)\)", r"\\k<\1>", p)
 
 
+def python_semantics(java_pattern: str) -> str:
+    """Java flags that make a pattern behave like Python ``re`` on str.
+
+    ``U``: Unicode ``\\d``/``\\w``/``\\s``/``\\b`` and case folding; ``d``: only
+    ``\\n`` ends a line for ``.``, ``^`` and ``$``.
+    """
+    return "(?Ud)" + java_pattern
+
+
 def optional_groups(pattern: str) -> set[int]:
     """Group numbers that can be left unmatched while the whole pattern matches.
 
@@ -155,8 +164,8 @@ def regex_parse(c: Column | str, pattern: str, fields: Sequence[str]) -> Column:
     compiled = re.compile(pattern)
     n = min(len(fields), compiled.groups)
     if n == 0:
-        return F.when(_col(c).rlike(to_java_regex(pattern)), _empty_map()).otherwise(_empty_map())
-    jp = to_java_regex(pattern)
+        return _empty_map()
+    jp = python_semantics(to_java_regex(pattern))
     opt = optional_groups(pattern)
     # Python builds a dict: a repeated field name keeps its first position and the last value.
     last_index: dict[str, int] = {}

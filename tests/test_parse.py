@@ -87,8 +87,14 @@ REGEX_CASES = [
     (r"(\d+)-(\d+)", ["n"]),
     (r"(a)(b)?", ["f", "f"]),
     ("", ["a"]),
+    (r"(\d+)\s(\w+)", ["n", "w"]),
+    (r"^(.+)$", ["line"]),
+    (r"(?i)(ÉTÉ)", ["s"]),
+]
+REGEX_LINES = [
+    "[t] body", "user=bob id=7", "user=al", "y", "x", "k=", "12-34", "a", "ab", "zzz", "[] ", "q=1 r=2",
+    "x ٣٤\u3000naïve", "a\rb", "tail\n", "été",
 ]
-REGEX_LINES = ["[t] body", "user=bob id=7", "user=al", "y", "x", "k=", "12-34", "a", "ab", "zzz", "[] ", "q=1 r=2"]
 
 
 @pytest.mark.parametrize("pattern,fields", REGEX_CASES)
