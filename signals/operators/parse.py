@@ -244,7 +244,20 @@ def normalize(
         .when(F.size(F.col(output_col)) == 0, F.lit(EMPTY))
         .otherwise(F.lit(PARSED))
     )
-    return df.withColumn(output_col, parsed).withColumn(status_col, status)
+    return df.withColumn(output_col, once(parsed)).withColumn(status_col, status)
+
+
+def once(c: Column) -> Column:
+    """Evaluate an expensive expression exactly once per row.
+
+    Catalyst pushes a filter on a derived value (``parsed['tcpflag'] = 'SYN'``)
+    below the projection that computes it by inlining the expression, so the
+    parse would run in the filter and again in the projection. A value
+    produced by a generator (a one-element ``explode``) is not inlined:
+    filters on it stay above, while filters on other columns (tenant,
+    partition columns) still reach the scan. Row count is unchanged.
+    """
+    return F.explode(F.array(c))
 
 
 def split_quarantine(df: DataFrame, status_col: str = "parse_status") -> tuple[DataFrame, DataFrame]:
@@ -261,7 +274,7 @@ HEADER_PATTERN = r"(?s)^<(\d{1,3})>(\d{1,2}) (\S+) \[([^\]]*)\] \[([^\]]*)\](?:
 HEADER_FIELDS = ("pri", "version", "event_time", "log_type", "sender_ip", "body")
 
 
-def parse_header(df: DataFrame, input_col: str = "raw_data") -> DataFrame:
+def parse_header(df: DataFrame, input_col: str = "raw_data", once_per_row: bool = False) -> DataFrame:
     """Split the syslog-style header into typed columns.
 
     One regex test validates the line; the fields are then cut out with
@@ -270,7 +283,9 @@ def parse_header(df: DataFrame, input_col: str = "raw_data") -> DataFrame:
     ``event_time`` is a TIMESTAMP: ISO-8601 with or without fraction and
     offset; without an offset it is read in the session time zone. Lines
     that do not match get nulls; ``body`` is null when the line ends after
-    the sender bracket.
+    the sender bracket. ``once_per_row`` puts the fields behind ``once``
+    (worth it only when a selective filter on a header field follows; the
+    header is cheap enough that the barrier usually costs more than it saves).
     """
     raw = F.col(input_col)
     ok = raw.rlike(HEADER_PATTERN)
@@ -282,16 +297,17 @@ def parse_header(df: DataFrame, input_col: str = "raw_data") -> DataFrame:
     rest3 = F.substr(rest2, F.length(typ) + 4)  # [ip] body
     ip = F.substring_index(F.substr(rest3, F.lit(2)), "]", 1)
     tail = F.substr(rest3, F.length(ip) + 3)  # '' or ' ' + body
-    return df.withColumns(
-        {
-            "pri": F.when(ok, F.substr(raw, F.lit(2), gt - 2)).try_cast("int"),
-            "version": F.when(ok, F.substr(raw, gt + 1, sp - gt - 1)).try_cast("int"),
-            "event_time": F.when(ok, time).try_cast("timestamp"),
-            "log_type": F.when(ok, typ),
-            "sender_ip": F.when(ok, ip),
-            "body": F.when(ok & (F.length(tail) > 0), F.substr(tail, F.lit(2))),
-        }
+    fields = F.struct(
+        F.when(ok, F.substr(raw, F.lit(2), gt - 2)).try_cast("int").alias("pri"),
+        F.when(ok, F.substr(raw, gt + 1, sp - gt - 1)).try_cast("int").alias("version"),
+        F.when(ok, time).try_cast("timestamp").alias("event_time"),
+        F.when(ok, typ).alias("log_type"),
+        F.when(ok, ip).alias("sender_ip"),
+        F.when(ok & (F.length(tail) > 0), F.substr(tail, F.lit(2))).alias("body"),
     )
+    tmp = "__header"
+    out = df.withColumn(tmp, once(fields) if once_per_row else fields)
+    return out.withColumns({f: F.col(f"{tmp}.{f}") for f in HEADER_FIELDS}).drop(tmp)
 
 
 # ---------------------------------------------------------------- C6 apply schema
