@@ -16,6 +16,11 @@ after the line, as a tail reader's ``tell()`` reports it.
 ``read_from``: ``start``/``begin`` -> byte 0, ``end`` -> after the last
 complete line present when the stream starts (files created later are read
 from 0); anything else is an error.
+
+``maxBytesPerTrigger`` caps the bytes taken from each file per micro-batch
+(whole lines; a longer single line is taken whole), the counterpart of the
+reference's lines-per-poll limit. The cap applies from the second batch of
+a run on (a restarted query first catches up in one batch).
 """
 
 from __future__ import annotations
@@ -212,20 +217,43 @@ class _TailStreamReader(DataSourceStreamReader):
         self.mode = _start_mode(options.get("read_from", "end"))
         self.recursive = _flag(options, "recursive")
         self.chunk = int(options.get("partitionBytes", DEFAULT_PARTITION_BYTES))
-
-    def _ends(self) -> dict:
-        return {f: _last_line_end(f, 0, _size(f)) for f in _files(self.path, self.recursive)}
+        cap = options.get("maxBytesPerTrigger")
+        self.cap = int(cap) if cap else None
+        self._last: dict | None = None  # end offsets handed out last (the next batch's start)
+
+    def _end_for(self, f: str, prev: int) -> int:
+        size = _size(f)
+        if size < prev:  # truncated or replaced
+            prev = 0
+        if self.cap is None or size - prev <= self.cap:
+            return _last_line_end(f, prev, size)
+        end = _last_line_end(f, prev, prev + self.cap)
+        if end == prev:  # one line longer than the cap: take that whole line
+            fs, p = _fs(f)
+            with fs.open_input_file(p) as h:
+                end = _next_line_start(h, prev + self.cap, size)
+            end = min(end, _last_line_end(f, prev, size)) if end > prev else prev
+        return end
 
     def initialOffset(self) -> dict:
         if self.mode == "start":
             return {"files": {}}
-        return {"files": self._ends()}
+        return {"files": {f: _last_line_end(f, 0, _size(f)) for f in _files(self.path, self.recursive)}}
 
     def latestOffset(self) -> dict:
-        return {"files": self._ends()}
+        before = (self._last or {}).get("files", {}) if self.cap else {}
+        files = {}
+        for f in _files(self.path, self.recursive):
+            prev = int(before.get(f, 0))
+            files[f] = self._end_for(f, prev) if self.cap and self._last is not None else _last_line_end(f, 0, _size(f))
+        out = {"files": files}
+        self._last = out
+        return out
 
     def partitions(self, start: dict, end: dict):
         before = start.get("files", {})
+        if self._last is None:
+            self._last = end
         parts: list[TailRange] = []
         for f, e in sorted(end.get("files", {}).items()):
             s = int(before.get(f, 0))
@@ -263,12 +291,19 @@ def register_tail_source(spark: SparkSession) -> None:
 
 
 def stream_log_tail(
-    spark: SparkSession, path: str, read_from: str = "end", partition_bytes: int | None = None, recursive: bool = False
+    spark: SparkSession,
+    path: str,
+    read_from: str = "end",
+    partition_bytes: int | None = None,
+    recursive: bool = False,
+    max_bytes_per_trigger: int | None = None,
 ) -> DataFrame:
     """Stream the lines appended to a file (or the files of a directory) (A2)."""
     _start_mode(read_from)
     register_tail_source(spark)
     r = spark.readStream.format(NAME).option("path", path).option("read_from", read_from).option("recursive", str(recursive))
+    if max_bytes_per_trigger:
+        r = r.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
     if partition_bytes:
         r = r.option("partitionBytes", str(partition_bytes))
     return r.load()

@@ -152,3 +152,22 @@ def test_listener_feeds_source_status(spark, event_stream):
         spark.streams.removeListener(lst)
     assert len(st) == 1 and st[0]["tenant_id"] == "acme" and st[0]["source_id"] == "file_event"
     assert st[0]["running"] is False and st[0]["healthy"] is True and late_rows(q) == 0
+
+
+def test_tail_source_caps_bytes_per_trigger(spark, tmp_path):
+    d = tmp_path / "capped"
+    d.mkdir()
+    f = d / "a.log"
+    f.write_bytes(b"")
+    q = stream_log_tail(spark, str(d), read_from="start", max_bytes_per_trigger=12).writeStream.format("memory").queryName("tail_cap").start()
+    try:
+        q.processAllAvailable()
+        with open(f, "ab") as h:
+            h.write(b"l1\nl2\nl3\nl4\nl5\nl6\nl7\nl8\nl9\n" + b"x" * 40 + b"\n")
+        q.processAllAvailable()
+        got = sorted((r["raw_data"], r["offset"]) for r in spark.sql("SELECT * FROM tail_cap").collect())
+        sizes = [p["numInputRows"] for p in q.recentProgress if p["numInputRows"] > 0]
+    finally:
+        q.stop()
+    assert len(got) == 10 and got[-1] == ("x" * 40, 68)
+    assert len(sizes) >= 3 and max(sizes) <= 4  # at most 12 bytes of 3-byte lines per batch, except the long line
