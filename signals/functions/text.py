@@ -80,8 +80,9 @@ def safe_module_name(c: Column) -> Column:
 
 
 def iso_local(ts: Column) -> Column:
-    """ISO-8601 text with microseconds and offset."""
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+    """ISO-8601 text with microseconds and a numeric offset, as Python's
+    ``isoformat(timespec="microseconds")`` writes it (``+00:00``, never ``Z``) (S12)."""
+    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
 
 
 def thousands(n: Column) -> Column:

@@ -95,9 +95,18 @@ def kv_parse(
 
 
 def to_java_regex(pattern: str) -> str:
-    """Rewrite Python-only syntax to Java: named groups ``(?P<n>`` and ``(?P=n)``."""
-    p = re.sub(r"\(\?P<", "(?<", pattern)
-    return re.sub(r"\(\?P=(\w+)\)", r"\\k<\1>", p)
+    """Rewrite Python-only syntax to Java.
+
+    Named groups ``(?P<n>...)`` -> ``(?<n>...)``, backreferences ``(?P=n)`` ->
+    ``\\k<n>``, Python's end-of-string ``\\Z`` -> Java's ``\\z``, and the
+    open lower bound ``{,n}`` -> ``{0,n}``. Escaped backslashes are respected.
+    """
+    unescaped = r"(?<!\\)((?:\\\\)*)"  # an even number of backslashes before the construct
+    p = re.sub(unescaped + r"\(\?P<", r"\1(?<", pattern)
+    p = re.sub(unescaped + r"\(\?P=(\w+)\)", r"\1\\k<\2>", p)
+    p = re.sub(unescaped + r"\\Z", r"\1\\z", p)
+    p = re.sub(unescaped + r"\{,(\d+)\}", r"\1{0,\2}", p)
+    return p
 
 
 def python_semantics(java_pattern: str) -> str:

@@ -39,7 +39,7 @@ def test_decode_and_formats(spark):
         decode_replace(F.col("b")).alias("d"), iso_local(F.col("ts")).alias("iso"), thousands(F.col("n")).alias("t"),
         artifact_name(F.lit("event"), F.col("ts")).alias("a"),
     ).first()
-    assert r["d"] == "ok�" and r["iso"] == "2026-02-27T14:40:29.000005Z"
+    assert r["d"] == "ok�" and r["iso"] == "2026-02-27T14:40:29.000005+00:00"
     assert r["t"] == "1,234,567" and r["a"] == "schema_event_20260227_144029.xml"
 
 

@@ -90,10 +90,13 @@ REGEX_CASES = [
     (r"(\d+)\s(\w+)", ["n", "w"]),
     (r"^(.+)$", ["line"]),
     (r"(?i)(ÉTÉ)", ["s"]),
+    (r"(?P<w>\w+)\Z", ["w"]),
+    (r"(?P<a>[a-z])(?P=a)", ["a"]),
+    (r"(b{,2})a", ["bs"]),
 ]
 REGEX_LINES = [
     "[t] body", "user=bob id=7", "user=al", "y", "x", "k=", "12-34", "a", "ab", "zzz", "[] ", "q=1 r=2",
-    "x ٣٤\u3000naïve", "a\rb", "tail\n", "été",
+    "x ٣٤\u3000naïve", "a\rb", "tail\n", "été", "aab", "bba", "word\n",
 ]
 
 
