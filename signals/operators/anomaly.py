@@ -109,7 +109,9 @@ def isolation_forest_fit(
     ``t mod buckets`` (so every tree sees about ``sample`` rows, and small
     inputs are shared by several trees). Each tree is grown in one
     ``applyInPandas`` group of ~``sample`` rows, with its own random stream.
-    The result has at most trees x (2 x sample) rows.
+    The result has at most trees x (2 x sample) rows. ``features`` is read
+    twice here (count, membership) and once more by scoring: pass a
+    materialised table (``signals.session.materialize``) when it is costly.
     """
     feature_cols, id_cols = list(feature_cols), list(id_cols)
     n = features.count()
@@ -208,9 +210,12 @@ def reconstruction_score(
     from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
+    from signals.session import materialize
+
     cols = list(feature_cols)
     va = VectorAssembler(inputCols=cols, outputCol="__raw", handleInvalid="keep")
-    vec = va.transform(features.na.fill(0.0, subset=cols))
+    # three passes follow (scaler fit, PCA fit, transform): compute the input once
+    vec = materialize(va.transform(features.na.fill(0.0, subset=cols)))
     scaler = StandardScaler(inputCol="__raw", outputCol="__z", withMean=True, withStd=True).fit(vec)
     z = scaler.transform(vec)
     pca = PCA(k=min(k, len(cols)), inputCol="__z", outputCol="__p").fit(z)

@@ -260,7 +260,9 @@ MODEL_FEATURES = ("n_events", *[f"n_{t}" for t in TYPES], "sum_value", "n_hours"
 @register("f5_isolation_forest")
 def f5_isolation_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """IsolationForest_Anomaly over the user-day behaviour features."""
-    feats = features(spark, sf_dir)
+    from signals.session import materialize
+
+    feats = materialize(features(spark, sf_dir))  # read by count, fit and score: parse the logs once
     model = isolation_forest_fit(feats, MODEL_FEATURES, ["tenant_id", "user", "window_start"], trees=100, sample=256, seed=7)
     scored = isolation_forest_score(feats, model, MODEL_FEATURES)
     return scored.select("tenant_id", "user", "window_start", F.round("anomaly_score", 6).alias("anomaly_score"))

@@ -53,3 +53,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path below the shared folder."""
     root = shared_dir(spark)
     return f"{root}/signals-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Compute ``df`` once and cut its lineage: a reliable checkpoint in the shared folder.
+
+    For inputs that an operator reads several times (model fitting and
+    scoring): later passes read the checkpoint files instead of recomputing
+    the upstream plan, and a lost executor does not send them back to it.
+    """
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
