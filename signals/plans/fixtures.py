@@ -26,8 +26,14 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     round-robin into the single scan task. Inputs with several splits are
     returned unchanged (no shuffle, and their filters reach the scan).
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if SPREAD_SMALL_SCANS and target > 1 and df.rdd.getNumPartitions() == 1:
+    if not SPREAD_SMALL_SCANS:
+        return df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        single = df.rdd.getNumPartitions() == 1
+    except Exception:  # e.g. a Spark Connect session: no RDD view, leave the scan as it is
+        return df
+    if target > 1 and single:
         return df.repartition(target).cache()
     return df
 
