@@ -273,3 +273,42 @@ def f6_reconstruction_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AutoEncoder_Behavior: rank-3 PCA reconstruction error of the standardised features."""
     scored = reconstruction_score(features(spark, sf_dir), MODEL_FEATURES, k=3)
     return scored.select("tenant_id", "user", "window_start", F.round("recon_error", 6).alias("recon_error"))
+
+
+# ------------------------------------------------------------------ F2 variants: sliding sum, distinct count
+
+
+def user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = typed_events(spark, sf_dir)
+    return t.select("tenant_id", "user", "event_time", "value", F.col("log_type").alias("action"))
+
+
+@register(
+    "f2_threshold_sliding_sum",
+    "WITH b AS (SELECT *, date_trunc('day', ts) + INTERVAL 12 HOUR * CAST(hour(ts) >= 12 AS INTEGER) AS b12 FROM events), "
+    "w AS (SELECT *, b12 AS ws FROM b UNION ALL SELECT *, b12 - INTERVAL 12 HOUR FROM b) "
+    f"SELECT {TENANT_SQL} AS tenant_id, 'user' || CAST(user_id AS VARCHAR) AS \"user\", ws AS window_start, "
+    "ws + INTERVAL 1 DAY AS window_end, round(SUM(CAST(CAST(value AS DECIMAL(10,2)) AS DOUBLE)), 2) AS total_value "
+    "FROM w GROUP BY ALL HAVING SUM(CAST(CAST(value AS DECIMAL(10,2)) AS DOUBLE)) >= 500",
+)
+def f2_threshold_sliding_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sum of event values per user over 1-day windows sliding every 12 hours, at or above 500."""
+    d = detect_threshold(
+        user_events(spark, sf_dir), ["tenant_id", "user"], "event_time", "1 day", 500,
+        agg="sum", value_col="value", slide="12 hours", out="total_value",
+    )
+    return d.withColumn("total_value", F.round("total_value", 2))
+
+
+@register(
+    "f2_threshold_distinct",
+    f"SELECT {TENANT_SQL} AS tenant_id, 'user' || CAST(user_id AS VARCHAR) AS \"user\", date_trunc('day', ts) AS window_start, "
+    "date_trunc('day', ts) + INTERVAL 1 DAY AS window_end, COUNT(DISTINCT event_type) AS n_actions FROM events "
+    "GROUP BY ALL HAVING COUNT(DISTINCT event_type) >= 3",
+)
+def f2_threshold_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users doing at least 3 different actions in a day (distinct-count threshold)."""
+    return detect_threshold(
+        user_events(spark, sf_dir), ["tenant_id", "user"], "event_time", "1 day", 3,
+        agg="count_distinct", value_col="action", out="n_actions",
+    )

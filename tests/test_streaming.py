@@ -171,3 +171,30 @@ def test_tail_source_caps_bytes_per_trigger(spark, tmp_path):
         q.stop()
     assert len(got) == 10 and got[-1] == ("x" * 40, 68)
     assert len(sizes) >= 3 and max(sizes) <= 4  # at most 12 bytes of 3-byte lines per batch, except the long line
+
+
+def test_syn_flood_stream_uses_approx_distinct(spark, event_stream):
+    from signals.operators.detect import detect_syn_flood
+    from signals.operators.parse import kv_parse
+
+    def deny(events):
+        rl = logs_from_events(events)
+        line = F.concat(
+            F.col("raw_data"), F.lit(" dstip=10.9.1."), (F.lit(1) + F.col("user_id") % 3).cast("string"),
+            F.lit(" tcpflag="), F.when(F.col("event_type") == "error", F.lit("SYN")).otherwise(F.lit("ACK")),
+            F.lit(" packets="), (F.lit(1) + F.col("event_id") % 50).cast("string"),
+        )
+        m = kv_parse(F.regexp_extract(line, r"\] (user=.*)$", 1))
+        return rl.select(
+            F.col("ts").alias("event_time"), m.getItem("dstip").alias("dstip"), m.getItem("srcip").alias("srcip"),
+            m.getItem("tcpflag").alias("tcpflag"), m.getItem("packets").try_cast("bigint").alias("packets"),
+        )
+
+    batch = detect_syn_flood(deny(spark.read.parquet(f"{SF0001}/events.parquet")), "event_time", 1, window="30 days")
+    stream = detect_syn_flood(deny(_stream(spark, event_stream)), "event_time", 1, window="30 days", watermark="60 days")
+    assert "approx_count_distinct" in stream._jdf.queryExecution().analyzed().toString()
+    got = {(r["dstip"], r["window_start"]): (r["syn_packets"], r["n_sources"]) for r in _run(stream, "f3_stream", "complete").collect()}
+    want = {(r["dstip"], r["window_start"]): (r["syn_packets"], r["n_sources"]) for r in batch.collect()}
+    assert set(got) == set(want)
+    for k, (p, n) in want.items():
+        assert got[k][0] == p and abs(got[k][1] - n) <= max(1, 0.05 * n)
