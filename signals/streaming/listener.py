@@ -67,7 +67,11 @@ class SourceStatusListener(StreamingQueryListener):
             spark.createDataFrame(rows, REPORT_SCHEMA).write.mode("append").parquet(path)
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped as later than the watermark in the last trigger."""
-    p = query.lastProgress or {}
-    return sum(int(op.get("numRowsDroppedByWatermark", 0)) for op in p.get("stateOperators", []))
+def late_rows(query: StreamingQuery, recent: bool = False) -> int:
+    """Rows dropped as later than the watermark: in the last trigger, or over the recent ones.
+
+    Spark filters late rows in its stateful operators with the watermark of
+    the previous trigger (so a jump in event time takes effect one trigger later).
+    """
+    progress = list(query.recentProgress) if recent else [query.lastProgress or {}]
+    return sum(int(op.get("numRowsDroppedByWatermark", 0)) for p in progress for op in (p or {}).get("stateOperators", []))
