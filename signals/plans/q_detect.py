@@ -43,8 +43,8 @@ from signals.operators.anomaly import explain  # noqa: E402
 from signals.operators.risk import risk_scores, top_risks  # noqa: E402
 from signals.operators.response import assign_responses, policy_table  # noqa: E402
 from signals.operators.grep import grep, route  # noqa: E402
-from signals.operators.parse import kv_parse, normalize, parse_header  # noqa: E402
-from signals.plans.fixtures import DENY_EXTRA_SQL, deny_logs, raw_logs, table  # noqa: E402
+from signals.operators.parse import normalize, parse_header  # noqa: E402
+from signals.plans.fixtures import deny_logs, raw_logs, table  # noqa: E402
 
 RULES = (
     Rule("BruteForce_Login", "log_type = 'error'", "Major"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from signals.functions.text import JS_WHITESPACE
 from signals.operators.parse import apply_schema, kv_parse, normalize, parse_header, regex_parse
-from signals.plans.fixtures import TENANT_SQL, raw_logs, table, with_views, RAW_LOGS_SQL
+from signals.plans.fixtures import raw_logs
 from signals.plans.registry import register
 
 BODY_KEYS = ("user", "action", "srcip", "bytes", "priority", "value")

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from signals.functions.text import safe_module_name
 
-# ISO-8601 with microseconds and offset, as the reference writes times.
-ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+# ISO-8601 with microseconds and a numeric offset, as Python's isoformat() writes times.
+ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 METRIC_SCHEMA = "trained_pct double, data_points long, last_trained_at timestamp, last_error string, _corrupt string"
 
 
@@ -27,7 +27,8 @@ def read_training_metrics(spark: SparkSession, root: str, modules: DataFrame) ->
     """Metrics for every (tenant_id, module_id) in ``modules``, with defaults.
 
     Files are JSON (one object, possibly pretty-printed) below
-    ``{root}/tenant_id=<t>/module=<safe id>/``. A corrupt file gives
+    ``{root}/tenant_id=<t>/module=<safe id>/``; times are ISO-8601 (any
+    fraction, ``Z`` or a numeric offset). A corrupt file gives
     ``last_error = 'metric read error: malformed JSON'``.
     """
     raw = (
@@ -35,7 +36,6 @@ def read_training_metrics(spark: SparkSession, root: str, modules: DataFrame) ->
         .option("multiLine", "true")
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_corrupt")
-        .option("timestampFormat", ISO_MICROS)
         .json(root)
     )
     got = raw.select(

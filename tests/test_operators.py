@@ -197,10 +197,11 @@ def test_metrics_missing_and_corrupt(spark, tmp_path):
     bad = root / "tenant_id=acme" / "module=team_parser"
     good.mkdir(parents=True)
     bad.mkdir(parents=True)
-    (good / "m.json").write_text('{\n  "trained_pct": 87.5,\n  "data_points": 1200,\n  "last_trained_at": "2026-02-27T11:30:00.000000+00:00",\n  "last_error": null\n}\n')
+    (good / "m.json").write_text('{\n  "trained_pct": 87.5,\n  "data_points": 1200,\n  "last_trained_at": "2026-02-27T11:30:00.123456+09:00",\n  "last_error": null\n}\n')
     (bad / "m.json").write_text("{not json")
     mods = spark.createDataFrame([("acme", "ml_detect"), ("acme", "team/parser"), ("acme", "viewer")], "tenant_id string, module_id string")
     got = {r["module_id"]: r for r in read_training_metrics(spark, str(root), mods).collect()}
     assert got["ml_detect"]["trained_pct"] == 87.5 and got["ml_detect"]["data_points"] == 1200
+    assert str(got["ml_detect"]["last_trained_at"]) == "2026-02-27 02:30:00.123456"  # offset applied, UTC session
     assert got["team/parser"]["last_error"].startswith("metric read error") and got["team/parser"]["data_points"] == 0
     assert got["viewer"]["trained_pct"] == 0.0 and got["viewer"]["last_error"] is None and got["viewer"]["last_trained_at"] is None
