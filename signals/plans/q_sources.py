@@ -45,7 +45,7 @@ def a1_read_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "a3_byte_offset",
     with_views(
-        "SELECT raw_data, row_number() OVER w AS line_no, SUM(strlen(raw_data) + 1) OVER w AS \"offset\" FROM raw_logs "
+        "SELECT raw_data, row_number() OVER w AS line_no, CAST(SUM(strlen(raw_data) + 1) OVER w AS BIGINT) AS \"offset\" FROM raw_logs "
         "WINDOW w AS (PARTITION BY event_id // 1000 ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)",
         RAW_LOGS_SQL,
     ),
@@ -143,8 +143,8 @@ def a10_offset_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "a2_tail_read",
     with_views(
-        "SELECT raw_data, SUM(strlen(raw_data) + 1) OVER (PARTITION BY event_id // 1000 ORDER BY event_id "
-        "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS \"offset\" FROM raw_logs",
+        "SELECT raw_data, CAST(SUM(strlen(raw_data) + 1) OVER (PARTITION BY event_id // 1000 ORDER BY event_id "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS \"offset\" FROM raw_logs",
         RAW_LOGS_SQL,
     ),
 )

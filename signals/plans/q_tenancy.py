@@ -85,8 +85,8 @@ def e4_valid_tenant(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "e5_eps_violations",
-    f"SELECT tenant_id, date_trunc('hour', ts) AS window_start, COUNT(*) AS n_events, round(max_eps * 3600, 4) AS allowed, "
-    "round(COUNT(*) - max_eps * 3600, 4) AS overage FROM (SELECT *, "
+    f"SELECT tenant_id, date_trunc('hour', ts) AS window_start, COUNT(*) AS n_events, "
+    "CAST(round(max_eps * 3600, 4) AS DOUBLE) AS allowed, CAST(round(COUNT(*) - max_eps * 3600, 4) AS DOUBLE) AS overage FROM (SELECT *, "
     f"{TENANT_SQL} AS tenant_id FROM events) JOIN (VALUES ('acme', 0.001), ('bravo', 0.0005)) l(tid, max_eps) ON tid = tenant_id "
     "GROUP BY tenant_id, window_start, max_eps HAVING COUNT(*) > max_eps * 3600",
 )

@@ -41,3 +41,17 @@ def test_query_matches_oracle_sf001(spark, name):
     got = QUERIES[name](spark, SF001).toPandas()
     want = con.execute(ORACLES[name]).df()
     assert rows_of(got) == rows_of(want)
+
+
+def test_result_types_match_oracle_types(spark):
+    from tools.type_check import SPARK_TO_DUCK
+
+    con = duck(SF0001)
+    bad = {}
+    for name in sorted(ORACLES):
+        st = {f.name: f.dataType.simpleString() for f in QUERIES[name](spark, SF0001).schema.fields}
+        dt = {r[0]: r[1] for r in con.execute(f"DESCRIBE ({ORACLES[name]})").fetchall()}
+        diffs = [c for c in set(st) | set(dt) if SPARK_TO_DUCK.get(st.get(c), st.get(c)) != dt.get(c)]
+        if diffs:
+            bad[name] = diffs
+    assert not bad, bad
