@@ -60,3 +60,24 @@ def test_file_offsets_do_not_shuffle_lines(plan):
 def test_inference_aggregates_before_shuffle(plan):
     p = plan("d1_infer_schema")
     assert "partial_count" in p and "Generate posexplode" in p
+
+
+def test_tenant_filter_after_normalize_prunes_partitions(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from signals.operators.parse import normalize, parse_header
+    from signals.session import scratch_path
+    from signals.sources.zones import read_zone, write_zone
+
+    root = scratch_path(spark, "prune")
+    rows = [("acme", dt.datetime(2024, 1, 1), "<14>1 2024-01-01T00:00:00 [deny] [1.2.3.4] tcpflag=SYN"),
+            ("bravo", dt.datetime(2024, 1, 2), "<14>1 2024-01-02T00:00:00 [deny] [1.2.3.4] tcpflag=ACK")]
+    write_zone(spark.createDataFrame(rows, "tenant_id string, ts timestamp, raw_data string"), root, "data/raw", date_col="ts")
+    parsed = normalize(parse_header(read_zone(spark, root, "data/raw")), {"type": "kv"}, input_col="body")
+    q = parsed.filter((F.col("tenant_id") == "acme") & (F.col("parsed")["tcpflag"] == "SYN"))
+    p = q._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*tenant_id", p)  # the tenant filter reached the scan
+    assert p.count("array_sort(") == 1  # the map is computed once, the parsed-value filter stays above it
+    assert q.count() == 1
