@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from signals.functions.text import decode_replace
 
-_LOCAL_SCHEMA = "raw_data string, file_path string, __blk long, __idx long, __cum long"
+_LOCAL_SCHEMA = "raw_data string, file_path string, __blk long, __size long, __idx long, __cum long"
 
 
 def _number_splits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -35,21 +35,52 @@ def _number_splits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for i in range(n):
             k = (files[i], blks[i])
             c, b = state.get(k, (0, 0))
-            b += lens[i] + 1
+            b += lens[i]
             idx[i], cum[i] = c, b
             state[k] = (c + 1, b)
         yield pd.DataFrame(
-            {"raw_data": pdf["raw_data"], "file_path": pdf["file_path"], "__blk": pdf["__blk"], "__idx": idx, "__cum": cum}
+            {
+                "raw_data": pdf["raw_data"], "file_path": pdf["file_path"], "__blk": pdf["__blk"],
+                "__size": pdf["__size"], "__idx": idx, "__cum": cum,
+            }
         )
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    t = spark.read.text(path)
-    return t.select(
-        decode_replace(F.col("value")).alias("raw_data"),
+    """Lines with their byte length including the terminator (universal newlines).
+
+    The text source splits at '\\n' only, so a '\\r' stays in the value: a
+    trailing one makes the terminator '\\r\\n' (2 bytes) and an inner one ends
+    a line of its own (1 byte). Lines without '\\r' are not split again. The
+    last piece of a line takes the remainder of the line's raw byte length, so
+    line ends are exact even when a bad byte was re-encoded by the split.
+    """
+    t = spark.read.option("lineSep", "\n").text(path)
+    v = F.col("value")
+    has_cr = F.instr(v, "\r") > 0
+    crlf = has_cr & v.endswith("\r")  # the '\\r' of a '\\r\\n' ends the last piece
+    pieces = F.when(has_cr, F.split(v, "\r", -1)).otherwise(F.array(v))
+    pieces = F.when(crlf, F.slice(pieces, 1, F.size(pieces) - 1)).otherwise(pieces)
+    # bytes of all pieces but the last, plus one '\\r' after each of them
+    head = F.aggregate(
+        F.slice(pieces, 1, F.greatest(F.size(pieces) - 1, F.lit(0))), F.lit(0), lambda acc, p: acc + F.octet_length(p) + 1
+    )
+    x = t.select(
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("__blk"),
-        F.octet_length(F.col("value")).cast("long").alias("__len"),
+        F.col("_metadata.file_size").alias("__size"),
+        F.size(pieces).alias("__n"),
+        # the raw line's bytes plus its '\\n' (exact even where the split re-encoded bad bytes)
+        (F.octet_length(v) + 1 - head).alias("__last_len"),
+        F.posexplode(pieces).alias("__pi", "__piece"),
+    )
+    length = F.when(F.col("__pi") == F.col("__n") - 1, F.col("__last_len")).otherwise(F.octet_length(F.col("__piece")) + 1)
+    return x.select(
+        decode_replace(F.col("__piece")).alias("raw_data"),
+        "file_path",
+        "__blk",
+        "__size",
+        length.cast("long").alias("__len"),
     )
 
 
@@ -57,15 +88,15 @@ def read_logs(spark: SparkSession, path: str, with_offsets: bool = True) -> Data
     """One row per line: ``raw_data``, ``file_path`` and, with offsets, ``line_no`` and ``offset`` (A1, A3).
 
     ``line_no`` is 1-based within the file; ``offset`` is the byte position
-    after the line (including its newline), as a tail reader reports it.
-    Offsets assume ``\\n`` line ends (a ``\\r\\n`` file counts one byte short per line).
+    after the line and its terminator (``\\n``, ``\\r\\n`` or a lone ``\\r``), as a
+    tail reader's ``tell()`` reports it.
     """
     if not with_offsets:
         return _lines(spark, path).select("raw_data", "file_path")
     lines = _lines(spark, path)
     local = lines.mapInPandas(_number_splits, _LOCAL_SCHEMA)
     totals = _lines(spark, path).groupBy("file_path", "__blk").agg(
-        F.count(F.lit(1)).alias("__n"), F.sum(F.col("__len") + 1).alias("__bytes")
+        F.count(F.lit(1)).alias("__n"), F.sum(F.col("__len")).alias("__bytes")
     )
     before = Window.partitionBy("file_path").orderBy("__blk").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select(
@@ -78,7 +109,8 @@ def read_logs(spark: SparkSession, path: str, with_offsets: bool = True) -> Data
         "raw_data",
         "file_path",
         (F.col("__lines_before") + F.col("__idx") + 1).cast("long").alias("line_no"),
-        (F.col("__bytes_before") + F.col("__cum")).cast("long").alias("offset"),
+        # the last line of a file without a final newline ends at the file size
+        F.least(F.col("__bytes_before") + F.col("__cum"), F.col("__size")).cast("long").alias("offset"),
     )
 
 

@@ -173,6 +173,40 @@ def test_read_logs_offsets_across_splits(spark, tmp_path):
     assert b == [(1, "ok", 3), (2, "��bad", 9), (3, "last", 14)]
 
 
+def _universal_lines(data: bytes):
+    """Python model: lines split at \\r\\n, \\r or \\n, with the byte position after each terminator."""
+    out, start, i, n = [], 0, 0, len(data)
+    while i < n:
+        ch = data[i : i + 1]
+        if ch in (b"\r", b"\n"):
+            end = i + 2 if data[i : i + 2] == b"\r\n" else i + 1
+            out.append((data[start:i].decode("utf-8", "replace"), end))
+            start = i = end
+        else:
+            i += 1
+    if start < n:
+        out.append((data[start:].decode("utf-8", "replace"), n))
+    return out
+
+
+def test_read_logs_universal_newlines(spark, tmp_path):
+    d = tmp_path / "mixed"
+    d.mkdir()
+    files = {
+        "crlf.log": b"a=1\r\nb=22\r\n\r\nc=333\r\n",
+        "cr.log": b"x\ry\r\nz\n\rw",
+        "nofinal.log": b"one\ntwo\nthree",
+        "bad.log": b"\xff\r\nok\n",
+    }
+    for name, data in files.items():
+        (d / name).write_bytes(data)
+    got = read_logs(spark, str(d)).collect()
+    for name, data in files.items():
+        mine = sorted((r["line_no"], r["raw_data"], r["offset"]) for r in got if r["file_path"].endswith(name))
+        want = [(i + 1, line, off) for i, (line, off) in enumerate(_universal_lines(data))]
+        assert mine == want, name
+
+
 def test_zone_partition_pruning(spark):
     root = scratch_path(spark, "zonetest")
     df = spark.createDataFrame([("acme", dt.datetime(2024, 1, 1), "x"), ("bravo", dt.datetime(2024, 1, 2), "y")], "tenant_id string, ts timestamp, raw_data string")
