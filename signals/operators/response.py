@@ -52,3 +52,33 @@ def assign_responses(
     queue = queue.withColumn("window_start", start).drop("w")
     unmatched = detections.join(pol, F.col(rule_col) == F.col("__rule"), "left_anti")
     return queue, unmatched
+
+
+def first_responses(
+    detections: DataFrame,
+    policy: DataFrame,
+    entity: Sequence[str] = ("tenant_id", "entity"),
+    ts_col: str = "event_time",
+    window: str = "1 day",
+    rule_col: str = "rule",
+    watermark: str = "1 hour",
+) -> DataFrame:
+    """Streaming response queue that acts on the first detection (F10, low latency).
+
+    Each (entity, action, window) is emitted once, as soon as its first
+    detection arrives (``dropDuplicatesWithinWatermark``), instead of when the
+    window closes. Duplicate state is dropped once the watermark passes.
+    Output: entity columns, ``action``, ``window_start``, the detection's id
+    and time. Batch input gives the same keys as ``assign_responses``.
+    """
+    ent = list(entity)
+    pol = F.broadcast(policy.select(F.col("rule").alias("__rule"), "action"))
+    ntz = detections.schema[ts_col].dataType.typeName() == "timestamp_ntz"
+    matched = detections.join(pol, F.col(rule_col) == F.col("__rule"), "inner").drop("__rule")
+    matched, ts = event_time_for(matched, ts_col, watermark)
+    start = F.window(ts, window).start
+    matched = matched.withColumn("window_start", start.cast("timestamp_ntz") if ntz else start)
+    keys = [*ent, "action", "window_start"]
+    if matched.isStreaming:
+        return matched.dropDuplicatesWithinWatermark(keys)
+    return matched.dropDuplicates(keys)

@@ -225,3 +225,14 @@ def test_late_rows_are_dropped_and_counted(spark):
     finally:
         q.stop()
     assert len(progress) == 3 and dropped > 0 and early == 0 and helper == dropped
+
+
+def test_first_responses_stream(spark, event_stream):
+    from signals.operators.response import first_responses
+
+    pol = policy_table(spark, {"BruteForce_Login": ["Isolate_Host", "Slack_Alert_Bot"]})
+    bq, _ = assign_responses(_detections(spark.read.parquet(f"{SF0001}/events.parquet")), pol)
+    sq = first_responses(_detections(_stream(spark, event_stream)), pol, watermark="30 days")
+    got = _run(sq, "f10_first", "append")
+    cols = ["tenant_id", "entity", "action", "window_start"]
+    assert _rows(got, cols) == _rows(bq, cols)
