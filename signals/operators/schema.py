@@ -143,7 +143,7 @@ def training_history(history: DataFrame, tenant_id: str) -> DataFrame:
     ``accuracy_display`` is the percentage with two decimals and '%';
     ``processed_display`` has thousands separators.
     """
-    w = Window.orderBy(F.col("created_at").desc(), F.col("log_type"))
+    w = Window.partitionBy("tenant_id").orderBy(F.col("created_at").desc(), F.col("log_type"))
     h = history.filter(F.col("tenant_id") == F.lit(tenant_id))
     return h.withColumns(
         {
