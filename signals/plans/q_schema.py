@@ -14,6 +14,7 @@ from signals.operators.schema import (
     list_artifacts,
     revise_schema,
     schema_diff,
+    schema_fit,
     schema_quality,
     training_history,
     append_history,
@@ -222,3 +223,36 @@ def a7_read_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "artifacts")
     write_schema_artifacts(catalog_from_inference(inferred(spark, sf_dir)), root, F.to_timestamp(F.lit(RUN_1)))
     return read_schema_artifacts(spark, root).drop("file_name")
+
+
+# A hand-edited acme/purchase schema with two wrong types (user as an address, value as an integer).
+MISTYPED = [
+    ("action", "string", "Manual"), ("bytes", "integer", "Manual"), ("event_time", "datetime", "Manual"),
+    ("priority", "integer", "Manual"), ("sender_ip", "ip_address", "Manual"), ("srcip", "ip_address", "Manual"),
+    ("user", "ip_address", "Manual"), ("value", "integer", "Manual"),
+]
+MISTYPED_SQL = (
+    "cur2 AS (SELECT * FROM cur WHERE NOT (tenant_id = 'acme' AND log_type = 'purchase') UNION ALL "
+    "SELECT 'acme', 'purchase', 2, CAST(p AS INTEGER), n, t, 'Manual' FROM (VALUES "
+    + ", ".join(f"({i}, '{n}', '{t}')" for i, (n, t, _) in enumerate(MISTYPED))
+    + ") v(p, n, t))"
+)
+
+
+@register(
+    "d2_schema_fit",
+    f"{D1_CTES}, {CAT_CTE}, {REV_CTE}, {MISTYPED_SQL}, "
+    "fit AS (SELECT kv.tenant_id, kv.log_type, cur2.type, kv.v FROM kv JOIN cur2 ON kv.tenant_id = cur2.tenant_id "
+    "AND kv.log_type = cur2.log_type AND kv.name = cur2.name WHERE kv.v <> '') "
+    "SELECT nr.tenant_id, nr.log_type, CAST(CASE WHEN COUNT(fit.v) > 0 THEN round(100.0 * COUNT(fit.v) FILTER (WHERE "
+    f"(fit.type = 'datetime' AND regexp_full_match(fit.v, '{_re2(DATETIME_PATTERN)}') AND try_cast(substr(fit.v, 1, 10) AS DATE) IS NOT NULL) "
+    f"OR (fit.type = 'ip_address' AND regexp_full_match(fit.v, '{_re2(IPV4_PATTERN)}')) "
+    f"OR (fit.type = 'integer' AND regexp_full_match(fit.v, '{_re2(INTEGER_PATTERN)}')) "
+    "OR fit.type NOT IN ('datetime', 'ip_address', 'integer')) / COUNT(fit.v), 2) ELSE 100.0 END AS DOUBLE) AS accuracy, "
+    "nr.n_rows AS processed_count FROM nr LEFT JOIN fit ON fit.tenant_id = nr.tenant_id AND fit.log_type = nr.log_type "
+    "GROUP BY nr.tenant_id, nr.log_type, nr.n_rows",
+)
+def d2_schema_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fit of hand-revised schemas to the data: the D6 revisions plus a mistyped acme/purchase schema."""
+    cat = revise_schema(revised_catalog(spark, sf_dir), "acme", "purchase", replace=MISTYPED)
+    return schema_fit(fields_map(parsed_logs(spark, sf_dir)), current_schema(cat), "fields")
