@@ -236,3 +236,28 @@ def test_first_responses_stream(spark, event_stream):
     got = _run(sq, "f10_first", "append")
     cols = ["tenant_id", "entity", "action", "window_start"]
     assert _rows(got, cols) == _rows(bq, cols)
+
+
+def test_ingest_stream_to_zone_and_quarantine(spark, tmp_path):
+    from signals.sources.files import write_lines
+    from signals.sources.zones import read_zone
+    from signals.streaming.ingest import ingest_stream
+
+    landing = scratch_path(spark, "landing")
+    rl = logs_from_events(spark.read.parquet(f"{SF0001}/events.parquet"))
+    write_lines(rl.coalesce(2), landing)
+    root = scratch_path(spark, "zones-stream")
+    ck = scratch_path(spark, "ckpt-ingest")
+    qs = ingest_stream(spark, landing, "acme", "file_event", {"type": "kv"}, root, ck, trigger_available_now=True)
+    for q in qs:
+        q.awaitTermination(120)
+    z = read_zone(spark, root, "data/processed", tenant_id="acme")
+    assert z.count() == rl.count() and z.filter("parse_status <> 'parsed'").count() == 0
+    assert z.select("dt").distinct().count() == rl.select(F.to_date("ts")).distinct().count()
+    # a broken rule sends every non-empty line to quarantine
+    qdir = scratch_path(spark, "quarantine")
+    qs = ingest_stream(spark, landing, "acme", "file_event", {"type": "nope"}, root, scratch_path(spark, "ckpt-ingest2"),
+                       quarantine_dir=qdir, trigger_available_now=True)
+    for q in qs:
+        q.awaitTermination(120)
+    assert spark.read.parquet(qdir).count() == rl.count()
