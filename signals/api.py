@@ -68,3 +68,4 @@ from signals.sources.tail_source import read_log_tail, register_tail_source, str
 from signals.sources.zones import read_zone, write_zone, zone_path  # noqa: F401  A6
 from signals.streaming.listener import SourceStatusListener, late_rows  # noqa: F401  E1 feed
 from signals.streaming.ring import stream_ring, stream_tail  # noqa: F401  B4 stream
+from signals.streaming.ingest import ingest_stream, parsed_stream  # noqa: F401  main path on a stream
