@@ -33,6 +33,7 @@ from signals.operators.parse import (  # noqa: F401  C1-C6
 from signals.operators.response import assign_responses, first_responses, policy_table  # noqa: F401  F10
 from signals.operators.risk import risk_scores, top_risks, weights_table  # noqa: F401  F8-F9
 from signals.operators.schema import (  # noqa: F401  D1-D7
+    train_schemas,
     append_history,
     catalog_from_inference,
     current_schema,

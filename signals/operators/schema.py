@@ -301,3 +301,41 @@ def schema_diff(before: DataFrame, after: DataFrame, group: Sequence[str] = GROU
         .otherwise(F.lit("same"))
     )
     return j.withColumn("verdict", verdict)
+
+
+def train_schemas(
+    parsed: DataFrame,
+    root: str,
+    history_path: str,
+    map_col: str = "parsed",
+    threshold: float = 0.9,
+    run_time: Column | None = None,
+    run_id: str | None = None,
+) -> DataFrame:
+    """Schema training for every (tenant, log type) in one run: infer -> artifacts -> history.
+
+    Inference reads the logs once (its small result is materialised in the
+    shared folder); artifacts go below ``{root}/artifacts/parsers`` and one
+    history row per (tenant, log type) is appended to ``history_path``.
+    Returns the history rows of this run. Read the artifacts back with
+    ``signals.sources.artifacts.read_schema_artifacts`` and apply one with
+    ``apply_schema(df, schema_fields(...))``.
+    """
+    from signals.session import materialize
+    from signals.sources.artifacts import write_schema_artifacts
+    from signals.sources.zones import zone_root
+
+    inferred = materialize(infer_schema(parsed, map_col, threshold=threshold))
+    rt = run_time if run_time is not None else _run_time()
+    write_schema_artifacts(catalog_from_inference(inferred), zone_root(root, "artifacts/parsers"), rt)
+    hist = materialize(history_rows(schema_quality(inferred), zone_root(root, "artifacts/parsers"), rt, run_id))
+    append_history(hist, history_path)
+    return hist
+
+
+def _run_time() -> Column:
+    """The run time, fixed once on the driver so every row and file of a run agrees
+    (``current_timestamp()`` would be re-read by each of the run's writes)."""
+    import datetime as dt
+
+    return F.lit(dt.datetime.now().replace(microsecond=0))

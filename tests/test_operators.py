@@ -239,3 +239,23 @@ def test_metrics_missing_and_corrupt(spark, tmp_path):
     assert str(got["ml_detect"]["last_trained_at"]) == "2026-02-27 02:30:00.123456"  # offset applied, UTC session
     assert got["team/parser"]["last_error"].startswith("metric read error") and got["team/parser"]["data_points"] == 0
     assert got["viewer"]["trained_pct"] == 0.0 and got["viewer"]["last_error"] is None and got["viewer"]["last_trained_at"] is None
+
+
+def test_train_schemas_round_trip(spark):
+    from signals.operators.parse import apply_schema
+    from signals.operators.schema import train_schemas
+    from signals.plans.q_parse import fields_map, parsed_logs
+    from signals.sources.zones import zone_root
+
+    parsed = fields_map(parsed_logs(spark, "/root/testdata/sf0.001"))
+    root, hist_path = scratch_path(spark, "train"), scratch_path(spark, "train-history")
+    hist = train_schemas(parsed, root, hist_path, map_col="fields", run_time=F.to_timestamp(F.lit("2024-02-01 00:00:00")), run_id="r1")
+    assert hist.count() == 10 and spark.read.parquet(hist_path).count() == 10
+    arts = read_schema_artifacts(spark, zone_root(root, "artifacts/parsers"))
+    fields = schema_fields(arts, "acme", "error")
+    assert dict(fields) == {
+        "action": "string", "bytes": "integer", "event_time": "datetime", "priority": "integer",
+        "sender_ip": "ip_address", "srcip": "ip_address", "user": "string", "value": "string",
+    }
+    typed = apply_schema(parsed.filter("tenant_id = 'acme' AND log_type = 'error'"), fields, map_col="fields")
+    assert typed.filter(F.size("cast_errors") > 0).count() == 0
