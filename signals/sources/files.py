@@ -23,21 +23,29 @@ _LOCAL_SCHEMA = "raw_data string, file_path string, __blk long, __size long, __i
 
 
 def _number_splits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Line index and running byte count inside each (file, split), carried across batches."""
+    """Line index and running byte count inside each (file, split), carried across batches.
+
+    Vectorised per batch (pandas cumcount/cumsum per group); only the
+    per-group carry-over (one or two groups per batch) is Python.
+    """
+    import numpy as np
+
     state: dict[tuple[str, int], tuple[int, int]] = {}
     for pdf in batches:
         if pdf.empty:
             continue
-        n = len(pdf)
-        idx = [0] * n
-        cum = [0] * n
-        files, blks, lens = pdf["file_path"].tolist(), pdf["__blk"].tolist(), pdf["__len"].tolist()
-        for i in range(n):
-            k = (files[i], blks[i])
-            c, b = state.get(k, (0, 0))
-            b += lens[i]
-            idx[i], cum[i] = c, b
-            state[k] = (c + 1, b)
+        g = pdf.groupby(["file_path", "__blk"], sort=False)
+        group = g.ngroup().to_numpy()
+        idx = g.cumcount().to_numpy()
+        cum = g["__len"].cumsum().to_numpy()
+        keys = list(pdf[["file_path", "__blk"]].drop_duplicates().itertuples(index=False, name=None))
+        base_c = np.array([state.get(k, (0, 0))[0] for k in keys], dtype="int64")
+        base_b = np.array([state.get(k, (0, 0))[1] for k in keys], dtype="int64")
+        idx = idx + base_c[group]
+        cum = cum + base_b[group]
+        last = pd.Series(np.arange(len(pdf))).groupby(group).max().to_numpy()
+        for gi, k in enumerate(keys):
+            state[k] = (int(idx[last[gi]]) + 1, int(cum[last[gi]]))
         yield pd.DataFrame(
             {
                 "raw_data": pdf["raw_data"], "file_path": pdf["file_path"], "__blk": pdf["__blk"],

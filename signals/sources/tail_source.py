@@ -135,8 +135,20 @@ def _ranges(path: str, start: int, end: int, chunk: int) -> list[TailRange]:
     return [TailRange(path, a, b) for a, b in zip(cuts, cuts[1:]) if b > a]
 
 
-def _split_lines(buf: bytes, base: int) -> Iterator[tuple[str, int]]:
-    """(line, offset after it) for a buffer of whole lines starting at byte ``base``."""
+def _split_lines(buf: bytes, base: int) -> tuple[list[str], list[int]]:
+    """(lines, offset after each) for a buffer of whole lines starting at byte ``base``."""
+    from itertools import accumulate
+
+    if b"\r" not in buf:  # common case: C-level split, no per-byte scanning
+        parts = buf.split(b"\n")
+        if parts and parts[-1] == b"":
+            parts.pop()
+            ends = [len(p) + 1 for p in parts]
+        else:  # the range ends without a terminator (not produced by our ranges, kept for safety)
+            ends = [len(p) + 1 for p in parts[:-1]] + [len(parts[-1])]
+        return [p.decode("utf-8", errors="replace") for p in parts], list(accumulate(ends, initial=base))[1:]
+    lines: list[str] = []
+    offs: list[int] = []
     i, n = 0, len(buf)
     while i < n:
         j_n = buf.find(b"\n", i)
@@ -149,13 +161,24 @@ def _split_lines(buf: bytes, base: int) -> Iterator[tuple[str, int]]:
             stop, after = j_n, j_n + 1
         else:
             stop, after = n, n
-        yield buf[i:stop].decode("utf-8", errors="replace"), base + after
+        lines.append(buf[i:stop].decode("utf-8", errors="replace"))
+        offs.append(base + after)
         i = after
+    return lines, offs
 
 
-def _read_range(part: TailRange, step: int = 8 << 20) -> Iterator[tuple]:
-    """Read a range of whole lines in bounded chunks; a chunk is emitted up to its last
-    terminator (a trailing '\r' waits, it may be the first half of '\r\n')."""
+def _batch(lines: list[str], offs: list[int], path: str):
+    import pyarrow as pa
+
+    return pa.RecordBatch.from_arrays(
+        [pa.array(lines, pa.string()), pa.array(offs, pa.int64()), pa.array([path] * len(lines), pa.string())],
+        names=["raw_data", "offset", "file_path"],
+    )
+
+
+def _read_range(part: TailRange, step: int = 8 << 20) -> Iterator:
+    """Read a range of whole lines in bounded chunks, as Arrow record batches; a chunk is
+    emitted up to its last terminator (a trailing '\r' waits, it may be the first half of '\r\n')."""
     fs, p = _fs(part.path)
     with fs.open_input_file(p) as f:
         f.seek(part.start)
@@ -175,8 +198,9 @@ def _read_range(part: TailRange, step: int = 8 << 20) -> Iterator[tuple]:
                 whole, pending = data[: cut + 1], data[cut + 1 :]
             else:
                 whole, pending = data, b""
-            for line, off in _split_lines(whole, base):
-                yield (line, off, part.path)
+            lines, offs = _split_lines(whole, base)
+            if lines:
+                yield _batch(lines, offs, part.path)
             base += len(whole)
 
 
