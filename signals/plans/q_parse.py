@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signals.functions.text import JS_WHITESPACE
+from signals.functions.text import JS_WHITESPACE, PY_WHITESPACE
 from signals.operators.parse import apply_schema, kv_parse, normalize, parse_header, regex_parse
 from signals.plans.fixtures import raw_logs
 from signals.plans.registry import register
@@ -162,3 +162,32 @@ def c6_apply_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.col(f"record.{n}").alias(n) for n, _ in C6_FIELDS[1:]],
         F.array_join("cast_errors", ",").alias("cast_errors"),
     )
+
+
+def _sql_chars(chars: str) -> str:
+    return " || ".join(f"chr({ord(c)})" for c in chars)
+
+
+WS_SQL = _sql_chars(PY_WHITESPACE)
+
+
+@register(
+    "c1_kv_documents",
+    "WITH s AS (SELECT doc_id, string_split(text, ' ') AS parts FROM documents), "
+    "f AS (SELECT doc_id, unnest(parts) AS frag, generate_subscripts(parts, 1) AS pos FROM s), "
+    f"kv AS (SELECT doc_id, pos, trim(substr(frag, 1, strpos(frag, '=') - 1), {WS_SQL}) AS k, "
+    f"trim(substr(frag, strpos(frag, '=') + 1), {WS_SQL}) AS v FROM f WHERE strpos(frag, '=') > 0), "
+    "lastv AS (SELECT doc_id, k, arg_max(v, pos) AS v FROM kv GROUP BY doc_id, k) "
+    "SELECT d.doc_id, COUNT(lastv.k) AS n_keys, CAST(COALESCE(SUM(length(lastv.k) + length(lastv.v)), 0) AS BIGINT) AS kv_chars "
+    "FROM documents d LEFT JOIN lastv USING (doc_id) GROUP BY d.doc_id",
+)
+def c1_kv_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The default key-value rule over whole documents (up to 20,000 words each)."""
+    from signals.plans.fixtures import table
+
+    docs = table(spark, sf_dir, "documents")
+    m = kv_parse(F.col("text"))
+    chars = F.aggregate(F.map_entries(F.col("m")), F.lit(0).cast("bigint"), lambda acc, e: acc + F.length(e["key"]) + F.length(e["value"]))
+    return docs.select("doc_id", m.alias("m")).select(
+        "doc_id", F.size("m").cast("bigint").alias("n_keys"), chars.alias("kv_chars")
+    )
