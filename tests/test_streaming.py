@@ -261,3 +261,22 @@ def test_ingest_stream_to_zone_and_quarantine(spark, tmp_path):
     for q in qs:
         q.awaitTermination(120)
     assert spark.read.parquet(qdir).count() == rl.count()
+
+
+def test_rules_grep_route_on_streams(spark, event_stream):
+    from signals.operators.detect import Rule, detect_rules
+    from signals.operators.grep import grep, route
+
+    rules = [Rule("errors", "event_type = 'error'", "Major"), Rule("big", "value > 300", "Critical")]
+
+    def build(events):
+        rl = logs_from_events(events)
+        d = detect_rules(rl, rules).select("event_id", "rule")
+        g = grep(rl, [r"\[(error|view)\]", "user=user1"]).select("event_id", F.lit("grep").alias("rule"))
+        r = route(rl, {"err": r"\[error\]", "buy": "purchase"}).select("event_id", "route")
+        return d.unionByName(g), r
+
+    bd, br = build(spark.read.parquet(f"{SF0001}/events.parquet"))
+    sd, sr = build(_stream(spark, event_stream))
+    assert _rows(_run(sd, "rules_stream", "append"), ["event_id", "rule"]) == _rows(bd, ["event_id", "rule"])
+    assert _rows(_run(sr, "route_stream", "append"), ["event_id", "route"]) == _rows(br, ["event_id", "route"])
