@@ -312,3 +312,13 @@ def f2_threshold_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
         user_events(spark, sf_dir), ["tenant_id", "user"], "event_time", "1 day", 3,
         agg="count_distinct", value_col="action", out="n_actions",
     )
+
+
+@register(
+    "f11_grep_pages",
+    "SELECT page_id, url FROM pages WHERE contains(html, '<nav>') AND regexp_matches(html, 'lang=\"(fr|de)\"')",
+)
+def f11_grep_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages matching all of: a literal tag and a language regex."""
+    pages = table(spark, sf_dir, "pages")
+    return grep(pages, ["<nav>", 'lang="(fr|de)"'], col="html", mode="all").select("page_id", "url")

@@ -191,3 +191,31 @@ def c1_kv_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", m.alias("m")).select(
         "doc_id", F.size("m").cast("bigint").alias("n_keys"), chars.alias("kv_chars")
     )
+
+
+PAGE_RULE = r'(?s)<html lang="([a-z-]+)".*?<title>(.*?)</title>'
+URL_RULE = r"^(https?)://([^/]+)/([a-z]{2})/([0-9]+)(?:\?page=([0-9]+))?"
+
+
+@register(
+    "c3_regex_pages",
+    "SELECT page_id, regexp_extract(html, '(?s)<html lang=\"([a-z-]+)\".*?<title>(.*?)</title>', 1) AS lang, "
+    "regexp_extract(html, '(?s)<html lang=\"([a-z-]+)\".*?<title>(.*?)</title>', 2) AS title, "
+    "regexp_extract(url, '^(https?)://([^/]+)/([a-z]{2})/([0-9]+)(?:\\?page=([0-9]+))?', 1) AS scheme, "
+    "regexp_extract(url, '^(https?)://([^/]+)/([a-z]{2})/([0-9]+)(?:\\?page=([0-9]+))?', 2) AS host, "
+    "NULLIF(regexp_extract(url, '^(https?)://([^/]+)/([a-z]{2})/([0-9]+)(?:\\?page=([0-9]+))?', 5), '') AS page "
+    "FROM pages",
+)
+def c3_regex_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regex rules over raw web pages: language and title from the whole HTML, parts of the URL
+    (the optional page group is null when absent)."""
+    from signals.plans.fixtures import table
+
+    pages = table(spark, sf_dir, "pages")
+    h = regex_parse(F.col("html"), PAGE_RULE, ["lang", "title"])
+    u = regex_parse(F.col("url"), URL_RULE, ["scheme", "host", "lang_path", "doc", "page"])
+    p = pages.select("page_id", h.alias("h"), u.alias("u"))
+    return p.select(
+        "page_id", F.col("h")["lang"].alias("lang"), F.col("h")["title"].alias("title"),
+        F.col("u")["scheme"].alias("scheme"), F.col("u")["host"].alias("host"), F.col("u")["page"].alias("page"),
+    )
