@@ -64,3 +64,52 @@ def materialize(df):
     """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+# Keys that Spark lets a running session change (SQL runtime settings).
+_RUNTIME_KEYS = (
+    "spark.sql.adaptive.enabled",
+    "spark.sql.adaptive.coalescePartitions.enabled",
+    "spark.sql.adaptive.skewJoin.enabled",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+    "spark.sql.shuffle.partitions",
+    "spark.sql.files.maxPartitionBytes",
+    "spark.sql.autoBroadcastJoinThreshold",
+    "spark.sql.streaming.stateStore.providerClass",
+)
+
+
+def recommended_conf(input_bytes: int, total_cores: int, shuffle_partition_bytes: int = 200 << 20) -> dict[str, str]:
+    """Settings sized for a job that reads ``input_bytes`` on ``total_cores`` cores.
+
+    Shuffle partitions target ~200 MB each (never fewer than 3 per core, so
+    every core has work and a slow task is not the whole stage); adaptive
+    execution then coalesces small ones and splits skewed ones. Text and
+    parquet splits of 256 MB keep file scans at a few thousand tasks per TB.
+    """
+    parts = max(3 * total_cores, -(-int(input_bytes) // shuffle_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }
+
+
+def apply_recommended(spark: SparkSession, input_bytes: int, total_cores: int | None = None, force: bool = False) -> dict[str, str]:
+    """Set the recommended runtime settings that the deployment has not set (all of them with ``force``).
+
+    Returns what was set. Settings given explicitly at submit time win.
+    """
+    cores = total_cores or spark.sparkContext.defaultParallelism
+    explicit = dict(spark.sparkContext.getConf().getAll())
+    done = {}
+    for k, v in recommended_conf(input_bytes, cores).items():
+        if k in _RUNTIME_KEYS and (force or k not in explicit):
+            spark.conf.set(k, v)
+            done[k] = v
+    return done

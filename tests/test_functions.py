@@ -56,3 +56,12 @@ def test_json_or_error(spark):
     assert rows[0]["j"]["trained_pct"] == 12.5 and rows[0]["j"]["_error"] is None
     assert rows[1]["j"]["trained_pct"] is None and rows[1]["j"]["_error"].startswith("metric read error")
     assert rows[2]["j"]["_error"] is None
+
+
+def test_recommended_conf_sizes_partitions():
+    from signals.session import recommended_conf
+
+    small = recommended_conf(10 << 20, 8)
+    big = recommended_conf(100 << 40, 8000)  # 100 TB on 8,000 cores
+    assert small["spark.sql.shuffle.partitions"] == "24"
+    assert int(big["spark.sql.shuffle.partitions"]) == 524288 and big["spark.sql.adaptive.enabled"] == "true"
