@@ -25,6 +25,7 @@ from signals.operators.parse import (  # noqa: F401  C1-C6
     ParseRule,
     apply_schema,
     kv_parse,
+    kv_preview_json,
     normalize,
     parse_header,
     regex_parse,

@@ -45,6 +45,7 @@ def kv_parse(
     delimiter: str = " ",
     drop_empty_keys: bool = False,
     whitespace: str = PY_WHITESPACE,
+    first_seen_order: bool = False,
 ) -> Column:
     """Key-value parse of a string column into MAP<STRING,STRING> (C1; C2 with ``drop_empty_keys``).
 
@@ -55,7 +56,9 @@ def kv_parse(
     Duplicates are resolved without a session setting: entries are sorted by
     (key, position) and an entry is kept when the next one has another key,
     i.e. the last occurrence of each key survives. O(n log n) per line.
-    Keys in the resulting map are in key order.
+    Keys in the resulting map are in key order; with ``first_seen_order``
+    they are in order of first appearance, as a Python dict or JS object
+    built by assignment keeps them (for previews; about twice the cost).
     """
     if not isinstance(separator, str) or not isinstance(delimiter, str):
         raise ValueError("separator and delimiter must be strings")
@@ -84,6 +87,22 @@ def kv_parse(
             ),
         ),
     )[0]
+    if first_seen_order:
+        # first position of every key (run starts of the same sort), paired with the kept last value
+        firsts = F.transform(
+            F.array(F.array_sort(entries)),
+            lambda s: F.filter(
+                F.zip_with(
+                    s,
+                    F.concat(F.array(F.lit(None).cast("struct<k:string,i:int,v:string>")), s),
+                    lambda cur, prv: F.when(prv.isNull() | (prv["k"] != cur["k"]), cur["i"]),
+                ),
+                lambda x: x.isNotNull(),
+            ),
+        )[0]
+        last = F.filter(kept, lambda e: e.isNotNull())
+        ordered = F.zip_with(firsts, last, lambda i, e: F.struct(i.alias("i"), e["key"].alias("key"), e["value"].alias("value")))
+        kept = F.transform(F.array_sort(ordered), lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))
     if drop_empty_keys:
         kept = F.filter(kept, lambda e: e.isNotNull() & (e["key"] != F.lit("")))
     else:
@@ -91,6 +110,36 @@ def kv_parse(
     return F.map_from_entries(kept)
 
 
+def kv_preview_json(c: Column | str, separator: str = "=", delimiter: str = " ") -> Column:
+    """The rule builder's key-value preview: C2 rendered as ``JSON.stringify(r, null, 2)``.
+
+    Keys follow JS object order: integer-like keys ("0", "7", ...) first in
+    numeric order, then the others in order of first appearance; values are
+    the last assigned. (Control characters are escaped with upper-case hex
+    digits, JS writes lower case.)
+    """
+    from signals.functions.text import JS_WHITESPACE, preview_json
+
+    m = kv_parse(c, separator, delimiter, drop_empty_keys=True, whitespace=JS_WHITESPACE, first_seen_order=True)
+    ents = F.transform(
+        F.map_entries(m),
+        lambda e, i: F.struct(
+            (~_js_index(e["key"])).alias("o"),
+            F.when(_js_index(e["key"]), e["key"].try_cast("bigint")).alias("n"),
+            i.alias("i"),
+            e["key"].alias("key"),
+            e["value"].alias("value"),
+        ),
+    )
+    ordered = F.transform(F.array_sort(ents), lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))
+    return preview_json(F.map_from_entries(ordered))
+
+
+def _js_index(k: Column) -> Column:
+    """An array-index-like property name: canonical integer in [0, 2^32 - 2]."""
+    return F.coalesce(k.rlike(r"^(0|[1-9][0-9]{0,9})\z") & (k.try_cast("bigint") < F.lit(4294967295)), F.lit(False))
+
+
 # ---------------------------------------------------------------- C3 regex
 
 

@@ -176,3 +176,48 @@ def test_apply_schema_types_and_errors(spark):
     assert str(r0["record"]["t"]) == "2024-01-02 03:04:05" and r0["record"]["n"] == 42
     assert r0["record"]["ip"] is None and r0["cast_errors"] == ["ip"]
     assert r1["cast_errors"] == ["t", "n"] and r1["record"]["s"] is None
+
+
+def _ordered_items(spark, lines, col):
+    """Map entries in map order (collect() turns maps into hash maps; arrays keep the order)."""
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, s string")
+    rows = df.select("i", col.alias("m")).select("i", F.map_keys("m").alias("k"), F.map_values("m").alias("v")).collect()
+    return {r["i"]: list(zip(r["k"], r["v"])) for r in rows}
+
+
+def test_kv_first_seen_order(spark):
+    got = _ordered_items(spark, ["b=1 a=2 b=3 c=4 a=5", "", "z=1"], kv_parse(F.col("s"), first_seen_order=True))
+    assert got[0] == [("b", "3"), ("a", "5"), ("c", "4")]
+    assert got[1] == [] and got[2] == [("z", "1")]
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(lines=LINES, seps=st.sampled_from(SEPS))
+def test_kv_first_seen_order_matches_dict_order(spark, lines, seps):
+    sep, delim = seps
+    got = _ordered_items(spark, lines, kv_parse(F.col("s"), separator=sep, delimiter=delim, first_seen_order=True))
+    for i, line in enumerate(lines):
+        assert got[i] == list(kv_model(line, sep, delim).items()), (line, sep, delim)
+
+
+def _js_preview_model(raw: str, sep: str = "=", delim: str = " ") -> str:
+    import json
+
+    d = kv_preview_model(raw, sep, delim)
+    idx = sorted((k for k in d if k.isdigit() and k.isascii() and (k == "0" or not k.startswith("0")) and int(k) < 2**32 - 1), key=int)
+    rest = [k for k in d if k not in idx]
+    return json.dumps({k: d[k] for k in idx + rest}, indent=2, ensure_ascii=False) if d else "{}"
+
+
+PREVIEW_ALPHABET = st.sampled_from(list("ab0129=:. \t\"\\é"))
+PREVIEW_LINES = st.lists(st.text(alphabet=PREVIEW_ALPHABET, max_size=12), min_size=1, max_size=20)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(lines=PREVIEW_LINES)
+def test_kv_preview_json_matches_js(spark, lines):
+    from signals.operators.parse import kv_preview_json
+
+    got = _run(spark, lines, kv_preview_json(F.col("s")))
+    for i, line in enumerate(lines):
+        assert got[i] == _js_preview_model(line), line
