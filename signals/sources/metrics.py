@@ -23,27 +23,35 @@ def write_training_metrics(metrics: DataFrame, root: str) -> None:
     m.write.mode("append").partitionBy("tenant_id", "module").option("timestampFormat", ISO_MICROS).json(root)
 
 
-def read_training_metrics(spark: SparkSession, root: str, modules: DataFrame) -> DataFrame:
+def read_training_metrics(spark: SparkSession, root: str, modules: DataFrame, layout: str = "partitioned") -> DataFrame:
     """Metrics for every (tenant_id, module_id) in ``modules``, with defaults.
 
-    Files are JSON (one object, possibly pretty-printed) below
-    ``{root}/tenant_id=<t>/module=<safe id>/``; times are ISO-8601 (any
-    fraction, ``Z`` or a numeric offset). A corrupt file gives
+    ``layout="partitioned"``: JSON below ``{root}/tenant_id=<t>/module=<safe id>/``
+    (what ``write_training_metrics`` writes). ``layout="files"``: one file per
+    module, ``{root}/<tenant>/metrics/<safe id>.json`` (tenant folders as the
+    reference keeps them). A document may be pretty-printed; times are
+    ISO-8601 (any fraction, ``Z`` or a numeric offset). A missing document
+    gives ``0.0, 0, null, null``; a corrupt one the same with
     ``last_error = 'metric read error: malformed JSON'``.
     """
-    raw = (
+    reader = (
         spark.read.schema(METRIC_SCHEMA)
         .option("multiLine", "true")
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_corrupt")
-        .json(root)
-    )
-    got = raw.select(
-        F.col("tenant_id").alias("__t"),
-        F.col("module").alias("__m"),
-        F.col("_corrupt").isNotNull().alias("__bad"),
-        "trained_pct", "data_points", "last_trained_at", "last_error",
     )
+    if layout == "partitioned":
+        raw = reader.json(root)
+        got = raw.select(F.col("tenant_id").alias("__t"), F.col("module").alias("__m"), *_metric_cols())
+    elif layout == "files":
+        raw = reader.json(f"{root.rstrip('/')}/*/metrics/*.json")
+        path = F.col("_metadata.file_path")
+        parts = F.split(path, "/")
+        tenant = F.element_at(parts, -3)
+        module = F.regexp_replace(F.element_at(parts, -1), r"\.json$", "")
+        got = raw.select(tenant.alias("__t"), module.alias("__m"), *_metric_cols())
+    else:
+        raise ValueError("layout must be 'partitioned' or 'files'")
     j = modules.join(got, (modules["tenant_id"] == F.col("__t")) & (safe_module_name(modules["module_id"]) == F.col("__m")), "left")
     bad = F.coalesce(F.col("__bad"), F.lit(False))
     return j.select(
@@ -53,3 +61,10 @@ def read_training_metrics(spark: SparkSession, root: str, modules: DataFrame) ->
         F.when(~bad, F.col("last_trained_at")).alias("last_trained_at"),
         F.when(bad, F.lit("metric read error: malformed JSON")).otherwise(F.col("last_error")).alias("last_error"),
     )
+
+
+def _metric_cols():
+    return [
+        F.col("_corrupt").isNotNull().alias("__bad"),
+        "trained_pct", "data_points", "last_trained_at", "last_error",
+    ]

@@ -259,3 +259,42 @@ def test_train_schemas_round_trip(spark):
     }
     typed = apply_schema(parsed.filter("tenant_id = 'acme' AND log_type = 'error'"), fields, map_col="fields")
     assert typed.filter(F.size("cast_errors") > 0).count() == 0
+
+
+def test_metrics_and_artifacts_in_tenant_folders(spark, tmp_path):
+    """The per-tenant folder layout: <tenant>/metrics/<module>.json and <tenant>/artifacts/parsers/*.xml."""
+    root = tmp_path / "tenants"
+    (root / "acme" / "metrics").mkdir(parents=True)
+    (root / "acme" / "metrics" / "ml_detect.json").write_text('{"trained_pct": 40.0, "data_points": 7, "last_trained_at": "2026-02-27T11:30:00Z", "last_error": null}')
+    (root / "acme" / "metrics" / "team_parser.json").write_text("not json")
+    (root / "bravo" / "metrics").mkdir(parents=True)
+    mods = spark.createDataFrame([("acme", "ml_detect"), ("acme", "team/parser"), ("bravo", "detect")], "tenant_id string, module_id string")
+    got = {(r["tenant_id"], r["module_id"]): r for r in read_training_metrics(spark, str(root), mods, layout="files").collect()}
+    assert got[("acme", "ml_detect")]["data_points"] == 7
+    assert got[("acme", "team/parser")]["last_error"].startswith("metric read error")
+    assert got[("bravo", "detect")]["trained_pct"] == 0.0
+    parsers = root / "acme" / "artifacts" / "parsers"
+    parsers.mkdir(parents=True)
+    (parsers / "schema_event_20260227_144029.xml").write_text(
+        '<?xml version="1.0" ?>\n<LogSchema tenant="acme" type="event">\n  <Field name="user" type="string" confidence="95%"/>\n</LogSchema>\n'
+    )
+    arts = read_schema_artifacts(spark, str(root / "*" / "artifacts" / "parsers" / "*.xml")).collect()
+    assert [(a["tenant"], a["log_type"], a["file_name"], a["name"]) for a in arts] == [("acme", "event", "schema_event_20260227_144029.xml", "user")]
+
+
+def test_tail_source_reads_a_truncated_file_from_the_start(spark, tmp_path):
+    from signals.sources.tail_source import stream_log_tail
+
+    d = tmp_path / "rot"
+    d.mkdir()
+    f = d / "app.log"
+    f.write_bytes(b"aaaa\nbbbb\n")
+    q = stream_log_tail(spark, str(d), read_from="start").writeStream.format("memory").queryName("tail_rot").start()
+    try:
+        q.processAllAvailable()
+        f.write_bytes(b"c\n")  # truncated and rewritten
+        q.processAllAvailable()
+        got = sorted((r["raw_data"], r["offset"]) for r in spark.sql("SELECT * FROM tail_rot").collect())
+    finally:
+        q.stop()
+    assert got == [("aaaa", 5), ("bbbb", 10), ("c", 2)]
