@@ -32,6 +32,7 @@ class SourceStatusListener(StreamingQueryListener):
     def __init__(self) -> None:
         self._rows: list[tuple] = []
         self._names: dict[str, str] = {}
+        self._configs: dict[str, str] = {}
         self._lock = threading.Lock()
 
     def _add(self, name, running, healthy, error, n, config="{}"):
@@ -44,15 +45,23 @@ class SourceStatusListener(StreamingQueryListener):
         self._add(event.name, True, True, None, 0)
 
     def onQueryProgress(self, event) -> None:
+        import json
+
         p = event.progress
-        self._add(p.name, True, True, None, int(p.numInputRows))
+        config = json.dumps(
+            {"sources": [src.description for src in p.sources], "sink": p.sink.description if p.sink else None},
+            sort_keys=True,
+        )
+        self._configs[str(p.id)] = config
+        self._add(p.name, True, True, None, int(p.numInputRows), config)
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
         err = event.exception
-        self._add(self._names.get(str(event.id)), False, err is None, err, 0)
+        qid = str(event.id)
+        self._add(self._names.get(qid), False, err is None, err, 0, self._configs.get(qid, "{}"))
 
     def reports(self, spark: SparkSession) -> DataFrame:
         with self._lock:

@@ -152,6 +152,7 @@ def test_listener_feeds_source_status(spark, event_stream):
         spark.streams.removeListener(lst)
     assert len(st) == 1 and st[0]["tenant_id"] == "acme" and st[0]["source_id"] == "file_event"
     assert st[0]["running"] is False and st[0]["healthy"] is True and late_rows(q) == 0
+    assert '"sources"' in st[0]["config"] and "FileStreamSource" in st[0]["config"]  # kept after the stop
 
 
 def test_tail_source_caps_bytes_per_trigger(spark, tmp_path):
