@@ -58,9 +58,32 @@ def write_zone(
     df.write.mode(mode).partitionBy(*parts).format(fmt).save(zone_root(root, zone))
 
 
-def read_zone(spark: SparkSession, root: str, zone: str, tenant_id: str | None = None, fmt: str = "parquet") -> DataFrame:
-    """Read a zone; a tenant filter becomes a partition filter (only its folders are listed and read)."""
-    df = spark.read.format(fmt).load(zone_root(root, zone))
-    if tenant_id is not None:
-        df = df.filter(F.col("tenant_id") == F.lit(tenant_id))
-    return df
+def read_zone(
+    spark: SparkSession,
+    root: str,
+    zone: str,
+    tenant_id: str | None = None,
+    fmt: str = "parquet",
+    layout: str = "partitioned",
+) -> DataFrame:
+    """Read a zone; a tenant filter reads only that tenant's folders.
+
+    ``layout="partitioned"`` (as ``write_zone`` writes): the tenant filter is
+    a partition filter. ``layout="tenant_dirs"``: one folder per tenant,
+    ``{root}/<tenant>/<zone>`` as the reference keeps them; ``tenant_id`` is
+    taken from the path (and a tenant filter reads just its folder).
+    """
+    if layout == "partitioned":
+        df = spark.read.format(fmt).load(zone_root(root, zone))
+        if tenant_id is not None:
+            df = df.filter(F.col("tenant_id") == F.lit(tenant_id))
+        return df
+    if layout == "tenant_dirs":
+        base = root.rstrip("/")
+        path = f"{base}/{tenant_id}/{_check(zone)}" if tenant_id is not None else f"{base}/*/{_check(zone)}"
+        depth = len(zone.split("/"))
+        df = spark.read.format(fmt).option("recursiveFileLookup", "true").load(path)
+        parts = F.split(F.col("_metadata.file_path"), "/")
+        # <root>/<tenant>/<zone...>/<file>: the tenant is the folder just above the zone path
+        return df.withColumn("tenant_id", F.element_at(parts, -(depth + 2)))
+    raise ValueError("layout must be 'partitioned' or 'tenant_dirs'")

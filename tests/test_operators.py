@@ -298,3 +298,12 @@ def test_tail_source_reads_a_truncated_file_from_the_start(spark, tmp_path):
     finally:
         q.stop()
     assert got == [("aaaa", 5), ("bbbb", 10), ("c", 2)]
+
+
+def test_read_zone_tenant_dirs(spark, tmp_path):
+    root = tmp_path / "tenants"
+    for t, n in (("acme", 3), ("bravo", 2)):
+        spark.range(n).withColumnRenamed("id", "x").write.parquet(str(root / t / "data" / "raw"))
+    z = read_zone(spark, str(root), "data/raw", layout="tenant_dirs")
+    assert sorted((r["tenant_id"], r["count"]) for r in z.groupBy("tenant_id").count().collect()) == [("acme", 3), ("bravo", 2)]
+    assert read_zone(spark, str(root), "data/raw", tenant_id="bravo", layout="tenant_dirs").count() == 2
