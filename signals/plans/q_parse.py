@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from signals.functions.text import JS_WHITESPACE, PY_WHITESPACE
 from signals.operators.parse import apply_schema, kv_parse, normalize, parse_header, regex_parse
-from signals.plans.fixtures import raw_logs
+from signals.plans.fixtures import raw_logs, table
 from signals.plans.registry import register
 
 BODY_KEYS = ("user", "action", "srcip", "bytes", "priority", "value")
@@ -183,8 +183,6 @@ WS_SQL = _sql_chars(PY_WHITESPACE)
 )
 def c1_kv_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The default key-value rule over whole documents (up to 20,000 words each)."""
-    from signals.plans.fixtures import table
-
     docs = table(spark, sf_dir, "documents")
     m = kv_parse(F.col("text"))
     chars = F.aggregate(F.map_entries(F.col("m")), F.lit(0).cast("bigint"), lambda acc, e: acc + F.length(e["key"]) + F.length(e["value"]))
@@ -209,8 +207,6 @@ URL_RULE = r"^(https?)://([^/]+)/([a-z]{2})/([0-9]+)(?:\?page=([0-9]+))?"
 def c3_regex_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Regex rules over raw web pages: language and title from the whole HTML, parts of the URL
     (the optional page group is null when absent)."""
-    from signals.plans.fixtures import table
-
     pages = table(spark, sf_dir, "pages")
     h = regex_parse(F.col("html"), PAGE_RULE, ["lang", "title"])
     u = regex_parse(F.col("url"), URL_RULE, ["scheme", "host", "lang_path", "doc", "page"])

@@ -22,7 +22,7 @@ from signals.operators.schema import (
 from signals.plans.fixtures import TENANT_SQL
 from signals.plans.q_parse import fields_map, parsed_logs
 from signals.plans.registry import register
-from signals.session import scratch_path
+from signals.session import materialize, scratch_path
 from signals.sources.artifacts import read_schema_artifacts, schema_documents, write_schema_artifacts
 
 RUN_1 = "2024-02-01 00:00:00"
@@ -122,10 +122,7 @@ def stored(df: DataFrame) -> DataFrame:
     small output several times, so it is stored once, as the catalog table
     would be, instead of being recomputed per reference.
     """
-    from signals.session import shared_dir
-
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return materialize(df)
 
 
 def two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
