@@ -18,8 +18,21 @@ from signals.sources.zones import read_zone, write_zone
 CHUNK = 1000
 
 
+_LANDED: dict[tuple[int, str], str] = {}
+
+
 def log_files(spark: SparkSession, sf_dir: str) -> str:
-    """Write raw_logs as text files, one file per block of 1,000 event ids in id order."""
+    """Land raw_logs as text files, one file per block of 1,000 event ids in id order.
+
+    Landed once per session and input folder (like a landing directory that
+    the readers then scan); later calls reuse the files while they exist.
+    """
+    import os
+
+    key = (id(spark), os.path.abspath(sf_dir))
+    path = _LANDED.get(key)
+    if path and os.path.isdir(path.replace("file:", "")):
+        return path
     path = scratch_path(spark, "logfiles")
     rl = raw_logs(spark, sf_dir).withColumn("chunk", F.floor(F.col("event_id") / CHUNK))
     (
@@ -29,6 +42,7 @@ def log_files(spark: SparkSession, sf_dir: str) -> str:
         .write.partitionBy("chunk")
         .text(path)
     )
+    _LANDED[key] = path
     return path
 
 
