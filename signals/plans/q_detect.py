@@ -147,7 +147,7 @@ def f4_entity_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     "st AS (SELECT feature, avg(value) AS mu, stddev_pop(value) AS sd FROM long GROUP BY feature), "
     "z AS (SELECT l.*, CASE WHEN sd > 0 THEN (value - mu) / sd ELSE 0.0 END AS z FROM long l JOIN st USING (feature)), "
     "r AS (SELECT *, row_number() OVER (PARTITION BY tenant_id, \"user\", window_start ORDER BY round(abs(z), 6) DESC, feature) AS rank FROM z) "
-    "SELECT tenant_id, \"user\", window_start, rank, feature, round(value, 4) AS value, round(z, 4) AS z FROM r WHERE rank <= 3",
+    "SELECT tenant_id, \"user\", window_start, rank, feature, round(value, 4) AS value, round(z, 4) + 0.0 AS z FROM r WHERE rank <= 3",
 )
 def f7_explain(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = explain(features(spark, sf_dir), ["tenant_id", "user", "window_start"], FEATURES, n=3)
