@@ -18,7 +18,7 @@ from signals.functions.text import (  # noqa: F401  S1-S17
     thousands,
 )
 from signals.operators.anomaly import explain, isolation_forest_fit, isolation_forest_score, reconstruction_score  # noqa: F401  F5-F7
-from signals.operators.detect import Rule, detect_rules, detect_syn_flood, detect_threshold, entity_features  # noqa: F401  F1-F4
+from signals.operators.detect import Rule, brute_force_login, detect_rules, detect_syn_flood, detect_threshold, entity_features  # noqa: F401  F1-F4
 from signals.operators.envelope import combine_envelopes, stamp  # noqa: F401  B1
 from signals.operators.grep import grep, route, stream_routes, write_routes  # noqa: F401  F11-F12
 from signals.operators.parse import (  # noqa: F401  C1-C6
@@ -108,7 +108,7 @@ SURVEY_MAP = {
     "E4": ["valid_tenant"],
     "E5": ["eps_violations"],
     "F1": ["detect_rules"],
-    "F2": ["detect_threshold"],
+    "F2": ["detect_threshold", "brute_force_login"],
     "F3": ["detect_syn_flood"],
     "F4": ["entity_features"],
     "F5": ["isolation_forest_fit", "isolation_forest_score"],

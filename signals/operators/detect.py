@@ -170,3 +170,19 @@ def entity_features(
     aggs += [F.min(hour).alias("first_hour"), F.max(hour).alias("last_hour")]
     res = df.groupBy(*keys, w.alias("window")).agg(*aggs)
     return _finish(res, ntz)
+
+
+def brute_force_login(
+    events: DataFrame,
+    ts_col: str = "event_time",
+    key: str | Sequence[str] = ("tenant_id", "user"),
+    threshold: int = 3,
+    window: str = "1 day",
+    failure: str = "log_type = 'error'",
+    watermark: str | None = "1 hour",
+) -> DataFrame:
+    """The ``BruteForce_Login`` preset: failures per entity and window at or above ``threshold`` (F2).
+
+    ``failure`` is the SQL predicate that marks a failed attempt.
+    """
+    return detect_threshold(events.filter(F.expr(failure)), key, ts_col, window, threshold, watermark=watermark)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signals.operators.detect import detect_threshold
+from signals.operators.detect import brute_force_login, detect_threshold
 from signals.plans.fixtures import TENANT_SQL
 from signals.plans.q_parse import parsed_logs
 from signals.plans.registry import register
@@ -20,9 +20,18 @@ def failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def login_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parsed events with the entity, the log type and a wall-clock event time."""
+    p = parsed_logs(spark, sf_dir)
+    return p.select(
+        "tenant_id", "log_type", F.col("parsed").getItem("user").alias("user"),
+        F.col("event_time").cast("timestamp_ntz").alias("event_time"),
+    )
+
+
 def brute_force(spark: SparkSession, sf_dir: str, threshold: int = 3) -> DataFrame:
     """Slice 1: failures per user per day at or above ``threshold`` (BruteForce_Login preset)."""
-    return detect_threshold(failures(spark, sf_dir), ["tenant_id", "user"], "event_time", "1 day", threshold)
+    return brute_force_login(login_events(spark, sf_dir), threshold=threshold)
 
 
 F2_SQL = (
