@@ -307,3 +307,34 @@ def test_read_zone_tenant_dirs(spark, tmp_path):
     z = read_zone(spark, str(root), "data/raw", layout="tenant_dirs")
     assert sorted((r["tenant_id"], r["count"]) for r in z.groupBy("tenant_id").count().collect()) == [("acme", 3), ("bravo", 2)]
     assert read_zone(spark, str(root), "data/raw", tenant_id="bravo", layout="tenant_dirs").count() == 2
+
+
+def test_wide_envelope_and_offset_lookup(spark):
+    from signals.operators.envelope import DATAGRAM_EVENT, FILE_EVENT, combine_envelopes
+    from signals.sources.ledger import get_offset
+
+    files = spark.createDataFrame([("a=1", 4, "/x.log")], FILE_EVENT)
+    grams = spark.createDataFrame([("b=2", 0, dt.datetime(2024, 1, 1), 1, ("10.0.0.1", 514))], DATAGRAM_EVENT)
+    env = combine_envelopes(stamp(files, "acme", "file_event"), stamp(grams, "acme", "syslog_event"))
+    assert set(env.columns) >= {"raw_data", "offset", "file_path", "received_at", "seq", "remote_addr", "tenant_id", "source_id"}
+    assert env.count() == 2 and env.filter("file_path IS NULL").count() == 1
+    ledger = offset_ledger(env.withColumn("seq", F.coalesce("seq", F.lit(1))))
+    assert [r["offset"] for r in get_offset(ledger, "acme", "file_event").collect()] == [4]
+    assert get_offset(ledger, "acme", "nope").count() == 0
+
+
+def test_apply_recommended_keeps_explicit_settings(spark):
+    from signals.session import _RUNTIME_KEYS, apply_recommended
+
+    saved = {k: spark.conf.get(k, None) for k in _RUNTIME_KEYS}
+    try:
+        done = apply_recommended(spark, 50 << 20, total_cores=4)
+        # the test session set shuffle partitions at build time: it is kept
+        assert "spark.sql.shuffle.partitions" not in done and spark.conf.get("spark.sql.shuffle.partitions") == saved["spark.sql.shuffle.partitions"]
+        assert done.get("spark.sql.files.maxPartitionBytes") == str(256 << 20)
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
