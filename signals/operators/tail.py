@@ -42,21 +42,62 @@ def latest_global(df: DataFrame, order: str | Sequence[str], limit: int = DEFAUL
     return df.orderBy(*_desc(o)).limit(limit).orderBy(*o)
 
 
+def _group_limit_threshold(df: DataFrame) -> int:
+    try:
+        return int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    except Exception:  # pragma: no cover
+        return 1000
+
+
+def _bucket_for(df: DataFrame, col: str, bucket):
+    """Default bucket for the order column: minutes for times, 4096 for integer ids; None otherwise."""
+    if bucket is not None:
+        return bucket
+    t = df.schema[col].dataType.typeName()
+    if t in ("timestamp", "timestamp_ntz"):
+        return "minute"
+    if t in ("long", "integer", "short", "byte"):
+        return 4096
+    return None
+
+
 def latest_per_source(
     df: DataFrame,
     order: str | Sequence[str],
     limit: int = DEFAULT_LIMIT,
     key: Sequence[str] = SOURCE_KEY,
     rank_col: str = "rn",
+    bucket: str | float | None = None,
 ) -> DataFrame:
     """The newest ``limit`` rows of every (tenant, source), all keys at once.
 
-    ``rank_col`` is 1 for the newest row of the key.
+    ``rank_col`` is 1 for the newest row of the key. Up to Spark's window
+    group limit threshold (1000 by default) ``row_number() <= limit`` gets a
+    partial top-k before the shuffle. Above it (rings of 5,000) the order
+    column is cut into buckets: rows are counted per (key, bucket), a running
+    sum from the newest bucket finds the buckets that overlap the newest
+    ``limit`` rows, and only rows in those buckets are ranked, so a source
+    holding a third of all rows ranks about ``limit`` + one bucket of rows,
+    not all of them.
     """
     o = _order(order)
     check_limit(limit)
     w = Window.partitionBy(*key).orderBy(*_desc(o))
-    return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= limit)
+    b = _bucket_for(df, o[0], bucket)
+    if limit <= _group_limit_threshold(df) or b is None:
+        return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= limit)
+    from signals.operators.sequence import bucket_of
+
+    g = F.struct(*[F.col(k) for k in key], bucket_of(F.col(o[0]), b).alias("__b"))
+    d = df.withColumn("__g", g)
+    counts = d.groupBy("__g").agg(F.count(F.lit(1)).alias("__n"))
+    newer = Window.partitionBy(*[F.col(f"__g.{k}") for k in key]).orderBy(F.col("__g.__b").desc()).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    keep = counts.withColumn("__newer", F.coalesce(F.sum("__n").over(newer), F.lit(0))).filter(F.col("__newer") < limit)
+    cand = d.join(keep.select(F.col("__g").alias("__kg")), F.col("__g") == F.col("__kg"), "left_semi")
+    ranked = cand.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= limit)
+    return ranked.drop("__g")
 
 
 def retain_latest(
@@ -66,6 +107,7 @@ def retain_latest(
     per_source: int = RING_CAPACITY,
     total: int = RING_CAPACITY,
     key: Sequence[str] = SOURCE_KEY,
+    bucket: str | float | None = None,
 ) -> DataFrame:
     """Rows still held by the rings: newest ``per_source`` per source or newest ``total`` overall.
 
@@ -77,7 +119,7 @@ def retain_latest(
     o = _order(order)
     check_limit(per_source, maximum=10**7)
     check_limit(total, maximum=10**7)
-    src = latest_per_source(df, o, per_source, key, "__rn").drop("__rn").withColumn("__src", F.lit(True))
+    src = latest_per_source(df, o, per_source, key, "__rn", bucket).drop("__rn").withColumn("__src", F.lit(True))
     glob = df.orderBy(*_desc(o)).limit(total).withColumn("__glob", F.lit(True))
     both = src.unionByName(glob, allowMissingColumns=True)
     cols = [c for c in df.columns if c != id_col]

@@ -338,3 +338,15 @@ def test_apply_recommended_keeps_explicit_settings(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("limit", [3, 1500, 5000])
+def test_latest_per_source_large_rings_equal_row_number(spark, limit):
+    """Above the window group limit threshold the bucketed path must give exactly the row_number result."""
+    base = dt.datetime(2024, 1, 1)
+    rows = [(i, None if i % 11 == 0 else ("hot" if i % 10 < 7 else f"s{i % 4}"), base + dt.timedelta(seconds=13 * i)) for i in range(20000)]
+    df = spark.createDataFrame(rows, "event_id long, source_id string, ts timestamp").withColumn("tenant_id", F.lit("t"))
+    for order in ("event_id", "ts"):
+        got = latest_per_source(df, order, limit)
+        ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("tenant_id", "source_id").orderBy(F.col(order).desc()))).filter(F.col("rn") <= limit)
+        assert sorted((r["event_id"], r["rn"]) for r in got.collect()) == sorted((r["event_id"], r["rn"]) for r in ref.collect())
