@@ -17,7 +17,7 @@ from signals.functions.text import (  # noqa: F401  S1-S17
     split_first,
     thousands,
 )
-from signals.operators.anomaly import explain, isolation_forest_fit, isolation_forest_score, reconstruction_score  # noqa: F401  F5-F7
+from signals.operators.anomaly import explain, feature_stats, isolation_forest_fit, isolation_forest_score, reconstruction_score  # noqa: F401  F5-F7
 from signals.operators.detect import Rule, brute_force_login, detect_rules, detect_syn_flood, detect_threshold, entity_features  # noqa: F401  F1-F4
 from signals.operators.envelope import combine_envelopes, stamp  # noqa: F401  B1
 from signals.operators.grep import grep, route, stream_routes, write_routes  # noqa: F401  F11-F12
@@ -113,7 +113,7 @@ SURVEY_MAP = {
     "F4": ["entity_features"],
     "F5": ["isolation_forest_fit", "isolation_forest_score"],
     "F6": ["reconstruction_score"],
-    "F7": ["explain"],
+    "F7": ["explain", "feature_stats"],
     "F8": ["risk_scores"],
     "F9": ["top_risks"],
     "F10": ["assign_responses", "first_responses"],

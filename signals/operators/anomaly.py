@@ -8,27 +8,60 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def feature_stats(features: DataFrame, feature_cols: Sequence[str]) -> dict[str, tuple[float | None, float | None]]:
+    """Population mean and stddev of every feature column: one aggregation, 2 x columns numbers back."""
+    aggs = []
+    for i, c in enumerate(feature_cols):
+        x = F.col(c).cast("double")
+        aggs += [F.avg(x).alias(f"m{i}"), F.stddev_pop(x).alias(f"s{i}")]
+    row = features.agg(*aggs).first()
+    return {c: (row[f"m{i}"], row[f"s{i}"]) for i, c in enumerate(feature_cols)}
+
+
 def explain(
     features: DataFrame,
     key: Sequence[str],
     feature_cols: Sequence[str],
     n: int = 3,
+    stats: dict[str, tuple[float | None, float | None]] | None = None,
 ) -> DataFrame:
     """Top-``n`` features per entity by |z|, the standardised deviation from the population.
 
     z = (value - mean) / population stddev of that feature over all rows
     (0 when the feature does not vary). Output: key, ``rank`` (1..n),
     ``feature``, ``value``, ``z``. Ties in |z| go to the feature name.
-    The per-feature statistics are one row per feature column, a bounded
-    broadcast; ranking happens within each entity's few rows.
+
+    Without ``stats`` it is one lazy plan: the per-feature statistics (one
+    row per feature column) are broadcast to the unpivoted rows and the
+    ranking runs within each entity after a shuffle by entity. With
+    ``stats`` (from ``feature_stats``, e.g. over a materialised feature
+    table) the ranking is done inside each entity's row: no join, no shuffle.
     """
     key = list(key)
+    if stats is not None:
+        ents = []
+        for c in feature_cols:
+            mu, sd = stats[c]
+            x = F.col(c).cast("double")
+            if sd is not None and sd > 0:
+                z = (x - F.lit(float(mu))) / F.lit(float(sd))
+            else:
+                z = F.lit(0.0)
+            ents.append(
+                F.struct((-F.round(F.abs(z), 6)).alias("o"), F.lit(c).alias("feature"), x.alias("value"), z.alias("z"))
+            )
+        top = F.slice(F.array_sort(F.array(*ents)), 1, n)
+        exploded = features.select(*key, F.posexplode(top).alias("__pos", "__e"))
+        return exploded.select(
+            *key, (F.col("__pos") + 1).cast("bigint").alias("rank"),
+            F.col("__e.feature").alias("feature"), F.col("__e.value").alias("value"), F.col("__e.z").alias("z"),
+        )
     long = features.select(*key, *[F.col(c).cast("double").alias(c) for c in feature_cols]).unpivot(
         key, list(feature_cols), "feature", "value"
     )
-    stats = long.groupBy("feature").agg(F.avg("value").alias("__mean"), F.stddev_pop("value").alias("__sd"))
+    st = long.groupBy("feature").agg(F.avg("value").alias("__mean"), F.stddev_pop("value").alias("__sd"))
     z = F.when(F.col("__sd") > 0, (F.col("value") - F.col("__mean")) / F.col("__sd")).otherwise(F.lit(0.0))
-    scored = long.join(F.broadcast(stats), "feature").withColumn("z", z)
+    scored = long.join(F.broadcast(st), "feature").withColumn("z", z)
     w = Window.partitionBy(*key).orderBy(F.round(F.abs(F.col("z")), 6).desc(), F.col("feature"))
     return (
         scored.withColumn("rank", F.row_number().over(w).cast("bigint"))

@@ -55,3 +55,16 @@ def test_reconstruction_finds_planted(spark, planted):
 def test_explain_names_inflated_features(spark, planted):
     e = explain(planted.filter("planted"), KEY, MODEL_FEATURES, n=3)
     assert e.groupBy(*KEY).count().agg(F.max("count")).first()[0] == 3
+
+
+def test_explain_row_local_equals_window_version(spark):
+    from signals.operators.anomaly import feature_stats
+    from signals.session import materialize
+
+    feats = materialize(features(spark, SF001))
+    a = explain(feats, KEY, MODEL_FEATURES, n=3)
+    b = explain(feats, KEY, MODEL_FEATURES, n=3, stats=feature_stats(feats, MODEL_FEATURES))
+    rnd = lambda df: df.withColumn("z", F.round("z", 6)).withColumn("value", F.round("value", 6))
+    assert rnd(a).exceptAll(rnd(b)).count() == 0 and rnd(b).exceptAll(rnd(a)).count() == 0
+    plan = b._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
