@@ -91,6 +91,10 @@ def detect_threshold(
     Output: key columns, ``window_start``, ``window_end``, ``out``.
     The aggregation is partial (map-side) before the shuffle, so a hot key
     sends one partial row per map task, not its events.
+
+    Windows align to the epoch: on TIMESTAMP input in UTC, on
+    TIMESTAMP_NTZ input in wall-clock time. Cast to TIMESTAMP_NTZ for days
+    that start at local midnight in a non-UTC session (the flagship does).
     """
     keys = _keys(key)
     ntz = _is_ntz(df, ts_col)
