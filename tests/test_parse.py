@@ -221,3 +221,37 @@ def test_kv_preview_json_matches_js(spark, lines):
     got = _run(spark, lines, kv_preview_json(F.col("s")))
     for i, line in enumerate(lines):
         assert got[i] == _js_preview_model(line), line
+
+
+REGEX_RULES = [
+    (r"user=(\w+)(?: id=(\d+))?", ["user", "id"]),
+    (r"^(\S+) (\S+)$", ["a", "b", "c"]),
+    (r"(a+)|(b+)", ["as", "bs"]),
+    (r"(?P<k>[^=\s]+)=(?P<v>[^=\s]*)", ["k", "v"]),
+]
+RX_ALPHABET = st.sampled_from(list("ab=id7 \txé٣\n") + ["user=", " id="])
+RX_LINES = st.lists(st.lists(RX_ALPHABET, max_size=10).map("".join), min_size=1, max_size=15)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(lines=RX_LINES, rule=st.sampled_from(REGEX_RULES))
+def test_regex_matches_python_model_generated(spark, lines, rule):
+    pattern, fields = rule
+    got = _run(spark, lines, regex_parse(F.col("s"), pattern, fields))
+    for i, line in enumerate(lines):
+        assert dict(got[i]) == regex_model(line, pattern, fields), (pattern, line)
+
+
+NORMALIZE_RULES = st.sampled_from(RULES)
+NORMALIZE_LINES = st.lists(st.one_of(st.none(), st.just(""), PIECES.map("".join)), min_size=1, max_size=12)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(lines=NORMALIZE_LINES, rule=NORMALIZE_RULES)
+def test_normalize_matches_python_model_generated(spark, lines, rule):
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(lines)], "i int, raw_data string")
+    rows = {r["i"]: r for r in normalize(df, rule).collect()}
+    for i, line in enumerate(lines):
+        want = normalize_model(line, rule)
+        got = rows[i]["parsed"]
+        assert (None if got is None else dict(got)) == want, (rule, line)
