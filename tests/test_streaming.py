@@ -281,3 +281,19 @@ def test_rules_grep_route_on_streams(spark, event_stream):
     sd, sr = build(_stream(spark, event_stream))
     assert _rows(_run(sd, "rules_stream", "append"), ["event_id", "rule"]) == _rows(bd, ["event_id", "rule"])
     assert _rows(_run(sr, "route_stream", "append"), ["event_id", "route"]) == _rows(br, ["event_id", "route"])
+
+
+def test_stream_routes_sink_partitions_by_route(spark, event_stream):
+    from signals.operators.grep import route, stream_routes
+
+    routes = {"err": r"\[error\]", "buy": "purchase"}
+    routed = route(logs_from_events(_stream(spark, event_stream)), routes).select("event_id", "raw_data", "route")
+    out = scratch_path(spark, "routes-stream")
+    q = stream_routes(routed, out, scratch_path(spark, "ckpt-routes"))
+    q.processAllAvailable()
+    q.stop()
+    got = {r["route"]: r["n"] for r in spark.read.parquet(out).groupBy("route").agg(F.count(F.lit(1)).alias("n")).collect()}
+    want = {r["route"]: r["n"] for r in route(logs_from_events(spark.read.parquet(f"{SF0001}/events.parquet")), routes)
+            .groupBy("route").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert got == want and set(got) == {"err", "buy", "default"}
+    assert spark.read.parquet(out).filter("route = 'err'").count() == want["err"]  # pruned to one folder
