@@ -350,3 +350,12 @@ def test_latest_per_source_large_rings_equal_row_number(spark, limit):
         got = latest_per_source(df, order, limit)
         ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("tenant_id", "source_id").orderBy(F.col(order).desc()))).filter(F.col("rn") <= limit)
         assert sorted((r["event_id"], r["rn"]) for r in got.collect()) == sorted((r["event_id"], r["rn"]) for r in ref.collect())
+
+
+def test_xml_artifact_without_fields(spark, tmp_path):
+    d = tmp_path / "empty" / "tenant_id=t" / "artifact=schema_x_20260101_000000.xml"
+    d.mkdir(parents=True)
+    (d / "part-0.xml").write_text('<LogSchema tenant="t" type="x"/>\n')
+    rows = read_schema_artifacts(spark, str(tmp_path / "empty")).collect()
+    assert len(rows) == 1 and rows[0]["tenant"] == "t" and rows[0]["log_type"] == "x"
+    assert rows[0]["name"] is None and rows[0]["pos"] is None
