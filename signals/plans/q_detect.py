@@ -148,21 +148,33 @@ def f4_entity_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features(spark, sf_dir).withColumn("sum_value", F.round("sum_value", 2))
 
 
-@register(
-    "f7_explain",
+F7_SQL = (
     f"WITH {FEAT_SQL}, long AS (UNPIVOT (SELECT tenant_id, \"user\", window_start, "
     + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in FEATURES)
     + f" FROM feat) ON {', '.join(FEATURES)} INTO NAME feature VALUE value), "
     "st AS (SELECT feature, avg(value) AS mu, stddev_pop(value) AS sd FROM long GROUP BY feature), "
     "z AS (SELECT l.*, CASE WHEN sd > 0 THEN (value - mu) / sd ELSE 0.0 END AS z FROM long l JOIN st USING (feature)), "
     "r AS (SELECT *, row_number() OVER (PARTITION BY tenant_id, \"user\", window_start ORDER BY round(abs(z), 6) DESC, feature) AS rank FROM z) "
-    "SELECT tenant_id, \"user\", window_start, rank, feature, round(value, 4) AS value, round(z, 4) + 0.0 AS z FROM r WHERE rank <= 3",
+    "SELECT tenant_id, \"user\", window_start, rank, feature, round(value, 4) AS value, round(z, 4) + 0.0 AS z FROM r WHERE rank <= 3"
 )
+
+
+@register("f7_explain", F7_SQL)
 def f7_explain(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = explain(features(spark, sf_dir), ["tenant_id", "user", "window_start"], FEATURES, n=3)
     return e.withColumn("value", F.round("value", 4)).withColumn("z", F.round("z", 4))
 
 
+@register("f7_explain_row_local", F7_SQL)
+def f7_explain_row_local(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F7 from materialised features and precomputed statistics: ranked inside each row, no shuffle."""
+    from signals.operators.anomaly import feature_stats
+
+    feats = materialize(features(spark, sf_dir))
+    e = explain(feats, ["tenant_id", "user", "window_start"], FEATURES, n=3, stats=feature_stats(feats, FEATURES))
+    return e.withColumn("value", F.round("value", 4)).withColumn("z", F.round("z", 4))
+
+
 # ------------------------------------------------------------------ F8/F9 risk
 
 WEIGHTS_SQL = "wt AS (SELECT * FROM (VALUES ('Minor', 5.0), ('Major', 15.0), ('Critical', 40.0)) t(severity, weight))"
