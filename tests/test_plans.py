@@ -81,3 +81,10 @@ def test_tenant_filter_after_normalize_prunes_partitions(spark):
     assert re.search(r"PartitionFilters: \[[^\]]*tenant_id", p)  # the tenant filter reached the scan
     assert p.count("array_sort(") == 1  # the map is computed once, the parsed-value filter stays above it
     assert q.count() == 1
+
+
+def test_large_ring_ranks_only_candidate_buckets(plan):
+    # per-source ring of 2000 (> Spark's window group limit threshold of 1000): the window sees only
+    # the rows of the buckets that overlap the newest 2000 (a left semi join), not the whole source
+    p = plan("b4_retain_latest")
+    assert "LeftSemi" in p and "TakeOrderedAndProject" in p
