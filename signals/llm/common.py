@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from signals.session import scratch_path
 
@@ -85,3 +89,21 @@ def ranked(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
         .withColumn(name, F.col("__start") + pos)
         .drop("__p", "__start", "__at")
     )
+
+
+def add_columns(df: DataFrame, added: str, start) -> DataFrame:
+    """``df`` with the columns of the DDL ``added`` (replacing such names), computed from Arrow batches.
+
+    ``start()`` runs once per task and gives a function from a record batch to
+    the added columns' arrays, in order.
+    """
+    fields = T.StructType.fromDDL(added).fields
+    keep = [c for c in df.columns if c not in {f.name for f in fields}]
+    schema = T.StructType([*df.select(*keep).schema.fields, *fields])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = start()
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], *work(batch)], names=schema.names)
+
+    return df.mapInArrow(run, schema)
