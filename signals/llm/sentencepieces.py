@@ -10,7 +10,7 @@ backwards from the table, in time linear in the text.
 No piece of such a vocabulary has a space inside or a line break (checked when
 it is loaded), so a text is cut before its space runs, around line breaks, and
 between a letter and a punctuation mark that follows a letter in no piece.
-Each distinct unit is encoded once per task and kept in a bounded memo.
+Each distinct unit is encoded once per worker and kept in a bounded memo.
 A run of spaces has pieces of equal, lowest scores; the run that is left once
 its last space has merged into the word is merged by itself, leftmost first.
 
@@ -26,17 +26,17 @@ from __future__ import annotations
 
 import heapq
 import re
-from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from signals.llm.common import add_columns
 
 SPACE = "▁"
 LETTER = re.compile(r"[^\W\d_]")
 PUNCTUATION = ".,;:!?|%$#&*"
-#: Entries of a task's memo of units; it is emptied when full.
+#: Entries of a worker's memo of units; it is emptied when full.
 MEMO = 400_000
 #: Longer units are not kept in the memo.
 MEMO_CHARS = 48
@@ -93,7 +93,7 @@ def merge(symbols: list[str], scores: dict) -> list[str]:
 
 
 class Encoder:
-    """The prefix table of one vocabulary; its memos live as long as a task."""
+    """The prefix table of one vocabulary; its memos live as long as a Python worker."""
 
     def __init__(self, vocabulary: dict):
         import ahocorasick
@@ -214,40 +214,35 @@ class Decoder:
         return text[1:] if len(ids) and int(ids[0]) in self.marked else text
 
 
-def _arrow(df: DataFrame, column: str, kind: str, work) -> DataFrame:
-    """``df`` with ``column`` added (or replaced) by ``work``, which takes record batches and gives the column's arrays."""
-    keep = [c for c in df.columns if c != column]
-    schema = df.select(*keep).withColumn(column, F.lit(None).cast(kind)).schema
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, array in work(batches):
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], array], names=[*keep, column])
-
-    return df.mapInArrow(run, schema)
-
-
 def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """Add the ids of ``text`` under the model at ``path``, without begin or end ids."""
     vocabulary = df.sparkSession.sparkContext.broadcast(read_vocabulary(path))
 
-    def work(batches):
-        encoder = Encoder(vocabulary.value)
-        for batch in batches:
+    def start():
+        known = vocabulary.value  # one object for all tasks of a Python worker: the memos live on
+        encoder = known["encoder"] = known.get("encoder") or Encoder(known)
+
+        def work(batch: pa.RecordBatch):
             packed = [encoder.encode(t.as_py()) for t in batch.column(text)]
             ends = np.cumsum([0, *map(len, packed)]) // 4
-            yield batch, pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.frombuffer(b"".join(packed), np.int32)))
+            return [pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.frombuffer(b"".join(packed), np.int32)))]
+
+        return work
 
-    return _arrow(df, ids, "array<int>", work)
+    return add_columns(df, f"{ids} array<int>", start)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """Add the text that ``ids`` stand for; null ids give an empty text."""
     vocabulary = df.sparkSession.sparkContext.broadcast(read_vocabulary(path))
 
-    def work(batches):
+    def start():
         decoder = Decoder(vocabulary.value)
-        for batch in batches:
+
+        def work(batch: pa.RecordBatch):
             lists = batch.column(ids)
-            yield batch, pa.array([decoder.decode(x.values.to_numpy(zero_copy_only=False)) if x.is_valid else "" for x in lists], pa.string())
+            return [pa.array([decoder.decode(x.values.to_numpy(zero_copy_only=False)) if x.is_valid else "" for x in lists], pa.string())]
+
+        return work
 
-    return _arrow(df, text, "string", work)
+    return add_columns(df, f"{text} string", start)
