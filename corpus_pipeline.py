@@ -1,25 +1,64 @@
-"""A corpus pipeline of the training-data operators: each stage takes the documents that its predecessor kept."""
+"""A corpus pipeline of the training-data operators.
+
+Each stage takes all documents that its predecessor kept, written as Parquet
+and read again, and returns the columns of ``documents``; the last one adds
+the token ids.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from signals.llm import jaccard, mixing, pii, quality_rules, sentencepieces
+from signals.llm.common import stored
+
+TOKENIZER = "piece_bpe_32k.model"
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules reject go."""
+    return quality_rules.keep_good(docs)
+
 
-from signals.llm.quality_rules import keep_good
+def one_per_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document stays of each class of linked shingle sets."""
+    return jaccard.one_of_each(docs)
 
 
-def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return keep_good(docs)
+def without_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by its kind; n_chars follows the text."""
+    clean = pii.redact(docs, pii.fit(docs))
+    return clean.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
-STAGES = [("quality_rules", quality_rules)]
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its source's budget takes it."""
+    return mixing.mixed(docs)
+
+
+def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All columns with the ids, their number, and whether they decode to the text."""
+    path = public_tokenizers.path(TOKENIZER)
+    coded = sentencepieces.decode(sentencepieces.encode(docs, path), path)
+    same = F.coalesce(F.col("decoded") == F.coalesce("text", F.lit("")), F.lit(False))
+    return coded.select(*docs.columns, "ids", F.size("ids").cast("long").alias("n_tokens"), same.alias("decodes"))
+
+
+STAGES = [
+    ("quality_rules", good_quality),
+    ("ngram_jaccard", one_per_class),
+    ("pii", without_pii),
+    ("mixing", mixed_sources),
+    ("sentencepiece", tokenized),
+]
 
 #: SQL has no form of the tagger's and the tokenizer's stages.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from signals.llm.common import stored
-
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
