@@ -53,7 +53,7 @@ def targets(sizes: list[int], weights=WEIGHTS, max_repeat: int = MAX_REPEAT) ->
 
 
 def fill(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """How many documents of each length to take so that their words come as near ``budget`` from below as can be."""
+    """How many documents of each length to take, the even share at least, so that their words come nearest to ``budget``."""
     total = int((lengths * counts).sum())
     take = np.zeros(len(lengths), np.int64)
     if budget <= 0 or total == 0:
@@ -68,17 +68,21 @@ def fill(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
         take[i], left[i], rest = take[i] + n, left[i] - n, rest - n * int(lengths[i])
     if rest > WINDOW:  # no document is left that is short enough to matter
         return take
-    mask = (1 << (rest + 1)) - 1
+    room = 2 * rest  # a sum beyond it is farther off than none
+    mask = (1 << (room + 1)) - 1
     reach, layers, items = 1, [], []
     for i in reversed(order):  # shortest first; counts split into powers of two
-        n, size = min(int(left[i]), rest // int(lengths[i])), 1
+        n, size = min(int(left[i]), room // int(lengths[i])), 1
         while n > 0 and not reach >> rest & 1:
             size = min(size, n)
             layers.append(reach)
             items.append((i, size))
             reach |= reach << (size * int(lengths[i])) & mask
             n, size = n - size, size * 2
-    at = reach.bit_length() - 1
+    under = (reach & ((1 << (rest + 1)) - 1)).bit_length() - 1
+    over = reach >> rest
+    above = rest + (over & -over).bit_length() - 1 if over else room + 1
+    at = under if rest - under <= above - rest else above
     for before, (i, size) in zip(reversed(layers), reversed(items)):
         if not before >> at & 1:
             take[i] += size
