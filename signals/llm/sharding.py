@@ -67,13 +67,13 @@ def propagate(classes: DataFrame, hubs: list[str], n_shards: int, capacity: int,
             fits = (F.col("label") == s) | (F.col("n") <= room[s])
             return F.struct(F.when(fits, count).otherwise(-1).alias("c"), F.pmod(turned + s, F.lit(n_shards)).alias("t"), F.lit(s).alias("s"))
 
-        wanted = voted.withColumn("to", F.greatest(*[score(s) for s in range(n_shards)])["s"]).withColumn(
+        wanted = voted.withColumn("to", F.array_max(F.array(*[score(s) for s in range(n_shards)]))["s"]).withColumn(
             "bucket", F.pmod(F.xxhash64(F.lit(seed + turn), *hubs, "label0"), F.lit(BUCKETS)).cast("int")
         )
         moves = stored(wanted.select(*hubs, "label0", "label", "n", "to", "bucket"), "shard-moves")
         incoming = moves.where("to <> label").groupBy("to", "bucket").agg(F.sum("n").alias("n")).collect()  # n_shards x BUCKETS rows at most
         allowed = []
-        for r in sorted(incoming, key=lambda r: (r["to"], r["bucket"])):
+        for r in sorted(incoming, key=lambda r: (r["to"], -r["n"], r["bucket"])):  # large classes first: small ones fit in anywhere
             if r["n"] <= room[r["to"]]:
                 room[r["to"]] -= r["n"]
                 allowed.append(r["to"] * BUCKETS + r["bucket"])
