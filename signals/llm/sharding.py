@@ -65,7 +65,10 @@ def propagate(classes: DataFrame, hubs: list[str], n_shards: int, capacity: int,
         def score(s: int) -> Column:
             count = reduce(lambda a, b: a + b, [F.coalesce(F.col(f"v_{h}")[s], F.lit(0)) for h in hubs])
             fits = (F.col("label") == s) | (F.col("n") <= room[s])
-            return F.struct(F.when(fits, count).otherwise(-1).alias("c"), F.pmod(turned + s, F.lit(n_shards)).alias("t"), F.lit(s).alias("s"))
+            # first the shards that have room for all of the finest hub's members elsewhere
+            whole = (F.coalesce(F.col(f"n_{hubs[0]}"), F.lit(0)) - F.coalesce(F.col(f"v_{hubs[0]}")[s], F.lit(0)) <= room[s]).cast("int")
+            rank = F.when(fits, whole).otherwise(-1)
+            return F.struct(rank.alias("w"), count.alias("c"), F.pmod(turned + s, F.lit(n_shards)).alias("t"), F.lit(s).alias("s"))
 
         wanted = voted.withColumn("to", F.array_max(F.array(*[score(s) for s in range(n_shards)]))["s"]).withColumn(
             "bucket", F.pmod(F.xxhash64(F.lit(seed + turn), *hubs, "label0"), F.lit(BUCKETS)).cast("int")
