@@ -48,7 +48,6 @@ from signals.operators.schema import (  # noqa: F401  D1-D7
     training_history,
 )
 from signals.operators.sequence import arrival_sequence  # noqa: F401
-from signals.plans.broadcast import bounded_broadcast  # noqa: F401
 from signals.operators.tail import latest_global, latest_per_source, latest_view, retain_latest  # noqa: F401  B2-B5
 from signals.operators.tenancy import (  # noqa: F401  E1-E5
     all_healthy,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -29,44 +29,35 @@ def explain(
 
     z = (value - mean) / population stddev of that feature over all rows
     (0 when the feature does not vary). Output: key, ``rank`` (1..n),
-    ``feature``, ``value``, ``z``. Ties in |z| go to the feature name.
-
-    Without ``stats`` it is one lazy plan: the per-feature statistics (one
-    row per feature column) are broadcast to the unpivoted rows and the
-    ranking runs within each entity after a shuffle by entity. With
-    ``stats`` (from ``feature_stats``, e.g. over a materialised feature
-    table) the ranking is done inside each entity's row: no join, no shuffle.
+    ``feature``, ``value``, ``z``. Ties in |z| go to the feature name; a null
+    value ranks last. The ranking is done inside each entity's row: nothing
+    row-sized is shuffled. Without ``stats`` (from ``feature_stats``) the
+    statistics are a one-row aggregate of the same plan.
     """
     key = list(key)
-    if stats is not None:
-        ents = []
-        for c in feature_cols:
-            mu, sd = stats[c]
-            x = F.col(c).cast("double")
-            if sd is not None and sd > 0:
-                z = (x - F.lit(float(mu))) / F.lit(float(sd))
-            else:
-                z = F.lit(0.0)
-            ents.append(
-                F.struct((-F.round(F.abs(z), 6)).alias("o"), F.lit(c).alias("feature"), x.alias("value"), z.alias("z"))
-            )
-        top = F.slice(F.array_sort(F.array(*ents)), 1, n)
-        exploded = features.select(*key, F.posexplode(top).alias("__pos", "__e"))
-        return exploded.select(
-            *key, (F.col("__pos") + 1).cast("bigint").alias("rank"),
-            F.col("__e.feature").alias("feature"), F.col("__e.value").alias("value"), F.col("__e.z").alias("z"),
-        )
-    long = features.select(*key, *[F.col(c).cast("double").alias(c) for c in feature_cols]).unpivot(
-        key, list(feature_cols), "feature", "value"
-    )
-    st = long.groupBy("feature").agg(F.avg("value").alias("__mean"), F.stddev_pop("value").alias("__sd"))
-    z = F.when(F.col("__sd") > 0, (F.col("value") - F.col("__mean")) / F.col("__sd")).otherwise(F.lit(0.0))
-    scored = long.join(F.broadcast(st), "feature").withColumn("z", z)
-    w = Window.partitionBy(*key).orderBy(F.round(F.abs(F.col("z")), 6).desc(), F.col("feature"))
-    return (
-        scored.withColumn("rank", F.row_number().over(w).cast("bigint"))
-        .filter(F.col("rank") <= n)
-        .select(*key, "rank", "feature", "value", "z")
+    df = features
+    if stats is None:
+        x = [F.col(c).cast("double") for c in feature_cols]
+        one = features.agg(F.array(*[F.avg(c) for c in x]).alias("__mu"), F.array(*[F.stddev_pop(c) for c in x]).alias("__sd"))
+        df = features.crossJoin(F.broadcast(one))  # one row
+
+    def moments(i: int, c: str):
+        if stats is None:
+            return F.col("__mu")[i], F.col("__sd")[i]
+        return tuple(F.lit(None if v is None else float(v)).cast("double") for v in stats[c])
+
+    ents = []
+    for i, c in enumerate(feature_cols):
+        x = F.col(c).cast("double")
+        mu, sd = moments(i, c)
+        z = F.when(sd > 0, (x - mu) / sd).otherwise(F.lit(0.0))
+        order = F.coalesce(-F.round(F.abs(z), 6), F.lit(1.0))
+        ents.append(F.struct(order.alias("o"), F.lit(c).alias("feature"), x.alias("value"), z.alias("z")))
+    top = F.slice(F.array_sort(F.array(*ents)), 1, n)
+    exploded = df.select(*key, F.posexplode(top).alias("__pos", "__e"))
+    return exploded.select(
+        *key, (F.col("__pos") + 1).cast("bigint").alias("rank"),
+        F.col("__e.feature").alias("feature"), F.col("__e.value").alias("value"), F.col("__e.z").alias("z"),
     )
 
 
@@ -137,10 +128,12 @@ def isolation_forest_fit(
 ) -> DataFrame:
     """Fit an isolation forest; returns the trees as node rows.
 
-    Tree membership is a deterministic hash of the row id: rows fall into
-    ``ceil(N / sample)`` buckets and tree ``t`` is built on bucket
-    ``t mod buckets`` (so every tree sees about ``sample`` rows, and small
-    inputs are shared by several trees). Each tree is grown in one
+    Tree membership is a deterministic hash of the row (ids and features):
+    rows fall into ``ceil(N / sample)`` buckets and tree ``t`` is built on
+    bucket ``t mod buckets`` (so every tree sees about ``sample`` rows, and
+    small inputs are shared by several trees). The fit is a sample, as the
+    algorithm has it: about ``trees * sample`` rows when there are more;
+    scoring covers every row. Each tree is grown in one
     ``applyInPandas`` group of ~``sample`` rows, with its own random stream.
     The result has at most trees x (2 x sample) rows. ``features`` is read
     twice here (count, membership) and once more by scoring: pass a
@@ -149,13 +142,9 @@ def isolation_forest_fit(
     feature_cols, id_cols = list(feature_cols), list(id_cols)
     n = features.count()
     buckets = max(1, -(-n // sample))
-    h = F.pmod(F.xxhash64(*[F.col(c) for c in id_cols], F.lit(seed)), F.lit(buckets))
-    if buckets >= trees:
-        member = features.withColumn("__b", h).filter(F.col("__b") < trees).withColumn("tree_id", F.col("__b").cast("int"))
-    else:
-        member = features.withColumn("__b", h).withColumn(
-            "tree_id", F.explode(F.sequence(F.col("__b").cast("int"), F.lit(trees - 1), F.lit(buckets)))
-        )
+    h = F.pmod(F.xxhash64(*[F.col(c) for c in dict.fromkeys([*id_cols, *feature_cols])], F.lit(seed)), F.lit(buckets))
+    member = features.withColumn("__b", h).filter(F.col("__b") < trees)
+    member = member.withColumn("tree_id", F.explode(F.sequence(F.col("__b").cast("int"), F.lit(trees - 1), F.lit(int(min(buckets, trees))))))
     x = member.select("tree_id", *[F.col(c).cast("double").alias(c) for c in feature_cols])
     return x.groupBy("tree_id").applyInPandas(_tree_builder(feature_cols, seed), NODE_SCHEMA)
 
@@ -252,14 +241,7 @@ def reconstruction_score(
     scaler = StandardScaler(inputCol="__raw", outputCol="__z", withMean=True, withStd=True).fit(vec)
     z = scaler.transform(vec)
     pca = PCA(k=min(k, len(cols)), inputCol="__z", outputCol="__p").fit(z)
-    pc = pca.pc.toArray()  # d x k
-    t = pca.transform(z).withColumn("__za", vector_to_array("__z")).withColumn("__pa", vector_to_array("__p"))
-    err = None
-    for j in range(len(cols)):
-        recon = None
-        for i in range(pc.shape[1]):
-            term = F.col("__pa")[i] * F.lit(float(pc[j, i]))
-            recon = term if recon is None else recon + term
-        d = F.col("__za")[j] - recon
-        err = d * d if err is None else err + d * d
-    return t.withColumn(score_col, err).drop("__raw", "__z", "__p", "__za", "__pa")
+    # the components are orthonormal: what the projection misses is |z|^2 - |p|^2
+    square = lambda v: F.aggregate(vector_to_array(v), F.lit(0.0), lambda a, x: a + x * x)
+    err = F.greatest(square("__z") - square("__p"), F.lit(0.0))
+    return pca.transform(z).withColumn(score_col, err).drop("__raw", "__z", "__p")

@@ -13,7 +13,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from signals.streaming.time import event_time_for
+from signals.streaming.time import bound_of, event_time_for
 
 
 @dataclass(frozen=True)
@@ -62,17 +62,11 @@ def _windowed(df: DataFrame, ts_col: str, window: str, slide: str | None, waterm
     return df, w
 
 
-def _finish(agg: DataFrame, ts_type_ntz: bool) -> DataFrame:
-    start, end = F.col("window.start"), F.col("window.end")
-    if ts_type_ntz:
-        start, end = start.cast("timestamp_ntz"), end.cast("timestamp_ntz")
+def _finish(agg: DataFrame, source: DataFrame, ts_col: str, watermark: str | None) -> DataFrame:
+    start, end = (bound_of(F.col(f"window.{x}"), source, ts_col, watermark) for x in ("start", "end"))
     return agg.withColumn("window_start", start).withColumn("window_end", end).drop("window")
 
 
-def _is_ntz(df: DataFrame, ts_col: str) -> bool:
-    return df.schema[ts_col].dataType.typeName() == "timestamp_ntz"
-
-
 def detect_threshold(
     df: DataFrame,
     key: str | Sequence[str],
@@ -97,7 +91,7 @@ def detect_threshold(
     that start at local midnight in a non-UTC session (the flagship does).
     """
     keys = _keys(key)
-    ntz = _is_ntz(df, ts_col)
+    source = df
     df, w = _windowed(df, ts_col, window, slide, watermark)
     if agg == "count":
         a = F.count(F.lit(1))
@@ -108,7 +102,7 @@ def detect_threshold(
     else:
         raise ValueError(f"unknown aggregate {agg!r}")
     res = df.groupBy(*keys, w.alias("window")).agg(a.alias(out)).filter(F.col(out) >= F.lit(threshold))
-    return _finish(res, ntz)
+    return _finish(res, source, ts_col, watermark)
 
 
 def detect_syn_flood(
@@ -128,7 +122,7 @@ def detect_syn_flood(
     Output: ``dst_col``, ``window_start``, ``window_end``, ``syn_packets``,
     ``n_sources`` (distinct sources; approximate on a stream).
     """
-    ntz = _is_ntz(df, ts_col)
+    source = df
     syn = df.filter(F.col(flag_col) == F.lit("SYN"))
     syn, w = _windowed(syn, ts_col, window, slide, watermark)
     distinct = F.approx_count_distinct(src_col) if syn.isStreaming else F.count_distinct(F.col(src_col))
@@ -137,7 +131,7 @@ def detect_syn_flood(
         .agg(F.sum(F.col(packets_col)).alias("syn_packets"), distinct.alias("n_sources"))
         .filter(F.col("syn_packets") >= F.lit(threshold))
     )
-    return _finish(res, ntz)
+    return _finish(res, source, ts_col, watermark)
 
 
 def entity_features(
@@ -158,7 +152,7 @@ def entity_features(
     ``last_hour``.
     """
     keys = _keys(key)
-    ntz = _is_ntz(df, ts_col)
+    source = df
     hour = F.hour(F.col(ts_col))
     df, w = _windowed(df, ts_col, window, None, watermark)
     aggs = [F.count(F.lit(1)).alias("n_events")]
@@ -173,7 +167,7 @@ def entity_features(
     aggs.append(F.bit_count(F.bit_or(F.pow(F.lit(2), hour).cast("int"))).cast("bigint").alias("n_hours"))
     aggs += [F.min(hour).alias("first_hour"), F.max(hour).alias("last_hour")]
     res = df.groupBy(*keys, w.alias("window")).agg(*aggs)
-    return _finish(res, ntz)
+    return _finish(res, source, ts_col, watermark)
 
 
 def brute_force_login(

@@ -4,7 +4,8 @@ All patterns are evaluated in one projection. Patterns without regex
 metacharacters use ``contains`` (a byte search, no regex engine). A regex
 with a required literal (e.g. '@' in an e-mail pattern) is guarded by a
 ``contains`` of it, so texts without it skip the regex; for mode ``any``
-the remaining regexes are folded into one alternation.
+the remaining regexes without groups are folded into one alternation (groups
+would change their numbers there). Regexes mean what they mean in Python.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from signals.operators.parse import to_java_regex
+from signals.operators.parse import python_semantics, to_java_regex
 
 _META = re.compile(r"[\\.^$|?*+()\[\]{}]")
 
@@ -55,11 +56,15 @@ def required_literal(pattern: str) -> str | None:
     return best or None
 
 
+def _java(pattern: str) -> str:
+    return python_semantics(to_java_regex(pattern))
+
+
 def _match(c: Column, pattern: str, fixed: bool) -> Column:
     if fixed or is_literal(pattern):
         return c.contains(pattern)
     lit = required_literal(pattern)
-    m = c.rlike(to_java_regex(pattern))
+    m = c.rlike(_java(pattern))
     # A byte search first: most texts lack the literal and never reach the regex engine.
     return (c.contains(lit) & m) if lit else m
 
@@ -77,10 +82,12 @@ def grep_match(c: Column | str, patterns: Sequence[str], mode: str = "any", fixe
         parts = [col.contains(p) for p in lits]
         guarded = [p for p in regs if required_literal(p)]
         free = [p for p in regs if not required_literal(p)]
-        parts += [_match(col, p, False) for p in guarded]
+        own = [p for p in free if re.compile(p).groups]
+        free = [p for p in free if p not in own]
+        parts += [_match(col, p, False) for p in [*guarded, *own]]
         if free:
             # patterns without a required literal share one alternation: one regex scan per text
-            parts.append(col.rlike("|".join(f"(?:{to_java_regex(p)})" for p in free)))
+            parts.append(col.rlike("|".join(f"(?:{_java(p)})" for p in free)))
         hit = reduce(lambda a, b: a | b, parts)
         hit = F.coalesce(hit, F.lit(False))
         return ~hit if mode == "none" else hit

@@ -42,7 +42,7 @@ def _null_map() -> Column:
 def kv_parse(
     c: Column | str,
     separator: str = "=",
-    delimiter: str = " ",
+    delimiter: str | None = " ",
     drop_empty_keys: bool = False,
     whitespace: str = PY_WHITESPACE,
     first_seen_order: bool = False,
@@ -60,12 +60,17 @@ def kv_parse(
     they are in order of first appearance, as a Python dict or JS object
     built by assignment keeps them (for previews; about twice the cost).
     """
-    if not isinstance(separator, str) or not isinstance(delimiter, str):
-        raise ValueError("separator and delimiter must be strings")
+    if not isinstance(separator, str) or not isinstance(delimiter, (str, type(None))):
+        raise ValueError("the separator must be a string, the delimiter a string or null")
     if separator == "" or delimiter == "":
         raise ValueError("empty separator")
     n = len(separator)
-    frags = F.filter(literal_split(_col(c), delimiter), lambda p: F.instr(p, separator) > 0)
+    if delimiter is None:  # any run of white space, as Python's split() without an argument
+        spaces = "[" + "".join(f"\\x{{{ord(x):x}}}" for x in PY_WHITESPACE) + "]+"
+        pieces = F.split(_col(c), spaces)
+    else:
+        pieces = literal_split(_col(c), delimiter)
+    frags = F.filter(pieces, lambda p: F.instr(p, separator) > 0)
     entries = F.transform(
         frags,
         lambda p, i: F.struct(

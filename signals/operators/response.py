@@ -7,7 +7,8 @@ from typing import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signals.streaming.time import event_time_for
+from signals.session import small_table
+from signals.streaming.time import bound_of, event_time_for
 
 # Workflow and playbook names the response API lists.
 WORKFLOWS = ("Block_IP", "Isolate_Host")
@@ -20,7 +21,7 @@ def policy_table(spark: SparkSession, policy: Mapping[str, str | Sequence[str]])
     for rule, acts in policy.items():
         for a in [acts] if isinstance(acts, str) else acts:
             rows.append((rule, a))
-    return spark.createDataFrame(rows, "rule string, action string")
+    return small_table(spark, rows, "rule string, action string")
 
 
 def assign_responses(
@@ -37,18 +38,17 @@ def assign_responses(
 
     ``queue`` has one row per entity + action + window with
     ``n_detections`` and the first detection id. ``unmatched`` holds the
-    detections whose rule has no policy (left anti join). The policy is a
-    broadcast dimension; on a stream the window carries a watermark.
+    detections whose rule has no policy (left anti join). On a stream the
+    window carries a watermark.
     """
     ent = list(entity)
-    pol = F.broadcast(policy.select(F.col("rule").alias("__rule"), "action"))
-    ntz = detections.schema[ts_col].dataType.typeName() == "timestamp_ntz"
+    pol = policy.select(F.col("rule").alias("__rule"), "action")
     matched = detections.join(pol, F.col(rule_col) == F.col("__rule"), "inner")
     matched, ts = event_time_for(matched, ts_col, watermark)
     queue = matched.groupBy(*ent, "action", F.window(ts, window).alias("w")).agg(
         F.count(F.lit(1)).alias("n_detections"), F.min(id_col).alias("first_event_id")
     )
-    start = F.col("w.start").cast("timestamp_ntz") if ntz else F.col("w.start")
+    start = bound_of(F.col("w.start"), detections, ts_col, watermark)
     queue = queue.withColumn("window_start", start).drop("w")
     unmatched = detections.join(pol, F.col(rule_col) == F.col("__rule"), "left_anti")
     return queue, unmatched
@@ -66,19 +66,15 @@ def first_responses(
     """Streaming response queue that acts on the first detection (F10, low latency).
 
     Each (entity, action, window) is emitted once, as soon as its first
-    detection arrives (``dropDuplicatesWithinWatermark``), instead of when the
-    window closes. Duplicate state is dropped once the watermark passes.
+    detection arrives, instead of when the window closes. The window itself is
+    among the keys, so their state lives until the watermark passes its end.
     Output: entity columns, ``action``, ``window_start``, the detection's id
     and time. Batch input gives the same keys as ``assign_responses``.
     """
     ent = list(entity)
-    pol = F.broadcast(policy.select(F.col("rule").alias("__rule"), "action"))
-    ntz = detections.schema[ts_col].dataType.typeName() == "timestamp_ntz"
+    pol = policy.select(F.col("rule").alias("__rule"), "action")
     matched = detections.join(pol, F.col(rule_col) == F.col("__rule"), "inner").drop("__rule")
     matched, ts = event_time_for(matched, ts_col, watermark)
-    start = F.window(ts, window).start
-    matched = matched.withColumn("window_start", start.cast("timestamp_ntz") if ntz else start)
-    keys = [*ent, "action", "window_start"]
-    if matched.isStreaming:
-        return matched.dropDuplicatesWithinWatermark(keys)
-    return matched.dropDuplicates(keys)
+    first = matched.withColumn("__w", F.window(ts, window)).dropDuplicates([*ent, "action", "__w"])
+    start = bound_of(F.col("__w.start"), detections, ts_col, watermark)
+    return first.withColumn("window_start", start).drop("__w", f"__{ts_col}_ts")

@@ -9,6 +9,7 @@ small catalog.
 from __future__ import annotations
 
 from fractions import Fraction
+from functools import reduce
 from typing import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -58,8 +59,10 @@ def infer_schema(
         F.count_if(nonempty & is_ipv4(F.col("__v"))).alias("__n_ip_address"),
         F.count_if(nonempty & is_integer(F.col("__v"))).alias("__n_integer"),
     )
-    w = Window.partitionBy(*group)
-    agg = agg.withColumn("n_rows", F.sum("__first").over(w)).filter(F.col("name").isNotNull())
+    # one row per group, joined back: the keys of a log type may be very many
+    totals = agg.groupBy(*[F.col(g).alias(f"__t_{g}") for g in group]).agg(F.sum("__first").alias("n_rows"))
+    same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"__t_{g}")) for g in group])
+    agg = agg.filter(F.col("name").isNotNull()).join(totals, same).drop(*[f"__t_{g}" for g in group])
     nv = F.col("n_values")
     typ = F.lit("string")
     match = F.col("n_present")
@@ -106,7 +109,6 @@ def schema_fit(
     schema: DataFrame,
     map_col: str = "parsed",
     group: Sequence[str] = GROUP,
-    max_broadcast_rows: int = 200_000,
 ) -> DataFrame:
     """How well a given schema fits parsed data, per group (D2 for any schema).
 
@@ -115,15 +117,12 @@ def schema_fit(
     100 x non-empty values of the schema's fields that match their field
     type / all non-empty values of those fields (2 decimals; 100 when there
     are none). Keys outside the schema do not count. One pass: the exploded
-    entries are left-joined with the schema (broadcast when its size is
-    within ``max_broadcast_rows``) and aggregated partially before the shuffle.
+    entries are left-joined with the schema (Spark picks the join by its size)
+    and aggregated partially before the shuffle.
     """
-    from signals.plans.broadcast import bounded_broadcast
-
     group = list(group)
     e = df.select(*group, F.posexplode_outer(F.col(map_col)).alias("__pos", "__name", "__v"))
     sch = schema.select(*[F.col(g).alias(f"__s_{g}") for g in group], F.col("name").alias("__s_name"), F.col("type").alias("__type"))
-    sch = bounded_broadcast(sch, max_broadcast_rows)
     cond = F.col("__name") == F.col("__s_name")
     for g in group:
         cond = cond & (F.col(g) == F.col(f"__s_{g}"))
@@ -170,7 +169,7 @@ def history_rows(quality: DataFrame, root: str, run_time: Column | None = None,
         "tenant_id",
         "log_type",
         F.col("accuracy").cast("double").alias("accuracy"),
-        F.col("processed_count").cast("int").alias("processed_count"),
+        F.col("processed_count").cast("bigint").alias("processed_count"),
         path.alias("xml_file_path"),
         rt.cast("timestamp").alias("created_at"),
     )
@@ -225,9 +224,11 @@ def catalog_from_inference(inferred: DataFrame, version: int = 1, group: Sequenc
 
 
 def current_schema(catalog: DataFrame, group: Sequence[str] = GROUP) -> DataFrame:
-    """Rows of the newest version of every (tenant, log type)."""
-    w = Window.partitionBy(*group)
-    return catalog.withColumn("__max", F.max("version").over(w)).filter(F.col("version") == F.col("__max")).drop("__max")
+    """Rows of the newest version of every (tenant, log type) (D6); none for a schema that was emptied."""
+    newest = catalog.groupBy(*[F.col(g).alias(f"__n_{g}") for g in group]).agg(F.max("version").alias("__max"))
+    same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"__n_{g}")) for g in group])
+    rows = catalog.join(newest, same & (F.col("version") == F.col("__max"))).select(*catalog.columns)
+    return rows.filter(F.col("name").isNotNull())
 
 
 def revise_schema(
@@ -243,7 +244,9 @@ def revise_schema(
     The editor's operations: ``remove`` drops fields by 0-based position,
     ``add`` appends fields (an int adds that many default fields
     'new_field'/'string'/'Manual'), ``replace`` swaps in a whole field list.
-    Positions are renumbered. Returns the whole catalog with the new rows.
+    Positions are renumbered. A version without fields is one row with null
+    field columns, so it is known to be the newest. Returns the whole catalog
+    with the new rows.
     """
     cur = current_schema(catalog).filter((F.col("tenant_id") == tenant_id) & (F.col("log_type") == log_type))
     spark = catalog.sparkSession
@@ -251,14 +254,24 @@ def revise_schema(
         add = [NEW_FIELD] * add
     add = list(add)
     new_version = F.col("version") + F.lit(1)
-    vers = cur.groupBy("tenant_id", "log_type").agg(F.max("version").alias("version"))
+    own = (F.col("tenant_id") == tenant_id) & (F.col("log_type") == log_type)
+    vers = catalog.filter(own).groupBy("tenant_id", "log_type").agg(F.max("version").alias("version"))
+
+    def with_version(new: DataFrame) -> DataFrame:
+        none = F.lit(None)
+        empty = vers.join(new.select("tenant_id", "log_type").distinct(), ["tenant_id", "log_type"], "left_anti").select(
+            "tenant_id", "log_type", new_version.cast("int").alias("version"), none.cast("int").alias("pos"),
+            none.cast("string").alias("name"), none.cast("string").alias("type"), none.cast("string").alias("confidence"),
+        )
+        return catalog.unionByName(new.select(*CATALOG_COLS)).unionByName(empty)
+
     if replace is not None:
         items = [(tenant_id, log_type, i, n, t, c) for i, (n, t, c) in enumerate(replace)]
         rows = spark.createDataFrame(items, "tenant_id string, log_type string, pos int, name string, type string, confidence string")
         new = vers.join(F.broadcast(rows), ["tenant_id", "log_type"]).select(
             "tenant_id", "log_type", new_version.cast("int").alias("version"), "pos", "name", "type", "confidence"
         )
-        return catalog.unionByName(new)
+        return with_version(new)
     removed = set(int(r) for r in remove)
     kept = cur.filter(~F.col("pos").isin(list(removed))) if removed else cur
     w = Window.partitionBy("tenant_id", "log_type").orderBy("pos")
@@ -282,18 +295,24 @@ def revise_schema(
             )
         )
         new = new.unionByName(extra)
-    return catalog.unionByName(new.select(*CATALOG_COLS))
+    return with_version(new)
 
 
 def schema_diff(before: DataFrame, after: DataFrame, group: Sequence[str] = GROUP) -> DataFrame:
     """Before/after field lists side by side with a verdict per field.
 
-    ``verdict`` is ``added``, ``removed``, ``changed`` (type differs) or ``same``.
+    ``verdict`` is ``added``, ``removed``, ``changed`` (type differs) or
+    ``same``. Fields that share a name are paired in the order of their
+    positions, first with first.
     """
-    keys = [*group, "name"]
-    b = before.select(*keys, F.col("type").alias("before_type"))
-    a = after.select(*keys, F.col("type").alias("after_type"))
-    j = b.join(a, keys, "full_outer")
+    keys = [*group, "name", "__nth"]
+
+    def side(df: DataFrame, out: str) -> DataFrame:
+        order = ["pos", "type"] if "pos" in df.columns else ["type"]
+        nth = F.row_number().over(Window.partitionBy(*group, "name").orderBy(*order))
+        return df.withColumn("__nth", nth).select(*keys, F.col("type").alias(out))
+
+    j = side(before, "before_type").join(side(after, "after_type"), keys, "full_outer").drop("__nth")
     verdict = (
         F.when(F.col("before_type").isNull(), F.lit("added"))
         .when(F.col("after_type").isNull(), F.lit("removed"))

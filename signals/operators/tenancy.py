@@ -7,7 +7,8 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signals.streaming.time import event_time_for
+from signals.session import small_table
+from signals.streaming.time import bound_of, event_time_for
 
 # Modules granted per license tier.
 TIER_MODULES = {
@@ -28,17 +29,17 @@ TENANT_ID_PATTERN = r"^[a-zA-Z0-9_-]{2,64}\z"
 def grants_table(spark: SparkSession, tiers: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
     """(tier, module_id) rows: basic 5, standard 8, enterprise 11."""
     t = tiers or TIER_MODULES
-    return spark.createDataFrame([(k, m) for k, ms in t.items() for m in ms], "tier string, module_id string")
+    return small_table(spark, [(k, m) for k, ms in t.items() for m in ms], "tier string, module_id string")
 
 
 def tenants_table(spark: SparkSession, tiers: Mapping[str, str] | None = None) -> DataFrame:
     t = tiers or TENANT_TIERS
-    return spark.createDataFrame(list(t.items()), "tenant_id string, tier string")
+    return small_table(spark, list(t.items()), "tenant_id string, tier string")
 
 
 def limits_table(spark: SparkSession, limits: Mapping[str, tuple[float, int]] | None = None) -> DataFrame:
     l = limits or TENANT_LIMITS
-    return spark.createDataFrame([(k, float(e), int(m)) for k, (e, m) in l.items()], "tenant_id string, max_eps double, max_models int")
+    return small_table(spark, [(k, float(e), int(m)) for k, (e, m) in l.items()], "tenant_id string, max_eps double, max_models int")
 
 
 def valid_tenant(c: Column | str) -> Column:
@@ -51,37 +52,41 @@ def entitled(df: DataFrame, tenants: DataFrame, grants: DataFrame, module_col: s
     """Keep rows whose module is granted to their tenant's tier.
 
     The tier is lower-cased; a tenant with an unknown tier (or none) keeps
-    nothing. Both dimension tables are small configuration: broadcast.
+    nothing, one with several tiers keeps what any of them grants. The two
+    dimension tables are joined first; the semi-join keeps each row once.
     """
-    t = F.broadcast(tenants.select(F.col("tenant_id").alias("__t"), F.lower(F.col("tier")).alias("__tier")))
-    g = F.broadcast(grants.select(F.col("tier").alias("__g_tier"), F.col("module_id").alias("__g_mod")))
-    withtier = df.join(t, df["tenant_id"] == F.col("__t"), "inner")
-    kept = withtier.join(g, (F.col("__tier") == F.col("__g_tier")) & (F.col(module_col) == F.col("__g_mod")), "left_semi")
-    return kept.drop("__t", "__tier")
+    t = tenants.select(F.col("tenant_id").alias("__t"), F.lower(F.col("tier")).alias("__tier"))
+    g = grants.select(F.col("tier").alias("__g_tier"), F.col("module_id").alias("__g_mod"))
+    allowed = t.join(g, F.col("__tier") == F.col("__g_tier")).select("__t", "__g_mod")
+    return df.join(allowed, (F.col("tenant_id") == F.col("__t")) & (F.col(module_col) == F.col("__g_mod")), "left_semi")
 
 
 def source_status(
     reports: DataFrame,
     key: Sequence[str] = ("tenant_id", "source_id"),
     ts_col: str = "ts",
+    order: Sequence[str] = (),
 ) -> DataFrame:
     """Per (tenant, source): running, healthy, last_error, config.
 
     ``reports`` are poll/progress rows (``running``, ``healthy``, ``error``,
     ``n_records``, ``config``), e.g. written by ``signals.streaming.listener``.
-    State comes from the newest report. An error stays reported until a
+    State comes from the newest report; of reports with the same ``ts`` the
+    one that is last in the ``order`` columns (e.g. a batch number). An error stays reported until a
     later report delivered data (the reference cleared it on the next empty
     poll); a source with a pending error is not healthy.
     """
     k = list(key)
-    ts = F.col(ts_col)
+    ts = F.struct(F.col(ts_col), *order)
+    failed = F.col("error").isNotNull()
     g = reports.groupBy(*k).agg(
-        F.max_by(F.struct("running", "healthy", "config"), ts).alias("__last"),
-        F.max(F.when(F.col("error").isNotNull(), ts)).alias("__err_ts"),
-        F.max_by(F.col("error"), F.when(F.col("error").isNotNull(), ts)).alias("__err"),
+        # ties that no order column breaks go to the greatest state, so results don't depend on the rows' order
+        F.max_by(F.struct("running", "healthy", "config"), F.struct(ts, "running", "healthy", F.col("config").cast("string").alias("text"))).alias("__last"),
+        F.max(F.when(failed, ts)).alias("__err_ts"),
+        F.max(F.when(failed, F.struct(ts.alias("at"), F.col("error").alias("error")))).alias("__err_row"),
         F.max(F.when(F.col("n_records") > 0, ts)).alias("__data_ts"),
-        F.max(ts).alias("last_report"),
-    )
+        F.max(F.col(ts_col)).alias("last_report"),
+    ).withColumn("__err", F.col("__err_row.error"))
     pending = F.col("__err_ts").isNotNull() & (F.col("__data_ts").isNull() | (F.col("__data_ts") < F.col("__err_ts")))
     return g.select(
         *k,
@@ -113,17 +118,16 @@ def eps_violations(
 
     Count per tenant and ``per`` window; the allowance is ``max_eps`` x the
     window's seconds. Output: tenant_id, window_start, n_events, allowed,
-    overage. The limits are a broadcast dimension joined before the
-    aggregation (map side), which also keeps the plan valid on a stream; a
+    overage. The limits are joined before the aggregation (on a stream they
+    have to be, and Spark broadcasts them as long as they are small); a
     stream gets a watermark (late rows past it are dropped and counted in
     the query progress, see ``signals.streaming.listener.late_rows``).
     """
-    ntz = df.schema[ts_col].dataType.typeName() == "timestamp_ntz"
-    lim = F.broadcast(limits.select(F.col("tenant_id").alias("__lt"), "max_eps"))
+    lim = limits.select(F.col("tenant_id").alias("__lt"), "max_eps")
     j = df.join(lim, F.col("tenant_id") == F.col("__lt"))
     d, ts = event_time_for(j, ts_col, watermark)
     c = d.groupBy("tenant_id", "max_eps", F.window(ts, per).alias("w")).agg(F.count(F.lit(1)).alias("n_events"))
     allowed = F.col("max_eps") * _seconds(F.col("w.start"), F.col("w.end"))
-    start = F.col("w.start").cast("timestamp_ntz") if ntz else F.col("w.start")
+    start = bound_of(F.col("w.start"), j, ts_col, watermark)
     out = c.select("tenant_id", start.alias("window_start"), "n_events", allowed.alias("allowed"))
     return out.filter(F.col("n_events") > F.col("allowed")).withColumn("overage", F.col("n_events") - F.col("allowed"))

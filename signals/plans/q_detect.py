@@ -200,7 +200,8 @@ def f8_risk_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"WITH {DET_SQL}, {WEIGHTS_SQL}, {SCORES_SQL} SELECT * FROM rk WHERE tenant_id = 'acme' ORDER BY score DESC, entity LIMIT 10",
 )
 def f9_top_risks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return top_risks(scores(spark, sf_dir), "acme", 10)
+    own = detections(spark, sf_dir).filter(F.col("tenant_id") == "acme").withColumnRenamed("user", "entity")
+    return top_risks(risk_scores(own), "acme", 10)
 
 
 # ------------------------------------------------------------------ F10 response

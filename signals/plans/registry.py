@@ -32,6 +32,7 @@ def register(name: str, oracle: str | None = None) -> Callable[[QueryFn], QueryF
 def load_all() -> None:
     """Import every query module so its ``register`` calls run."""
     from signals.plans import (  # noqa: F401
+        q_cases,
         q_detect,
         q_parse,
         q_schema,

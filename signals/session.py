@@ -36,12 +36,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def shared_dir(spark: SparkSession) -> str:
     """Folder shared by all executors, as named by ``spark.checkpoint.dir``.
 
-    The cluster's setting wins. Only when nothing is configured (local tests)
-    a folder is created and registered as the checkpoint directory.
+    The cluster's setting wins. Where none is set, a local session (all tasks
+    in this machine's process) gets a temporary folder; on a cluster, whose
+    executors would each see their own, it is an error.
     """
     conf = spark.sparkContext.getConf()
     root = conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="signals-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     elif not spark.sparkContext.getCheckpointDir():
@@ -55,6 +58,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/signals-{name}-{uuid.uuid4().hex[:12]}"
 
 
+def small_table(spark: SparkSession, rows: list[tuple], schema: str):
+    """Rows from the driver as a relation whose size Spark knows, so that it picks the join by that size."""
+    import pyarrow as pa
+    from pyspark.sql import types as T
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    kinds = to_arrow_schema(T.StructType.fromDDL(schema))
+    columns = list(zip(*rows)) if rows else [()] * len(kinds)
+    return spark.createDataFrame(pa.table([pa.array(list(c), f.type) for c, f in zip(columns, kinds)], schema=kinds))
+
+
 def materialize(df):
     """Compute ``df`` once and cut its lineage: a reliable checkpoint in the shared folder.
 

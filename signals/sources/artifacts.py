@@ -41,9 +41,8 @@ def schema_documents(catalog: DataFrame, run_time: Column | None = None, group:
     entry per key), so gathering it per group is bounded.
     """
     rt = run_time if run_time is not None else F.current_timestamp()
-    g = catalog.groupBy(*group).agg(
-        F.array_sort(F.collect_list(F.struct("pos", "name", "type", "confidence"))).alias("__f")
-    )
+    field = F.when(F.col("name").isNotNull(), F.struct("pos", "name", "type", "confidence"))  # an emptied schema has none
+    g = catalog.groupBy(*group).agg(F.array_sort(F.collect_list(field)).alias("__f"))
     doc = F.struct(
         F.col("tenant_id").alias("_tenant"),
         F.col("log_type").alias("_type"),
@@ -72,14 +71,11 @@ def read_schema_artifacts(spark: SparkSession, path: str) -> DataFrame:
     attributes default to name '', type 'string', confidence '100%'; a
     document without fields yields one row with null field columns.
     """
-    df = (
-        spark.read.schema(LOG_SCHEMA)
-        .option("rowTag", "LogSchema")
-        .option("recursiveFileLookup", "false")
-        .xml(path)
-        .withColumn("file_name", F.substring_index(F.col("_metadata.file_path"), "/", -1))
-    )
-    cols = [c for c in ("tenant_id", "artifact") if c in df.columns]
+    reader = spark.read.format("xml").schema(LOG_SCHEMA).option("rowTag", "LogSchema").option("recursiveFileLookup", "false")
+    cols = [c for c in ("tenant_id", "artifact") if c in reader.load(path).columns]
+    # ids are strings, also those that look like numbers
+    reader = reader.schema(T.StructType([*LOG_SCHEMA.fields, *[T.StructField(c, T.StringType()) for c in cols]]))
+    df = reader.load(path).withColumn("file_name", F.substring_index(F.col("_metadata.file_path"), "/", -1))
     x = df.select(
         F.col("_tenant").alias("tenant"),
         F.col("_type").alias("log_type"),
@@ -107,11 +103,13 @@ def schema_fields(artifacts: DataFrame, tenant: str, log_type: str, artifact: st
     collects only that list; the newest artifact is used unless one is named.
     """
     a = artifacts.filter((F.col("tenant") == tenant) & (F.col("log_type") == log_type))
+    # flat folders have no partition by artifact: there the file's name is the artifact's
+    name = F.col("artifact" if "artifact" in artifacts.columns else "file_name")
     if artifact is not None:
-        a = a.filter(F.col("artifact") == artifact)
+        a = a.filter(name == artifact)
     else:
-        latest = a.agg(F.max("artifact").alias("m")).first()
+        latest = a.agg(F.max(name).alias("m")).first()
         if latest is None or latest["m"] is None:
             return []
-        a = a.filter(F.col("artifact") == latest["m"])
+        a = a.filter(name == latest["m"])
     return [(r["name"], r["type"]) for r in a.orderBy("pos").select("name", "type").collect()]

@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 
 from signals.functions.text import decode_replace
 
+#: Names of files that Spark's text source decompresses.
+COMPRESSED = r"\.(gz|bz2|zst|lz4|snappy|deflate)$"
+
 _LOCAL_SCHEMA = "raw_data string, file_path string, __blk long, __size long, __idx long, __cum long"
 
 
@@ -97,7 +100,8 @@ def read_logs(spark: SparkSession, path: str, with_offsets: bool = True) -> Data
 
     ``line_no`` is 1-based within the file; ``offset`` is the byte position
     after the line and its terminator (``\\n``, ``\\r\\n`` or a lone ``\\r``), as a
-    tail reader's ``tell()`` reports it.
+    tail reader's ``tell()`` reports it. In compressed files it counts the
+    bytes of the text, with a line break after every line.
     """
     if not with_offsets:
         return _lines(spark, path).select("raw_data", "file_path")
@@ -113,12 +117,13 @@ def read_logs(spark: SparkSession, path: str, with_offsets: bool = True) -> Data
         F.coalesce(F.sum("__bytes").over(before), F.lit(0)).alias("__bytes_before"),
     )
     j = local.join(totals, ["file_path", "__blk"])
+    end = F.col("__bytes_before") + F.col("__cum")
     return j.select(
         "raw_data",
         "file_path",
         (F.col("__lines_before") + F.col("__idx") + 1).cast("long").alias("line_no"),
-        # the last line of a file without a final newline ends at the file size
-        F.least(F.col("__bytes_before") + F.col("__cum"), F.col("__size")).cast("long").alias("offset"),
+        # the last line of a file without a final newline ends at the file size; a compressed file's size says nothing
+        F.when(F.col("file_path").rlike(COMPRESSED), end).otherwise(F.least(end, F.col("__size"))).cast("long").alias("offset"),
     )
 
 

@@ -40,18 +40,22 @@ def read_training_metrics(spark: SparkSession, root: str, modules: DataFrame, la
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_corrupt")
     )
-    if layout == "partitioned":
-        raw = reader.json(root)
+    if layout not in ("partitioned", "files"):
+        raise ValueError("layout must be 'partitioned' or 'files'")
+    partitions = "tenant_id string, module string" if layout == "partitioned" else ""
+    if not _any_file(spark, f"{root.rstrip('/')}/*"):
+        # nothing was ever written: every metric has its defaults
+        raw, got = None, spark.createDataFrame([], "__t string, __m string, __bad boolean, trained_pct double, data_points long, last_trained_at timestamp, last_error string")
+    elif layout == "partitioned":
+        raw = reader.schema(f"{METRIC_SCHEMA}, {partitions}").json(root)  # ids are strings, also '0042'
         got = raw.select(F.col("tenant_id").alias("__t"), F.col("module").alias("__m"), *_metric_cols())
-    elif layout == "files":
+    else:
         raw = reader.json(f"{root.rstrip('/')}/*/metrics/*.json")
         path = F.col("_metadata.file_path")
         parts = F.split(path, "/")
         tenant = F.element_at(parts, -3)
         module = F.regexp_replace(F.element_at(parts, -1), r"\.json$", "")
         got = raw.select(tenant.alias("__t"), module.alias("__m"), *_metric_cols())
-    else:
-        raise ValueError("layout must be 'partitioned' or 'files'")
     j = modules.join(got, (modules["tenant_id"] == F.col("__t")) & (safe_module_name(modules["module_id"]) == F.col("__m")), "left")
     bad = F.coalesce(F.col("__bad"), F.lit(False))
     return j.select(
@@ -63,6 +67,13 @@ def read_training_metrics(spark: SparkSession, root: str, modules: DataFrame, la
     )
 
 
+def _any_file(spark: SparkSession, pattern: str) -> bool:
+    """Does a path pattern match anything, on whatever file system it is?"""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return found is not None and len(found) > 0
+
+
 def _metric_cols():
     return [
         F.col("_corrupt").isNotNull().alias("__bad"),

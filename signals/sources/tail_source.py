@@ -19,8 +19,10 @@ from 0); anything else is an error.
 
 ``maxBytesPerTrigger`` caps the bytes taken from each file per micro-batch
 (whole lines; a longer single line is taken whole), the counterpart of the
-reference's lines-per-poll limit. The cap applies from the second batch of
-a run on (a restarted query first catches up in one batch).
+reference's lines-per-poll limit. Spark asks a source for its newest offset
+before it tells where the query stands, so the capped reader takes the
+query's ``checkpoint`` folder and finds the last planned offset there: the
+cap holds from the first batch on, also after a restart.
 """
 
 from __future__ import annotations
@@ -110,29 +112,21 @@ def _next_line_start(f, pos: int, hi: int) -> int:
 
 
 class TailRange(InputPartition):
-    def __init__(self, path: str, start: int, end: int):
-        super().__init__((path, start, end))
-        self.path, self.start, self.end = path, start, end
+    """Bytes ``start`` to ``end`` of the whole lines ``lo`` to ``hi``; the task moves inner bounds to line starts."""
+
+    def __init__(self, path: str, start: int, end: int, lo: int, hi: int):
+        super().__init__((path, start, end, lo, hi))
+        self.path, self.start, self.end, self.lo, self.hi = path, start, end, lo, hi
+
+    def lines(self, f) -> tuple[int, int]:
+        start = self.start if self.start == self.lo else _next_line_start(f, self.start, self.hi)
+        return start, self.hi if self.end == self.hi else _next_line_start(f, self.end, self.hi)
 
 
 def _ranges(path: str, start: int, end: int, chunk: int) -> list[TailRange]:
-    if end <= start:
-        return []
-    if end - start <= chunk:
-        return [TailRange(path, start, end)]
-    fs, p = _fs(path)
-    cuts = [start]
-    with fs.open_input_file(p) as f:
-        pos = start + chunk
-        while pos < end:
-            c = _next_line_start(f, pos, end)
-            if c >= end:
-                break
-            if c > cuts[-1]:
-                cuts.append(c)
-            pos = c + chunk
-    cuts.append(end)
-    return [TailRange(path, a, b) for a, b in zip(cuts, cuts[1:]) if b > a]
+    """Plain byte ranges; no file is opened here."""
+    cuts = [*range(start, end, chunk), end]
+    return [TailRange(path, a, b, start, end) for a, b in zip(cuts, cuts[1:]) if b > a]
 
 
 def _split_lines(buf: bytes, base: int) -> tuple[list[str], list[int]]:
@@ -181,15 +175,16 @@ def _read_range(part: TailRange, step: int = 8 << 20) -> Iterator:
     emitted up to its last terminator (a trailing '\r' waits, it may be the first half of '\r\n')."""
     fs, p = _fs(part.path)
     with fs.open_input_file(p) as f:
-        f.seek(part.start)
-        pending, base, pos = b"", part.start, part.start
-        while pos < part.end:
-            buf = f.read(min(step, part.end - pos))
+        start, end = part.lines(f)
+        f.seek(start)
+        pending, base, pos = b"", start, start
+        while pos < end:
+            buf = f.read(min(step, end - pos))
             if not buf:
                 break
             pos += len(buf)
             data = pending + buf
-            if pos < part.end:
+            if pos < end:
                 limit = len(data) - 1 if data.endswith(b"\r") else len(data)
                 cut = max(data.rfind(b"\n", 0, limit), data.rfind(b"\r", 0, limit))
                 if cut < 0:
@@ -227,7 +222,7 @@ class _TailBatchReader(DataSourceReader):
         parts: list[TailRange] = []
         for f in _files(self.path, self.recursive):
             parts += _ranges(f, 0, _last_line_end(f, 0, _size(f)), self.chunk)
-        return parts or [TailRange(self.path, 0, 0)]
+        return parts or [TailRange(self.path, 0, 0, 0, 0)]
 
     def read(self, partition):
         if partition.end <= partition.start:
@@ -235,6 +230,20 @@ class _TailBatchReader(DataSourceReader):
         return _read_range(partition)
 
 
+def _planned_offset(checkpoint: str) -> dict | None:
+    """This source's offset in the last batch that the query planned, from the checkpoint's offset log."""
+    import json
+
+    fs, root = _fs(checkpoint.removeprefix("file://") if checkpoint.startswith("file:///") else checkpoint)
+    logs = [f for f in _files(checkpoint.rstrip("/") + "/offsets") if f.rsplit("/", 1)[-1].isdigit()]
+    if not logs:
+        return None
+    with fs.open_input_stream(_fs(max(logs, key=lambda f: int(f.rsplit("/", 1)[-1])))[1]) as f:
+        lines = f.read().decode("utf-8").split("\n")
+    found = [x for x in (json.loads(y) for y in lines[2:] if y.startswith("{")) if isinstance(x.get("files"), dict)]
+    return found[0] if found else None
+
+
 class _TailStreamReader(DataSourceStreamReader):
     def __init__(self, options):
         self.path = options["path"]
@@ -244,6 +253,11 @@ class _TailStreamReader(DataSourceStreamReader):
         cap = options.get("maxBytesPerTrigger")
         self.cap = int(cap) if cap else None
         self._last: dict | None = None  # end offsets handed out last (the next batch's start)
+        checkpoint = options.get("checkpoint")
+        if checkpoint:
+            self._last = _planned_offset(checkpoint) or self.initialOffset()
+        elif self.cap:
+            raise ValueError("maxBytesPerTrigger needs the query's checkpoint folder")
 
     def _end_for(self, f: str, prev: int) -> int:
         size = _size(f)
@@ -265,19 +279,17 @@ class _TailStreamReader(DataSourceStreamReader):
         return {"files": {f: _last_line_end(f, 0, _size(f)) for f in _files(self.path, self.recursive)}}
 
     def latestOffset(self) -> dict:
-        before = (self._last or {}).get("files", {}) if self.cap else {}
-        files = {}
+        before = (self._last or {}).get("files", {})
+        files = dict(before)  # a file that a listing misses keeps its position
         for f in _files(self.path, self.recursive):
-            prev = int(before.get(f, 0))
-            files[f] = self._end_for(f, prev) if self.cap and self._last is not None else _last_line_end(f, 0, _size(f))
+            files[f] = self._end_for(f, int(before.get(f, 0))) if self.cap else _last_line_end(f, 0, _size(f))
         out = {"files": files}
         self._last = out
         return out
 
     def partitions(self, start: dict, end: dict):
         before = start.get("files", {})
-        if self._last is None:
-            self._last = end
+        self._last = {"files": {**before, **(self._last or end).get("files", {})}}
         parts: list[TailRange] = []
         for f, e in sorted(end.get("files", {}).items()):
             s = int(before.get(f, 0))
@@ -321,11 +333,20 @@ def stream_log_tail(
     partition_bytes: int | None = None,
     recursive: bool = False,
     max_bytes_per_trigger: int | None = None,
+    checkpoint: str | None = None,
 ) -> DataFrame:
-    """Stream the lines appended to a file (or the files of a directory) (A2)."""
+    """Stream the lines appended to a file (or the files of a directory) (A2).
+
+    ``max_bytes_per_trigger`` needs ``checkpoint``, the folder given to the
+    query as ``checkpointLocation`` (one tail source per query).
+    """
     _start_mode(read_from)
+    if max_bytes_per_trigger and not checkpoint:
+        raise ValueError("max_bytes_per_trigger needs the query's checkpoint folder")
     register_tail_source(spark)
     r = spark.readStream.format(NAME).option("path", path).option("read_from", read_from).option("recursive", str(recursive))
+    if checkpoint:
+        r = r.option("checkpoint", checkpoint)
     if max_bytes_per_trigger:
         r = r.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
     if partition_bytes:

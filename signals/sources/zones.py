@@ -11,6 +11,7 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The per-tenant zones.
 ZONES = ("data/raw", "data/processed", "models", "artifacts/parsers", "metrics", "config")
@@ -58,6 +59,18 @@ def write_zone(
     df.write.mode(mode).partitionBy(*parts).format(fmt).save(zone_root(root, zone))
 
 
+def with_string_partitions(spark: SparkSession, reader, path: str, columns: Sequence[str]) -> DataFrame:
+    """Load a partitioned folder with these partition columns as strings.
+
+    Spark infers partition types from the folder names, which would turn an
+    id like '0042' into the number 42. The schema is read once, then given
+    with the ids as strings.
+    """
+    inferred = reader.load(path).schema
+    schema = T.StructType([T.StructField(f.name, T.StringType()) if f.name in columns else f for f in inferred.fields])
+    return reader.schema(schema).load(path)
+
+
 def read_zone(
     spark: SparkSession,
     root: str,
@@ -74,7 +87,7 @@ def read_zone(
     taken from the path (and a tenant filter reads just its folder).
     """
     if layout == "partitioned":
-        df = spark.read.format(fmt).load(zone_root(root, zone))
+        df = with_string_partitions(spark, spark.read.format(fmt), zone_root(root, zone), ("tenant_id",))
         if tenant_id is not None:
             df = df.filter(F.col("tenant_id") == F.lit(tenant_id))
         return df

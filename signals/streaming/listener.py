@@ -3,7 +3,8 @@
 One streaming query per (tenant, source), named ``tenant::source``. The
 listener turns start, progress and termination events into report rows;
 ``reports`` gives them as a DataFrame for ``source_status``. Reports are
-small driver-side metadata (one row per trigger per query).
+small driver-side metadata: of each source the newest report, the newest with
+an error and the newest with data, which is all that its status depends on.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ def _split(name: str | None) -> tuple[str, str]:
 
 class SourceStatusListener(StreamingQueryListener):
     def __init__(self) -> None:
-        self._rows: list[tuple] = []
+        self._rows: dict[tuple, tuple] = {}  # by (tenant, source, what it is the newest of)
         self._names: dict[str, str] = {}
         self._configs: dict[str, str] = {}
         self._lock = threading.Lock()
@@ -38,7 +39,10 @@ class SourceStatusListener(StreamingQueryListener):
     def _add(self, name, running, healthy, error, n, config="{}"):
         t, s = _split(name)
         with self._lock:
-            self._rows.append((t, s, dt.datetime.now(dt.timezone.utc), running, healthy, error, n, config))
+            row = (t, s, dt.datetime.now(dt.timezone.utc), running, healthy, error, n, config)
+            for what, holds in (("state", True), ("error", error is not None), ("data", n > 0)):
+                if holds:
+                    self._rows[t, s, what] = row
 
     def onQueryStarted(self, event) -> None:
         self._names[str(event.id)] = event.name
@@ -65,13 +69,13 @@ class SourceStatusListener(StreamingQueryListener):
 
     def reports(self, spark: SparkSession) -> DataFrame:
         with self._lock:
-            rows = list(self._rows)
+            rows = list(dict.fromkeys(self._rows.values()))
         return spark.createDataFrame(rows, REPORT_SCHEMA)
 
     def flush(self, spark: SparkSession, path: str) -> None:
         """Append the collected reports to a table and start a new buffer."""
         with self._lock:
-            rows, self._rows = self._rows, []
+            rows, self._rows = list(dict.fromkeys(self._rows.values())), {}
         if rows:
             spark.createDataFrame(rows, REPORT_SCHEMA).write.mode("append").parquet(path)
 

@@ -33,9 +33,11 @@ class _RingProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         names = [f.name for f in self.value_schema.fields]
         held = pd.DataFrame(list(self.ring.get()), columns=names) if self.ring.exists() else pd.DataFrame(columns=names)
-        new = [r[names] for r in rows]
-        cur = pd.concat([held, *new], ignore_index=True) if new else held
-        cur = cur.sort_values(self.order_cols, kind="stable").tail(self.capacity).reset_index(drop=True)
+        cur = held
+        for r in rows:  # trimmed chunk by chunk: a burst on one key is never held whole
+            cur = pd.concat([cur, r[names]], ignore_index=True) if len(cur) else r[names]
+            cur = cur.sort_values(self.order_cols, kind="stable").tail(self.capacity)
+        cur = cur.reset_index(drop=True)
         self.ring.put([tuple(x) for x in cur.itertuples(index=False, name=None)])
         out = cur.copy()
         for k, v in zip(self.key_cols, key):

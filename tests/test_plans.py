@@ -1,4 +1,4 @@
-"""Plan shapes the scale design relies on (with the small-scan spread off, as for large inputs)."""
+"""Plan shapes the scale design relies on."""
 
 from __future__ import annotations
 
@@ -7,21 +7,17 @@ import re
 import pytest
 
 import __spark_entry__ as se
-from signals.plans import fixtures
 from tests.conftest import SF001
 
 
 @pytest.fixture(scope="module")
 def plan(spark):
     qs = se.queries()
-    old = fixtures.SPREAD_SMALL_SCANS
-    fixtures.SPREAD_SMALL_SCANS = False
 
     def get(name: str) -> str:
         return qs[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
 
-    yield get
-    fixtures.SPREAD_SMALL_SCANS = old
+    return get
 
 
 def shuffles(p: str) -> int:
@@ -88,3 +84,28 @@ def test_large_ring_ranks_only_candidate_buckets(plan):
     # the rows of the buckets that overlap the newest 2000 (a left semi join), not the whole source
     p = plan("b4_retain_latest")
     assert "LeftSemi" in p and "TakeOrderedAndProject" in p
+
+
+def executed(df) -> str:
+    df.collect()
+    p = df._jdf.queryExecution().executedPlan().toString()
+    return p[: p.index("== Initial Plan ==")] if "== Initial Plan ==" in p else p
+
+
+@pytest.mark.parametrize("name", ["f8_risk_scores", "f9_top_risks"])
+def test_scores_read_the_log_once(spark, name):
+    p = executed(se.queries()[name](spark, SF001))
+    assert p.count("FileScan") == 1 and "ReusedExchange" in p
+
+
+def test_top_risks_filters_its_tenant_at_the_scan(plan):
+    p = plan("f9_top_risks")
+    at = p.index("FileScan")
+    # tenant = 'acme' is a test of the id that its name is made from
+    assert "% 3" in p[p.rindex("Filter", 0, at) : at]
+
+
+def test_explain_shuffles_nothing_row_sized(spark):
+    p = executed(se.queries()["f7_explain"](spark, SF001))
+    # the features' aggregation is shared; what follows it is a one-row aggregate
+    assert "Window" not in p and "BroadcastNestedLoopJoin" in p

@@ -155,23 +155,60 @@ def test_listener_feeds_source_status(spark, event_stream):
     assert '"sources"' in st[0]["config"] and "FileStreamSource" in st[0]["config"]  # kept after the stop
 
 
-def test_tail_source_caps_bytes_per_trigger(spark, tmp_path):
-    d = tmp_path / "capped"
-    d.mkdir()
-    f = d / "a.log"
-    f.write_bytes(b"")
-    q = stream_log_tail(spark, str(d), read_from="start", max_bytes_per_trigger=12).writeStream.format("memory").queryName("tail_cap").start()
+def _drain(df, checkpoint, got):
+    """Run a query until nothing is left; its rows go to ``got``. Returns the rows of each batch."""
+    take = lambda batch, _: got.extend((r["raw_data"], r["offset"]) for r in batch.collect())
+    q = df.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).start()
     try:
         q.processAllAvailable()
-        with open(f, "ab") as h:
-            h.write(b"l1\nl2\nl3\nl4\nl5\nl6\nl7\nl8\nl9\n" + b"x" * 40 + b"\n")
-        q.processAllAvailable()
-        got = sorted((r["raw_data"], r["offset"]) for r in spark.sql("SELECT * FROM tail_cap").collect())
-        sizes = [p["numInputRows"] for p in q.recentProgress if p["numInputRows"] > 0]
+        return [p["numInputRows"] for p in q.recentProgress if p["numInputRows"] > 0]
     finally:
         q.stop()
-    assert len(got) == 10 and got[-1] == ("x" * 40, 68)
-    assert len(sizes) >= 3 and max(sizes) <= 4  # at most 12 bytes of 3-byte lines per batch, except the long line
+
+
+def test_tail_source_caps_bytes_from_the_first_batch(spark, tmp_path):
+    """A backlog of 50 caps takes 50 batches; a restarted query goes on where it was, capped."""
+    (tmp_path / "logs").mkdir()
+    f, ckpt = tmp_path / "logs" / "a.log", str(tmp_path / "ckpt")
+    f.write_bytes(b"l1\nl2\nl3\nl4\n" * 50)  # 12 bytes each
+    tail = lambda: stream_log_tail(spark, str(tmp_path / "logs"), read_from="start", max_bytes_per_trigger=12, checkpoint=ckpt)
+    got = []
+    sizes = _drain(tail(), ckpt, got)
+    assert len(sizes) == 50 and set(sizes) == {4} and len(got) == 200
+    with open(f, "ab") as h:
+        h.write(b"m1\nm2\nm3\nm4\nm5\nm6\n" + b"x" * 40 + b"\n")
+    got = []
+    sizes = _drain(tail(), ckpt, got)
+    assert [g[0] for g in sorted(got, key=lambda g: g[1])] == ["m1", "m2", "m3", "m4", "m5", "m6", "x" * 40]
+    assert max(sizes) <= 4 and len(sizes) == 3
+    with pytest.raises(ValueError):
+        stream_log_tail(spark, str(tmp_path / "logs"), max_bytes_per_trigger=12)
+
+
+def test_tail_source_keeps_positions_of_files_a_listing_misses(tmp_path):
+    from signals.sources.tail_source import _TailStreamReader
+
+    f = tmp_path / "a.log"
+    f.write_bytes(b"one\n")
+    r = _TailStreamReader({"path": str(tmp_path), "read_from": "start"})
+    first = r.latestOffset()
+    r.partitions(r.initialOffset(), first)
+    f.rename(tmp_path / ".hidden")
+    second = r.latestOffset()
+    (tmp_path / ".hidden").rename(f)
+    third = r.latestOffset()
+    assert first == second == third and r.partitions(second, third) == []
+
+
+def test_tail_ranges_cover_every_line_once(tmp_path):
+    from signals.sources.tail_source import _ranges, _read_range
+
+    f = tmp_path / "a.log"
+    f.write_bytes(b"".join(b"line %d%s\n" % (i, b"x" * (i % 37)) for i in range(500)))
+    size = f.stat().st_size
+    for chunk in (1, 7, 64, 1000, size, 2 * size):
+        got = [x for p in _ranges(str(f), 0, size, chunk) for b in _read_range(p) for x in b.column(1).to_pylist()]
+        assert got == sorted(set(got)) and len(got) == 500
 
 
 def test_syn_flood_stream_uses_approx_distinct(spark, event_stream):
