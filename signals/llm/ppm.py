@@ -41,7 +41,7 @@ FREQUENT = 1 << 20
 #: Bytes of text that are worked on at a time.
 CHUNK = 1 << 20
 #: Distinct counts that a counting task holds before it hands them on.
-HELD = 1_500_000
+HELD = 1_000_000
 #: The end of a text among the words' hashes.
 END = 0x5EED0E4D
 
@@ -105,7 +105,7 @@ def count(docs: DataFrame, text: str = "text", order: int = ORDER) -> DataFrame:
                 waiting[0].append(grams(texts, order)[0])
                 waiting[1].append(np.concatenate([*[word_hashes(t, powers) for t in texts], ends]))
                 for kind, (table, held) in enumerate(zip(tables, waiting)):
-                    if sum(map(len, held)) > 4 * CHUNK:
+                    if sum(map(len, held)) > 2 * CHUNK:
                         table.add(np.concatenate(held))
                         held.clear()
                     if len(table.keys) > HELD:
@@ -166,7 +166,10 @@ def trie(keys: np.ndarray, n: np.ndarray, short: tuple[np.ndarray, np.ndarray],
         some = fresh > 0
         out["den_below"][k] = np.log10(np.where(some, rest + fresh, 1.0))
         out["esc_below"][k] = np.where(some, np.log10(np.maximum(fresh, 1)) - out["den_below"][k], 0.0)
-    out["den_below"][0] = np.log10(np.maximum(256 - sums[0][1], 1)).astype(float)
+    out["den_below"][0] = np.log10(np.maximum(256 - sums[0][1], 1))
+    for name in ("den", "esc", "den_below", "esc_below"):
+        out[name] = [None if x is None else x.astype(np.float32) for x in out[name]]
+    out["n"] = [x.astype(np.float64 if len(x) < 1 << 17 else np.float32) for x in out["n"]]
     return out
 
 
@@ -185,8 +188,9 @@ class Scorer:
             want = slot[left]
             free = np.isnan(self.values[want])
             self.keys[want[free]], self.values[want[free]] = top[left[free]], probability[left[free]]
-            left = left[self.keys[slot[left]] != top[left]] if not free.all() else left[self.keys[want] != top[left]]
+            left = left[self.keys[want] != top[left]]
             slot[left] = (slot[left] + 1) & ((1 << self.bits) - 1)
+        block["grams"][-1], block["n"][-1] = top[:0].copy(), n[:0].copy()  # the table has them now
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
@@ -211,15 +215,16 @@ class Scorer:
         for k in range(self.order, -1, -1):
             key = keys & np.uint64((1 << 8 * (k + 1)) - 1)
             context, known = _find(b["contexts"][k], key >> np.uint64(8))
-            gram, there = _find(b["grams"][k], key)
             if not len(b["contexts"][k]):
                 continue
+            gram, there = _find(b["grams"][k], key)
             below = b["den_below"][k + 1][above] if k < self.order and len(b["contexts"][k + 1]) else 0.0
             fall = b["esc_below"][k + 1][above] if k < self.order and len(b["contexts"][k + 1]) else 0.0
             den = np.where(above >= 0, below, b["den"][k][context])
             esc = np.where(above >= 0, fall, b["esc"][k][context])
             hit = open_ & known & there
-            out += np.where(hit, np.log10(b["n"][k][gram]) - den, np.where(open_ & known, esc, 0.0))
+            out += np.where(open_ & known & ~there, esc, 0.0)
+            out[hit] += np.log10(b["n"][k][gram[hit]]) - den[hit]
             open_ &= ~hit
             above = np.where(known, context, -1)
         last = b["den_below"][0][0] if len(b["contexts"][0]) else np.log10(256)
@@ -268,25 +273,32 @@ def frequent(counts: DataFrame, most: int = FREQUENT) -> tuple[np.ndarray, np.nd
     return keys[order], n[order]
 
 
-def model_scores(docs: DataFrame, block: dict, covers: tuple[int, int] | None, text: str = "text", out: str = "score") -> DataFrame:
-    """Add to every row the log10 probability of its symbols whose contexts lie in the block."""
+def _scorer(block: dict) -> Scorer:
+    """The block's scorer, made once for all tasks of a Python worker."""
+    block["scorer"] = block.get("scorer") or Scorer(block)
+    return block["scorer"]
+
+
+def _scored(scorer: Scorer, covers: tuple[int, int] | None, texts: list[bytes]) -> np.ndarray:
+    """For each text the log10 probability of its symbols whose contexts' last two bytes are in the range."""
+    keys, of = grams(texts, scorer.order)
+    if covers:
+        two = keys >> np.uint64(8) & np.uint64(0xFFFF)
+        here = (two >= covers[0]) & (two < covers[1])
+        keys, of = keys[here], of[here]
+    return np.bincount(of, weights=scorer.score(keys), minlength=len(texts))
+
+
+def block_scores(docs: DataFrame, block: dict, covers: tuple[int, int] | None, text: str = "text", out: str = "score") -> DataFrame:
+    """Add to every row what one block of the trie gives."""
     shared = docs.sparkSession.sparkContext.broadcast(block)
 
     def start():
-        known = shared.value
-        scorer = known["scorer"] = known.get("scorer") or Scorer(known)
+        scorer = _scorer(shared.value)
 
         def work(batch: pa.RecordBatch):
-            texts = batch.column(text).to_pylist()
-            total = np.zeros(len(texts))
-            for first, part in chunks(texts):
-                keys, of = grams(part, scorer.order)
-                if covers:
-                    two = keys >> np.uint64(8) & np.uint64(0xFFFF)
-                    here = (two >= covers[0]) & (two < covers[1])
-                    keys, of = keys[here], of[here]
-                total[first : first + len(part)] = np.bincount(of, weights=scorer.score(keys), minlength=len(part))
-            return [pa.array(total)]
+            parts = [_scored(scorer, covers, texts) for _, texts in chunks(batch.column(text).to_pylist())]
+            return [pa.array(np.concatenate(parts) if parts else np.zeros(0))]
 
         return work
 
@@ -301,13 +313,18 @@ def score(docs: DataFrame, train: Column, text: str = "text", order: int = ORDER
     sizes = counts.where("kind = 1").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     total, ground = sizes["n"], np.log10(sizes["n"] + 0.1 * (sizes["v"] + 1))
     common = spark.sparkContext.broadcast(frequent(counts, most))
+    parts = blocks(counts, order, nodes)
+    covers, block = next(parts)
+    shared = spark.sparkContext.broadcast(block)
+    del block
 
     def start():
-        powers, (keys, n) = Powers(), common.value
+        powers, (keys, n), scorer = Powers(), common.value, _scorer(shared.value)
 
         def work(batch: pa.RecordBatch):
-            tokens, known, base, rare, times = [], [], [], [], []
+            tokens, known, base, model, rare, times = [], [], [], [], [], []
             for _, texts in chunks(batch.column(text).to_pylist()):
+                model.append(_scored(scorer, covers, texts))
                 hashes = [np.append(word_hashes(t, powers), np.uint64(END)) for t in texts]
                 sizes = np.array([len(h) for h in hashes])
                 distinct, back = np.unique(np.concatenate(hashes), return_inverse=True)
@@ -324,13 +341,11 @@ def score(docs: DataFrame, train: Column, text: str = "text", order: int = ORDER
                     times.append(c.astype(np.int32))
             joined = lambda x, kind: pa.array(np.concatenate(x).astype(kind)) if x else pa.array([], pa.from_numpy_dtype(kind))
             ends = pa.array(np.cumsum([0, *map(len, rare)]).astype(np.int32))
-            return [joined(tokens, np.int64), joined(known, np.int64), joined(base, np.float64), pa.ListArray.from_arrays(ends, joined(rare, np.int64)), pa.ListArray.from_arrays(ends, joined(times, np.int32))]
+            return [joined(tokens, np.int64), joined(known, np.int64), joined(base, np.float64), joined(model, np.float64), pa.ListArray.from_arrays(ends, joined(rare, np.int64)), pa.ListArray.from_arrays(ends, joined(times, np.int32))]
 
         return work
 
-    parts = blocks(counts, order, nodes)
-    covers, block = next(parts)
-    first = model_scores(add_columns(docs.select(*keep), "n_tokens long, n_known long, base_score double, rare array<long>, times array<int>", start), block, covers, text)
+    first = add_columns(docs.select(*keep), "n_tokens long, n_known long, base_score double, score double, rare array<long>, times array<int>", start)
     texts = [F.xxhash64(F.lit(s), F.coalesce(F.col(text), F.lit(""))) for s in (1, 2)]
     rows = stored(first.select(F.monotonically_increasing_id().alias("__row"), *[t.alias(f"__t{i}") for i, t in enumerate(texts)], *[c for c in keep if c != text], "n_tokens", "n_known", "base_score", "score", "rare", "times"), "ppm-rows")
 
@@ -342,7 +357,7 @@ def score(docs: DataFrame, train: Column, text: str = "text", order: int = ORDER
     )
     result = rows.drop("rare", "times").join(looked, "__row", "left")
     for covers, block in parts:  # more blocks: sums by text, equal texts once
-        more = model_scores(docs.select(*[t.alias(f"__u{i}") for i, t in enumerate(texts)], text), block, covers, text, "part")
+        more = block_scores(docs.select(*[t.alias(f"__u{i}") for i, t in enumerate(texts)], text), block, covers, text, "part")
         more = stored(more.groupBy("__u0", "__u1").agg(F.first("part").alias("part")), "ppm-part")
         result = result.join(more, (F.col("__t0") == F.col("__u0")) & (F.col("__t1") == F.col("__u1"))).withColumn("score", F.col("score") + F.col("part")).drop("part", "__u0", "__u1")
     return result.select(
