@@ -91,11 +91,12 @@ def ranked(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
     )
 
 
-def add_columns(df: DataFrame, added: str, start) -> DataFrame:
+def add_columns(df: DataFrame, added: str, start, rows: int = 1024) -> DataFrame:
     """``df`` with the columns of the DDL ``added`` (replacing such names), computed from Arrow batches.
 
     ``start()`` runs once per task and gives a function from a record batch to
-    the added columns' arrays, in order.
+    the added columns' arrays, in order. Batches are cut to ``rows`` rows, which
+    bounds what a task holds at a time.
     """
     fields = T.StructType.fromDDL(added).fields
     keep = [c for c in df.columns if c not in {f.name for f in fields}]
@@ -103,7 +104,9 @@ def add_columns(df: DataFrame, added: str, start) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = start()
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], *work(batch)], names=schema.names)
+        for whole in batches:
+            for at in range(0, whole.num_rows, rows):
+                batch = whole.slice(at, rows)
+                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], *work(batch)], names=schema.names)
 
     return df.mapInArrow(run, schema)

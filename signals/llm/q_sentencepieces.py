@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from signals.llm.common import documents
 from signals.llm.registry import register
-from signals.llm.sentencepieces import decode, encode
+from signals.llm.sentencepieces import encode_decode
 
 MODEL = "piece_bpe_32k.model"
 
@@ -16,7 +16,7 @@ MODEL = "piece_bpe_32k.model"
 @register("op6_sentencepiece")
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(MODEL)
-    coded = decode(encode(documents(spark, sf_dir).select("doc_id", "text"), path).drop("text"), path)
+    coded = encode_decode(documents(spark, sf_dir).select("doc_id", "text"), path)
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

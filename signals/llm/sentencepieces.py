@@ -37,7 +37,7 @@ SPACE = "▁"
 LETTER = re.compile(r"[^\W\d_]")
 PUNCTUATION = ".,;:!?|%$#&*"
 #: Entries of a worker's memo of units; it is emptied when full.
-MEMO = 400_000
+MEMO = 200_000
 #: Longer units are not kept in the memo.
 MEMO_CHARS = 48
 
@@ -214,20 +214,29 @@ class Decoder:
         return text[1:] if len(ids) and int(ids[0]) in self.marked else text
 
 
+def _ids(encoder: Encoder, texts: pa.Array) -> pa.ListArray:
+    packed = [encoder.encode(t.as_py()) for t in texts]
+    ends = np.cumsum([0, *map(len, packed)]) // 4
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.frombuffer(b"".join(packed), np.int32)))
+
+
+def _texts(decoder: Decoder, ids: pa.ListArray) -> pa.Array:
+    return pa.array([decoder.decode(x.values.to_numpy(zero_copy_only=False)) if x.is_valid else "" for x in ids], pa.string())
+
+
+def _live(known: dict, name: str, make):
+    """``make(known)``, once for all tasks of a Python worker, which share the broadcast value: the memos live on."""
+    known[name] = known.get(name) or make(known)
+    return known[name]
+
+
 def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """Add the ids of ``text`` under the model at ``path``, without begin or end ids."""
     vocabulary = df.sparkSession.sparkContext.broadcast(read_vocabulary(path))
 
     def start():
-        known = vocabulary.value  # one object for all tasks of a Python worker: the memos live on
-        encoder = known["encoder"] = known.get("encoder") or Encoder(known)
-
-        def work(batch: pa.RecordBatch):
-            packed = [encoder.encode(t.as_py()) for t in batch.column(text)]
-            ends = np.cumsum([0, *map(len, packed)]) // 4
-            return [pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.frombuffer(b"".join(packed), np.int32)))]
-
-        return work
+        encoder = _live(vocabulary.value, "encoder", Encoder)
+        return lambda batch: [_ids(encoder, batch.column(text))]
 
     return add_columns(df, f"{ids} array<int>", start)
 
@@ -237,12 +246,23 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
     vocabulary = df.sparkSession.sparkContext.broadcast(read_vocabulary(path))
 
     def start():
-        decoder = Decoder(vocabulary.value)
+        decoder = _live(vocabulary.value, "decoder", Decoder)
+        return lambda batch: [_texts(decoder, batch.column(ids))]
+
+    return add_columns(df, f"{text} string", start)
+
+
+def encode_decode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``decode(encode(df))`` in one pass of one Python worker."""
+    vocabulary = df.sparkSession.sparkContext.broadcast(read_vocabulary(path))
+
+    def start():
+        encoder, decoder = _live(vocabulary.value, "encoder", Encoder), _live(vocabulary.value, "decoder", Decoder)
 
         def work(batch: pa.RecordBatch):
-            lists = batch.column(ids)
-            return [pa.array([decoder.decode(x.values.to_numpy(zero_copy_only=False)) if x.is_valid else "" for x in lists], pa.string())]
+            coded = _ids(encoder, batch.column(text))
+            return [coded, _texts(decoder, coded)]
 
         return work
 
-    return add_columns(df, f"{text} string", start)
+    return add_columns(df, f"{ids} array<int>, {decoded} string", start)
