@@ -41,7 +41,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All columns with the ids, their number, and whether they decode to the text."""
     path = public_tokenizers.path(TOKENIZER)
-    coded = sentencepieces.decode(sentencepieces.encode(docs, path), path)
+    coded = sentencepieces.encode_decode(docs, path)
     same = F.coalesce(F.col("decoded") == F.coalesce("text", F.lit("")), F.lit(False))
     return coded.select(*docs.columns, "ids", F.size("ids").cast("long").alias("n_tokens"), same.alias("decodes"))
 
