@@ -3,8 +3,8 @@
 The base is one pattern and test per kind, leftmost and without retries, so
 that, say, a phone number with a card number behind it is one long match that
 fails. A BiLSTM-CRF learns the kinds from labelled spans: windows around the
-base spans of a bounded sample (``WINDOWS`` of them by seeded hash, over the
-whole table), some spliced from two spans. It reads every text in overlapping
+base spans of a bounded sample (``WINDOWS`` windows of about ``SAMPLE`` documents
+drawn by seeded hash from the whole table), some spliced from two spans. It reads every text in overlapping
 windows. All kinds have a digit or an @, so a window without one is outside by
 definition and is not read. Windows are reconciled over the whole text: of
 spans that clash, the one farther from its window's edges stays. A span of the
@@ -29,8 +29,10 @@ from signals.llm.common import add_columns
 from signals.llm.tagger import KINDS, char_ids, decode, tagged, train
 
 WIDTH, STRIDE = 96, 48
-#: Labelled windows that the tagger is trained on, at most.
-WINDOWS = 1500
+#: The tagger is trained on so many labelled windows at most, from about so many documents.
+WINDOWS, SAMPLE = 1500, 1500
+#: Training windows that one document gives, at most.
+EACH = 6
 #: Windows decoded at a time.
 BATCH = 512
 
@@ -164,7 +166,8 @@ def labelled_windows(text: str, key: int) -> list[tuple[str, list[Span]]]:
     hints = [m.start() for m in _HINT.finditer(text)]
     centres = [*spans, *[(hints[i], hints[i] + 1, "") for i in r.integers(0, len(hints), 2 if hints else 0)]]
     out = []
-    for a, b, _ in centres:
+    for i in r.permutation(len(centres))[:EACH]:
+        a = centres[i][0]
         start = max(0, a - int(r.integers(4, WIDTH - 30)))
         end = min(len(text), start + WIDTH)
         cut = any(x < start < y or x < end < y for x, y, _ in [*spans, *failed])
@@ -189,27 +192,22 @@ def spliced(windows: list[tuple[str, list[Span]]], seed: int) -> list[tuple[str,
     return out
 
 
-def fit(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", windows: int = WINDOWS, seed: int = 5) -> dict | None:
-    """Train the tagger on at most ``windows`` labelled windows of ``docs``; None if they have no span."""
+def fit(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sample: int = SAMPLE, windows: int = WINDOWS, seed: int = 5) -> dict | None:
+    """Train the tagger on at most ``windows`` labelled windows of about ``sample`` documents with a hint; None if they have no span."""
+    hinted = docs.where(F.col(text).rlike("[0-9@]")).select(F.col(text).alias("__text"), F.xxhash64(F.lit(seed), F.col(doc_id)).alias("key"))
+    share = min(1.0, sample / max(1, hinted.count()))
 
     def start():
         def work(batch: pa.RecordBatch):
-            pairs = zip(batch.column("__text").to_pylist(), batch.column("key").to_pylist())
-            got = [labelled_windows(t, k) if t and _HINT.search(t) else [] for t, k in pairs]
+            got = [labelled_windows(t, k) for t, k in zip(batch.column("__text").to_pylist(), batch.column("key").to_pylist())]
             packed = [[f"{';'.join(f'{a}:{b}:{k}' for a, b, k in spans)}|{w}" for w, spans in g] for g in got]
             return [pa.array(packed, pa.list_(pa.string()))]
 
         return work
 
-    rows = docs.select(F.col(text).alias("__text"), F.xxhash64(F.lit(seed), F.col(doc_id)).alias("key"))
-    drawn = (
-        add_columns(rows, "windows array<string>", start)
-        .select(F.explode("windows").alias("w"))
-        .select("w", F.xxhash64(F.lit(seed), "w").alias("draw"))
-        .orderBy("draw", "w")
-        .limit(windows)
-        .collect()
-    )
+    drawn = hinted.where(F.pmod("key", F.lit(1 << 40)) < int(share * (1 << 40)))
+    rows = add_columns(drawn, "windows array<string>", start).select("key", F.posexplode("windows").alias("at", "w")).collect()
+    drawn = sorted(rows, key=lambda r: (r["at"] > 0, r["key"], r["at"], r["w"]))[:windows]  # one window of every document first
     labelled = []
     for r in drawn:
         head, _, w = r["w"].partition("|")
