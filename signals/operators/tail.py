@@ -86,7 +86,9 @@ def latest_per_source(
     check_limit(limit)
     w = Window.partitionBy(*key).orderBy(*_desc(o))
     b = _bucket_for(df, o[0], bucket)
-    if limit <= _group_limit_threshold(df) or b is None:
+    if limit > _group_limit_threshold(df) and b is None:
+        raise ValueError(f"a ring of {limit} rows needs a time or integer as its first order column, or a bucket width")
+    if limit <= _group_limit_threshold(df):
         return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= limit)
     g = F.struct(*[F.col(k) for k in key], bucket_of(F.col(o[0]), b).alias("__b"))
     d = df.withColumn("__g", g)

@@ -99,7 +99,7 @@ def d2_schema_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "d3_append_history",
-    f"{D1_CTES}, {D2_CTE} SELECT tenant_id, log_type, accuracy, CAST(processed_count AS INTEGER) AS processed_count, "
+    f"{D1_CTES}, {D2_CTE} SELECT tenant_id, log_type, accuracy, CAST(processed_count AS BIGINT) AS processed_count, "
     "'schema_' || log_type || '_20240201_000000.xml' AS file_name, TIMESTAMP '2024-02-01 00:00:00' AS created_at FROM d2",
 )
 def d3_append_history(spark: SparkSession, sf_dir: str) -> DataFrame:

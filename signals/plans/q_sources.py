@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from signals.operators.tenancy import TIER_MODULES, entitled, grants_table, tenants_table
 from signals.plans.fixtures import RAW_LOGS_SQL, TENANT_SQL, raw_logs, with_views
 from signals.plans.registry import register
-from signals.session import scratch_path
+from signals.session import path_exists, scratch_path
 from signals.sources.files import read_logs
 from signals.sources.ledger import offset_ledger
 from signals.sources.metrics import read_training_metrics, write_training_metrics
@@ -18,7 +18,7 @@ from signals.sources.zones import read_zone, write_zone
 CHUNK = 1000
 
 
-_LANDED: dict[tuple[int, str], str] = {}
+_LANDED: dict[tuple[str, str], str] = {}
 
 
 def log_files(spark: SparkSession, sf_dir: str) -> str:
@@ -27,11 +27,9 @@ def log_files(spark: SparkSession, sf_dir: str) -> str:
     Landed once per session and input folder (like a landing directory that
     the readers then scan); later calls reuse the files while they exist.
     """
-    import os
-
-    key = (id(spark), os.path.abspath(sf_dir))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     path = _LANDED.get(key)
-    if path and os.path.isdir(path.replace("file:", "")):
+    if path and path_exists(spark, path + "/_SUCCESS"):
         return path
     path = scratch_path(spark, "logfiles")
     rl = raw_logs(spark, sf_dir).withColumn("chunk", F.floor(F.col("event_id") / CHUNK))

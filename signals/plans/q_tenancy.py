@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signals.operators.tenancy import all_healthy, eps_violations, entitled, grants_table, limits_table, source_status, tenants_table, valid_tenant
-from signals.plans.fixtures import RAW_LOGS_SQL, TENANT_SQL, raw_logs, with_views
+from signals.plans.fixtures import RAW_LOGS_SQL, TENANT_SQL, raw_logs, table, with_views
 from signals.plans.q_sources import EVENT_MODULE_SQL, GRANTS_SQL, with_module
 from signals.plans.registry import register
 
@@ -71,9 +71,7 @@ def e3_entitled(spark: SparkSession, sf_dir: str) -> DataFrame:
     "regexp_full_match(repeat(event_type, 14), '[a-zA-Z0-9_-]{2,64}') AS v_long FROM events",
 )
 def e4_valid_tenant(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = raw_logs(spark, sf_dir).join(
-        spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").select("event_id", "props"), "event_id"
-    )
+    ev = table(spark, sf_dir, "events")
     return ev.select(
         "event_id",
         valid_tenant(F.concat(F.lit("tenant_"), F.col("event_type"), F.lit("_"), F.col("user_id").cast("string"))).alias("v_name"),

@@ -58,6 +58,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/signals-{name}-{uuid.uuid4().hex[:12]}"
 
 
+def path_exists(spark: SparkSession, pattern: str) -> bool:
+    """Does a path (or pattern) match anything, on whatever file system it is?"""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return found is not None and len(found) > 0
+
+
 def small_table(spark: SparkSession, rows: list[tuple], schema: str):
     """Rows from the driver as a relation whose size Spark knows, so that it picks the join by that size."""
     import pyarrow as pa

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signals.functions.text import safe_module_name
+from signals.session import path_exists
 
 # ISO-8601 with microseconds and a numeric offset, as Python's isoformat() writes times.
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
@@ -43,7 +44,7 @@ def read_training_metrics(spark: SparkSession, root: str, modules: DataFrame, la
     if layout not in ("partitioned", "files"):
         raise ValueError("layout must be 'partitioned' or 'files'")
     partitions = "tenant_id string, module string" if layout == "partitioned" else ""
-    if not _any_file(spark, f"{root.rstrip('/')}/*"):
+    if not path_exists(spark, f"{root.rstrip('/')}/*"):
         # nothing was ever written: every metric has its defaults
         raw, got = None, spark.createDataFrame([], "__t string, __m string, __bad boolean, trained_pct double, data_points long, last_trained_at timestamp, last_error string")
     elif layout == "partitioned":
@@ -67,13 +68,6 @@ def read_training_metrics(spark: SparkSession, root: str, modules: DataFrame, la
     )
 
 
-def _any_file(spark: SparkSession, pattern: str) -> bool:
-    """Does a path pattern match anything, on whatever file system it is?"""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
-    return found is not None and len(found) > 0
-
-
 def _metric_cols():
     return [
         F.col("_corrupt").isNotNull().alias("__bad"),
