@@ -13,15 +13,26 @@ n shingles, so the c least shingles that they share are among the first
 * The boundary between small and large is where the summed cost of keys and of
   the candidates they bring, by the sizes and counts at hand, is least.
 
-Only the classes of links are wanted, so no list is expanded into all of its
-pairs: in each list the sets are first checked against one of them, in two
-rounds with different heads; what then shares a list but no component is
-checked pair by pair. No link between different sets is lost. Lists of very
-frequent shingles are cut into parts for the rounds, the parts' heads are
-checked against each other, and all parts take part in the last step.
-
-Equal sets are one set throughout. Texts are fetched, packed, for sets that
-share a list only (a filter of fixed size lets few others through), and the
+What two sets share beyond their first shingles is bounded by their sizes and by
+where their first shingles lie in the order (``MARKS`` keeps a few of these
+places of each set), so ``need`` says how many first shingles a linking pair
+has in common at least: a tenth of a set's size and more. Lists are joined and shared
+lists counted; only pairs that reach their need are checked. Lists of more
+than ``LONG`` sets, of passages that many texts quote, are joined only for
+pairs whose need is no more than the long lists that either set is in. Every
+other pair with enough in common shares a short list as well, and is judged
+by its short lists plus the most that its long ones can add.
+
+Only the classes of links are wanted, so long lists are not expanded into all
+of their pairs: each set is first checked against one of the list (if the pair
+may need it, as above), in ``TURNS`` rounds with different heads, and sets that link
+get one root. The pairs counted afterwards differ in their roots. No link
+between different roots is lost. Lists of very frequent shingles are cut into
+parts for the rounds with heads, the parts' heads are checked against each
+other, and the whole lists take part in the last step.
+
+Equal sets are one set throughout. Texts are fetched, packed, for the sets to
+check only (a filter of fixed size lets few others through), and the
 similarity is computed exactly from both sets.
 
 Defined results: a null text is empty; with fewer than five words the whole
@@ -48,12 +59,18 @@ K = 5
 PERCENT = 75
 #: Shingles are counted in this many cells; cells far above the mean hold frequent ones.
 CELLS = 1 << 16
-#: What checking a candidate costs, in units of a join key.
-CHECK_COST = 50.0
+#: What a pair in a list costs that is joined, counted and maybe checked, in units of a join key.
+PAIR_COST = 4.0
 #: Sets up to this size may be small.
 MOST_SMALL = 64
 #: Members of a frequent shingle's list that make a part.
 PART = 2000
+#: Longer lists are linked by heads first.
+LONG = 32
+#: Rounds with other heads.
+TURNS = 2
+#: Eighths of a set's first shingles whose places in the order are kept.
+MARKS = (4, 6, 7, 8)
 #: Bits of the filter for texts to fetch.
 FILTER_BITS = 1 << 23
 
@@ -128,18 +145,24 @@ def boundary(sizes: dict[int, int], length: float, percent: int = PERCENT) -> in
             if n <= b:
                 total += count * math.comb(first(n, 2), 2)
             if 100 * (b + 1) <= 100 * n or 100 * n >= percent * (b + 1):
-                total += count * first(n, 1) * (1 + CHECK_COST * (length - 1) / 2)
+                total += count * first(n, 1) * (1 + PAIR_COST * (length - 1) / 2)
         return total
 
     return min(range(0, MOST_SMALL + 1), key=lambda b: (cost(b), b))
 
 
-def keys_of(s: np.ndarray, level: np.ndarray, small: int, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
-    """A set's join keys, and each one's cell (-1: a pair of shingles)."""
+def mark_counts(first):
+    """How many of ``first`` first shingles lie up to each mark."""
+    return [(first * m + 7) // 8 for m in MARKS]
+
+
+def keys_of(s: np.ndarray, level: np.ndarray, small: int, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A set's join keys, each one's cell (-1: a pair of shingles), and the set's marks."""
     n = len(s)
     cell = (s >> np.uint64(48)).astype(np.int64)
-    order = np.argsort((level[cell] << 48).astype(np.uint64) | (s >> np.uint64(16)), kind="stable")  # s ascends: ties are in its order
-    keys, cells = [], []
+    place = (level[cell] << 48).astype(np.uint64) | (s >> np.uint64(16))
+    order = np.argsort(place, kind="stable")  # s ascends: ties are in its order
+    keys, cells, marks = [s[:0]], [cell[:0]], s[:0]
     if 2 <= n <= small:
         first = s[order[: n - overlap(n, percent) + 2]]
         i, j = np.triu_indices(len(first), 1)
@@ -149,11 +172,15 @@ def keys_of(s: np.ndarray, level: np.ndarray, small: int, percent: int = PERCENT
         at = order[: n - overlap(n, percent) + 1]
         keys.append(s[at])
         cells.append(cell[at])
-    return (np.concatenate(keys), np.concatenate(cells)) if keys else (s[:0], cell[:0])
+        marks = place[at[[c - 1 for c in mark_counts(len(at))]]]
+    return np.concatenate(keys), np.concatenate(cells), marks
 
 
 def postings(docs: DataFrame, level: np.ndarray, parts: np.ndarray, small: int, k: int, percent: int) -> DataFrame:
-    """(key, part, id, n): the join keys of every distinct set, once per task; part -1: the list is not cut."""
+    """(key, part, id, n): the join keys of every distinct set, once per task; part -1: the list is not cut, -2: nor its key one shingle.
+
+    Rows with part -3 are a set's marks: the key is the place in the order, n the number of the mark.
+    """
     shared = docs.sparkSession.sparkContext.broadcast((level, parts))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,10 +192,12 @@ def postings(docs: DataFrame, level: np.ndarray, parts: np.ndarray, small: int,
                 a = _set_id(s)[0]
                 if len(s) > 1 and a not in known:
                     known.add(a)
-                    keys, cells = keys_of(s, level, small, percent)
+                    keys, cells, marks = keys_of(s, level, small, percent)
                     cuts = np.where(cells >= 0, parts[cells], 1)
-                    part = np.where(cuts > 1, (a & 0x7FFFFFFF) % cuts, -1)
-                    found.append((keys.view(np.int64), part.astype(np.int32), np.full(len(keys), a), np.full(len(keys), len(s))))
+                    part = np.where(cells < 0, -2, np.where(cuts > 1, (a & 0x7FFFFFFF) % cuts, -1))
+                    part = np.concatenate([part, np.full(len(marks), -3)]).astype(np.int32)
+                    n = np.concatenate([np.full(len(keys), len(s)), np.arange(len(marks))])
+                    found.append((np.concatenate([keys, marks]).view(np.int64), part, np.full(len(n), a), n))
                 if len(found) >= 500:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)], names=["key", "part", "id", "n"])
                     found = []
@@ -179,43 +208,129 @@ def postings(docs: DataFrame, level: np.ndarray, parts: np.ndarray, small: int,
 
 
 def _class(turn: int):
-    """Sets of one class are near enough in size to link; the second round's classes lie across the first one's."""
-    return F.floor(F.log(F.col("n").cast("double")) / math.log(4 / 3) + 0.5 * turn)
+    """Sets of one class are near enough in size to link; every other round's classes lie across."""
+    return F.floor(F.log(F.col("n").cast("double")) / math.log(4 / 3) + 0.5 * (turn % 2))
 
 
 def _compatible(x: str, y: str, percent: int):
     return 100 * F.least(x, y) >= percent * F.greatest(x, y)
 
 
+_PLACES = [f"m{i}" for i in range(len(MARKS))]
+
+
+def _overlap(n, percent: int):
+    return F.ceil(percent * n / F.lit(100) - 1e-9)
+
+
+def need(x, y, percent: int):
+    """First shingles that two sets (structs with n and marks m0 to m3) have in common at least if they link.
+
+    Common shingles up to the lesser of the two last first shingles are in both
+    prefixes. Beyond it, the set whose last it is has ``overlap(n) - 1``
+    shingles left, the other all but those that its marks show to lie before.
+    """
+    total = F.ceil(percent * (x["n"] + y["n"]) / F.lit(100 + percent) - 1e-9)
+    last = len(MARKS) - 1
+
+    def beyond(of, at):
+        first = of["n"] - _overlap(of["n"], percent) + 1
+        before = F.lit(0)
+        for i, m in enumerate(MARKS):
+            before = F.when(of[f"m{i}"] <= at, F.floor((first * m + 7) / 8)).otherwise(before)
+        return of["n"] - before
+
+    left = lambda a, b: F.least(_overlap(a["n"], percent) - 1, beyond(b, a[f"m{last}"]))
+    rest = F.when(x[f"m{last}"] <= y[f"m{last}"], left(x, y)).otherwise(left(y, x))
+    return F.greatest(F.lit(1), total - F.coalesce(rest, F.greatest(_overlap(x["n"], percent), _overlap(y["n"], percent)) - 1))
+
+
+def need_twos(x, y, percent: int):
+    """Pairs of first shingles that two small sets have in common at least: all pairs of the shingles that they need."""
+    total = F.ceil(percent * (x["n"] + y["n"]) / F.lit(100 + percent) - 1e-9)
+    both = F.greatest(F.lit(2), total - F.greatest(_overlap(x["n"], percent), _overlap(y["n"], percent)) + 2)
+    return both * (both - 1) / 2
+
+
+def _may(part, x, y, percent: int):
+    """Can a pair in a long list need it, given in how many long lists either set is?"""
+    twos = need_twos(x, y, percent) <= F.least(x["longs2"], y["longs2"])
+    return F.when(part == -2, twos).otherwise(need(x, y, percent) <= F.least(x["longs"], y["longs"]))
+
+
 def star_pairs(lists: DataFrame, turn: int, percent: int) -> DataFrame:
-    """(a, b): in each list's part and size class every set with the head; the parts' heads with the least head."""
-    pick = F.min if turn == 0 else F.max
-    one = F.struct("id", "n")
-    rows = lists.withColumn("class", _class(turn)).withColumn("head", pick(one).over(Window.partitionBy("key", "part", "class")))
-    pairs = rows.select(F.col("id").alias("x"), F.col("n").alias("nx"), F.col("head.id").alias("y"), F.col("head.n").alias("ny"))
+    """(a, b): in each long list's part and size class every set with the head; the parts' heads with the least head."""
+    one = F.struct(F.xxhash64(F.lit(turn), "id").alias("draw"), "id", "n", "longs", "longs2", "root", *_PLACES)
+    rows = lists.withColumn("class", _class(turn)).withColumn("head", F.min(one).over(Window.partitionBy("key", "part", "class")))
+    pairs = rows.select(one.alias("x"), F.col("head").alias("y"), "part")
     heads = rows.where("part >= 0").select("key", "class", "head").distinct()
     tops = heads.groupBy("key", "class").agg(F.min("head").alias("top"))
-    across = heads.join(tops, ["key", "class"]).select(F.col("head.id").alias("x"), F.col("head.n").alias("nx"), F.col("top.id").alias("y"), F.col("top.n").alias("ny"))
-    both = pairs.union(across).where((F.col("x") != F.col("y")) & _compatible("nx", "ny", percent))
-    return both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-
+    across = heads.join(tops, ["key", "class"]).select(F.col("head").alias("x"), F.col("top").alias("y"), F.lit(0).alias("part"))
+    may = _may(F.col("part"), F.col("x"), F.col("y"), percent)
+    both = pairs.union(across).where((F.col("x.root") != F.col("y.root")) & _compatible("x.n", "y.n", percent) & may)
+    return both.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
 
-def cross_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """(a, b): all pairs of sets that share a list and have different roots; lists hold two roots at least."""
-    roots = lists.select("key", "root").distinct()
-    two = roots.select("key", F.col("root").alias("r1")).join(roots.select("key", F.col("root").alias("r2")), "key").where("r1 < r2")
-    side = lambda i: lists.select("key", F.col("root").alias(f"r{i}"), F.col("id").alias(f"i{i}"), F.col("n").alias(f"n{i}")).distinct()
-    pairs = two.join(side(1), ["key", "r1"]).join(side(2), ["key", "r2"]).where(_compatible("n1", "n2", percent))
-    return pairs.select(F.least("i1", "i2").alias("a"), F.greatest("i1", "i2").alias("b")).distinct()
 
-
-def mixed_lists(lists: DataFrame, roots: DataFrame) -> DataFrame:
-    """The lists' rows with their roots, where a list has more than one."""
-    rows = lists.select("key", "part", "id", "n").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+def with_roots(lists: DataFrame, roots: DataFrame) -> DataFrame:
+    """The lists' rows with the roots of their sets, where a list has more than one."""
+    rows = lists.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     many = rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
     return rows.join(many, "key", "left_semi")
 
 
+def candidates(rows: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs of sets with different roots whose lists in common can be enough for the threshold.
+
+    ``rows`` have id, n, longs and root; ``marks`` the places of each id.
+    """
+    side = lambda of, i, *more: of.select("key", "part", F.struct("id", "n", "longs", "longs2", "root", *more).alias(f"x{i}"))
+    fit = _compatible("x1.n", "x2.n", percent)
+    short, long_ = rows.where("size <= 0"), rows.where("size > 0").join(marks, "id", "left")
+    pairs = side(short, 1).join(side(short, 2).drop("part"), "key").where((F.col("x1.id") < F.col("x2.id")) & (F.col("x1.root") != F.col("x2.root")) & fit)
+    # in a long list, pairs of roots first: one root may hold nearly all of its sets
+    own = long_.groupBy("key", "root").agg(
+        F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("longs").alias("longs"), F.first("part").alias("part"),
+        F.countDistinct("id").alias("sets"), F.max(F.struct("n", "longs", "longs2", *_PLACES)).alias("x"),
+    )
+    left, right = (own.select("key", *[F.col(c).alias(f"{c}{i}") for c in ("root", "lo", "hi", "longs", "part", "sets", "x")]) for i in (1, 2))
+    share = percent / (100 + percent)
+    # for roots of more sets, the least need that any two of these sizes can have
+    least = F.least(*[share * (F.col(f"lo{i}") + F.col(f"hi{j}")) - percent / 100 * F.greatest(f"lo{i}", f"hi{j}") for i, j in ((1, 2), (2, 1))])
+    ranges = (F.col("part1") == -2) | (F.greatest(F.lit(1.0), least - 1) <= F.least("longs1", "longs2"))
+    single = (F.col("sets1") == 1) & (F.col("sets2") == 1)
+    possible = F.when(single, _may(F.col("part1"), F.col("x1"), F.col("x2"), percent)).otherwise(ranges)
+    apart = (100 * F.col("hi1") >= percent * F.col("lo2")) & (100 * F.col("hi2") >= percent * F.col("lo1"))
+    two = left.join(right, "key").where((F.col("root1") < F.col("root2")) & possible & apart).select("key", "root1", "root2")
+    first = two.join(side(long_, 1, *_PLACES).withColumn("root1", F.col("x1.root")), ["key", "root1"])
+    may = _may(F.col("part"), F.col("x1"), F.col("x2"), percent)
+    across = first.join(side(long_, 2, *_PLACES).drop("part").withColumn("root2", F.col("x2.root")), ["key", "root2"]).where(fit & may)
+    plain = lambda x: F.struct(*[F.col(f"{x}.{c}") for c in ("id", "n", "longs", "longs2", "root")]).alias(x)
+    both = pairs.withColumn("long", F.lit(0)).unionByName(across.select("key", "part", plain("x1"), plain("x2"), F.lit(1).alias("long")))
+    counted = (
+        both.select(F.least("x1", "x2").alias("x"), F.greatest("x1", "x2").alias("y"), (F.col("part") == -2).cast("long").alias("twos"), "long")
+        .groupBy("x", "y")
+        .agg(
+            F.sum(F.col("twos") * (1 - F.col("long"))).alias("twos_short"),
+            F.sum(F.col("twos") * F.col("long")).alias("twos_long"),
+            F.sum((1 - F.col("twos")) * (1 - F.col("long"))).alias("short"),
+            F.sum((1 - F.col("twos")) * F.col("long")).alias("long"),
+        )
+    )
+    for x in ("x", "y"):
+        of = marks.select(F.col("id").alias("of"), F.struct(*_PLACES).alias(f"m_{x}"))
+        counted = counted.join(of, F.col(f"{x}.id") == F.col("of"), "left").drop("of")
+    placed = lambda x: F.struct(F.col(f"{x}.n").alias("n"), *[F.col(f"m_{x}.{m}").alias(m) for m in _PLACES])
+    counted = counted.withColumn("wants", need(placed("x"), placed("y"), percent))
+    counted = counted.withColumn("wants2", need_twos(F.col("x"), F.col("y"), percent))
+
+    def enough(wants: str, short: str, long: str, most):
+        return F.col(short) + F.when(F.col(wants) <= most, F.col(long)).otherwise(most) >= F.col(wants)
+
+    by_ones = enough("wants", "short", "long", F.least("x.longs", "y.longs"))
+    by_twos = enough("wants2", "twos_short", "twos_long", F.least("x.longs2", "y.longs2"))
+    return counted.where(by_ones | by_twos).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+
+
 def packed_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(id, pack): the compressed text for each (id, th) of ``wanted``."""
     words = FILTER_BITS // 64
@@ -275,6 +390,7 @@ def link_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", k:
 
     ``th`` is the hash of the text; component_id the least doc_id of the class.
     """
+    spark = docs.sparkSession
     t = F.coalesce(F.col(text), F.lit(""))
     docs = docs.select(F.col(doc_id).alias("doc_id"), t.alias("text"), F.xxhash64(t).alias("th"))
     read = stored(read_sets(docs, k), "jaccard-sets")
@@ -288,25 +404,45 @@ def link_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", k:
     small = boundary({r["n"]: r["c"] for r in sets.where(F.col("n") <= 2 * MOST_SMALL).groupBy("n").agg(F.count("*").alias("c")).collect()}, length, percent)
 
     whole = Window.partitionBy("key", "part")
-    lists = postings(docs, level, parts, small, k, percent).withColumns({"lo": F.min("id").over(whole), "hi": F.max("id").over(whole)})
-    lists = stored(lists.where("lo <> hi or part >= 0").drop("lo", "hi"), "jaccard-lists")
+    lists = postings(docs, level, parts, small, k, percent).withColumns({"lo": F.min("id").over(whole), "hi": F.max("id").over(whole), "size": F.count("*").over(whole)})
+    lists = lists.where("lo <> hi or part >= 0 or part = -3").drop("lo", "hi")
+    longer = F.when((F.col("size") > LONG) | (F.col("part") >= 0), F.col("size")).otherwise(0)
+    kept = stored(lists.withColumn("size", longer).distinct(), "jaccard-lists")
+    lists = kept.where("part > -3")
+    listed = lists.select("id").distinct()
+    marks = kept.where("part = -3").groupBy("id").agg(*[F.max(F.when(F.col("n") == i, F.col("key"))).alias(m) for i, m in enumerate(_PLACES)])
+    marks = stored(marks.join(listed, "id", "left_semi"), "jaccard-marks")
+    # of each set: in how many long lists of one shingle and of two it is
+    longs = lists.where("size > 0").groupBy("id").agg(F.count_if(F.col("part") > -2).alias("longs"), F.count_if(F.col("part") == -2).alias("longs2"))
+
+    def known(rows: DataFrame) -> DataFrame:
+        return rows.join(longs, "id", "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in ("longs", "longs2")})
+
+    heavy = stored(known(lists.where("size > 0")).join(marks, "id", "left"), "jaccard-long")
     reps = sets.select(F.col("a").alias("id"), F.col("rep.th").alias("th"))
-    wanted = stored(reps.join(lists.select("id").distinct(), "id", "left_semi"), "jaccard-wanted")
-    packs = stored(packed_texts(docs, wanted), "jaccard-packs")
-
-    checked = stored(check(star_pairs(lists, 0, percent), packs, k, percent), "jaccard-checked")
-    roots = components(checked.where("link").select("a", "b"))
-    for last in (False, True):
-        mixed_up = stored(mixed_lists(lists, roots), "jaccard-mixed")
-        pairs = cross_pairs(mixed_up, percent) if last else star_pairs(mixed_up, 1, percent)
-        found = stored(check(pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti"), packs, k, percent), "jaccard-checked")
-        edges = found.where("link").select("a", "b").union(roots.select(F.col("id").alias("a"), F.col("root").alias("b")))
-        before, roots = roots, components(edges)
-        checked = checked.union(found)
-        forget(mixed_up)
-        forget(before)
-    for done in (lists, packs, wanted):
-        forget(done)
+
+    def packs_of(ids: DataFrame) -> DataFrame:
+        return stored(packed_texts(docs, stored(reps.join(ids, "id", "left_semi"), "jaccard-wanted")), "jaccard-packs")
+
+    def tested(pairs: DataFrame, packs: DataFrame) -> DataFrame:
+        return stored(check(pairs, packs, k, percent), "jaccard-checked").where("link").select("a", "b")
+
+    def ids(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+
+    edges = lambda r: r.select(F.col("id").alias("a"), F.col("root").alias("b"))
+    roots = spark.createDataFrame([], "id long, root long")
+    for turn in range(TURNS):
+        pairs = stored(star_pairs(with_roots(heavy, roots), turn, percent), "jaccard-pairs")
+        packs = packs_of(ids(pairs))
+        roots = components(edges(roots).union(tested(pairs, packs)))
+        forget(packs)
+    rows = with_roots(known(lists), roots)
+    pairs = stored(candidates(rows, marks, percent), "jaccard-pairs")
+    forget(kept)
+    packs = packs_of(ids(pairs))
+    roots = components(edges(roots).union(tested(pairs, packs)))
+    forget(packs)
 
     rooted = sets.join(roots.withColumnRenamed("id", "a"), "a", "left").withColumn("root", F.coalesce("root", "a"))
     least = rooted.groupBy("root").agg(F.min("rep").alias("least"))
