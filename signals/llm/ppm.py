@@ -167,9 +167,6 @@ def trie(keys: np.ndarray, n: np.ndarray, short: tuple[np.ndarray, np.ndarray],
         out["den_below"][k] = np.log10(np.where(some, rest + fresh, 1.0))
         out["esc_below"][k] = np.where(some, np.log10(np.maximum(fresh, 1)) - out["den_below"][k], 0.0)
     out["den_below"][0] = np.log10(np.maximum(256 - sums[0][1], 1))
-    for name in ("den", "esc", "den_below", "esc_below"):
-        out[name] = [None if x is None else x.astype(np.float32) for x in out[name]]
-    out["n"] = [x.astype(np.float64 if len(x) < 1 << 17 else np.float32) for x in out["n"]]
     return out
 
 
