@@ -37,7 +37,7 @@ SPACE = "▁"
 LETTER = re.compile(r"[^\W\d_]")
 PUNCTUATION = ".,;:!?|%$#&*"
 #: Entries of a worker's memo of units; it is emptied when full.
-MEMO = 200_000
+MEMO = 400_000
 #: Longer units are not kept in the memo.
 MEMO_CHARS = 48
 
@@ -113,7 +113,7 @@ class Encoder:
     def compatible(self, a: int, b: int) -> bool:
         """Does the text of two tokens encode to just these two? ``a`` is -1 at a unit's start and after a foreign character."""
         parts = [self.piece[b]] if a < 0 else [self.piece[a], self.piece[b]]
-        if len(self.pair) > 2 * MEMO:
+        if len(self.pair) > MEMO:
             self.pair.clear()
         ok = self.pair[a << 20 | b] = merge(list("".join(parts)), self.scores) == parts
         return ok
