@@ -51,3 +51,21 @@ def test_hot_group_is_drawn_together(spark):
 def test_other_shard_counts(spark, n_shards):
     docs = spark.range(50).select(F.col("id").alias("doc_id"), (F.col("id") % 7).alias("hub"))
     even(shard(docs, ["hub"], n_shards=n_shards).toPandas(), n_shards)
+
+
+def test_copies_stay_together_without_unlinked_rows(spark):
+    """Every text has copies: only groups at the end of a shard may be cut."""
+    for copies in (2, 10):
+        docs = spark.range(8000).select(F.col("id").alias("doc_id"), F.floor(F.col("id") / copies).alias("hub"))
+        p = shard(docs, ["hub"]).toPandas()
+        even(p)
+        assert (p.groupby("hub")["shard"].nunique() > 1).sum() <= 16
+
+
+def test_near_groups_gather_without_unlinked_rows(spark):
+    """Groups of ten texts, each twice, linked by one hub: nothing is unlinked, and nearly all groups end in one shard."""
+    docs = spark.range(8000).select(F.col("id").alias("doc_id"), F.floor(F.col("id") / 2).alias("text"), F.floor(F.col("id") / 20).alias("line"))
+    p = shard(docs, ["text", "line"]).toPandas()
+    even(p)
+    assert (p.groupby("text")["shard"].nunique() > 1).sum() <= 16
+    assert (p.groupby("line")["shard"].nunique() > 1).mean() <= 0.08
