@@ -69,3 +69,19 @@ def test_near_groups_gather_without_unlinked_rows(spark):
     even(p)
     assert (p.groupby("text")["shard"].nunique() > 1).sum() <= 16
     assert (p.groupby("line")["shard"].nunique() > 1).mean() <= 0.08
+
+
+def test_any_shared_line_links(spark, tmp_path):
+    """Groups of five share one line, short or long, that is not the least of their lines; or are one line with an edit."""
+    docs = spark.read.parquet(f"{SF0001}/documents.parquet")
+    rows = []
+    for i in range(800):
+        g, own = i // 5, [f"own line {i} number {j} with forty characters and more" for j in range(6)]
+        text = " ".join([f"The text {g} is here.", f"It goes on {g}.", f"Edit {i}."]) if g % 4 == 0 else "\n".join([*own, f"shared {g}" + " and long enough to pass any length test" * (g % 2)])
+        rows.append((i, text))
+    folder = data.write(spark, tmp_path / "lines", spark.createDataFrame(rows, "doc_id long, text string").select(
+        *[F.col(c) if c in ("doc_id", "text") else F.lit(None).cast(docs.schema[c].dataType).alias(c) for c in docs.columns]
+    ))
+    p = op1_sharding(spark, folder).toPandas()
+    even(p)
+    assert (p.groupby(p["doc_id"] // 5)["shard"].nunique() > 1).mean() <= 0.15
