@@ -30,7 +30,7 @@ from signals.llm.common import n_words, ranked
 WEIGHTS = (1, 2, 3)
 MAX_REPEAT = 3
 MAX_SOURCES = 100_000
-#: Words that the dynamic program fills; larger remainders are first cut down by whole documents.
+#: Words that the dynamic program fills, or twice the longest document left if that is more; larger remainders are first cut down by whole documents.
 WINDOW = 1 << 16
 
 
@@ -63,30 +63,36 @@ def fill(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     take = counts * budget // total if total < 2**31 else np.array([int(c) * budget // total for c in counts], np.int64)
     left, rest = counts - take, budget - int((lengths * take).sum())
     order = [i for i in np.argsort(-lengths, kind="stable") if lengths[i] > 0]
+    longest = max((int(lengths[i]) for i in order if left[i] > 0), default=0)
+    window = max(WINDOW, 2 * longest)  # so wide that a rest beyond it always has room for a whole document
     for i in order:  # whole documents, longest first, until the rest fits the program's window
-        n = min(int(left[i]), max(0, rest - WINDOW // 2) // int(lengths[i]))
+        n = min(int(left[i]), max(0, rest - window // 2) // int(lengths[i]))
         take[i], left[i], rest = take[i] + n, left[i] - n, rest - n * int(lengths[i])
-    if rest > WINDOW:  # no document is left that is short enough to matter
-        return take
     room = 2 * rest  # a sum beyond it is farther off than none
     mask = (1 << (room + 1)) - 1
-    reach, layers, items = 1, [], []
+    reach, items = 1, []
+    first = np.zeros(room + 1, np.int32)  # the item that reached each sum first; what it was added to was reached before
     for i in reversed(order):  # shortest first; counts split into powers of two
         n, size = min(int(left[i]), room // int(lengths[i])), 1
         while n > 0 and not reach >> rest & 1:
             size = min(size, n)
-            layers.append(reach)
+            new = reach << (size * int(lengths[i])) & mask & ~reach
+            if new:
+                bits = np.frombuffer(new.to_bytes(room // 8 + 1, "little"), np.uint8)
+                at8 = np.flatnonzero(bits)
+                rows, cols = np.nonzero(np.unpackbits(bits[at8], bitorder="little").reshape(-1, 8))
+                first[at8[rows] * 8 + cols] = len(items)
+                reach |= new
             items.append((i, size))
-            reach |= reach << (size * int(lengths[i])) & mask
             n, size = n - size, size * 2
     under = (reach & ((1 << (rest + 1)) - 1)).bit_length() - 1
     over = reach >> rest
     above = rest + (over & -over).bit_length() - 1 if over else room + 1
     at = under if rest - under <= above - rest else above
-    for before, (i, size) in zip(reversed(layers), reversed(items)):
-        if not before >> at & 1:
-            take[i] += size
-            at -= size * int(lengths[i])
+    while at > 0:
+        i, size = items[first[at]]
+        take[i] += size
+        at -= size * int(lengths[i])
     return take
 
 

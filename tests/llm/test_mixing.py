@@ -29,6 +29,23 @@ def test_fill_is_best_possible():
         assert abs(int((got * lengths).sum()) - budget) == min(abs(s - budget) for s in sums)
 
 
+def test_fill_is_best_possible_beyond_the_window():
+    lengths, counts = np.array([300, 200_000], np.int64), np.array([1000, 1], np.int64)
+    assert int((fill(lengths, counts, 450_000) * lengths).sum()) == 470_000
+    r = np.random.default_rng(2)
+    for _ in range(15):
+        n = int(r.integers(1, 4))
+        lengths = np.sort(r.choice(np.arange(20_000, 200_000), n, replace=False)).astype(np.int64)
+        counts = r.integers(1, 3, n).astype(np.int64)
+        total = int((lengths * counts).sum())
+        budget = int(r.integers(0, total + 1))
+        got = fill(lengths, counts, budget)
+        even = counts * budget // total
+        sums = [int((np.array(c) * lengths).sum()) for c in itertools.product(*[range(e, k + 1) for e, k in zip(even, counts)])]
+        assert (got >= 0).all() and (got <= counts).all()
+        assert abs(int((got * lengths).sum()) - budget) == min(abs(s - budget) for s in sums)
+
+
 def test_query_meets_targets_and_reruns_agree(spark):
     a, b = (op8_mixing(spark, SF0001).toPandas().sort_values("doc_id").reset_index(drop=True) for _ in range(2))
     assert a.equals(b)
