@@ -43,7 +43,7 @@ def crc_mod(doc_id: Column, n: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(n))
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Later passes, retries and lost executors read the files and never the plan
@@ -51,7 +51,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(compression="zstd", **(options or {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

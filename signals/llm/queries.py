@@ -2,4 +2,16 @@
 
 from __future__ import annotations
 
-from signals.llm import q_chat, q_jaccard, q_language, q_mixing, q_pii, q_ppm, q_quality, q_sentencepieces, q_sharding, q_simhash  # noqa: F401
+from signals.llm import (  # noqa: F401
+    q_chat,
+    q_jaccard,
+    q_language,
+    q_lexical,
+    q_mixing,
+    q_pii,
+    q_ppm,
+    q_quality,
+    q_sentencepieces,
+    q_sharding,
+    q_simhash,
+)
