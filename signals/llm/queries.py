@@ -8,6 +8,7 @@ from signals.llm import (  # noqa: F401
     q_language,
     q_lexical,
     q_mixing,
+    q_negatives,
     q_pii,
     q_ppm,
     q_quality,
