@@ -15,4 +15,5 @@ from signals.llm import (  # noqa: F401
     q_sentencepieces,
     q_sharding,
     q_simhash,
+    q_toxicity,
 )
