@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from signals.llm import toxicity, transducers
 from signals.llm.q_toxicity import op13_toxicity
 from signals.llm.transducers import KINDS, SYMBOLS
-from tests.conftest import SF001
 from tests.llm import data
 
 PLAIN = toxicity.Model(toxicity.PRIOR, {})
@@ -82,17 +81,20 @@ def test_regression_finds_weights_and_keeps_the_prior_without_rows():
     assert np.allclose(toxicity.regression(x[:1], y[:1], np.zeros(1)), toxicity.PRIOR)
 
 
+SF01 = "/root/testdata/sf0.1"  # the smaller tables hold out a handful of toxic texts
+
+
 def test_held_out(spark):
-    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF001}/documents.parquet").collect()}
-    toxic = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{SF001}/labels.parquet").collect()}
-    rows = op13_toxicity(spark, SF001).collect()
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF01}/documents.parquet").collect()}
+    toxic = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{SF01}/labels.parquet").collect()}
+    rows = op13_toxicity(spark, SF01).collect()
     assert sorted(r["doc_id"] for r in rows) == sorted(docs)
     assert {r["doc_id"] for r in rows if r["held_out"]} == {i for i in docs if zlib.crc32(str(i).encode()) % 5 == 0}
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in rows)
     known = [r for r in rows if r["held_out"] and r["doc_id"] in toxic]
     caught = [toxic[r["doc_id"]] for r in known if r["predicted"]]
-    assert sum(caught) >= 0.8 * len(caught) > 0
-    assert len(caught) >= 0.8 * sum(toxic[r["doc_id"]] for r in known)
+    assert len(caught) > 80 and sum(caught) >= 0.97 * len(caught)
+    assert sum(caught) >= 0.9 * sum(toxic[r["doc_id"]] for r in known)
 
 
 def test_learns_new_words_but_not_those_of_copies(spark):
