@@ -2,7 +2,10 @@
 
 Every function takes a batch or a streaming DataFrame. On a stream the event
 time column gets a watermark (cast to TIMESTAMP first: watermarks reject
-TIMESTAMP_NTZ) and exact distinct counts become ``approx_count_distinct``.
+TIMESTAMP_NTZ). Distinct counts are exact on both: values are first grouped
+with key and window, then counted. On a stream, distinct counts and sliding
+windows are therefore two aggregations in a row, which Spark runs in append
+mode; the rest runs in every output mode.
 """
 
 from __future__ import annotations
@@ -13,6 +16,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from signals.operators import panes
 from signals.streaming.time import bound_of, event_time_for
 
 
@@ -57,9 +61,17 @@ def _keys(key: str | Sequence[str]) -> list[str]:
 
 
 def _windowed(df: DataFrame, ts_col: str, window: str, slide: str | None, watermark: str | None) -> tuple[DataFrame, Column]:
+    """(df with its event time, its windows), or the panes of sliding windows."""
     df, ts = event_time_for(df, ts_col, watermark)
-    w = F.window(ts, window, slide) if slide else F.window(ts, window)
-    return df, w
+    if not slide or panes.micros_of(slide) == panes.micros_of(window):
+        return df, F.window(ts, window)
+    if panes.micros_of(slide) > panes.micros_of(window):
+        raise ValueError("the slide is longer than the window")
+    return df, F.window(ts, panes.pane_of(window, slide))
+
+
+def _slides(window: str, slide: str | None) -> bool:
+    return bool(slide) and panes.micros_of(slide) != panes.micros_of(window)
 
 
 def _finish(agg: DataFrame, source: DataFrame, ts_col: str, watermark: str | None) -> DataFrame:
@@ -84,25 +96,49 @@ def detect_threshold(
     ``agg`` is ``count``, ``sum`` or ``count_distinct`` (of ``value_col``).
     Output: key columns, ``window_start``, ``window_end``, ``out``.
     The aggregation is partial (map-side) before the shuffle, so a hot key
-    sends one partial row per map task, not its events.
+    sends one partial row per map task, not its events. Sliding windows are
+    put together from panes (see ``panes``).
 
     Windows align to the epoch: on TIMESTAMP input in UTC, on
     TIMESTAMP_NTZ input in wall-clock time. Cast to TIMESTAMP_NTZ for days
     that start at local midnight in a non-UTC session (the flagship does).
     """
+    if agg not in ("count", "sum", "count_distinct"):
+        raise ValueError(f"unknown aggregate {agg!r}")
     keys = _keys(key)
     source = df
     df, w = _windowed(df, ts_col, window, slide, watermark)
-    if agg == "count":
-        a = F.count(F.lit(1))
-    elif agg == "sum":
-        a = F.sum(F.col(value_col))
-    elif agg == "count_distinct":
-        a = F.approx_count_distinct(F.col(value_col)) if df.isStreaming else F.count_distinct(F.col(value_col))
+    distinct = agg == "count_distinct"
+    value = [F.col(value_col).alias("__value")] if distinct else []
+    a = F.sum(F.col(value_col)) if agg == "sum" else F.count(F.lit(1))
+    enough = F.col(out) >= F.lit(threshold)
+    parts = df.groupBy(*keys, w.alias("window"), *value).agg(a.alias("__n"))  # of a window or of a pane
+    if not _slides(window, slide):
+        if distinct:
+            parts = parts.groupBy(*keys, "window").agg(F.count("__value").alias("__n"))
+        res = parts.withColumnRenamed("__n", out).filter(enough)
+        return _finish(res.select(*keys, "window", out), source, ts_col, watermark)
+    if df.isStreaming:
+        whole = F.window(F.col("window"), window, slide).alias("window")
+        if distinct:
+            parts = parts.groupBy(*keys, whole, "__value").agg(F.sum("__n").alias("__n"))
+            res = parts.groupBy(*keys, "window").agg(F.count("__value").alias(out))
+        else:
+            res = parts.groupBy(*keys, whole).agg(F.sum("__n").alias(out))
+        return _finish(res.filter(enough), source, ts_col, watermark)
+    pieces = panes.placed(parts, window, slide)
+    if distinct:
+        pieces = panes.first_seen(pieces, [*keys, "__value"]).select("*", F.col("__value").isNotNull().cast("long").alias(out), F.lit(1).alias("__held"))
+        found = panes.runs(pieces, keys, [out, "__held"])
+        # a value that is null counts for nothing, but its windows exist
+        found = found.where("__held > 0")
+    elif panes.is_exact(parts, F.col("__n")):
+        pieces = pieces.where(F.col("__n").isNotNull()).withColumns({out: F.col("__n"), "__held": F.lit(1)})
+        found = panes.runs(pieces, keys, [out, "__held"]).where("__held > 0")
     else:
-        raise ValueError(f"unknown aggregate {agg!r}")
-    res = df.groupBy(*keys, w.alias("window")).agg(a.alias(out)).filter(F.col(out) >= F.lit(threshold))
-    return _finish(res, source, ts_col, watermark)
+        found = panes.runs_of_sums(pieces.withColumn(out, F.col("__n")), keys, out, window)
+    found = panes.windows_of(found.where(enough), window, slide, parts.schema["window"].dataType["start"].dataType)
+    return found.select(*keys, F.col(out).cast(parts.schema["__n"].dataType).alias(out), "window_start", "window_end")
 
 
 def detect_syn_flood(
@@ -120,18 +156,28 @@ def detect_syn_flood(
     """SYN packets per destination and window at or above ``threshold``.
 
     Output: ``dst_col``, ``window_start``, ``window_end``, ``syn_packets``,
-    ``n_sources`` (distinct sources; approximate on a stream).
+    ``n_sources`` (distinct sources). Packets are whole numbers.
     """
     source = df
-    syn = df.filter(F.col(flag_col) == F.lit("SYN"))
+    syn = df.filter(F.col(flag_col) == F.lit("SYN")).withColumn("__packets", F.col(packets_col).cast("long"))
     syn, w = _windowed(syn, ts_col, window, slide, watermark)
-    distinct = F.approx_count_distinct(src_col) if syn.isStreaming else F.count_distinct(F.col(src_col))
-    res = (
-        syn.groupBy(F.col(dst_col), w.alias("window"))
-        .agg(F.sum(F.col(packets_col)).alias("syn_packets"), distinct.alias("n_sources"))
-        .filter(F.col("syn_packets") >= F.lit(threshold))
-    )
-    return _finish(res, source, ts_col, watermark)
+    totals = F.sum("__packets").alias("syn_packets"), F.count("__source").alias("n_sources")
+    enough = F.col("syn_packets") >= F.lit(threshold)
+    parts = syn.groupBy(F.col(dst_col), w.alias("window"), F.col(src_col).alias("__source")).agg(F.sum("__packets").alias("__packets"))
+    if not _slides(window, slide):
+        return _finish(parts.groupBy(dst_col, "window").agg(*totals).filter(enough), source, ts_col, watermark)
+    if syn.isStreaming:
+        whole = F.window(F.col("window"), window, slide).alias("window")
+        parts = parts.groupBy(dst_col, whole, "__source").agg(F.sum("__packets").alias("__packets"))
+        return _finish(parts.groupBy(dst_col, "window").agg(*totals).filter(enough), source, ts_col, watermark)
+    pieces, none = panes.placed(parts, window, slide), F.lit(0).cast("long")
+    known = pieces.where("__packets IS NOT NULL").select("*", F.col("__packets").alias("syn_packets"), none.alias("n_sources"))
+    seen = panes.first_seen(pieces.where("__source IS NOT NULL"), [dst_col, "__source"])
+    seen = seen.select("*", none.alias("syn_packets"), F.lit(1).cast("long").alias("n_sources"))
+    held = [c.withColumn("__held", F.lit(h)) for c, h in ((known, 1), (seen, 0))]
+    found = panes.runs(held[0].unionByName(held[1]), [dst_col], ["syn_packets", "n_sources", "__held"]).where("__held > 0")
+    found = panes.windows_of(found.where(enough), window, slide, parts.schema["window"].dataType["start"].dataType)
+    return found.select(dst_col, "syn_packets", "n_sources", "window_start", "window_end")
 
 
 def entity_features(
@@ -146,28 +192,27 @@ def entity_features(
 ) -> DataFrame:
     """Behaviour features per entity and window.
 
-    ``n_events``, one ``n_<type>`` count per listed type (conditional
-    aggregates in the same pass, no pivot job), ``sum_value``, ``n_types``,
-    and the hour-of-day spread: ``n_hours`` distinct hours (exact, via a bit mask), ``first_hour``,
-    ``last_hour``.
+    ``n_events``, one ``n_<type>`` count per listed type (summed over the
+    groups of types, no pivot job), ``sum_value``, ``n_types``, and the
+    hour-of-day spread: ``n_hours`` distinct hours (exact, via a bit mask),
+    ``first_hour``, ``last_hour``.
     """
     keys = _keys(key)
     source = df
     hour = F.hour(F.col(ts_col))
     df, w = _windowed(df, ts_col, window, None, watermark)
-    aggs = [F.count(F.lit(1)).alias("n_events")]
-    aggs += [F.count_if(F.col(type_col) == F.lit(t)).alias(f"n_{t}") for t in types]
+    # first per type: the distinct types are then the groups, and their partial sums are small
+    parts = [F.count(F.lit(1)).alias("__n"), *([F.sum(value_col).alias("__sum")] if value_col else [])]
+    # Distinct hours as a 24-bit mask: exact and mergeable.
+    parts += [F.bit_or(F.pow(F.lit(2), hour).cast("int")).alias("__hours"), F.min(hour).alias("__first"), F.max(hour).alias("__last")]
+    by_type = df.groupBy(*keys, w.alias("window"), F.col(type_col).alias("__type")).agg(*parts)
+    aggs = [F.sum("__n").alias("n_events")]
+    aggs += [F.coalesce(F.sum(F.when(F.col("__type") == F.lit(t), F.col("__n"))), F.lit(0).cast("long")).alias(f"n_{t}") for t in types]
     if value_col:
-        aggs.append(F.sum(F.col(value_col)).alias("sum_value"))
-    if df.isStreaming:
-        aggs.append(F.approx_count_distinct(type_col).alias("n_types"))
-    else:
-        aggs.append(F.count_distinct(F.col(type_col)).alias("n_types"))
-    # Distinct hours as a 24-bit mask: exact, mergeable, and no second distinct aggregate.
-    aggs.append(F.bit_count(F.bit_or(F.pow(F.lit(2), hour).cast("int"))).cast("bigint").alias("n_hours"))
-    aggs += [F.min(hour).alias("first_hour"), F.max(hour).alias("last_hour")]
-    res = df.groupBy(*keys, w.alias("window")).agg(*aggs)
-    return _finish(res, source, ts_col, watermark)
+        aggs.append(F.sum("__sum").alias("sum_value"))
+    aggs += [F.count("__type").alias("n_types"), F.bit_count(F.bit_or("__hours")).cast("bigint").alias("n_hours")]
+    aggs += [F.min("__first").alias("first_hour"), F.max("__last").alias("last_hour")]
+    return _finish(by_type.groupBy(*keys, "window").agg(*aggs), source, ts_col, watermark)
 
 
 def brute_force_login(

@@ -321,6 +321,49 @@ def f2_threshold_sliding_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.withColumn("total_value", F.round("total_value", 2))
 
 
+_SLIDES = (
+    "WITH e AS (SELECT {tenant} AS tenant_id, 'user' || CAST(user_id AS VARCHAR) AS \"user\", event_type, event_id, user_id, "
+    "epoch_us(date_trunc('second', ts)) AS t FROM events), "
+    "w AS (SELECT *, unnest(range(t - t % {slide} - {size} + {slide}, t + 1, {slide})) AS s FROM e WHERE {where}), "
+    "p AS (SELECT *, make_timestamp(s) AS window_start, make_timestamp(s + {size}) AS window_end FROM w) "
+)
+_FIVE_MINUTES, _DAY = 300_000_000, 86_400_000_000
+_FINE_SQL = _SLIDES.format(tenant=TENANT_SQL, slide=_FIVE_MINUTES, size=_DAY, where="event_type = 'error'")
+
+
+@register(
+    "f2_threshold_fine_slide",
+    _FINE_SQL + "SELECT tenant_id, \"user\", window_start, window_end, COUNT(*) AS n FROM p GROUP BY ALL HAVING COUNT(*) >= 3",
+)
+def f2_threshold_fine_slide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users with at least 3 failures in any day, looked at every five minutes."""
+    return detect_threshold(failures(spark, sf_dir), ["tenant_id", "user"], "event_time", "1 day", 3, slide="5 minutes")
+
+
+@register(
+    "f2_distinct_fine_slide",
+    _SLIDES.format(tenant=TENANT_SQL, slide=_FIVE_MINUTES, size=_DAY, where="TRUE")
+    + "SELECT tenant_id, \"user\", window_start, window_end, COUNT(DISTINCT event_type) AS n_actions FROM p GROUP BY ALL HAVING COUNT(DISTINCT event_type) >= 4",
+)
+def f2_distinct_fine_slide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users doing at least 4 different actions in any day, looked at every five minutes."""
+    return detect_threshold(
+        user_events(spark, sf_dir), ["tenant_id", "user"], "event_time", "1 day", 4,
+        agg="count_distinct", value_col="action", slide="5 minutes", out="n_actions",
+    )
+
+
+@register(
+    "f3_syn_flood_sliding",
+    _SLIDES.format(tenant=TENANT_SQL, slide=4 * 3_600_000_000, size=_DAY, where="event_type = 'error'")
+    + "SELECT '10.9.1.' || CAST(1 + user_id % 20 AS VARCHAR) AS dstip, window_start, window_end, "
+    "CAST(SUM(1 + event_id % 50) AS BIGINT) AS syn_packets, COUNT(DISTINCT user_id % 254) AS n_sources FROM p GROUP BY ALL HAVING SUM(1 + event_id % 50) >= 100",
+)
+def f3_syn_flood_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SYN packets by destination over a day, looked at every four hours."""
+    return detect_syn_flood(deny_fields(spark, sf_dir), "event_time", threshold=100, window="1 day", slide="4 hours")
+
+
 @register(
     "f2_threshold_distinct",
     f"SELECT {TENANT_SQL} AS tenant_id, 'user' || CAST(user_id AS VARCHAR) AS \"user\", date_trunc('day', ts) AS window_start, "

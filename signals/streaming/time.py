@@ -25,6 +25,16 @@ def _wall_clock(instant: Column) -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
 
 
+def to_micros(time: Column, kind) -> Column:
+    """Microseconds since the epoch; a wall-clock time is read on a UTC clock."""
+    return F.unix_micros(_instant(time) if kind.typeName() == "timestamp_ntz" else time)
+
+
+def from_micros(micros: Column, kind) -> Column:
+    """The time of type ``kind`` at which :func:`to_micros` gives ``micros``."""
+    return _wall_clock(F.timestamp_micros(micros)) if kind.typeName() == "timestamp_ntz" else F.timestamp_micros(micros)
+
+
 def event_time_for(df: DataFrame, ts_col: str, watermark: str | None) -> tuple[DataFrame, Column]:
     """Return (df, event-time column) ready for ``window``.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -211,39 +212,63 @@ def test_tail_ranges_cover_every_line_once(tmp_path):
         assert got == sorted(set(got)) and len(got) == 500
 
 
-def test_syn_flood_stream_uses_approx_distinct(spark, event_stream):
+@pytest.fixture(scope="module")
+def ended_stream(spark):
+    """sf0.001 events as 3 files, then one event two years later that closes all windows before it."""
+    src = spark.read.parquet(f"{SF0001}/events.parquet")
+    path = scratch_path(spark, "ended-landing")
+    src.repartitionByRange(3, "event_id").write.parquet(path)
+    time.sleep(1.1)  # the file source orders files by modification time
+    src.limit(1).withColumn("ts", F.expr("timestamp_ntz'2026-06-01 00:00:00'")).coalesce(1).write.mode("append").parquet(path)
+    return src.schema, path
+
+
+def _closed(df, name, cols):
+    return sorted(tuple(r[c] for c in cols) for r in _run(df, name, "append").where("window_end < '2026-01-01'").collect())
+
+
+def _deny(events):
+    e = F.col("event_type") == "error"
+    return events.select(
+        F.col("ts").alias("event_time"), F.concat(F.lit("d"), F.col("user_id") % 3).alias("dstip"), F.col("user_id").alias("srcip"),
+        F.when(e, F.lit("SYN")).otherwise(F.lit("ACK")).alias("tcpflag"), (1 + F.col("event_id") % 50).alias("packets"),
+    )
+
+
+@pytest.mark.parametrize("window, slide", [("3 days", None), ("3 days", "1 day")])
+def test_syn_flood_stream_equals_batch(spark, ended_stream, window, slide):
     from signals.operators.detect import detect_syn_flood
-    from signals.operators.parse import kv_parse
 
-    def deny(events):
-        rl = logs_from_events(events)
-        line = F.concat(
-            F.col("raw_data"), F.lit(" dstip=10.9.1."), (F.lit(1) + F.col("user_id") % 3).cast("string"),
-            F.lit(" tcpflag="), F.when(F.col("event_type") == "error", F.lit("SYN")).otherwise(F.lit("ACK")),
-            F.lit(" packets="), (F.lit(1) + F.col("event_id") % 50).cast("string"),
-        )
-        m = kv_parse(F.regexp_extract(line, r"\] (user=.*)$", 1))
-        return rl.select(
-            F.col("ts").alias("event_time"), m.getItem("dstip").alias("dstip"), m.getItem("srcip").alias("srcip"),
-            m.getItem("tcpflag").alias("tcpflag"), m.getItem("packets").try_cast("bigint").alias("packets"),
-        )
+    cols = ["dstip", "window_start", "window_end", "syn_packets", "n_sources"]
+    batch = detect_syn_flood(_deny(spark.read.parquet(f"{SF0001}/events.parquet")), "event_time", 1, window=window, slide=slide)
+    stream = detect_syn_flood(_deny(_stream(spark, ended_stream)), "event_time", 1, window=window, slide=slide, watermark="60 days")
+    assert "approx" not in stream._jdf.queryExecution().analyzed().toString()
+    assert _closed(stream, f"f3_stream_{slide is None}", cols) == _rows(batch, cols) and batch.count() > 20
+
 
-    batch = detect_syn_flood(deny(spark.read.parquet(f"{SF0001}/events.parquet")), "event_time", 1, window="30 days")
-    stream = detect_syn_flood(deny(_stream(spark, event_stream)), "event_time", 1, window="30 days", watermark="60 days")
-    assert "approx_count_distinct" in stream._jdf.queryExecution().analyzed().toString()
-    got = {(r["dstip"], r["window_start"]): (r["syn_packets"], r["n_sources"]) for r in _run(stream, "f3_stream", "complete").collect()}
-    want = {(r["dstip"], r["window_start"]): (r["syn_packets"], r["n_sources"]) for r in batch.collect()}
-    assert set(got) == set(want)
-    for k, (p, n) in want.items():
-        assert got[k][0] == p and abs(got[k][1] - n) <= max(1, 0.05 * n)
+def test_features_stream_equals_batch(spark, ended_stream):
+    from signals.operators.detect import entity_features
+
+    args = ("user_id", "ts", "3 days"), {"types": ("click", "error"), "value_col": "event_id"}
+    cols = ["user_id", "window_start", "n_events", "n_click", "n_error", "sum_value", "n_types", "n_hours", "first_hour", "last_hour"]
+    batch = entity_features(spark.read.parquet(f"{SF0001}/events.parquet"), *args[0], **args[1])
+    stream = entity_features(_stream(spark, ended_stream), *args[0], watermark="60 days", **args[1])
+    assert _closed(stream, "f4_stream", cols) == _rows(batch, cols) and batch.count() > 20
+
+
+@pytest.mark.parametrize("agg", ["count", "sum", "count_distinct"])
+def test_sliding_threshold_stream_equals_batch(spark, ended_stream, agg):
+    args = (["user_id"], "ts", "2 days", 3), {"agg": agg, "value_col": "event_id" if agg == "sum" else "event_type", "slide": "12 hours"}
+    cols = ["user_id", "window_start", "window_end", "n"]
+    batch = detect_threshold(spark.read.parquet(f"{SF0001}/events.parquet"), *args[0], **args[1])
+    stream = detect_threshold(_stream(spark, ended_stream), *args[0], watermark="60 days", **args[1])
+    assert _closed(stream, f"f2_slide_{agg}", cols) == _rows(batch, cols) and batch.count() > 20
 
 
 def test_late_rows_are_dropped_and_counted(spark):
     """Late-event filtering uses the previous batch's watermark (Spark 3.4+), so the late file comes third."""
     src = spark.read.parquet(f"{SF0001}/events.parquet")
     path = scratch_path(spark, "late-landing")
-    import time
-
     for cond in ("ts >= '2024-01-15' AND ts < '2024-01-23'", "ts >= '2024-01-23'", "ts < '2024-01-05'"):
         src.filter(cond).coalesce(1).write.mode("append").parquet(path)
         time.sleep(1.1)  # the file source orders files by modification time
