@@ -24,6 +24,7 @@ from signals.operators.grep import grep, route, stream_routes, write_routes  # n
 from signals.operators.parse import (  # noqa: F401  C1-C6
     ParseRule,
     apply_schema,
+    extract,
     kv_parse,
     kv_preview_json,
     normalize,

@@ -216,6 +216,10 @@ def optional_groups(pattern: str) -> set[int]:
     return found
 
 
+#: Stands before each group's text in a cut line; any character that lines seldom hold.
+_MARK = "\x01"
+
+
 def regex_parse(c: Column | str, pattern: str, fields: Sequence[str]) -> Column:
     """First match anywhere; groups zipped with ``fields`` up to the shorter.
 
@@ -228,22 +232,40 @@ def regex_parse(c: Column | str, pattern: str, fields: Sequence[str]) -> Column:
     n = min(len(fields), compiled.groups)
     if n == 0:
         return _empty_map()
-    jp = python_semantics(to_java_regex(pattern))
+    jp = to_java_regex(pattern)
     opt = optional_groups(pattern)
     # Python builds a dict: a repeated field name keeps its first position and the last value.
     last_index: dict[str, int] = {}
     for i in range(n):
         last_index[fields[i]] = i
-    keys = list(last_index)
-    vals = []
-    for k in keys:
-        g = last_index[k] + 1
-        v = F.regexp_extract(_col(c), jp, g)
-        if g in opt:
-            v = F.when(v == F.lit(""), F.lit(None).cast("string")).otherwise(v)
-        vals.append(v)
-    m = F.map_from_arrays(F.array(*[F.lit(k) for k in keys]), F.array(*vals))
-    return F.when(_col(c).rlike(jp), m).otherwise(_empty_map())
+    keys = F.array(*[F.lit(k) for k in last_index])
+
+    def entries(group) -> Column:
+        """The map of a line's groups; ``group(i)`` gives group i as text."""
+        vals = []
+        for i in last_index.values():
+            v = group(i + 1)
+            vals.append(F.when(v != F.lit(""), v) if i + 1 in opt else v)
+        return F.map_from_arrays(keys, F.array(*vals))
+
+    # One replacement turns a matching line into its groups behind marks, which one split takes apart.
+    # The lazy start finds the leftmost match, as a search does. Lines that hold the mark already are
+    # read group by group.
+    end = "\n" if compiled.flags & re.VERBOSE else ""  # closes a comment at the end of such a pattern
+    whole = python_semantics(f"\\A(?s:.*?)(?:{jp}{end})(?s:.*+)\\z")
+    cut = F.regexp_replace(_col(c), F.lit(whole), F.lit("".join(f"{_MARK}${i + 1}" for i in range(n))))
+    each = lambda i: F.regexp_extract(_col(c), python_semantics(jp), i)
+    marked = F.contains(_col(c), F.lit(_MARK))
+    by_group = F.when(_col(c).rlike(python_semantics(jp)), entries(each)).otherwise(_empty_map())
+    # one-element arrays bind the cut line and its pieces, so that each is made once
+    by_cut = F.transform(
+        F.array(cut),
+        lambda r: F.when(
+            F.startswith(r, F.lit(_MARK)),
+            F.transform(F.array(F.split(r, _MARK, -1)), lambda p: entries(lambda i: p[i]))[0],
+        ).otherwise(_empty_map()),
+    )[0]
+    return F.when(marked, by_group).otherwise(by_cut)
 
 
 # ---------------------------------------------------------------- C4 rule dispatch
@@ -307,20 +329,87 @@ def normalize(
         .when(F.size(F.col(output_col)) == 0, F.lit(EMPTY))
         .otherwise(F.lit(PARSED))
     )
-    return df.withColumn(output_col, once(parsed)).withColumn(status_col, status)
+    return with_once(df, output_col, parsed).withColumn(status_col, status)
 
 
-def once(c: Column) -> Column:
-    """Evaluate an expensive expression exactly once per row.
+def with_once(df: DataFrame, name: str, c: Column) -> DataFrame:
+    """Add a column whose expensive expression runs exactly once per row.
 
     Catalyst pushes a filter on a derived value (``parsed['tcpflag'] = 'SYN'``)
     below the projection that computes it by inlining the expression, so the
-    parse would run in the filter and again in the projection. A value
-    produced by a generator (a one-element ``explode``) is not inlined:
+    parse would run in the filter and again in the projection. A value that
+    has gone through a generator (a one-element ``explode``) is not inlined:
     filters on it stay above, while filters on other columns (tenant,
-    partition columns) still reach the scan. Row count is unchanged.
+    partition columns) still reach the scan. Row count is unchanged. The
+    expression itself is computed in the projection below, where parts that
+    it repeats are computed once; in the generator they would not be.
+    """
+    tmp = f"__once_{name}"
+    return df.withColumn(tmp, c).withColumn(name, F.explode(F.array(tmp))).drop(tmp)
+
+
+def extract(
+    df: DataFrame,
+    rule: ParseRule | dict,
+    keys: Sequence[str],
+    input_col: str = "raw_data",
+    output_col: str = "parsed",
+) -> DataFrame:
+    """The values of a few keys, without the map of all of them (C1/C4 pruned to ``keys``).
+
+    ``output_col`` is a struct with a string for each key: what
+    :func:`normalize`'s map has for it, null where it has nothing. A key-value
+    line without white space, apart from the delimiter, is not taken apart:
+    the last fragment that begins with the key and the separator is found by a
+    byte search. Other lines, and rules that this doesn't hold for, go through
+    the general parse (once for all keys).
     """
-    return F.explode(F.array(c))
+    if isinstance(rule, dict):
+        rule = ParseRule.from_config(rule)
+    keys = list(dict.fromkeys(keys))
+    raw = F.col(input_col)
+    text, general = "__kv_text", "__kv_map"
+    wide = F.when(raw != F.lit(""), compile_rule(rule, raw))
+    searched = [k for k in keys if _searchable(rule, k)]
+    if not searched:
+        out = with_once(df, general, wide)
+        return out.withColumn(output_col, F.struct(*[F.col(general)[k].alias(k) for k in keys])).drop(general)
+    # an empty or null line has no fragment to find
+    out = df.withColumn(text, F.when(_unspaced(raw, rule.delimiter), F.concat(F.lit(rule.delimiter), raw)))
+    rest = F.lit(True) if len(searched) < len(keys) else F.col(text).isNull()
+    out = with_once(out, general, F.when(rest & raw.isNotNull(), wide))
+
+    def value(k: str) -> Column:
+        if k not in searched:
+            return F.col(general)[k]
+        head = rule.delimiter + k + rule.separator
+        found = F.substring_index(F.substring_index(F.col(text), head, -1), rule.delimiter, 1)
+        return F.when(F.col(text).isNull(), F.col(general)[k]).when(F.contains(F.col(text), F.lit(head)), found)
+
+    return out.withColumn(output_col, F.struct(*[value(k).alias(k) for k in keys])).drop(text, general)
+
+
+def _searchable(rule: ParseRule, key: str) -> bool:
+    """Is a fragment of ``key`` what begins with the key and the separator, in a line without further white space?"""
+    if rule.type != "kv" or not isinstance(rule.delimiter, str) or len(rule.delimiter) != 1 or not isinstance(rule.separator, str) or not rule.separator:
+        return False
+    if rule.delimiter in rule.separator or rule.delimiter in key or any(x in PY_WHITESPACE for x in key + rule.separator):
+        return False
+    return (key + rule.separator).find(rule.separator) == len(key)
+
+
+def _unspaced(c: Column, delimiter: str) -> Column:
+    """No white space other than the delimiter, so that nothing is stripped from keys and values."""
+    ascii_only, every = (_char_class([ord(x) for x in PY_WHITESPACE if x != delimiter and ord(x) < most]) for most in (0x80, 0x110000))
+    return ~F.when(F.octet_length(c) == F.char_length(c), c.rlike(ascii_only)).otherwise(c.rlike(every))
+
+
+def _char_class(codes: list[int]) -> str:
+    """A regex class of code points, neighbours as ranges (many single members are slow to test)."""
+    codes = sorted(codes)
+    starts = [x for x in codes if x - 1 not in codes]
+    ends = [x for x in codes if x + 1 not in codes]
+    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in zip(starts, ends)) + "]"
 
 
 def split_quarantine(df: DataFrame, status_col: str = "parse_status") -> tuple[DataFrame, DataFrame]:
@@ -346,9 +435,9 @@ def parse_header(df: DataFrame, input_col: str = "raw_data", once_per_row: bool
     ``event_time`` is a TIMESTAMP: ISO-8601 with or without fraction and
     offset; without an offset it is read in the session time zone. Lines
     that do not match get nulls; ``body`` is null when the line ends after
-    the sender bracket. ``once_per_row`` puts the fields behind ``once``
-    (worth it only when a selective filter on a header field follows; the
-    header is cheap enough that the barrier usually costs more than it saves).
+    the sender bracket. ``once_per_row`` puts the fields behind ``with_once``
+    (worth it when a filter on a header field, or a window over the event
+    time, follows; alone it costs about as much as it saves).
     """
     raw = F.col(input_col)
     ok = raw.rlike(HEADER_PATTERN)
@@ -369,7 +458,7 @@ def parse_header(df: DataFrame, input_col: str = "raw_data", once_per_row: bool
         F.when(ok & (F.length(tail) > 0), F.substr(tail, F.lit(2))).alias("body"),
     )
     tmp = "__header"
-    out = df.withColumn(tmp, once(fields) if once_per_row else fields)
+    out = with_once(df, tmp, fields) if once_per_row else df.withColumn(tmp, fields)
     return out.withColumns({f: F.col(f"{tmp}.{f}") for f in HEADER_FIELDS}).drop(tmp)
 
 
@@ -387,16 +476,22 @@ DATETIME_PATTERN = (
 )
 
 
+def _starts_with_digit(v: Column) -> Column:
+    """A cheap look at a value before its whole pattern is tried."""
+    return F.ascii(v).between(48, 57)
+
+
 def is_ipv4(v: Column) -> Column:
-    return F.coalesce(v.rlike(IPV4_PATTERN), F.lit(False))
+    return F.coalesce(F.octet_length(v).between(7, 15) & _starts_with_digit(v) & v.rlike(IPV4_PATTERN), F.lit(False))
 
 
 def is_integer(v: Column) -> Column:
-    return F.coalesce(v.rlike(INTEGER_PATTERN), F.lit(False))
+    return F.coalesce(F.octet_length(v).between(1, 19) & F.ascii(v).between(43, 57) & v.rlike(INTEGER_PATTERN), F.lit(False))
 
 
 def is_datetime(v: Column) -> Column:
-    return F.coalesce(v.rlike(DATETIME_PATTERN) & F.substr(v, F.lit(1), F.lit(10)).try_cast("date").isNotNull(), F.lit(False))
+    shaped = F.octet_length(v).between(10, 40) & _starts_with_digit(v)
+    return F.coalesce(shaped & v.rlike(DATETIME_PATTERN) & F.substr(v, F.lit(1), F.lit(10)).try_cast("date").isNotNull(), F.lit(False))
 
 
 def to_datetime(v: Column) -> Column:
@@ -429,7 +524,8 @@ def apply_schema(
     ``fields`` is the (name, type) list of one schema version, e.g. from
     ``signals.sources.artifacts.schema_fields``. A present value that does not
     convert becomes null and its field name is listed in ``errors_col``.
-    Each key is read once with ``getItem``; the map is not re-parsed.
+    ``map_col`` is a map, or a struct such as :func:`extract` makes for these
+    fields alone.
     """
     fields = list(fields)
     m = F.col(map_col)

@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 
 from signals.operators.detect import brute_force_login, detect_threshold
 from signals.plans.fixtures import TENANT_SQL
-from signals.plans.q_parse import parsed_logs
+from signals.plans.q_parse import log_fields
 from signals.plans.registry import register
 from signals.session import materialize
 
 
 def failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parsed error events with the entity and a wall-clock event time."""
-    p = parsed_logs(spark, sf_dir).filter(F.col("log_type") == "error")
+    p = log_fields(spark, sf_dir, ["user"]).filter(F.col("log_type") == "error")
     return p.select(
         "tenant_id", F.col("parsed").getItem("user").alias("user"), F.col("event_time").cast("timestamp_ntz").alias("event_time")
     )
@@ -22,7 +22,7 @@ def failures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def login_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parsed events with the entity, the log type and a wall-clock event time."""
-    p = parsed_logs(spark, sf_dir)
+    p = log_fields(spark, sf_dir, ["user"])
     return p.select(
         "tenant_id", "log_type", F.col("parsed").getItem("user").alias("user"),
         F.col("event_time").cast("timestamp_ntz").alias("event_time"),
@@ -53,7 +53,7 @@ from signals.operators.anomaly import explain  # noqa: E402
 from signals.operators.risk import risk_scores, top_risks  # noqa: E402
 from signals.operators.response import assign_responses, policy_table  # noqa: E402
 from signals.operators.grep import grep, route  # noqa: E402
-from signals.operators.parse import normalize, parse_header  # noqa: E402
+from signals.operators.parse import extract, parse_header  # noqa: E402
 from signals.plans.fixtures import deny_logs, raw_logs, table  # noqa: E402
 
 RULES = (
@@ -65,7 +65,7 @@ RULES = (
 
 def typed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parsed log lines with the typed columns the rules refer to."""
-    p = parsed_logs(spark, sf_dir)
+    p = log_fields(spark, sf_dir, ["user", "value", "priority"])
     m = F.col("parsed")
     return p.select(
         "event_id", "tenant_id", "log_type",
@@ -99,7 +99,7 @@ def f1_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def deny_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = normalize(parse_header(deny_logs(spark, sf_dir)), {"type": "kv"}, input_col="body")
+    p = extract(parse_header(deny_logs(spark, sf_dir), once_per_row=True), {"type": "kv"}, ["dstip", "srcip", "tcpflag", "packets"], input_col="body")
     m = F.col("parsed")
     return p.select(
         F.col("event_time").cast("timestamp_ntz").alias("event_time"),

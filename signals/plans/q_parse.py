@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signals.functions.text import JS_WHITESPACE, PY_WHITESPACE
-from signals.operators.parse import apply_schema, kv_parse, normalize, parse_header, regex_parse
+from signals.operators.parse import apply_schema, extract, kv_parse, normalize, parse_header, regex_parse
 from signals.plans.fixtures import raw_logs, table
 from signals.plans.registry import register
 
@@ -15,7 +15,12 @@ BODY_KEYS = ("user", "action", "srcip", "bytes", "priority", "value")
 
 def parsed_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """raw_logs -> header columns -> key-value body map (C5 then C4 with the default kv rule)."""
-    return normalize(parse_header(raw_logs(spark, sf_dir)), {"type": "kv"}, input_col="body")
+    return normalize(parse_header(raw_logs(spark, sf_dir), once_per_row=True), {"type": "kv"}, input_col="body")
+
+
+def log_fields(spark: SparkSession, sf_dir: str, keys) -> DataFrame:
+    """As :func:`parsed_logs`, with the values of ``keys`` only; filters on header fields don't repeat the header's work."""
+    return extract(parse_header(raw_logs(spark, sf_dir), once_per_row=True), {"type": "kv"}, keys, input_col="body")
 
 
 @register(
@@ -155,7 +160,12 @@ def fields_map(df: DataFrame) -> DataFrame:
     "CAST(NULL AS BIGINT) AS action, 'value,action' AS cast_errors FROM events",
 )
 def c6_apply_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    typed = apply_schema(fields_map(parsed_logs(spark, sf_dir)), C6_FIELDS, map_col="fields")
+    names = [n for n, _ in C6_FIELDS]
+    logs = log_fields(spark, sf_dir, names[2:])
+    time = F.substring_index(F.substr("raw_data", F.instr("raw_data", " ") + 1), " ", 1)
+    head = F.when(F.col("pri").isNotNull(), time).alias("event_time"), F.col("sender_ip")
+    logs = logs.withColumn("fields", F.struct(*head, *[F.col("parsed")[n].alias(n) for n in names[2:]]))
+    typed = apply_schema(logs, C6_FIELDS, map_col="fields")
     return typed.select(
         "event_id",
         F.col("record.event_time").cast("timestamp_ntz").alias("event_time"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from signals.functions.text import JS_WHITESPACE, PY_WHITESPACE, java_quote
 from signals.operators.parse import (
     apply_schema,
+    extract,
     kv_parse,
     normalize,
     optional_groups,
@@ -93,10 +94,14 @@ REGEX_CASES = [
     (r"(?P<w>\w+)\Z", ["w"]),
     (r"(?P<a>[a-z])(?P=a)", ["a"]),
     (r"(b{,2})a", ["bs"]),
+    (r"(?x) (\w) (\d*)  # a letter, digits", ["c", "n"]),
+    (r"(?s)(.)(\n)?$", ["c", "end"]),
+    (r"(?<=q)=(.)", ["v"]),
+    (r"(\w+)?=?(\$\d)?", ["k", "cost"]),
 ]
 REGEX_LINES = [
     "[t] body", "user=bob id=7", "user=al", "y", "x", "k=", "12-34", "a", "ab", "zzz", "[] ", "q=1 r=2",
-    "x ٣٤\u3000naïve", "a\rb", "tail\n", "été", "aab", "bba", "word\n",
+    "x ٣٤\u3000naïve", "a\rb", "tail\n", "été", "aab", "bba", "word\n", "a\x01b=\x01 1-2", "\x01", "cost=$1 \\1", "x1\n\n",
 ]
 
 
@@ -107,6 +112,41 @@ def test_regex_matches_python_model(spark, pattern, fields):
         assert dict(got[i]) == regex_model(line, pattern, fields), (pattern, line)
 
 
+def test_groups_are_read_in_one_scan(spark):
+    df = spark.createDataFrame([("a=1",)], "s string")
+    m = regex_parse(F.col("s"), r"(\w)=(\w)(\w)?(\w)?(\w)?(\w)?(\w)?(\w)?", list("abcdefgh"))
+    plan = df.select(m.alias('m'))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(") == 1
+
+
+EXTRACT_RULES = [
+    {"type": "kv"}, {"type": "kv", "delimiter": "|"}, {"type": "kv", "separator": "==", "delimiter": ","}, {"type": "kv", "separator": " ", "delimiter": " "},
+    {"type": "kv", "delimiter": None}, {"type": "kv", "delimiter": "||"}, {"type": "kv", "separator": ""}, {"type": "kv", "delimiter": "=", "separator": "="},
+    {"type": "regex", "pattern": r"(\w)=(\w)", "fields": ["a", "b"]}, {"type": "xml"},
+]
+EXTRACT_KEYS = ["a", "", "b", "a=", "ab", " a", "é", "a|b"]
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(lines=st.lists(st.text(alphabet=" =|,ab1é\t\u2003", max_size=24), min_size=1, max_size=40))
+def test_extract_equals_the_whole_parse(spark, lines):
+    df = spark.createDataFrame([(s,) for s in [*lines, None, ""]], "raw_data string")
+    for rule in EXTRACT_RULES:
+        both = extract(normalize(df, rule, output_col="whole"), rule, EXTRACT_KEYS)
+        for r in both.collect():
+            want = {k: (r["whole"] or {}).get(k) for k in EXTRACT_KEYS}
+            assert r["parsed"].asDict() == want, (rule, r["raw_data"])
+
+
+def test_extract_spares_the_whole_parse(spark):
+    """Plain lines are searched: the general parse stands behind a condition and a generator."""
+    df = spark.createDataFrame([("a=1 b=2 a=3",), ("a=1\tb=2",)], "raw_data string")
+    out = extract(df, {"type": "kv"}, ["a", "b"])
+    assert [tuple(r["parsed"]) for r in out.collect()] == [("3", "2"), ("1\tb=2", None)]
+    typed = apply_schema(out, [("a", "integer")])
+    assert [(r["record"]["a"], r["cast_errors"]) for r in typed.collect()] == [(3, []), (None, ["a"])]
+
+
 def test_optional_groups():
     assert optional_groups(r"(a)(b)?") == {2}
     assert optional_groups(r"(x)|(y)") == {1, 2}
