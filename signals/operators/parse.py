@@ -529,12 +529,9 @@ def apply_schema(
     """
     fields = list(fields)
     m = F.col(map_col)
-    members, errs = [], []
-    for name, typ in fields:
-        raw = m.getItem(name)
-        val = convert(raw, typ)
-        members.append(val.alias(name))
-        errs.append(F.when(raw.isNotNull() & val.isNull(), F.lit(name)))
-    record = F.struct(*members) if members else F.struct()
-    errors = F.filter(F.array(*errs), lambda e: e.isNotNull()) if errs else F.array().cast("array<string>")
-    return df.withColumn(output_col, record).withColumn(errors_col, errors)
+    record = F.struct(*[convert(m.getItem(name), typ).alias(name) for name, typ in fields]) if fields else F.struct()
+    # behind a barrier, so that no value is converted again for the list of errors
+    out = with_once(df, output_col, record)
+    errs = [F.when(m.getItem(name).isNotNull() & F.col(output_col)[name].isNull(), F.lit(name)) for name, typ in fields if typ != "string"]
+    errors = F.array_compact(F.array(*errs)) if errs else F.array().cast("array<string>")
+    return out.withColumn(errors_col, errors)

@@ -1,6 +1,12 @@
-"""Bounded per-source rings on a stream (B4, stream form).
+"""Bounded rings on a stream (B4, stream form).
 
-Each (tenant, source) keeps its newest ``capacity`` events in keyed list
+``stream_rings`` is the general form: the newest ``capacity`` events of each
+key, or of the whole stream, as a stream of changes. It has two stages, so that
+no task sees all events of a noisy source or of the stream: rows are spread
+over ``salts`` partial rings of each key, which pass on only what enters them,
+and a second state merges those few rows and tells what entered and what left.
+
+``stream_ring`` emits whole rings. Each (tenant, source) keeps its newest ``capacity`` events in keyed list
 state (RocksDB-backed). Every micro-batch emits the current ring of the
 sources it touched (output mode ``update``), so a sink that replaces rows by
 key holds the "latest events" view. State per key is bounded by
@@ -14,6 +20,7 @@ from typing import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -74,5 +81,73 @@ def stream_ring(
     return df.groupBy(*key).transformWithStateInPandas(proc, out_schema, "Update", "None")
 
 
+class _EnteringProcessor(_RingProcessor):
+    """Keeps the newest rows of a key; passes on the rows that entered, and, if ``leaving``, those that left."""
+
+    def __init__(self, capacity, key_cols, value_schema, order_cols, leaving: bool):
+        super().__init__(capacity, key_cols, value_schema, order_cols)
+        self.leaving = leaving
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        names = [f.name for f in self.value_schema.fields]
+        held = pd.DataFrame(list(self.ring.get()), columns=names, dtype=object) if self.ring.exists() else pd.DataFrame(columns=names, dtype=object)
+        cur = held.assign(__new=False)
+        for r in rows:
+            more = r[names].astype(object)
+            cur = pd.concat([cur, more.where(more.notna(), None).assign(__new=True)])
+            cur = cur.reset_index(drop=True)
+            best = cur[self.order_cols].infer_objects().sort_values(self.order_cols, kind="stable", na_position="first").index[-self.capacity :]
+            cur = cur.loc[best]
+        new = cur["__new"].astype(bool)
+        if new.any():
+            self.ring.put([tuple(x) for x in cur[names].itertuples(index=False, name=None)])
+        out = [cur.loc[new, names].assign(ring_change=ENTERS)]
+        if self.leaving:
+            kept = {tuple(x) for x in cur.loc[~new, names].itertuples(index=False, name=None)}
+            gone = [x for x in held.itertuples(index=False, name=None) if tuple(x) not in kept]
+            out.append(pd.DataFrame(gone, columns=names, dtype=object).assign(ring_change=LEAVES))
+        both = pd.concat([o for o in out if len(o)]) if any(len(o) for o in out) else out[0]
+        for k, v in zip(self.key_cols, key):
+            both.insert(0, k, v)
+        yield both
+
+
+#: What a row of ``stream_rings`` tells.
+ENTERS, LEAVES = "enters", "leaves"
+
+
+def stream_rings(
+    df: DataFrame,
+    order: Sequence[str],
+    capacity: int = 5000,
+    key: Sequence[str] = ("tenant_id", "source_id"),
+    salts: int = 16,
+) -> DataFrame:
+    """Changes of the ring of the newest ``capacity`` rows of each ``key``; of one ring over all rows with an empty ``key``.
+
+    Output (append mode): the columns of ``df`` and ``ring_change``: ``enters``
+    or ``leaves``. Rows that enter and leave within a micro-batch don't show.
+    A sink that inserts and deletes by these holds the rings. ``order`` has to
+    tell rows apart. A partial ring holds ``capacity`` rows, the merging state
+    of a key as many, and a micro-batch hands it at most ``salts * capacity``.
+    """
+    spark = df.sparkSession
+    conf = "spark.sql.streaming.stateStore.providerClass"
+    if ROCKSDB not in (spark.conf.get(conf, "") or ""):
+        spark.conf.set(conf, ROCKSDB)
+    key, order = list(key), list(order)
+    whole = df.withColumn("__ring", F.lit(0)) if not key else df
+    keys = key or ["__ring"]
+    salted = whole.withColumn("__salt", F.pmod(F.xxhash64(*order), F.lit(salts)).cast("int"))
+
+    def stage(rows: DataFrame, keys: list[str], leaving: bool) -> DataFrame:
+        values = T.StructType([f for f in rows.schema.fields if f.name not in keys])
+        schema = T.StructType([*[rows.schema[k] for k in reversed(keys)], *values.fields, T.StructField("ring_change", T.StringType())])
+        return rows.groupBy(*keys).transformWithStateInPandas(_EnteringProcessor(capacity, keys, values, order, leaving), schema, "Append", "None")
+
+    partial = stage(salted, [*keys, "__salt"], False).drop("__salt", "ring_change")
+    return stage(partial, keys, True).select(*df.columns, "ring_change")
+
+
 # The survey's name for the stream form of B4.
 stream_tail = stream_ring

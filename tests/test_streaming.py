@@ -17,7 +17,7 @@ from signals.plans.fixtures import logs_from_events
 from signals.session import scratch_path
 from signals.sources.tail_source import read_log_tail, stream_log_tail
 from signals.streaming.listener import SourceStatusListener, late_rows
-from signals.streaming.ring import stream_ring
+from signals.streaming.ring import stream_ring, stream_rings
 from tests.conftest import SF0001
 
 
@@ -108,6 +108,42 @@ def test_ring_stream_matches_batch_tail(spark, event_stream):
     assert final == {k: sorted(v) for k, v in want.items()}
 
 
+@pytest.mark.parametrize("key", [(), ("tenant_id", "source_id")])
+def test_rings_by_changes_equal_batch(spark, key):
+    """Both rings under a source with nine tenths of the rows: the changes add up to the newest rows of the batch."""
+    rows = spark.range(3000).select(
+        F.col("id").alias("event_id"),
+        F.when(F.col("id") % 10 == 0, F.lit("quiet")).otherwise(F.lit("noisy")).alias("source_id"),
+        F.lit("acme").alias("tenant_id"),
+        F.when(F.col("id") % 7 != 0, F.col("id")).alias("n"),  # nulls in the state
+        F.concat(F.lit("line "), F.col("id")).alias("raw_data"),
+    )
+    path = scratch_path(spark, "rings-landing")
+    for low, high in ((1000, 2000), (2000, 3000), (0, 1000)):  # the oldest come last
+        rows.where(f"event_id >= {low} and event_id < {high}").coalesce(1).write.mode("append").parquet(path)
+        time.sleep(1.1)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    held, sizes = {}, []
+
+    def keep(batch, _):
+        got = batch.collect()
+        sizes.append(len(got))
+        for r in sorted(got, key=lambda r: r["ring_change"], reverse=True):
+            if r["ring_change"] == "leaves":
+                del held[r["event_id"]]
+            else:
+                held[r["event_id"]] = tuple(r[c] for c in rows.columns)
+
+    q = stream_rings(stream, ["event_id"], 40, key, salts=4).writeStream.outputMode("append").foreachBatch(keep)
+    q = q.option("checkpointLocation", scratch_path(spark, "ckpt-rings")).start()
+    q.processAllAvailable()
+    q.stop()
+    want = rows.orderBy(F.desc("event_id")).limit(40) if not key else latest_per_source(rows, "event_id", 40)
+    assert sorted(held.values()) == sorted(tuple(r[c] for c in rows.columns) for r in want.collect())
+    rings = 2 if key else 1
+    assert [n for n in sizes if n] == [40 * rings, 80 * rings]  # the last file changes nothing
+
+
 def test_tail_source_stream_and_batch(spark, tmp_path):
     d = tmp_path / "tail"
     d.mkdir()
