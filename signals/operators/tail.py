@@ -15,7 +15,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from signals.operators.sequence import bucket_of
+from signals.operators.sequence import MAX_ROWS, along_groups, ordered_groups
 
 RING_CAPACITY = 5000
 DEFAULT_LIMIT = 50
@@ -70,17 +70,18 @@ def latest_per_source(
     key: Sequence[str] = SOURCE_KEY,
     rank_col: str = "rn",
     bucket: str | float | None = None,
+    max_rows: int = MAX_ROWS,
 ) -> DataFrame:
     """The newest ``limit`` rows of every (tenant, source), all keys at once.
 
     ``rank_col`` is 1 for the newest row of the key. Up to Spark's window
     group limit threshold (1000 by default) ``row_number() <= limit`` gets a
     partial top-k before the shuffle. Above it (rings of 5,000) the order
-    column is cut into buckets: rows are counted per (key, bucket), a running
-    sum from the newest bucket finds the buckets that overlap the newest
-    ``limit`` rows, and only rows in those buckets are ranked, so a source
-    holding a third of all rows ranks about ``limit`` + one bucket of rows,
-    not all of them.
+    column is cut into buckets, and large buckets at ``max_rows`` (see
+    ``sequence.ordered_groups``): a running sum of their counts from the newest
+    one finds those that overlap the newest ``limit`` rows, and only rows in
+    them are ranked, so a source holding a third of all rows, or a burst of
+    equal times, ranks about ``limit`` + ``max_rows`` rows, not all of them.
     """
     o = _order(order)
     check_limit(limit)
@@ -90,13 +91,9 @@ def latest_per_source(
         raise ValueError(f"a ring of {limit} rows needs a time or integer as its first order column, or a bucket width")
     if limit <= _group_limit_threshold(df):
         return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= limit)
-    g = F.struct(*[F.col(k) for k in key], bucket_of(F.col(o[0]), b).alias("__b"))
-    d = df.withColumn("__g", g)
-    counts = d.groupBy("__g").agg(F.count(F.lit(1)).alias("__n"))
-    newer = Window.partitionBy(*[F.col(f"__g.{k}") for k in key]).orderBy(F.col("__g.__b").desc()).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    keep = counts.withColumn("__newer", F.coalesce(F.sum("__n").over(newer), F.lit(0))).filter(F.col("__newer") < limit)
+    d, counts = ordered_groups(df, list(key), o, b, max_rows)
+    newer = F.coalesce(F.sum("__cnt").over(along_groups(key, descending=True)), F.lit(0))
+    keep = counts.withColumn("__newer", newer).filter(F.col("__newer") < limit)
     cand = d.join(keep.select(F.col("__g").alias("__kg")), F.col("__g") == F.col("__kg"), "left_semi")
     ranked = cand.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= limit)
     return ranked.drop("__g")

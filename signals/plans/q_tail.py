@@ -101,3 +101,36 @@ def a4_datagram_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("payload_id").alias("event_id"), "raw_data", "offset", "seq",
         F.col("remote_addr.ip").alias("remote_ip"), F.col("remote_addr.port").alias("remote_port"),
     )
+
+
+_BURST = "TIMESTAMP '2024-01-10 12:34:56.5'"
+
+
+@register(
+    "a4_hot_minute",
+    with_views(
+        f"SELECT event_id, row_number() OVER (PARTITION BY tenant_id, source_id ORDER BY CASE WHEN event_id % 3 = 0 THEN {_BURST} ELSE ts END, event_id) AS seq FROM raw_logs",
+        RAW_LOGS_SQL,
+    ),
+)
+def a4_hot_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the datagrams arrive at one time: they are numbered in parts of about 256."""
+    landed = landed_datagrams(spark, sf_dir)
+    burst = F.when(F.col("payload_id") % 3 == 0, F.lit("2024-01-10 12:34:56.5").cast("timestamp_ntz")).otherwise(F.col("received_at"))
+    env = datagram_envelope(landed.withColumn("received_at", burst), max_rows=256)
+    return env.select(F.col("payload_id").alias("event_id"), "seq")
+
+
+@register(
+    "b3_burst_ring",
+    with_views(
+        f"SELECT event_id, source_id, row_number() OVER (PARTITION BY tenant_id, source_id ORDER BY t DESC, event_id DESC) AS rn "
+        f"FROM (SELECT *, CASE WHEN event_id % 3 = 0 THEN {_BURST} ELSE ts END AS t FROM raw_logs) QUALIFY rn <= 1500",
+        RAW_LOGS_SQL,
+    ),
+)
+def b3_burst_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rings of 1,500 by time where a third of the events have one time."""
+    burst = F.when(F.col("event_id") % 3 == 0, F.lit("2024-01-10 12:34:56.5").cast("timestamp_ntz")).otherwise(F.col("ts"))
+    logs = raw_logs(spark, sf_dir).withColumn("t", burst)
+    return latest_per_source(logs, ["t", "event_id"], 1500, max_rows=256).select("event_id", "source_id", F.col("rn").cast("long").alias("rn"))

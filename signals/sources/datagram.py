@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from signals.functions.text import decode_replace, py_strip
-from signals.operators.sequence import arrival_sequence
+from signals.operators.sequence import MAX_ROWS, arrival_sequence
 
 
 def datagram_envelope(
@@ -24,13 +24,14 @@ def datagram_envelope(
     port_col: str = "remote_port",
     key: Sequence[str] = ("tenant_id", "source_id"),
     bucket: str = "minute",
+    max_rows: int = MAX_ROWS,
 ) -> DataFrame:
     """Landed payloads -> (raw_data, offset=0, received_at, seq, remote_addr) (A4).
 
     ``raw_data`` is the UTF-8 decode with U+FFFD for bad bytes, stripped of
     whitespace at both ends. ``seq`` is the 1-based arrival counter per key,
-    ordered by (received_at, payload id), computed without a hot task
-    (``bucket`` is the time slice one task numbers, see ``arrival_sequence``).
+    ordered by (received_at, payload id), computed without a hot task (see
+    ``arrival_sequence`` for ``bucket`` and ``max_rows``).
     ``remote_addr`` is a struct (ip, port), null when no address was landed.
     """
     out = df.withColumns(
@@ -43,4 +44,4 @@ def datagram_envelope(
             ),
         }
     )
-    return arrival_sequence(out, list(key), [received_col, id_col], out="seq", bucket=bucket)
+    return arrival_sequence(out, list(key), [received_col, id_col], out="seq", bucket=bucket, max_rows=max_rows)

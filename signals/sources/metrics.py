@@ -44,14 +44,15 @@ def read_training_metrics(spark: SparkSession, root: str, modules: DataFrame, la
     if layout not in ("partitioned", "files"):
         raise ValueError("layout must be 'partitioned' or 'files'")
     partitions = "tenant_id string, module string" if layout == "partitioned" else ""
-    if not path_exists(spark, f"{root.rstrip('/')}/*"):
-        # nothing was ever written: every metric has its defaults
+    pattern = f"{root.rstrip('/')}/*" + ("/metrics/*.json" if layout == "files" else "")
+    if not path_exists(spark, pattern):
+        # no metric was ever written, whatever else the tenants' folders hold: every metric has its defaults
         raw, got = None, spark.createDataFrame([], "__t string, __m string, __bad boolean, trained_pct double, data_points long, last_trained_at timestamp, last_error string")
     elif layout == "partitioned":
         raw = reader.schema(f"{METRIC_SCHEMA}, {partitions}").json(root)  # ids are strings, also '0042'
         got = raw.select(F.col("tenant_id").alias("__t"), F.col("module").alias("__m"), *_metric_cols())
     else:
-        raw = reader.json(f"{root.rstrip('/')}/*/metrics/*.json")
+        raw = reader.json(pattern)
         path = F.col("_metadata.file_path")
         parts = F.split(path, "/")
         tenant = F.element_at(parts, -3)

@@ -195,3 +195,17 @@ def test_no_silent_local_folder_on_a_cluster():
 
     with pytest.raises(ValueError):
         shared_dir(Session())
+
+
+def test_tenants_without_a_metrics_folder(spark, tmp_path):
+    """Tenant folders exist, none has metrics: every metric has its defaults."""
+    from signals.sources.metrics import read_training_metrics
+
+    (tmp_path / "acme" / "artifacts").mkdir(parents=True)
+    modules = spark.createDataFrame([("acme", "risk")], "tenant_id string, module_id string")
+    want = [("acme", "risk", 0.0, 0, None, None)]
+    assert [tuple(r) for r in read_training_metrics(spark, str(tmp_path), modules, layout="files").collect()] == want
+    (tmp_path / "acme" / "metrics").mkdir()
+    assert [tuple(r) for r in read_training_metrics(spark, str(tmp_path), modules, layout="files").collect()] == want
+    (tmp_path / "acme" / "metrics" / "risk.json").write_text('{"trained_pct": 12.5, "data_points": 3}')
+    assert [tuple(r)[2:4] for r in read_training_metrics(spark, str(tmp_path), modules, layout="files").collect()] == [(12.5, 3)]

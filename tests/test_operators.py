@@ -65,6 +65,29 @@ def test_arrival_sequence_hot_key_and_nulls(spark):
     assert j.count() == 2000 and j.filter("seq != rn").count() == 0
 
 
+def test_large_buckets_are_cut_evenly(spark):
+    """A third of the rows share one time, a few share the whole order: parts stay near max_rows, numbers are exact."""
+    from signals.operators.sequence import ordered_groups
+
+    base = dt.datetime(2024, 1, 1)
+    rows = [(i, None if i % 11 == 0 else "k", base + dt.timedelta(seconds=0 if i % 3 == 0 else i)) for i in range(9000)]
+    rows += [(None, "k", None)] * 5 + [(7, "k", base)] * 4
+    df = spark.createDataFrame(rows, "id long, k string, ts timestamp").repartition(4)
+    groups, counts = ordered_groups(df, ["k"], ["ts", "id"], "hour", 200)
+    sizes = sorted(r["__cnt"] for r in counts.collect())
+    assert sum(sizes) == len(rows) == groups.count() and sizes[-1] < 400 and sizes[-1] < 2.5 * sizes[len(sizes) // 2]
+    got = arrival_sequence(df, ["k"], ["ts", "id"], bucket="hour", max_rows=200)
+    number = {}
+    for r in got.collect():
+        number.setdefault((r["k"], r["ts"], r["id"]), []).append(r["seq"])
+    first = lambda x: (x is not None, x or 0)
+    want, at = {}, {}
+    for i, k, t in sorted(rows, key=lambda r: (first(r[1]), (r[2] is not None, r[2] or base), first(r[0]))):
+        at[k] = at.get(k, 0) + 1
+        want.setdefault((k, t, i), []).append(at[k])
+    assert {k: sorted(v) for k, v in number.items()} == want
+
+
 def test_grep_modes(spark):
     df = spark.createDataFrame([("ERROR disk full",), ("warn cpu",), ("ERROR cpu hot",), (None,)], "raw_data string")
     assert grep(df, ["ERROR", "cpu"], mode="any").count() == 3
