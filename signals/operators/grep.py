@@ -6,6 +6,11 @@ with a required literal (e.g. '@' in an e-mail pattern) is guarded by a
 ``contains`` of it, so texts without it skip the regex; for mode ``any``
 the remaining regexes without groups are folded into one alternation (groups
 would change their numbers there). Regexes mean what they mean in Python.
+
+More than ``MANY`` literals are one regex that shares their beginnings (a trie),
+so that a text is read once, not once for each. Routes read from such a scan
+which literals occurred, at every position of the text: the longest one there,
+which tells the others, since they are its beginnings.
 """
 
 from __future__ import annotations
@@ -22,6 +27,8 @@ from signals.operators.parse import python_semantics, to_java_regex
 _META = re.compile(r"[\\.^$|?*+()\[\]{}]")
 
 MODES = ("any", "all", "none")
+#: Literals beyond which one scan for all is cheaper than a byte search for each.
+MANY = 16
 
 
 def is_literal(pattern: str) -> bool:
@@ -56,6 +63,37 @@ def required_literal(pattern: str) -> str | None:
     return best or None
 
 
+def trie_pattern(literals: Sequence[str]) -> str:
+    """A Java regex for the longest of ``literals`` at a place, with common beginnings written once."""
+    words = sorted(set(literals))
+
+    def node(lo: int, hi: int, at: int) -> str:
+        """The rests, from ``at`` on, of words[lo:hi], which are equal before it."""
+        ends = len(words[lo]) == at
+        lo += ends
+        branches = []
+        while lo < hi:
+            to = lo
+            while to < hi and words[to][at] == words[lo][at]:
+                to += 1
+            # sorted words share what the first and the last of them share
+            end = at + 1
+            while end < len(words[lo]) and end < len(words[to - 1]) and words[lo][end] == words[to - 1][end]:
+                end += 1
+            branches.append(_escaped(words[lo][at:end]) + node(lo, to, end))
+            lo = to
+        if not branches:
+            return ""
+        inner = branches[0] if len(branches) == 1 and not ends else "(?:" + "|".join(branches) + ")"
+        return inner + "?" if ends else inner
+
+    return node(0, len(words), 0)
+
+
+def _escaped(text: str) -> str:
+    return "".join("\\" + x if _META.match(x) else x for x in text)
+
+
 def _java(pattern: str) -> str:
     return python_semantics(to_java_regex(pattern))
 
@@ -79,7 +117,7 @@ def grep_match(c: Column | str, patterns: Sequence[str], mode: str = "any", fixe
     if mode in ("any", "none"):
         lits = [p for p in patterns if fixed or is_literal(p)]
         regs = [p for p in patterns if not (fixed or is_literal(p))]
-        parts = [col.contains(p) for p in lits]
+        parts = [col.contains(p) for p in lits] if len(lits) <= MANY or "" in lits else [col.rlike(trie_pattern(lits))]
         guarded = [p for p in regs if required_literal(p)]
         free = [p for p in regs if not required_literal(p)]
         own = [p for p in free if re.compile(p).groups]
@@ -124,11 +162,25 @@ def route(
     """
     if not routes:
         raise ValueError("at least one route is required")
-    hits = F.array_compact(
-        F.array(*[F.when(grep_match(col, [p] if isinstance(p, str) else list(p)), F.lit(name)) for name, p in routes.items()])
-    )
+    lists = {name: [p] if isinstance(p, str) else list(p) for name, p in routes.items()}
+    plain = {name: p for name, p in lists.items() if all(is_literal(x) and x for x in p)}
+    literals = sorted({x for p in plain.values() for x in p})
+    if len(literals) <= MANY:
+        plain, found = {}, None
+    else:
+        tmp = "__found"
+        df = df.withColumn(tmp, F.array_distinct(F.regexp_extract_all(F.col(col), F.lit(f"(?=({trie_pattern(literals)}))"), F.lit(1))))
+        found = F.col(tmp)
+
+    def hit(name: str, patterns: list[str]) -> Column:
+        if name not in plain:
+            return grep_match(col, patterns)
+        told = [x for x in literals if any(x.startswith(p) for p in patterns)]
+        return F.arrays_overlap(found, F.array(*[F.lit(x) for x in told]))
+
+    hits = F.array_compact(F.array(*[F.when(hit(name, p), F.lit(name)) for name, p in lists.items()]))
     names = F.when(F.size(hits) > 0, hits).otherwise(F.array(F.lit(default)))
-    return df.withColumn(route_col, F.explode(names))
+    return df.withColumn(route_col, F.explode(names)).drop("__found")
 
 
 def write_routes(routed: DataFrame, path: str, route_col: str = "route", fmt: str = "parquet", mode: str = "append") -> None:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from signals.functions.text import iso_local, json_or_error, safe_module_name
 from signals.operators.anomaly import NODE_SCHEMA, c_factor, isolation_forest_score, reconstruction_score
-from signals.operators.grep import grep
+from signals.operators.grep import grep, route
 from signals.operators.parse import kv_preview_json, normalize
 from signals.operators.schema import catalog_from_inference, current_schema, revise_schema, schema_diff
 from signals.operators.tenancy import entitled, grants_table
@@ -38,6 +38,35 @@ def f11_grep_backrefs_none(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grep(table(spark, sf_dir, "documents"), BACKREFS, col="text", mode="none").select("doc_id")
 
 
+# ------------------------------------------------------------------ many literals at once
+
+#: 500 syllables that end in a rare letter.
+LITERALS = [a + b + c for a in "bcdfghjklmnpqrstvwxz" for b in "aeiou" for c in "jkqxz"]
+_IN_TEXT = "EXISTS (SELECT 1 FROM unnest({}) AS t(x) WHERE contains(text, x))"
+
+
+@register("f11_many_literals", f"SELECT doc_id FROM documents WHERE {_IN_TEXT.format(LITERALS)}")
+def f11_many_literals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """500 literals in one expression."""
+    return grep(table(spark, sf_dir, "documents"), LITERALS, col="text").select("doc_id")
+
+
+#: A route for each first letter; "s" and "st" overlap with others' literals.
+LETTER_ROUTES = {a: [x for x in LITERALS if x[0] == a] for a in "bcdfghjklm"} | {"s": ["es", "ese", "est", "str"], "st": "st"}
+_ROUTES_SQL = " UNION ALL ".join(
+    f"SELECT doc_id, '{name}' AS route FROM documents WHERE {_IN_TEXT.format([p] if isinstance(p, str) else p)}" for name, p in LETTER_ROUTES.items()
+)
+
+
+@register(
+    "f12_many_routes",
+    f"WITH r AS ({_ROUTES_SQL}) SELECT * FROM r UNION ALL SELECT doc_id, 'default' FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM r)",
+)
+def f12_many_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twelve routes of 255 literals, told by one scan of each text."""
+    return route(table(spark, sf_dir, "documents"), LETTER_ROUTES, col="text").select("doc_id", "route")
+
+
 # ------------------------------------------------------------------ ids that look like numbers
 
 

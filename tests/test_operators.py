@@ -88,6 +88,49 @@ def test_large_buckets_are_cut_evenly(spark):
     assert {k: sorted(v) for k, v in number.items()} == want
 
 
+def test_trie_pattern_is_the_longest_literal():
+    import random
+    import re
+
+    from signals.operators.grep import trie_pattern
+
+    r = random.Random(4)
+    for _ in range(300):
+        words = ["".join(r.choice("ab.(é") for _ in range(r.randint(1, 5))) for _ in range(r.randint(1, 12))]
+        text = "".join(r.choice("ab.(éc") for _ in range(30))
+        p = re.compile(f"(?=({trie_pattern(words)}))")
+        got = [(m.start(), m[1]) for m in p.finditer(text)]
+        want = [(i, max((w for w in words if text.startswith(w, i)), key=len)) for i in range(len(text)) if any(text.startswith(w, i) for w in words)]
+        assert got == want
+
+
+def test_many_literals_and_routes(spark):
+    import random
+
+    r = random.Random(6)
+    word = lambda: "".join(r.choice("abc.$") for _ in range(r.randint(2, 4)))
+    words = sorted({word() for _ in range(160)})
+    texts = ["".join(r.choice("abc.$ é") for _ in range(r.randint(0, 25))) for _ in range(150)] + [None]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, raw_data string")
+    held = lambda t, ws: t is not None and any(w in t for w in ws)
+    for mode, want in (("any", True), ("none", False)):
+        got = {x["i"] for x in grep(df, words, mode=mode, fixed=True).collect()}
+        assert got == {i for i, t in enumerate(texts) if held(t, words) == want}
+    plain = [w for w in words if not set(w) & set(".$")]
+    routes = {f"r{k}": plain[k::7] for k in range(7)} | {"re": r"a.c", "one": "abc"}
+    assert len(plain) > 16
+    got = sorted((x["i"], x["route"]) for x in route(df, routes).collect())
+    import re
+
+    want = []
+    for i, t in enumerate(texts):
+        mine = [n for n, p in routes.items() if (t is not None and re.search(p, t) if n == "re" else held(t, [p] if isinstance(p, str) else p))]
+        want += [(i, n) for n in (mine or ["default"])]
+    assert got == sorted(want)
+    plan = grep(df, words, fixed=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("RLIKE(") == 1 and "Contains(" not in plan
+
+
 def test_grep_modes(spark):
     df = spark.createDataFrame([("ERROR disk full",), ("warn cpu",), ("ERROR cpu hot",), (None,)], "raw_data string")
     assert grep(df, ["ERROR", "cpu"], mode="any").count() == 3
