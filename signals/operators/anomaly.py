@@ -78,38 +78,38 @@ def c_factor(n: float) -> float:
     return 2.0 * (math.log(n - 1) + EULER_GAMMA) - 2.0 * (n - 1) / n
 
 
-def _tree_builder(feature_cols: list[str], seed: int):
+def _tree_builder(feature_cols: list[str], seed: int, max_depth: int | None):
+    import hashlib
     import math
 
     import numpy as np
     import pandas as pd
 
+    def draw(*what) -> float:
+        """A number from 0 up to 1 that any engine can draw again: the first 32 bits of an MD5."""
+        return int(hashlib.md5(":".join(map(str, what)).encode()).hexdigest()[:8], 16) / 2**32
+
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         tid = int(pdf["tree_id"].iloc[0])
         x = pdf[feature_cols].to_numpy(dtype="float64")
         x = np.nan_to_num(x, nan=0.0)
         n = len(x)
-        rng = np.random.default_rng([seed, tid])
         limit = max(1, math.ceil(math.log2(max(n, 2))))
+        limit = limit if max_depth is None else min(limit, max_depth)
         rows = []
         stack = [(np.arange(n), 0, 0)]
-        next_id = 1
         while stack:
             idx, node, depth = stack.pop()
             sub = x[idx]
-            if depth >= limit or len(idx) <= 1:
-                rows.append((tid, node, -1, 0.0, -1, -1, len(idx), depth, n))
-                continue
-            lo, hi = sub.min(axis=0), sub.max(axis=0)
+            lo, hi = (sub.min(axis=0), sub.max(axis=0)) if len(idx) else (np.zeros(x.shape[1]),) * 2
             cand = np.flatnonzero(hi > lo)
-            if cand.size == 0:
+            if depth >= limit or len(idx) <= 1 or cand.size == 0:
                 rows.append((tid, node, -1, 0.0, -1, -1, len(idx), depth, n))
                 continue
-            f = int(rng.choice(cand))
-            split = float(rng.uniform(lo[f], hi[f]))
+            f = int(cand[int(draw(seed, tid, node, "feature") * cand.size)])
+            split = float(lo[f] + draw(seed, tid, node, "split") * (hi[f] - lo[f]))
             go_left = sub[:, f] < split
-            left, right = next_id, next_id + 1
-            next_id += 2
+            left, right = 2 * node + 1, 2 * node + 2
             rows.append((tid, node, f, split, left, right, len(idx), depth, n))
             stack.append((idx[go_left], left, depth + 1))
             stack.append((idx[~go_left], right, depth + 1))
@@ -125,16 +125,19 @@ def isolation_forest_fit(
     trees: int = 100,
     sample: int = 256,
     seed: int = 42,
+    max_depth: int | None = None,
 ) -> DataFrame:
     """Fit an isolation forest; returns the trees as node rows.
 
-    Tree membership is a deterministic hash of the row (ids and features):
-    rows fall into ``ceil(N / sample)`` buckets and tree ``t`` is built on
+    Tree membership is an MD5 of the row's ids, and a tree's splits are drawn
+    by MD5s of seed, tree and node (children of node i: 2i + 1 and 2i + 2), so
+    that the fit can be recomputed anywhere. Trees are as deep as the logarithm
+    of their rows, or ``max_depth``. Rows fall into ``ceil(N / sample)`` buckets and tree ``t`` is built on
     bucket ``t mod buckets`` (so every tree sees about ``sample`` rows, and
     small inputs are shared by several trees). The fit is a sample, as the
     algorithm has it: about ``trees * sample`` rows when there are more;
     scoring covers every row. Each tree is grown in one
-    ``applyInPandas`` group of ~``sample`` rows, with its own random stream.
+    ``applyInPandas`` group of ~``sample`` rows.
     The result has at most trees x (2 x sample) rows. ``features`` is read
     twice here (count, membership) and once more by scoring: pass a
     materialised table (``signals.session.materialize``) when it is costly.
@@ -142,11 +145,12 @@ def isolation_forest_fit(
     feature_cols, id_cols = list(feature_cols), list(id_cols)
     n = features.count()
     buckets = max(1, -(-n // sample))
-    h = F.pmod(F.xxhash64(*[F.col(c) for c in dict.fromkeys([*id_cols, *feature_cols])], F.lit(seed)), F.lit(buckets))
+    own = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in id_cols])
+    h = F.conv(F.substring(F.md5(own), 1, 15), 16, 10).cast("long") % F.lit(buckets)
     member = features.withColumn("__b", h).filter(F.col("__b") < trees)
     member = member.withColumn("tree_id", F.explode(F.sequence(F.col("__b").cast("int"), F.lit(trees - 1), F.lit(int(min(buckets, trees))))))
     x = member.select("tree_id", *[F.col(c).cast("double").alias(c) for c in feature_cols])
-    return x.groupBy("tree_id").applyInPandas(_tree_builder(feature_cols, seed), NODE_SCHEMA)
+    return x.groupBy("tree_id").applyInPandas(_tree_builder(feature_cols, seed, max_depth), NODE_SCHEMA)
 
 
 def _forest_arrays(model: DataFrame):

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signals.functions.text import iso_local, json_or_error, safe_module_name
-from signals.operators.anomaly import NODE_SCHEMA, c_factor, isolation_forest_score, reconstruction_score
+from signals.operators.anomaly import NODE_SCHEMA, c_factor, isolation_forest_fit, isolation_forest_score, reconstruction_score
 from signals.operators.grep import grep, route
 from signals.operators.parse import kv_preview_json, normalize
 from signals.operators.schema import catalog_from_inference, current_schema, revise_schema, schema_diff
@@ -16,7 +16,7 @@ from signals.plans.q_detect import FEAT_SQL, features
 from signals.plans.q_schema import CAT_CTE, D1_CTES, inferred, stored
 from signals.plans.q_sources import EVENT_MODULE_SQL, GRANTS_SQL, with_module
 from signals.plans.registry import register
-from signals.session import scratch_path
+from signals.session import materialize, scratch_path
 from signals.sources.artifacts import read_schema_artifacts
 from signals.sources.metrics import read_training_metrics, write_training_metrics
 from signals.sources.zones import read_zone, write_zone
@@ -168,6 +168,50 @@ FOREST = (
 )
 
 
+_FIT_TREES, _FIT_SAMPLE, _FIT_SEED, _FIT_DEPTH = 4, 256, 7, 4
+
+
+def _fit_sql() -> str:
+    """The nodes of a small forest, a level at a time: rows of a level's nodes, their ranges, the drawn split."""
+    draw = lambda what: f"CAST('0x' || substr(md5('{_FIT_SEED}:' || tree_id || ':' || node_id || ':{what}'), 1, 8) AS BIGINT) / 4294967296.0"
+    sql = (
+        f"WITH {FEAT_SQL}, x AS (SELECT tenant_id, \"user\", window_start, CAST(n_events AS DOUBLE) AS x0, round(sum_value, 2) AS x1 FROM feat), "
+        f"b AS (SELECT CAST(ceil(count(*) / {_FIT_SAMPLE}.0) AS BIGINT) AS buckets FROM x), "
+        f"m AS (SELECT *, CAST('0x' || substr(md5('{_FIT_SEED}|' || tenant_id || '|' || \"user\" || '|' || CAST(window_start AS VARCHAR)), 1, 15) AS BIGINT) % buckets AS bucket FROM x, b), "
+        f"r0 AS (SELECT t.tree_id, CAST(0 AS BIGINT) AS node_id, x0, x1 FROM m JOIN range({_FIT_TREES}) t(tree_id) ON t.tree_id % least(buckets, {_FIT_TREES}) = bucket), "
+        "n AS (SELECT tree_id, count(*) AS n_sample FROM r0 GROUP BY tree_id) "
+    )
+    for d in range(_FIT_DEPTH + 1):
+        sql += (
+            f", s{d} AS (SELECT tree_id, node_id, count(*) AS size, min(x0) AS lo0, max(x0) AS hi0, min(x1) AS lo1, max(x1) AS hi1, any_value(n_sample) AS n_sample, "
+            "list_concat(CASE WHEN max(x0) > min(x0) THEN [0] ELSE [] END, CASE WHEN max(x1) > min(x1) THEN [1] ELSE [] END) AS cand "
+            f"FROM r{d} JOIN n USING (tree_id) GROUP BY tree_id, node_id), "
+            f"f{d} AS (SELECT *, CASE WHEN size <= 1 OR len(cand) = 0 OR {d} >= least({_FIT_DEPTH}, greatest(1, ceil(log2(greatest(n_sample, 2))))) THEN -1 "
+            f"ELSE cand[1 + CAST(floor({draw('feature')} * len(cand)) AS INTEGER)] END AS feature FROM s{d}), "
+            f"p{d} AS (SELECT *, CASE feature WHEN 0 THEN lo0 + {draw('split')} * (hi0 - lo0) WHEN 1 THEN lo1 + {draw('split')} * (hi1 - lo1) ELSE 0 END AS split, {d} AS depth FROM f{d}), "
+            f"r{d + 1} AS (SELECT tree_id, 2 * node_id + CASE WHEN CASE feature WHEN 0 THEN x0 ELSE x1 END < split THEN 1 ELSE 2 END AS node_id, x0, x1 "
+            f"FROM r{d} JOIN p{d} USING (tree_id, node_id) WHERE feature >= 0)"
+        )
+    # a node that got no rows is a leaf, too
+    nodes = " UNION ALL ".join(f"SELECT tree_id, node_id, feature, split, size, depth, n_sample FROM p{d}" for d in range(_FIT_DEPTH + 1))
+    return sql + (
+        f", a AS ({nodes}), c AS (SELECT tree_id, 2 * node_id + k AS node_id, depth + 1 AS depth, n_sample FROM a, range(1, 3) t(k) WHERE feature >= 0), "
+        "w AS (SELECT tree_id, node_id, feature, split, size, depth, n_sample FROM a UNION ALL "
+        "SELECT tree_id, node_id, -1, 0, 0, depth, n_sample FROM c WHERE (tree_id, node_id) NOT IN (SELECT (tree_id, node_id) FROM a)) "
+        "SELECT CAST(tree_id AS INTEGER) AS tree_id, CAST(node_id AS INTEGER) AS node_id, CAST(feature AS INTEGER) AS feature, round(CAST(split AS DOUBLE), 6) AS split, "
+        "CAST(size AS BIGINT) AS size, CAST(depth AS INTEGER) AS depth, CAST(n_sample AS BIGINT) AS n_sample FROM w"
+    )
+
+
+@register("f5_fitted_nodes", _fit_sql())
+def f5_fitted_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fit itself: the nodes of four trees over two features of the user-days."""
+    feats = materialize(features(spark, sf_dir).withColumns({"n_events": F.col("n_events").cast("double"), "sum_value": F.round("sum_value", 2)}))
+    model = isolation_forest_fit(feats, TWO, ["tenant_id", "user", "window_start"], _FIT_TREES, _FIT_SAMPLE, _FIT_SEED, _FIT_DEPTH)
+    nodes = [F.col(c).cast(t).alias(c) for c, t in (("tree_id", "int"), ("node_id", "int"), ("feature", "int"))]
+    return model.select(*nodes, F.round("split", 6).alias("split"), F.col("size").cast("long").alias("size"), F.col("depth").cast("int").alias("depth"), F.col("n_sample").cast("long").alias("n_sample"))
+
+
 @register(
     "f5_fixed_forest",
     f"WITH {FEAT_SQL}, h AS (SELECT tenant_id, \"user\", window_start, "
