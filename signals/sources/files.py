@@ -3,17 +3,15 @@
 ``read_logs`` reads text files with Spark's text source (files are split and
 read in parallel; bad UTF-8 becomes U+FFFD). Line order inside a file is
 recovered from the split a line came from (``_metadata.file_block_start``)
-and the line's position inside that split: a per-partition pass numbers the
-lines of each split in file order (rows of a split are contiguous and in file
-order inside a partition) and a small table of per-split totals supplies the
-lines and bytes before each split. The lines themselves are never shuffled.
+and the line's position in its scan task, where the rows of a split follow each
+other in file order. Lines are shuffled once, by split, and numbered and their
+bytes added up there by window functions; a row for each split then tells the
+lines and bytes before it. Both sides read the same shuffle, so the text is
+scanned once.
 """
 
 from __future__ import annotations
 
-from typing import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -22,41 +20,6 @@ from signals.functions.text import decode_replace
 #: Names of files that Spark's text source decompresses.
 COMPRESSED = r"\.(gz|bz2|zst|lz4|snappy|deflate)$"
 
-_LOCAL_SCHEMA = "raw_data string, file_path string, __blk long, __size long, __idx long, __cum long"
-
-
-def _number_splits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Line index and running byte count inside each (file, split), carried across batches.
-
-    Vectorised per batch (pandas cumcount/cumsum per group); only the
-    per-group carry-over (one or two groups per batch) is Python.
-    """
-    import numpy as np
-
-    state: dict[tuple[str, int], tuple[int, int]] = {}
-    for pdf in batches:
-        if pdf.empty:
-            continue
-        g = pdf.groupby(["file_path", "__blk"], sort=False)
-        group = g.ngroup().to_numpy()
-        idx = g.cumcount().to_numpy()
-        cum = g["__len"].cumsum().to_numpy()
-        keys = list(pdf[["file_path", "__blk"]].drop_duplicates().itertuples(index=False, name=None))
-        base_c = np.array([state.get(k, (0, 0))[0] for k in keys], dtype="int64")
-        base_b = np.array([state.get(k, (0, 0))[1] for k in keys], dtype="int64")
-        idx = idx + base_c[group]
-        cum = cum + base_b[group]
-        last = pd.Series(np.arange(len(pdf))).groupby(group).max().to_numpy()
-        for gi, k in enumerate(keys):
-            state[k] = (int(idx[last[gi]]) + 1, int(cum[last[gi]]))
-        yield pd.DataFrame(
-            {
-                "raw_data": pdf["raw_data"], "file_path": pdf["file_path"], "__blk": pdf["__blk"],
-                "__size": pdf["__size"], "__idx": idx, "__cum": cum,
-            }
-        )
-
-
 def _lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines with their byte length including the terminator (universal newlines).
 
@@ -105,26 +68,27 @@ def read_logs(spark: SparkSession, path: str, with_offsets: bool = True) -> Data
     """
     if not with_offsets:
         return _lines(spark, path).select("raw_data", "file_path")
-    lines = _lines(spark, path)
-    local = lines.mapInPandas(_number_splits, _LOCAL_SCHEMA)
-    totals = _lines(spark, path).groupBy("file_path", "__blk").agg(
-        F.count(F.lit(1)).alias("__n"), F.sum(F.col("__len")).alias("__bytes")
+    # the position in the scan task is the same in a retried task, which reads the same splits
+    lines = _lines(spark, path).withColumn("__at", F.monotonically_increasing_id())
+    inside = Window.partitionBy("file_path", "__blk").orderBy("__at")
+    local = lines.withColumns({"__idx": F.row_number().over(inside), "__cum": F.sum("__len").over(inside.rowsBetween(Window.unboundedPreceding, 0))})
+    # the text counts as read here, too: with the same columns, this side takes the shuffle of the other
+    totals = local.groupBy("file_path", "__blk", "__size").agg(
+        F.max("__idx").alias("__n"), F.max("__cum").alias("__bytes"), F.count("raw_data").alias("__texts")
     )
     before = Window.partitionBy("file_path").orderBy("__blk").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select(
-        "file_path", "__blk",
+    totals = totals.where("__texts >= 0").select(
+        F.col("file_path").alias("__file"), F.col("__blk").alias("__split"),
         F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__lines_before"),
         F.coalesce(F.sum("__bytes").over(before), F.lit(0)).alias("__bytes_before"),
     )
-    j = local.join(totals, ["file_path", "__blk"])
+    j = local.join(totals, (F.col("file_path") == F.col("__file")) & (F.col("__blk") == F.col("__split")))
     end = F.col("__bytes_before") + F.col("__cum")
-    return j.select(
-        "raw_data",
-        "file_path",
-        (F.col("__lines_before") + F.col("__idx") + 1).cast("long").alias("line_no"),
-        # the last line of a file without a final newline ends at the file size; a compressed file's size says nothing
-        F.when(F.col("file_path").rlike(COMPRESSED), end).otherwise(F.least(end, F.col("__size"))).cast("long").alias("offset"),
-    )
+    # the last line of a file without a final newline ends at the file size; a compressed file's size says nothing
+    offset = F.when(F.col("file_path").rlike(COMPRESSED), end).otherwise(F.least(end, F.col("__size"))).cast("long")
+    line = (F.col("__lines_before") + F.col("__idx")).cast("long")
+    # an offset is never negative: the condition keeps the shuffled columns the same where only numbers are asked for
+    return j.select("raw_data", "file_path", F.when(offset >= 0, line).alias("line_no"), offset.alias("offset"))
 
 
 def with_byte_offset(spark: SparkSession, path: str) -> DataFrame:

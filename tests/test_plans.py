@@ -46,11 +46,14 @@ def test_config_joins_broadcast(plan, name):
     assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p and shuffles(p) == 0
 
 
-def test_file_offsets_do_not_shuffle_lines(plan):
-    p = plan("a3_byte_offset")
-    assert "MapInPandas" in p
-    # the only shuffles are over the per-split totals (aggregate + window), not the lines
-    assert shuffles(p) == 2 and "BroadcastExchange" in p
+@pytest.mark.parametrize("name", ["a1_read_logs", "a3_byte_offset"])
+def test_lines_are_numbered_in_one_scan_without_python(spark, name):
+    df = se.queries()[name](spark, SF001)
+    df.collect()
+    p = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "MapInPandas" not in p and "Python" not in p
+    # the table of splits takes the shuffle of the lines instead of reading the text again
+    assert p.count("FileScan text") == 1 and p.count("ReusedExchange") == 1
 
 
 def test_inference_aggregates_before_shuffle(plan):
