@@ -3,11 +3,17 @@
 Each stage takes all documents that its predecessor kept, written as Parquet
 and read again, and returns the columns of ``documents``; the last one adds
 the token ids.
+
+Defined results: a null or empty text fails the quality rules, so it goes in
+the first stage, as do texts of very few words; of rows with equal or linked
+texts the one with the least id stays, equal rows count once; very long texts
+are treated whole; an empty table gives an empty result with all columns; other
+columns go through unchanged, whatever their names, but for ``ids``,
+``n_tokens`` and ``decodes`` in the last stage.
 """
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,11 +45,14 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All columns with the ids, their number, and whether they decode to the text."""
+    """All columns with the ids, their number, and whether they decode to the text (columns of these names are replaced)."""
+    import public_tokenizers
+
     path = public_tokenizers.path(TOKENIZER)
     coded = sentencepieces.encode_decode(docs, path)
     same = F.coalesce(F.col("decoded") == F.coalesce("text", F.lit("")), F.lit(False))
-    return coded.select(*docs.columns, "ids", F.size("ids").cast("long").alias("n_tokens"), same.alias("decodes"))
+    kept = [c for c in docs.columns if c not in ("ids", "n_tokens", "decodes")]
+    return coded.select(*kept, "ids", F.size("ids").cast("long").alias("n_tokens"), same.alias("decodes"))
 
 
 STAGES = [

@@ -2,7 +2,7 @@
 
 Nothing outside this subpackage imports it. ``queries`` registers one query
 per operator. What tasks run is shipped with them by value, so executors need
-the libraries (numpy, pandas, pyarrow) but not this package.
+the libraries (numpy, pandas, pyarrow; op6 also pyahocorasick) but not this package.
 """
 
 import sys

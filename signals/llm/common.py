@@ -91,6 +91,12 @@ def ranked(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
     )
 
 
+def aside(df: DataFrame, names: Iterable[str]) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with the columns called as one of ``names`` renamed, and what they are called now."""
+    moved = {c: f"__own_{c}" for c in df.columns if c in set(names)}
+    return df.withColumnsRenamed(moved), moved
+
+
 def add_columns(df: DataFrame, added: str, start, rows: int = 1024) -> DataFrame:
     """``df`` with the columns of the DDL ``added`` (replacing such names), computed from Arrow batches.
 

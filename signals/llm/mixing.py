@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from signals.llm.common import n_words, ranked
+from signals.llm.common import aside, n_words, ranked
 
 WEIGHTS = (1, 2, 3)
 MAX_REPEAT = 3
@@ -136,6 +136,8 @@ def mix(docs: DataFrame, size: Column | None = None, source: str = "source", doc
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: each document as often as it is taken, with the columns of ``docs`` only."""
-    plan = mix(docs, **options)
-    return plan.withColumn("__copy", F.explode(F.expr("array_repeat(0, cast(copies AS int))"))).select(*docs.columns)
+    """The mix itself: each document as often as it is taken, with the columns of ``docs`` only, whatever their names."""
+    own, moved = aside(docs, ("size", "source_size", "target", "copies"))
+    plan = mix(own, **options)
+    copies = plan.withColumn("__copy", F.explode(F.expr("array_repeat(0, cast(copies AS int))")))
+    return copies.select(*[F.col(moved.get(c, c)).alias(c) for c in docs.columns])

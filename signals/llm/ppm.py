@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from signals.llm.common import add_columns, stored
+from signals.llm.common import add_columns, aside, stored
 from signals.llm.hashing import Powers, word_hashes
 
 ORDER = 5
@@ -305,8 +305,10 @@ def block_scores(docs: DataFrame, block: dict, covers: tuple[int, int] | None, t
 def score(docs: DataFrame, train: Column, text: str = "text", order: int = ORDER, nodes: int = NODES, most: int = FREQUENT) -> DataFrame:
     """Add n_tokens, n_known, train_tokens, base_score and score to every row; learns from the rows where ``train`` holds."""
     spark = docs.sparkSession
+    names, learning = docs.columns, docs.where(train)
+    docs, moved = aside(docs, ("rare", "times", "more", "less", "key", "part"))
     keep = [c for c in docs.columns if c not in ("n_tokens", "n_known", "train_tokens", "base_score", "score")]
-    counts = stored(count(docs.where(train), text, order), "ppm-counts")
+    counts = stored(count(learning, text, order), "ppm-counts")
     sizes = counts.where("kind = 1").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     total, ground = sizes["n"], np.log10(sizes["n"] + 0.1 * (sizes["v"] + 1))
     common = spark.sparkContext.broadcast(frequent(counts, most))
@@ -358,7 +360,7 @@ def score(docs: DataFrame, train: Column, text: str = "text", order: int = ORDER
         more = stored(more.groupBy("__u0", "__u1").agg(F.first("part").alias("part")), "ppm-part")
         result = result.join(more, (F.col("__t0") == F.col("__u0")) & (F.col("__t1") == F.col("__u1"))).withColumn("score", F.col("score") + F.col("part")).drop("part", "__u0", "__u1")
     return result.select(
-        *[c for c in keep if c != text],
+        *[F.col(moved.get(c, c)).alias(c) for c in names if moved.get(c, c) in keep and c != text],
         "n_tokens",
         (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"),
         F.lit(int(total)).cast("long").alias("train_tokens"),

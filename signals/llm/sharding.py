@@ -34,7 +34,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from signals.llm.common import forget, ranked, stored
+from signals.llm.common import aside, forget, ranked, stored
 
 FINE = 64
 #: Propagation may fill a shard over its quota by this part of it.
@@ -164,8 +164,12 @@ def shard(docs: DataFrame, hubs: list[str], n_shards: int = 8, doc_id: str = "do
     ``hubs`` name link keys from fine to coarse (null: no link): the first one
     makes the classes; the others are values or arrays of values, which rows
     that agree in the first share. ``rounds`` bounds the propagation (None: until
-    no move is left). Columns that are arrays of link keys are not returned.
+    no move is left). Columns that are arrays of link keys are not returned;
+    ``shard`` and ``slot`` replace columns of these names, others may have any.
     """
+    names = docs.columns
+    docs, renamed = aside(docs, ("key", "hubs", "part", "small", "label", "start", "last", "l_label", "l_start"))
+    hubs, doc_id = [renamed.get(h, h) for h in hubs], renamed.get(doc_id, doc_id)
     arrays = [h for h in hubs if docs.schema[h].dataType.typeName() == "array"]
     cols = [c for c in docs.columns if c not in ("shard", "slot", *arrays)]
     key = F.coalesce(F.when(F.col(hubs[0]).isNotNull(), F.xxhash64(hubs[0])), F.xxhash64(F.lit(seed), F.lit("single"), doc_id))
@@ -222,4 +226,4 @@ def shard(docs: DataFrame, hubs: list[str], n_shards: int = 8, doc_id: str = "do
     target = reduce(lambda a, s: F.when(place >= ahead[s], F.lit(s)).otherwise(a), [s for s in freest[1:] if free[s]], F.lit(freest[0]))
     put = rows.withColumn("shard", F.when(stays, F.col("__label")).otherwise(target).cast("int"))
     slot = _case(F.col("shard"), stay) + place - _case(F.col("shard"), [ahead[s] for s in range(n_shards)])
-    return put.withColumn("slot", F.when(stays, at).otherwise(slot).cast("long")).select(*cols, "shard", "slot")
+    return put.withColumn("slot", F.when(stays, at).otherwise(slot).cast("long")).select(*[F.col(renamed.get(c, c)).alias(c) for c in names if renamed.get(c, c) in cols], "shard", "slot")

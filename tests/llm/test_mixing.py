@@ -77,3 +77,14 @@ def test_mixed_repeats_rows(spark):
     by = {r["source"]: r["count"] for r in out.groupBy("source").count().collect()}
     assert by == {"a": 70, "c": 30}  # c stops at three times its size
     assert mix(docs).where("source = 'c' and copies <> 3").count() == 0
+
+
+def test_mixed_keeps_columns_called_as_its_own(spark):
+    rows = [(i, "w " * 10, "a" if i < 9 else "c", f"s{i}", i / 2, i % 3) for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, size string, target double, copies long")
+    out = mixed(docs)
+    assert out.columns == docs.columns
+    own = {r[0]: r for r in rows}
+    assert all(tuple(r) == own[r["doc_id"]] for r in out.collect())
+    odd = data.odd(spark)
+    assert {r["size"] for r in mixed(odd).collect()} == {"x"} and mixed(odd).columns == odd.columns

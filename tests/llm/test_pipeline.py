@@ -21,6 +21,7 @@ def test_stages_take_effect(spark):
 
 def test_odd_and_empty_documents(spark, tmp_path):
     for name, docs in (("odd", data.odd(spark)), ("empty", data.empty(spark))):
-        folder = data.write(spark, tmp_path / name, docs.select("doc_id", "text", "lang", "source", "n_chars"))
+        folder = data.write(spark, tmp_path / name, docs)
         rows = corpus_pipeline.run(spark, folder).collect()
         assert all(r["doc_id"] is None or r["doc_id"] in (6, 8, 9) for r in rows)
+        assert all(r["size"] == r["target"] == r["part"] == "x" and r["decodes"] for r in rows) and (rows or name == "empty")

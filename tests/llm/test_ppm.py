@@ -83,3 +83,10 @@ def test_adaptive(spark):
     docs = spark.createDataFrame([(1, "ab" * 100), (2, None), (3, "the quick brown fox")], "id long, text string")
     s = {r["id"]: r["score"] for r in ppm.adaptive(docs, order=3).collect()}
     assert s[2] == -math.log10(256) and s[1] > -40  # a repeated text costs little
+
+
+def test_columns_called_as_inner_ones(spark):
+    rows = [(i, f"some words {i} here", f"r{i}", f"t{i}", i) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, rare string, times string, more long")
+    got = {r["doc_id"]: (r["rare"], r["times"], r["more"]) for r in ppm.score(docs, F.col("more") != 3, most=3).collect()}
+    assert got == {r[0]: r[2:] for r in rows}

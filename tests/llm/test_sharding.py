@@ -85,3 +85,27 @@ def test_any_shared_line_links(spark, tmp_path):
     p = op1_sharding(spark, folder).toPandas()
     even(p)
     assert (p.groupby(p["doc_id"] // 5)["shard"].nunique() > 1).mean() <= 0.15
+
+
+def test_columns_called_as_inner_ones(spark):
+    names = ("key", "part", "label", "start", "small", "last", "hubs", "l_label")
+    docs = spark.range(40).select(F.col("id").alias("doc_id"), (F.col("id") % 7).alias("key2"), *[F.concat(F.lit(n), "id").alias(n) for n in names])
+    rows = shard(docs, ["key2"], n_shards=3).collect()
+    assert len(rows) == 40 and all(r[n] == f"{n}{r['doc_id']}" for r in rows for n in names)
+    by_key = shard(docs.drop("key2"), ["key"], n_shards=3)
+    assert by_key.columns == [*docs.drop("key2").columns, "shard", "slot"] and by_key.count() == 40
+    assert len(shard(data.odd(spark), ["text"], n_shards=3).collect()) == len(data.rows())
+
+
+def test_cuts_fewer_links_than_a_random_deal_and_none_where_none_is_needed(spark):
+    """Sixty groups of ten in two shards: whole groups fit, so a deal without a cut exists; a random one cuts half of all links."""
+    docs = spark.range(600).select(F.col("id").alias("doc_id"), F.col("id").alias("text"), (F.col("id") % 60).alias("line"))
+    p = shard(docs, ["text", "line"], n_shards=2).toPandas()
+    even(p, 2)
+
+    def cut(shards):
+        return sum(a != b for _, g in shards.groupby(p["line"]) for i, a in enumerate(g) for b in list(g)[i + 1 :])
+
+    links = 60 * 45
+    random_cut = cut(p["shard"].sample(frac=1, random_state=1).set_axis(p.index))
+    assert 0.4 * links < random_cut and cut(p["shard"]) <= 0.05 * links
