@@ -16,20 +16,23 @@ n shingles, so the c least shingles that they share are among the first
 What two sets share beyond their first shingles is bounded by their sizes and by
 where their first shingles lie in the order (``MARKS`` keeps a few of these
 places of each set), so ``need`` says how many first shingles a linking pair
-has in common at least: a tenth of a set's size and more. Lists are joined and shared
-lists counted; only pairs that reach their need are checked. Lists of more
-than ``LONG`` sets, of passages that many texts quote, are joined only for
-pairs whose need is no more than the long lists that either set is in. Every
-other pair with enough in common shares a short list as well, and is judged
-by its short lists plus the most that its long ones can add.
+has in common at least: a tenth of a set's size and more. Short lists are joined and
+shared ones counted. Lists of more than ``LONG`` sets, of passages that many
+texts quote, are known to their sets: each has the array of its long lists. A
+pair that reaches its need there alone is emitted once, in the first long list
+that both are in; every other pair with enough in common shares a short list as
+well, and is judged by its short lists plus the arrays' intersection. (Arrays of
+more than ``ARRAY`` lists are not kept; then the most that they can add counts.)
 
 Only the classes of links are wanted, so long lists are not expanded into all
 of their pairs: each set is first checked against one of the list (if the pair
 may need it, as above), in ``TURNS`` rounds with different heads, and sets that link
-get one root. The pairs counted afterwards differ in their roots. No link
-between different roots is lost. Lists of very frequent shingles are cut into
-parts for the rounds with heads, the parts' heads are checked against each
-other, and the whole lists take part in the last step.
+get one root. The pairs looked for afterwards differ in their roots: in a long list
+roots of one set are paired as sets, others as roots first, and these pairs of
+roots are expanded once, not in each list. No link between different roots is lost.
+Lists of very frequent shingles are cut into parts for the rounds with heads, the
+parts' heads are checked against each other, and the whole lists take part in the
+last step.
 
 Equal sets are one set throughout. Texts are fetched, packed, for the sets to
 check only (a filter of fixed size lets few others through), and the
@@ -67,6 +70,10 @@ MOST_SMALL = 64
 PART = 2000
 #: Longer lists are linked by heads first.
 LONG = 32
+#: Long lists of a set that are kept as an array.
+ARRAY = 4096
+#: Sets of a root that are joined in one group.
+CHUNK = 1000
 #: Rounds with other heads.
 TURNS = 2
 #: Eighths of a set's first shingles whose places in the order are kept.
@@ -272,63 +279,95 @@ def star_pairs(lists: DataFrame, turn: int, percent: int) -> DataFrame:
 
 
 def with_roots(lists: DataFrame, roots: DataFrame) -> DataFrame:
-    """The lists' rows with the roots of their sets, where a list has more than one."""
-    rows = lists.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    """The lists' rows with the roots of their sets (``multi``: a root of several), where a list has more than one."""
+    every = roots.union(roots.select("root", "root").distinct())
+    rows = lists.join(every, "id", "left").withColumns({"multi": F.col("root").isNotNull(), "root": F.coalesce("root", "id")})
     many = rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
     return rows.join(many, "key", "left_semi")
 
 
-def candidates(rows: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs of sets with different roots whose lists in common can be enough for the threshold.
+def _in_common(x, y, twos, reached=0):
+    """Do two sets (structs of ``facts``) reach their need by ``reached`` short lists and their long ones?"""
+
+    def enough(wants, lists: str, count: str):
+        most = F.least(x[count], y[count])
+        exact = F.size(F.array_intersect(x[lists], y[lists]))
+        known = x[lists].isNotNull() & y[lists].isNotNull()
+        return (reached + most >= wants) & F.when(known, reached + exact >= wants).otherwise(True)
+
+    def test(percent: int):
+        by_twos = enough(need_twos(x, y, percent), "lists2", "longs2")
+        return F.when(twos, by_twos).otherwise(enough(need(x, y, percent), "lists", "longs"))
+
+    return test
+
 
-    ``rows`` have id, n, longs and root; ``marks`` the places of each id.
+def long_pairs(rows: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs of sets with different roots whose long lists in common are enough.
+
+    Roots of one set are tested as sets in the first list they share; pairs with a root
+    of several sets are gathered over all lists, then expanded from the lesser side.
     """
-    side = lambda of, i, *more: of.select("key", "part", F.struct("id", "n", "longs", "longs2", "root", *more).alias(f"x{i}"))
-    fit = _compatible("x1.n", "x2.n", percent)
-    short, long_ = rows.where("size <= 0"), rows.where("size > 0").join(marks, "id", "left")
-    pairs = side(short, 1).join(side(short, 2).drop("part"), "key").where((F.col("x1.id") < F.col("x2.id")) & (F.col("x1.root") != F.col("x2.root")) & fit)
-    # in a long list, pairs of roots first: one root may hold nearly all of its sets
-    own = long_.groupBy("key", "root").agg(
-        F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("longs").alias("longs"), F.first("part").alias("part"),
-        F.countDistinct("id").alias("sets"), F.max(F.struct("n", "longs", "longs2", *_PLACES)).alias("x"),
-    )
-    left, right = (own.select("key", *[F.col(c).alias(f"{c}{i}") for c in ("root", "lo", "hi", "longs", "part", "sets", "x")]) for i in (1, 2))
-    share = percent / (100 + percent)
+    places = F.struct(*[c for c in facts.columns if c != "id"]).alias("x")
+    full = facts.select("id", places)
+    rows = rows.where("size > 0").select("key", (F.col("part") == -2).alias("twos"), "id", "root", "multi").join(full, "id")
+    names = ("lo", "hi", "longs", "before", "x")
+    of_kind = lambda two, other: F.when(F.col("twos"), F.col(two)).otherwise(F.col(other))
+    most = of_kind("x.longs2", "x.longs")
+    rows = rows.withColumn("mine", of_kind("x.lists2", "x.lists"))
+    before = F.expr("slice(mine, 1, cast(array_position(mine, key) - 1 as int))")  # the set's lists before this one
+    one = rows.where(~F.col("multi")).select("key", "twos", "root", F.col("x.n").alias("lo"), F.col("x.n").alias("hi"), most.alias("longs"), before.alias("before"), "x")
+    many = rows.where("multi").groupBy("key", "twos", "root").agg(F.min("x.n").alias("lo"), F.max("x.n").alias("hi"), F.max(most).alias("longs"))
+    own = one.unionByName(many, allowMissingColumns=True)
+    left, right = (own.select("key", "twos", *[F.col(c).alias(f"{c}{i}") for c in ("root", *names)]) for i in (1, 2))
     # for roots of more sets, the least need that any two of these sizes can have
+    share = percent / (100 + percent)
     least = F.least(*[share * (F.col(f"lo{i}") + F.col(f"hi{j}")) - percent / 100 * F.greatest(f"lo{i}", f"hi{j}") for i, j in ((1, 2), (2, 1))])
-    ranges = (F.col("part1") == -2) | (F.greatest(F.lit(1.0), least - 1) <= F.least("longs1", "longs2"))
-    single = (F.col("sets1") == 1) & (F.col("sets2") == 1)
-    possible = F.when(single, _may(F.col("part1"), F.col("x1"), F.col("x2"), percent)).otherwise(ranges)
+    ranges = F.col("twos") | (F.greatest(F.lit(1.0), least - 1) <= F.least("longs1", "longs2"))
+    single = F.col("x1").isNotNull() & F.col("x2").isNotNull()
+    # the first list that both are in: none before it in common, and all that they share is from it on
+    earlier = [F.coalesce(F.size(F.col(f"before{i}")), F.lit(0)) for i in (1, 2)]
+    here = (earlier[0] == 0) | (earlier[1] == 0) | ~F.coalesce(F.arrays_overlap("before1", "before2"), F.lit(False))
+    rest = F.least(F.col("longs1") - F.greatest(earlier[0], F.lit(0)), F.col("longs2") - F.greatest(earlier[1], F.lit(0)))
+    may = F.when(F.col("twos"), need_twos(F.col("x1"), F.col("x2"), percent)).otherwise(need(F.col("x1"), F.col("x2"), percent)) <= rest
     apart = (100 * F.col("hi1") >= percent * F.col("lo2")) & (100 * F.col("hi2") >= percent * F.col("lo1"))
-    two = left.join(right, "key").where((F.col("root1") < F.col("root2")) & possible & apart).select("key", "root1", "root2")
-    first = two.join(side(long_, 1, *_PLACES).withColumn("root1", F.col("x1.root")), ["key", "root1"])
-    may = _may(F.col("part"), F.col("x1"), F.col("x2"), percent)
-    across = first.join(side(long_, 2, *_PLACES).drop("part").withColumn("root2", F.col("x2.root")), ["key", "root2"]).where(fit & may)
-    plain = lambda x: F.struct(*[F.col(f"{x}.{c}") for c in ("id", "n", "longs", "longs2", "root")]).alias(x)
-    both = pairs.withColumn("long", F.lit(0)).unionByName(across.select("key", "part", plain("x1"), plain("x2"), F.lit(1).alias("long")))
-    counted = (
-        both.select(F.least("x1", "x2").alias("x"), F.greatest("x1", "x2").alias("y"), (F.col("part") == -2).cast("long").alias("twos"), "long")
-        .groupBy("x", "y")
-        .agg(
-            F.sum(F.col("twos") * (1 - F.col("long"))).alias("twos_short"),
-            F.sum(F.col("twos") * F.col("long")).alias("twos_long"),
-            F.sum((1 - F.col("twos")) * (1 - F.col("long"))).alias("short"),
-            F.sum((1 - F.col("twos")) * F.col("long")).alias("long"),
-        )
-    )
-    for x in ("x", "y"):
-        of = marks.select(F.col("id").alias("of"), F.struct(*_PLACES).alias(f"m_{x}"))
-        counted = counted.join(of, F.col(f"{x}.id") == F.col("of"), "left").drop("of")
-    placed = lambda x: F.struct(F.col(f"{x}.n").alias("n"), *[F.col(f"m_{x}.{m}").alias(m) for m in _PLACES])
-    counted = counted.withColumn("wants", need(placed("x"), placed("y"), percent))
-    counted = counted.withColumn("wants2", need_twos(F.col("x"), F.col("y"), percent))
+    possible = F.when(single, may & here & _in_common(F.col("x1"), F.col("x2"), F.col("twos"))(percent)).otherwise(ranges)
+    two = left.join(right, ["key", "twos"]).where((F.col("root1") < F.col("root2")) & apart & possible)
+    two = stored(two.select("root1", "root2", "twos", single.alias("single")), "jaccard-roots")
+    members = stored(rows.select("id", "root").distinct().join(full, "id"), "jaccard-members")
+    sizes = members.groupBy("root").agg(F.count("*").alias("sets"))
+    of = lambda i: sizes.select(F.col("root").alias(f"root{i}"), F.col("sets").alias(f"sets{i}"))
+    pairs = two.where("not single").select("root1", "root2", "twos").distinct().join(of(1), "root1").join(of(2), "root2")
+    lesser = F.col("sets1") <= F.col("sets2")
+    pick = lambda a, b: F.when(lesser, F.col(a)).otherwise(F.col(b))
+    chunks = lambda sets: F.ceil(F.col(sets) / CHUNK).cast("long")
+    pairs = pairs.select(pick("root1", "root2").alias("root"), pick("root2", "root1").alias("other"), pick("sets2", "sets1").alias("sets"), "twos")
+    pairs = pairs.join(members.select("root", F.col("id").alias("id1"), F.col("x").alias("x1")), "root")
+    pairs = pairs.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), chunks("sets") - 1))).drop("root", "sets")
+    others = members.join(sizes, "root").select(F.col("root").alias("other"), F.pmod(F.xxhash64("id"), chunks("sets")).alias("chunk"), F.col("id").alias("id2"), F.col("x").alias("x2"))
+    fit = _compatible("x1.n", "x2.n", percent)
+    across = pairs.join(others, ["other", "chunk"]).where(fit & _in_common(F.col("x1"), F.col("x2"), F.col("twos"))(percent))
+    found = two.where("single").select(F.col("root1").alias("id1"), F.col("root2").alias("id2")).union(across.select("id1", "id2"))
+    return found.select(F.least("id1", "id2").alias("a"), F.greatest("id1", "id2").alias("b"))
 
-    def enough(wants: str, short: str, long: str, most):
-        return F.col(short) + F.when(F.col(wants) <= most, F.col(long)).otherwise(most) >= F.col(wants)
 
-    by_ones = enough("wants", "short", "long", F.least("x.longs", "y.longs"))
-    by_twos = enough("wants2", "twos_short", "twos_long", F.least("x.longs2", "y.longs2"))
-    return counted.where(by_ones | by_twos).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+def candidates(rows: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs of sets with different roots whose lists in common can be enough for the threshold.
+
+    ``rows`` have key, part, id, n, size, root and multi; ``facts`` what a set's struct holds in :func:`_in_common`.
+    """
+    short = rows.where("size <= 0")
+    side = lambda i, *more: short.select("key", *more, F.struct("id", "n", "root").alias(f"x{i}"))
+    fit = _compatible("x1.n", "x2.n", percent)
+    pairs = side(1, "part").join(side(2), "key").where((F.col("x1.id") < F.col("x2.id")) & (F.col("x1.root") != F.col("x2.root")) & fit)
+    counted = pairs.groupBy(F.col("x1.id").alias("a"), F.col("x2.id").alias("b")).agg(
+        F.count_if(F.col("part") == -2).alias("twos"), F.count_if(F.col("part") > -2).alias("ones")
+    )
+    for i, x in enumerate("ab"):
+        counted = counted.join(facts.select(F.col("id").alias(x), F.struct(*[c for c in facts.columns if c != "id"]).alias(f"x{i}")), x)
+    by = lambda of, count: (F.col(count) > 0) & _in_common(F.col("x0"), F.col("x1"), F.lit(of), F.col(count))(percent)
+    counted = counted.where(by(False, "ones") | by(True, "twos")).select("a", "b")
+    return counted.union(long_pairs(rows, facts, percent)).distinct()
 
 
 def packed_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -409,16 +448,17 @@ def link_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", k:
     longer = F.when((F.col("size") > LONG) | (F.col("part") >= 0), F.col("size")).otherwise(0)
     kept = stored(lists.withColumn("size", longer).distinct(), "jaccard-lists")
     lists = kept.where("part > -3")
-    listed = lists.select("id").distinct()
-    marks = kept.where("part = -3").groupBy("id").agg(*[F.max(F.when(F.col("n") == i, F.col("key"))).alias(m) for i, m in enumerate(_PLACES)])
-    marks = stored(marks.join(listed, "id", "left_semi"), "jaccard-marks")
-    # of each set: in how many long lists of one shingle and of two it is
-    longs = lists.where("size > 0").groupBy("id").agg(F.count_if(F.col("part") > -2).alias("longs"), F.count_if(F.col("part") == -2).alias("longs2"))
-
-    def known(rows: DataFrame) -> DataFrame:
-        return rows.join(longs, "id", "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in ("longs", "longs2")})
-
-    heavy = stored(known(lists.where("size > 0")).join(marks, "id", "left"), "jaccard-long")
+    # of each set: size, marks, and the long lists of one shingle and of two that it is in
+    ones, twos = (F.col("size") > 0) & (F.col("part") > -2), (F.col("size") > 0) & (F.col("part") == -2)
+    facts = kept.groupBy("id").agg(
+        F.max(F.when(F.col("part") > -3, F.col("n"))).alias("n"),
+        *[F.max(F.when((F.col("part") == -3) & (F.col("n") == i), F.col("key"))).alias(m) for i, m in enumerate(_PLACES)],
+        *[F.count_if(c).alias(name) for c, name in ((ones, "longs"), (twos, "longs2"))],
+        *[F.sort_array(F.collect_list(F.when(c, F.col("key")))).alias(name) for c, name in ((ones, "lists"), (twos, "lists2"))],
+    )
+    fewer = lambda c: F.when(F.size(c) <= ARRAY, F.col(c))
+    facts = stored(facts.where("n is not null").withColumns({c: fewer(c) for c in ("lists", "lists2")}), "jaccard-facts")
+    heavy = stored(lists.where("size > 0").join(facts.drop("n", "lists", "lists2"), "id"), "jaccard-long")
     reps = sets.select(F.col("a").alias("id"), F.col("rep.th").alias("th"))
 
     def packs_of(ids: DataFrame) -> DataFrame:
@@ -437,8 +477,7 @@ def link_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", k:
         packs = packs_of(ids(pairs))
         roots = components(edges(roots).union(tested(pairs, packs)))
         forget(packs)
-    rows = with_roots(known(lists), roots)
-    pairs = stored(candidates(rows, marks, percent), "jaccard-pairs")
+    pairs = stored(candidates(with_roots(lists, roots), facts, percent), "jaccard-pairs")
     forget(kept)
     packs = packs_of(ids(pairs))
     roots = components(edges(roots).union(tested(pairs, packs)))

@@ -84,6 +84,16 @@ def test_frequent_passages_and_cut_lists(spark, monkeypatch):
     compare(spark, [(i, f"{t} {passage}") for i, t in noisy(10, 6, 14, 3, 3)])
 
 
+@pytest.mark.parametrize("turns,array", [(0, 4096), (1, 3)])
+def test_near_copies_at_the_threshold_in_long_lists(spark, monkeypatch, turns, array):
+    """Groups around the threshold whose lists are all long: pairs of single sets, of roots with several, and arrays not kept."""
+    monkeypatch.setattr(jaccard, "LONG", 3)
+    monkeypatch.setattr(jaccard, "TURNS", turns)
+    monkeypatch.setattr(jaccard, "ARRAY", array)
+    monkeypatch.setattr(jaccard, "CHUNK", 2)
+    compare(spark, noisy(2, 40, 60, 5, 4) + [(1000 + i, t) for i, t in noisy(2, 20, 12, 6, 2)])
+
+
 def test_odd_rows_and_empty_table(spark, tmp_path):
     docs = [(r[0], r[1]) for r in data.rows()]
     compare(spark, docs)
