@@ -9,7 +9,7 @@ from signals.operators.tenancy import TIER_MODULES, entitled, grants_table, tena
 from signals.plans.fixtures import RAW_LOGS_SQL, TENANT_SQL, raw_logs, with_views
 from signals.plans.registry import register
 from signals.session import path_exists, scratch_path
-from signals.sources.files import read_logs
+from signals.sources.files import read_logs, write_files
 from signals.sources.ledger import offset_ledger
 from signals.sources.metrics import read_training_metrics, write_training_metrics
 from signals.sources.tail_source import read_log_tail
@@ -32,14 +32,8 @@ def log_files(spark: SparkSession, sf_dir: str) -> str:
     if path and path_exists(spark, path + "/_SUCCESS"):
         return path
     path = scratch_path(spark, "logfiles")
-    rl = raw_logs(spark, sf_dir).withColumn("chunk", F.floor(F.col("event_id") / CHUNK))
-    (
-        rl.repartition("chunk")
-        .sortWithinPartitions("chunk", "event_id")
-        .select("raw_data", "chunk")
-        .write.partitionBy("chunk")
-        .text(path)
-    )
+    rl = raw_logs(spark, sf_dir).select("raw_data", "event_id", F.floor(F.col("event_id") / CHUNK).alias("chunk"))
+    write_files(rl, path, "chunk", ["event_id"])
     _LANDED[key] = path
     return path
 

@@ -65,6 +65,13 @@ def path_exists(spark: SparkSession, pattern: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def local_path(spark: SparkSession, path: str) -> str | None:
+    """The path on the machines' own or mounted file system; None where Hadoop sees another one there."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    uri = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toUri()
+    return uri.getPath() if uri.getScheme() == "file" else None
+
+
 def small_table(spark: SparkSession, rows: list[tuple], schema: str):
     """Rows from the driver as a relation whose size Spark knows, so that it picks the join by that size."""
     import pyarrow as pa

@@ -12,10 +12,16 @@ scanned once.
 
 from __future__ import annotations
 
+import os
+import uuid
+from typing import Iterator, Sequence
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from signals.functions.text import decode_replace
+from signals.session import local_path
 
 #: Names of files that Spark's text source decompresses.
 COMPRESSED = r"\.(gz|bz2|zst|lz4|snappy|deflate)$"
@@ -33,17 +39,20 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     v = F.col("value")
     has_cr = F.instr(v, "\r") > 0
     crlf = has_cr & v.endswith("\r")  # the '\\r' of a '\\r\\n' ends the last piece
-    pieces = F.when(has_cr, F.split(v, "\r", -1)).otherwise(F.array(v))
-    pieces = F.when(crlf, F.slice(pieces, 1, F.size(pieces) - 1)).otherwise(pieces)
-    # bytes of all pieces but the last, plus one '\\r' after each of them
-    head = F.aggregate(
-        F.slice(pieces, 1, F.greatest(F.size(pieces) - 1, F.lit(0))), F.lit(0), lambda acc, p: acc + F.octet_length(p) + 1
-    )
-    x = t.select(
+    split = F.split(v, "\r", -1)
+    split = F.when(crlf, F.slice(split, 1, F.size(split) - 1)).otherwise(split)
+    t = t.select(
+        v,
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("__blk"),
         F.col("_metadata.file_size").alias("__size"),
-        F.size(pieces).alias("__n"),
+        F.when(has_cr, split).otherwise(F.array(v)).alias("__pieces"),
+    )
+    pieces, n = F.col("__pieces"), F.size("__pieces")
+    # bytes of all pieces but the last, plus one '\\r' after each of them
+    head = F.when(n > 1, F.octet_length(F.array_join(F.slice(pieces, 1, n - 1), "\r")) + 1).otherwise(0)
+    x = t.select(
+        "file_path", "__blk", "__size", n.alias("__n"),
         # the raw line's bytes plus its '\\n' (exact even where the split re-encoded bad bytes)
         (F.octet_length(v) + 1 - head).alias("__last_len"),
         F.posexplode(pieces).alias("__pi", "__piece"),
@@ -111,3 +120,50 @@ def write_lines(df: DataFrame, path: str, col: str = "raw_data", partition_by: l
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.text(path)
+
+
+def write_files(df: DataFrame, path: str, name: str, order: Sequence[str], col: str = "raw_data") -> None:
+    """Write a newline-terminated text file for each value of ``name``, its lines by ``order``.
+
+    Spark's writer makes a folder for each value, which a reader then lists in
+    a task of its own, and on the machines' file system Hadoop starts a
+    ``chmod`` process for each file and its checksum where its native library
+    is absent. There the tasks write the files themselves, all into one folder.
+    A file gets its name when it is whole, so a repeated task replaces it by
+    the same lines.
+    """
+    lines = df.repartition(name).sortWithinPartitions(name, *order)
+    root = local_path(df.sparkSession, path)
+    if root is None:
+        lines.select(col, name).write.partitionBy(name).text(path)
+        return
+
+    def write(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        n, at, out, hidden = 0, None, None, None
+
+        def close():
+            out.close()
+            os.replace(hidden, f"{root}/part-{'__HIVE_DEFAULT_PARTITION__' if at is None else quote(at, safe='')}.txt")
+
+        for batch in batches:
+            start = 0
+            runs = pc.run_end_encode(batch.column(0))
+            for value, end in zip(runs.values.to_pylist(), runs.run_ends.to_pylist()):
+                if out is None or value != at:
+                    if out is not None:
+                        close()
+                    n, at, hidden = n + 1, value, f"{root}/.{uuid.uuid4().hex}"
+                    out = open(hidden, "wb")
+                held = batch.column(1).slice(start, end - start).to_pylist()
+                out.write(b"\n".join([line or b"" for line in held]) + b"\n")
+                start = end
+        if out is not None:
+            close()
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["files"])
+
+    os.makedirs(root)
+    lines.select(F.col(name).cast("string"), F.col(col).cast("binary")).mapInArrow(write, "files long").agg(F.sum("files")).first()
+    open(f"{root}/_SUCCESS", "wb").close()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 
 import pytest
@@ -112,3 +113,32 @@ def test_explain_shuffles_nothing_row_sized(spark):
     p = executed(se.queries()["f7_explain"](spark, SF001))
     # the features' aggregation is shared; what follows it is a one-row aggregate
     assert "Window" not in p and "BroadcastNestedLoopJoin" in p
+
+
+def test_landed_blocks_lie_in_one_folder(spark, tmp_path):
+    """A file for each block, not a folder: folders are listed in a task each."""
+    import glob
+    import os
+
+    from signals.plans.q_sources import log_files
+    from signals.session import local_path
+
+    ids = [None, 7000, -1, 2500] + [i for i in range(5000) if i % 7] + [2500]  # a null, a negative and repeated ids
+    rows = [(i, dt.datetime(2024, 1, 1), None if i == 3 else 5, "view", 1.5, "{}") for i in ids]
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "events.parquet"))
+    root = local_path(spark, log_files(spark, str(tmp_path)))
+    files = glob.glob(f"{root}/**/*.txt", recursive=True)
+    assert len(files) == 8 and {os.path.dirname(f) for f in files} == {root}
+    assert not [f for f in os.listdir(root) if f.startswith(".")]
+    text = {tuple(re.findall(r"bytes=(-?\d+)|^()$", open(f).read()[:-1], re.M)) for f in files}
+    blocks = {}
+    for i in ids:
+        blocks.setdefault(None if i is None else i // 1000, []).append(i)
+    want = [[("", "") if i is None or i == 3 else (str(i), "") for i in sorted(b, key=lambda i: i or 0)] for b in blocks.values()]
+    assert text == {tuple(w) for w in want}
+
+
+def test_lines_are_split_in_compiled_code(plan):
+    p = plan("a3_byte_offset")
+    assert "lambda" not in p and "Generate posexplode" in p
