@@ -94,6 +94,36 @@ def test_near_copies_at_the_threshold_in_long_lists(spark, monkeypatch, turns, a
     compare(spark, noisy(2, 40, 60, 5, 4) + [(1000 + i, t) for i, t in noisy(2, 20, 12, 6, 2)])
 
 
+def test_a_group_at_the_threshold_is_not_tested_pair_by_pair(spark, monkeypatch):
+    """Most pairs of the group come near the threshold; what is written for the exact test grows with its sets, not with their pairs."""
+    tested, check = [], jaccard.check
+    monkeypatch.setattr(jaccard, "check", lambda pairs, *rest: tested.append(pairs.count()) or check(pairs, *rest))
+    docs = noisy(1, 240, 150, 11, 9)
+    compare(spark, docs)
+    assert 0 < sum(tested) < 6 * len(docs)
+
+
+@pytest.mark.parametrize("array,listed,sparse", [(4096, 1 << 22, 64), (3, 7, 2), (3, 7, 1)])
+def test_blocks_find_links_that_join_what_links_join(monkeypatch, array, listed, sparse):
+    for name, value in (("ARRAY", array), ("LISTED", listed), ("SPARSE", sparse)):
+        monkeypatch.setattr(jaccard, name, value)
+    r = np.random.default_rng(5)
+    sets = [np.unique(np.concatenate([r.choice(40, 37, False), 1000 + r.choice(5000, 3)])).astype(np.uint64) for _ in range(40)] + [np.arange(90000, 90003, dtype=np.uint64)]
+    roots = np.array([i if i % 3 else 0 for i in range(len(sets))])
+    for side in (np.zeros(len(sets), int), np.arange(len(sets)) % 2):
+        links = {(i, j) for i in range(len(sets)) for j in range(len(sets)) if i != j and (side[i] < side[j] or not side.any()) and jaccard.linked(sets[i], sets[j])}
+        found = jaccard.block_links(sets, side, roots)
+        assert 0 < len(found) < len(set(roots)) and set(found) <= links
+
+        def classes(pairs):
+            label = roots.copy()
+            for i, j in pairs:
+                label[label == label[i]] = label[j]
+            return {frozenset(np.flatnonzero(label == x).tolist()) for x in label}
+
+        assert classes(found) == classes(links)
+
+
 def test_odd_rows_and_empty_table(spark, tmp_path):
     docs = [(r[0], r[1]) for r in data.rows()]
     compare(spark, docs)
