@@ -76,14 +76,16 @@ MOST_SMALL = 64
 PART = 2000
 #: Longer lists are linked by heads first.
 LONG = 32
-#: Long lists of a set that are kept as an array; shingles in a matrix at a time.
+#: Long lists of a set that are kept as an array.
 ARRAY = 4096
 #: Sets, and shingles, on a side of a block; larger bundles are cut into blocks.
 CHUNK = 1000
 BLOCK = 1 << 19
 #: A shingle is a column of the matrices if so many times its pairs are at least the block's; others' pairs are listed, so many at a time.
 SPARSE = 64
-LISTED = 1 << 22
+LISTED = 1 << 20
+#: Columns of the matrices at a time.
+COLUMNS = 1024
 #: Rounds with other heads.
 TURNS = 2
 #: Eighths of a set's first shingles whose places in the order are kept.
@@ -338,8 +340,8 @@ def common_counts(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.nd
     n_a, n_b = (np.bincount(at[x], minlength=len(values)) for x in (in_a, in_b))
     often = (n_a * n_b * SPARSE >= len(a) * len(b)) & (n_a > 0) & (n_b > 0)
     counts, columns = np.zeros((len(a), len(b)), np.float32), np.flatnonzero(often)
-    for lo in range(0, len(columns), ARRAY):
-        some = columns[lo : lo + ARRAY]
+    for lo in range(0, len(columns), COLUMNS):
+        some = columns[lo : lo + COLUMNS]
         place = np.full(len(values), -1)
         place[some] = np.arange(len(some))
         hit = place[at] >= 0

@@ -103,9 +103,9 @@ def test_a_group_at_the_threshold_is_not_tested_pair_by_pair(spark, monkeypatch)
     assert 0 < sum(tested) < 6 * len(docs)
 
 
-@pytest.mark.parametrize("array,listed,sparse", [(4096, 1 << 22, 64), (3, 7, 2), (3, 7, 1)])
-def test_blocks_find_links_that_join_what_links_join(monkeypatch, array, listed, sparse):
-    for name, value in (("ARRAY", array), ("LISTED", listed), ("SPARSE", sparse)):
+@pytest.mark.parametrize("columns,listed,sparse", [(1024, 1 << 20, 64), (3, 7, 2), (3, 7, 1)])
+def test_blocks_find_links_that_join_what_links_join(monkeypatch, columns, listed, sparse):
+    for name, value in (("COLUMNS", columns), ("LISTED", listed), ("SPARSE", sparse)):
         monkeypatch.setattr(jaccard, name, value)
     r = np.random.default_rng(5)
     sets = [np.unique(np.concatenate([r.choice(40, 37, False), 1000 + r.choice(5000, 3)])).astype(np.uint64) for _ in range(40)] + [np.arange(90000, 90003, dtype=np.uint64)]
